@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tablesync.functions.coerce import ntz
 from tablesync.operators.extract import DEFAULT_WATERMARK
-from tablesync.operators.merge import MergeSpec, merge
 
 CONTROL_SCHEMA = T.StructType(
     [
@@ -60,27 +59,34 @@ def init_control(control: DataFrame, eligible: DataFrame) -> DataFrame:
 
 
 def advance(control: DataFrame, results: DataFrame, run_at: datetime) -> DataFrame:
-    """Control after successful merges. ``results`` is (table_name, new_watermark); tables without
-    changes bring their old cursor and only get a new run time. Unknown tables are not added."""
-    fresh = results.select("table_name", F.col("new_watermark").alias("last_watermark")).join(
-        control.select("table_name"), "table_name", "left_semi"
+    """Control after successful merges. ``results`` is (table_name, new_watermark), one row per
+    table; tables without changes bring their old cursor and only get a new run time. Unknown
+    tables are not added: this is an update, so one left join does it."""
+    ran = results.select("table_name", "new_watermark", F.lit(True).alias("_ran"))
+    return control.join(ran, "table_name", "left").select(
+        "table_name",
+        "updated_at_col",
+        "pk_columns",
+        "delete_flag_col",
+        F.when(F.col("_ran"), F.col("new_watermark")).otherwise(F.col("last_watermark")).alias("last_watermark"),
+        F.when(F.col("_ran"), ntz(run_at)).otherwise(F.col("last_run_at")).alias("last_run_at"),
     )
-    return merge(control, fresh.withColumn("last_run_at", ntz(run_at)), MergeSpec(("table_name",)))
 
 
 def upsert_watermarks(stored: DataFrame, batches: DataFrame, run_id: str, now: datetime) -> DataFrame:
     """Cursor upsert for all tables of a run in one job. An update also stamps the audit time; an
     insert leaves it NULL."""
-    incoming = batches.select(
-        "table_name",
-        F.col("max_updated_at").cast("timestamp_ntz").alias("last_updated_at"),
-        F.lit(run_id).alias("updated_by_run"),
+    old = stored.withColumn("_stored", F.lit(True))
+    new = batches.select(
+        "table_name", F.col("max_updated_at").cast("timestamp_ntz").alias("_newest"), F.lit(True).alias("_ran")
     )
-    known = stored.select("table_name", F.lit(True).alias("_known"))
-    stamped = incoming.join(known, "table_name", "left").select(
-        *incoming.columns, F.when(F.col("_known"), ntz(now)).alias("updated_at")
+    ran = F.col("_ran")
+    return old.join(new, "table_name", "full_outer").select(
+        "table_name",
+        F.when(ran, F.col("_newest")).otherwise(F.col("last_updated_at")).alias("last_updated_at"),
+        F.when(ran, F.lit(run_id)).otherwise(F.col("updated_by_run")).alias("updated_by_run"),
+        F.when(ran & F.col("_stored"), ntz(now)).when(F.col("_stored"), F.col("updated_at")).alias("updated_at"),
     )
-    return merge(stored, stamped, MergeSpec(("table_name",)))
 
 
 def pair_results(configs: DataFrame, results: DataFrame) -> DataFrame:
