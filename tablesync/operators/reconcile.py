@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,10 @@ CDC_HISTORY = T.StructType(
 )
 
 
+def _at(moment: datetime | Column) -> Column:
+    return moment if isinstance(moment, Column) else ntz(moment)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of several tables in one job; each scan reads no columns."""
     counts = [
@@ -71,15 +75,11 @@ def reconcile_counts(source: DataFrame, target: DataFrame, unequal: str) -> Data
     return both.withColumn("count_diff", diff).withColumn("status", count_status(F.col("count_diff"), unequal))
 
 
-def active_count(df: DataFrame, flag_is_live) -> DataFrame:
-    """Count without soft-deleted source rows, for targets that drop them."""
-    return df.filter(flag_is_live).agg(F.count("*").alias("row_count"))
-
-
 def full_load_records(
-    reconciled: DataFrame, run_id: str, start: datetime, end: datetime, staged: DataFrame | None = None
+    reconciled: DataFrame, run_id: str, start: datetime | Column, end: datetime | Column, staged: DataFrame | None = None
 ) -> DataFrame:
-    """History rows of a full load. ``staged`` is (table_name, extracted_count, staged_count)."""
+    """History rows of a full load. ``staged`` is (table_name, extracted_count, staged_count), and
+    may carry further columns for ``start`` and ``end`` to refer to."""
     df = reconciled
     if staged is not None:
         df = df.join(staged, "table_name", "left")
@@ -93,8 +93,8 @@ def full_load_records(
         F.lit(run_id).alias("run_id"),
         F.lit("FULL_LOAD").alias("pipeline_type"),
         "table_name",
-        ntz(start).alias("start_time"),
-        ntz(end).alias("end_time"),
+        _at(start).alias("start_time"),
+        _at(end).alias("end_time"),
         "status",
         F.col("source_count").alias("pg_count"),
         F.col("target_count").alias("sf_count"),

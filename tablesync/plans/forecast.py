@@ -40,7 +40,7 @@ def load_forecast(
     rows = columnar_rows(documents, measures).withColumn("loaded_at", ntz(as_of))
     live.ensure(schema)
     with run_directory(spark, staging_root, run_id, live.name) as staging:
-        batch = stage(rows, schema, staging, keys=("forecast_date",))
+        batch = stage(rows, schema, staging, keys=("forecast_date",), slices=live.slices)
         gate(spark, batch, live.name)
         merge_batch(spark, live, batch, ("forecast_date",), None, run_id)
     if not freshness(live.read(), "forecast_date", as_of.date()).first()["is_fresh"]:

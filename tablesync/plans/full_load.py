@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.naming import target_name
@@ -15,6 +16,7 @@ from tablesync.operators.quality import GateFailed
 from tablesync.operators.reconcile import full_load_records, reconcile_counts
 from tablesync.plans import files
 from tablesync.plans.fanout import DEFAULT_WIDTH, Outcome, fan_out
+from tablesync.plans.frames import small_frame
 from tablesync.plans.livetable import LiveTable
 from tablesync.plans.staging import stage
 from tablesync.plans.stores import FullLoadHistory
@@ -28,6 +30,8 @@ STAGED_COUNTS = T.StructType(
         T.StructField("table_name", T.StringType()),
         T.StructField("extracted_count", T.LongType()),
         T.StructField("staged_count", T.LongType()),
+        T.StructField("started", T.TimestampNTZType()),
+        T.StructField("ended", T.TimestampNTZType()),
     ]
 )
 
@@ -108,7 +112,7 @@ def load_source(
     def one(table: str) -> LoadResult:
         name = target_name(spec.name, table) if prefix else table
         live = LiveTable(spark, f"{spec.target_schema}.{name}", f"{root.rstrip('/')}/{name}")
-        return load_table(spark, source, table, live, run_id, strict=history is None)
+        return load_table(spark, source, table, live, run_id, source.split_column(table), strict=history is None)
 
     outcomes = fan_out(spark, source.tables(), one, width)
     if history is not None:
@@ -130,18 +134,16 @@ def load_all(
 def record(spark: SparkSession, history: FullLoadHistory, outcomes: list[Outcome], run_id: str) -> None:
     """One history row per table that was counted, written together, with its real times."""
     history.ensure()
-    frames = []
-    for result in (o.result for o in outcomes if o.ok):
-        name = result.table.split(".")[-1]
-        counted = reconcile_counts(
-            spark.createDataFrame([(name, result.source_count)], COUNTS),
-            spark.createDataFrame([(name, result.staged)], COUNTS),
-            unequal="FAILED",
-        )
-        staged = spark.createDataFrame([(name, result.extracted, result.staged)], STAGED_COUNTS)
-        frames.append(full_load_records(counted, run_id, result.started, result.ended, staged))
-    if frames:
-        rows = frames[0]
-        for frame in frames[1:]:
-            rows = rows.unionByName(frame)
-        history.append(rows)
+    results = [o.result for o in outcomes if o.ok]
+    if not results:
+        return
+    name = lambda r: r.table.split(".")[-1]
+    compared = reconcile_counts(
+        small_frame(spark, [(name(r), r.source_count) for r in results], COUNTS),
+        small_frame(spark, [(name(r), r.staged) for r in results], COUNTS),
+        unequal="FAILED",
+    )
+    staged = small_frame(
+        spark, [(name(r), r.extracted, r.staged, r.started, r.ended) for r in results], STAGED_COUNTS
+    )
+    history.append(full_load_records(compared, run_id, F.col("started"), F.col("ended"), staged))

@@ -63,12 +63,21 @@ class DaySlices:
 Slices = HashSlices | DaySlices
 
 
-def by_slice(df: DataFrame, slices: Slices | None) -> DataFrame:
+def sliced_schema(schema: T.StructType, slices: Slices | None) -> T.StructType:
+    if slices is None:
+        return schema
+    return T.StructType([*schema.fields, T.StructField(SLICE, T.DataType.fromDDL(slices.type_name))])
+
+
+def by_slice(df: DataFrame, slices: Slices | None, sort_by: str | None = None) -> DataFrame:
     """Bring rows of a slice together before a partitioned write. Adaptive execution splits a
     slice that is too big for one task and joins those that are too small."""
     if slices is None:
-        return df
-    return df.withColumn(SLICE, slices.column()).hint("rebalance", SLICE).drop(SLICE)
+        return df.sortWithinPartitions(F.col(f"`{sort_by}`")) if sort_by else df
+    df = df.withColumn(SLICE, slices.column()).hint("rebalance", SLICE)
+    if sort_by:
+        df = df.sortWithinPartitions(SLICE, F.col(f"`{sort_by}`"))
+    return df.drop(SLICE)
 
 
 def write_files(df: DataFrame, path: str, slices: Slices | None) -> None:
@@ -140,9 +149,13 @@ class LiveTable:
     def schema(self) -> T.StructType:
         return self.read().schema
 
-    def slices_of(self, batch: DataFrame) -> list:
-        """Slices a batch touches: distinct values, at most as many as the table has slices."""
-        return [r[0] for r in batch.select(self.slices.column().alias(SLICE)).distinct().collect()]
+    def slices_of(self, batch: DataFrame, size: Column | None = None) -> dict:
+        """Slices a batch touches, each with its rows and the sum of ``size``: one small row per
+        slice, whatever the batch holds."""
+        per_slice = batch.groupBy(self.slices.column().alias(SLICE)).agg(
+            F.count("*").alias("rows"), F.sum(F.lit(0) if size is None else size).alias("bytes")
+        )
+        return {r[SLICE]: (r["rows"], r["bytes"]) for r in per_slice.collect()}
 
     # -- publishing --------------------------------------------------------------------------
 
@@ -158,11 +171,7 @@ class LiveTable:
         return path
 
     def read_version(self, path: str) -> DataFrame:
-        schema = self.schema()
-        if self.slices:
-            schema = T.StructType([*schema.fields, T.StructField(SLICE, T.DataType.fromDDL(self.slices.type_name))])
-            return self.spark.read.schema(schema).parquet(path).drop(SLICE)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(sliced_schema(self.schema(), self.slices)).parquet(path).drop(SLICE)
 
     def publish(self, path: str, touched: Iterable | None = None) -> None:
         """Make a written version live. For a sliced table only ``touched`` slices move (all, if

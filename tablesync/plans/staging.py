@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tablesync.functions.typemap import conform
 from tablesync.operators.quality import require_equal
 from tablesync.plans import files
-from tablesync.plans.livetable import Slices, by_slice, write_files
+from tablesync.plans.livetable import SLICE, Slices, by_slice, sliced_schema, write_files
 
 
 @dataclass(frozen=True)
@@ -27,13 +27,20 @@ class StagedBatch:
     rows: int
     max_cursor: datetime | None
     key_bytes: int
+    slices: Slices | None = None
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """By-name scan under the declared schema; an empty extract still has its columns."""
-        return spark.read.schema(self.schema).parquet(self.path).select(*[F.col(f"`{c}`") for c in self.schema.names])
+    def read(self, spark: SparkSession, only: Sequence | None = None) -> DataFrame:
+        """By-name scan under the declared schema; an empty extract still has its columns. Of a
+        batch laid out by slice, ``only`` some slices can be read."""
+        schema = sliced_schema(self.schema, self.slices)
+        df = spark.read.schema(schema).parquet(self.path)
+        if self.slices and only is not None:
+            df = df.filter(F.col(SLICE).isin(list(only)))
+        return df.select(*[F.col(f"`{c}`") for c in self.schema.names])
 
 
-def _key_size(df: DataFrame, keys: Sequence[str]) -> Column:
+def key_size(keys: Sequence[str]) -> Column:
+    """Bytes a row's key takes in a hash relation, without the row's own overhead."""
     total = F.lit(0).cast("bigint")
     for key in keys:
         column = F.col(f"`{key}`")
@@ -48,23 +55,25 @@ def stage(
     cursor: str | None = None,
     keys: Sequence[str] = (),
     slices: Slices | None = None,
+    sort_by: str | None = None,
 ) -> StagedBatch:
     """Write an extract as typed Parquet. Row count, largest cursor and key size come from the same pass.
 
-    With ``slices`` the files are laid out so that they can become a sliced table's version as they are.
+    With ``slices`` the files are laid out as those of a sliced table. ``sort_by`` orders the rows
+    inside each file, so that row groups carry narrow ranges; nothing is shuffled for it.
     """
     seen = Observation()
     newest = F.max(F.col(f"`{cursor}`")) if cursor else F.lit(None).cast("timestamp_ntz")
-    typed = by_slice(conform(df, schema), slices)
+    typed = by_slice(conform(df, schema), slices, sort_by)
     measured = typed.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
         newest.alias("newest"),
-        F.coalesce(F.sum(_key_size(typed, keys)), F.lit(0)).alias("key_bytes"),
+        F.coalesce(F.sum(key_size(keys)), F.lit(0)).alias("key_bytes"),
     )
     write_files(measured, path, slices)
     figures = seen.get
-    return StagedBatch(path, schema, figures["rows"], figures["newest"], figures["key_bytes"])
+    return StagedBatch(path, schema, figures["rows"], figures["newest"], figures["key_bytes"], slices)
 
 
 def gate(spark: SparkSession, batch: StagedBatch, label: str) -> int:

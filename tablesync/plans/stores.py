@@ -8,7 +8,6 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.coerce import utc_naive
@@ -21,6 +20,7 @@ from tablesync.operators.control import (
     upsert_watermarks,
 )
 from tablesync.operators.reconcile import CDC_HISTORY, FULL_LOAD_HISTORY
+from tablesync.plans.frames import small_frame
 from tablesync.plans.livetable import LiveTable
 
 RESULT_SCHEMA = T.StructType(
@@ -67,13 +67,13 @@ class ControlStore(_Store):
         self._change(lambda control: init_control(control, eligible))
 
     def watermark(self, table: str) -> datetime:
-        wanted = self.spark.createDataFrame([(table.lower(),)], TABLE_NAMES)
+        wanted = small_frame(self.spark, [(table.lower(),)], TABLE_NAMES)
         return lookup_watermarks(wanted, self.read()).first()["watermark"]
 
     def advance(self, results: Sequence[tuple[str, datetime]], run_at: datetime) -> None:
         """Store new cursors of all tables that merged, in one job."""
         if results:
-            frame = self.spark.createDataFrame([(t, utc_naive(w)) for t, w in results], RESULT_SCHEMA)
+            frame = small_frame(self.spark, [(t, utc_naive(w)) for t, w in results], RESULT_SCHEMA)
             self._change(lambda control: advance(control, frame, run_at))
 
 
@@ -88,7 +88,7 @@ class WatermarkStore(_Store):
 
     def upsert(self, results: Sequence[tuple[str, datetime]], run_id: str, now: datetime) -> None:
         if results:
-            frame = self.spark.createDataFrame([(t, utc_naive(w)) for t, w in results], RESULT_SCHEMA)
+            frame = small_frame(self.spark, [(t, utc_naive(w)) for t, w in results], RESULT_SCHEMA)
             batches = frame.withColumnRenamed("new_watermark", "max_updated_at")
             self._change(lambda stored: upsert_watermarks(stored, batches, run_id, now))
 

@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablesync.functions.flags import is_live
-from tablesync.operators.extract import BOUNDED, INCLUSIVE, extract_changes, order_for_files, project, upper_watermark
+from tablesync.operators.extract import BOUNDED, INCLUSIVE, extract_changes, project, upper_watermark
 from tablesync.operators.merge import MergeSpec, align, broadcast_safe, change_counts, merge, require_unique
 from tablesync.operators.reconcile import cdc_records, reconcile_counts
 from tablesync.plans.fanout import DEFAULT_WIDTH, Outcome, fan_out
 from tablesync.plans.full_load import COUNTS, now
 from tablesync.plans.livetable import LiveTable, by_slice
-from tablesync.plans.staging import StagedBatch, gate, run_directory, stage
+from tablesync.plans.frames import small_frame
+from tablesync.plans.staging import StagedBatch, gate, key_size, run_directory, stage
 from tablesync.plans.stores import CdcHistory, ControlStore
 
 CHANGES = T.StructType(
@@ -59,6 +60,8 @@ class SyncResult:
     inserted: int = 0
     updated: int = 0
     deleted: int = 0
+    source_rows: int | None = None
+    target_rows: int | None = None
 
     @property
     def changed(self) -> bool:
@@ -74,7 +77,7 @@ def configs_from(eligible: DataFrame, **common) -> list[SyncConfig]:
 
 
 def eligible_frame(spark: SparkSession, configs: Sequence[SyncConfig]) -> DataFrame:
-    return spark.createDataFrame([(c.table, c.cursor, list(c.keys), c.delete_flag) for c in configs], ELIGIBLE)
+    return small_frame(spark, [(c.table, c.cursor, list(c.keys), c.delete_flag) for c in configs], ELIGIBLE)
 
 
 def merge_batch(
@@ -82,19 +85,42 @@ def merge_batch(
 ) -> tuple[int, int, int]:
     """Apply a staged batch to the live table; returns inserted, updated and deleted counts.
 
-    Of a sliced table only the touched slices are read and written. The staged side was written
-    to files first, so each use of it is a plain scan.
+    Of a sliced table only the touched slices are read and written, in groups whose staged keys
+    fit the broadcast bound: the target is then never shuffled, however big the batch is. The
+    staged side was written to files first, so each use of it is a plain scan.
     """
     live.evolve(batch.schema)
-    staged = align(batch.read(spark), live.read())
-    require_unique(staged, keys)
-    spec = MergeSpec(tuple(keys), delete_flag, broadcast_safe(batch.rows, batch.key_bytes))
-    touched = live.slices_of(staged) if live.slices else None
-    target = live.read(touched)
-    counted = change_counts(target, staged, spec).first()
-    path = live.write_version(merge(target, by_slice(staged, live.slices), spec), run_id)
-    live.publish(path, touched)
-    return counted["inserted_row_count"], counted["updated_row_count"], counted["deleted_row_count"]
+    whole = align(batch.read(spark), live.read())
+    require_unique(whole, keys)
+    if live.slices:
+        groups = slice_groups(live.slices_of(whole, key_size(keys)))
+    else:
+        groups = [(None, broadcast_safe(batch.rows, batch.key_bytes))]
+    totals = (0, 0, 0)
+    for touched, small in groups:
+        spec = MergeSpec(tuple(keys), delete_flag, small)
+        target = live.read(touched)
+        staged = align(batch.read(spark, touched), target)
+        counted = change_counts(target, staged, spec).first()
+        path = live.write_version(merge(target, by_slice(staged, live.slices), spec), run_id)
+        live.publish(path, touched)
+        totals = tuple(a + b for a, b in zip(totals, counted))
+    return totals
+
+
+def slice_groups(sizes: dict) -> list[tuple[list, bool]]:
+    """Pack touched slices, by their measured key sizes, into groups that may be broadcast. A slice
+    too big by itself forms a group whose join is left to Spark."""
+    groups: list[tuple[list, bool]] = []
+    current, rows, size = [], 0, 0
+    for name, (more_rows, more_size) in sorted(sizes.items(), key=lambda item: item[1]):
+        if current and not broadcast_safe(rows + more_rows, size + more_size):
+            groups.append((current, broadcast_safe(rows, size)))
+            current, rows, size = [], 0, 0
+        current, rows, size = [*current, name], rows + more_rows, size + more_size
+    if current:
+        groups.append((current, broadcast_safe(rows, size)))
+    return groups
 
 
 def _bounds(source: DataFrame, cfg: SyncConfig, low: datetime) -> datetime | None:
@@ -121,8 +147,9 @@ def sync_table(
         if high is None:
             return SyncResult(cfg.table, low)
     changed = extract_changes(project(source, source.columns), cfg.cursor, low, cfg.mode, high, cfg.overlap)
+    changed = align(changed, live.read())  # keys hash to the live table's slices only under its types
     with run_directory(spark, staging_root, run_id, cfg.table) as path:
-        batch = stage(order_for_files(changed, cfg.cursor), source.schema, path, cfg.cursor, cfg.keys)
+        batch = stage(changed, changed.schema, path, cfg.cursor, cfg.keys, live.slices, sort_by=cfg.cursor)
         if batch.rows == 0 or batch.max_cursor is None:
             return SyncResult(cfg.table, low)
         gate(spark, batch, cfg.table)
@@ -156,7 +183,8 @@ def sync_many(
     control.register(eligible_frame(spark, [t.cfg for t in targets]))
 
     def one(target: SyncTarget) -> SyncResult:
-        return sync_table(spark, target.source, target.cfg, target.live, control, staging_root, run_id)
+        result = sync_table(spark, target.source, target.cfg, target.live, control, staging_root, run_id)
+        return result if history is None else counted(target, result)
 
     outcomes = fan_out(spark, targets, one, width)
     done = [o for o in outcomes if o.ok]
@@ -166,6 +194,14 @@ def sync_many(
     return outcomes
 
 
+def counted(target: SyncTarget, result: SyncResult) -> SyncResult:
+    """The result with the row counts of both sides, for the record."""
+    rows = target.source
+    if target.cfg.active_only:
+        rows = rows.filter(is_live(rows, target.cfg.delete_flag))
+    return replace(result, source_rows=rows.count(), target_rows=target.live.read().count())
+
+
 def record(
     spark: SparkSession, history: CdcHistory, control: ControlStore, outcomes: Sequence[Outcome], run_id: str
 ) -> None:
@@ -173,18 +209,11 @@ def record(
     if not outcomes:
         return
     history.ensure()
-    source_counts, target_counts, changes = [], [], []
-    for outcome in outcomes:
-        target, result = outcome.item, outcome.result
-        rows = target.source
-        if target.cfg.active_only:
-            rows = rows.filter(is_live(rows, target.cfg.delete_flag))
-        source_counts.append((result.table, rows.count()))
-        target_counts.append((result.table, target.live.read().count()))
-        changes.append((result.table, result.rows, result.inserted, result.updated, result.deleted))
+    results = [o.result for o in outcomes]
     compared = reconcile_counts(
-        spark.createDataFrame(source_counts, COUNTS), spark.createDataFrame(target_counts, COUNTS), "MISMATCH"
-    )
-    history.append(
-        cdc_records(compared, spark.createDataFrame(changes, CHANGES), control.read(), run_id, now())
+        small_frame(spark, [(r.table, r.source_rows) for r in results], COUNTS),
+        small_frame(spark, [(r.table, r.target_rows) for r in results], COUNTS),
+        unequal="MISMATCH",
     )
+    changes = small_frame(spark, [(r.table, r.rows, r.inserted, r.updated, r.deleted) for r in results], CHANGES)
+    history.append(cdc_records(compared, changes, control.read(), run_id, now()))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tablesync.functions.naming import qualified, quote, text_literal
 from tablesync.functions.typemap import ColumnMeta
+from tablesync.operators.metadata import pk_columns
 from tablesync.sources.registry import SourceSpec
 
 FETCH_ROWS = 50_000
@@ -95,6 +96,14 @@ class JdbcSource:
         )
         return [ColumnMeta(r["column_name"], r["data_type"], r["num_precision"], r["num_scale"]) for r in rows]
 
+    def split_column(self, table: str) -> str | None:
+        """The leading key column: the database has an index on it."""
+        of_table = F.col("table_name") == table
+        keys = pk_columns(
+            self.constraint_frame().filter(of_table), self.key_usage_frame().filter(of_table), self.schema
+        ).first()
+        return keys["pk_columns"][0] if keys else None
+
     def count(self, table: str) -> int:
         return self._load(self.relation(table)).count()
 

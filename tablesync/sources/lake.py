@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tablesync.functions.naming import qualified
 from tablesync.functions.typemap import ColumnMeta
 from tablesync.plans.files import list_names
+from tablesync.plans.frames import small_frame
 from tablesync.sources.registry import SourceSpec
 
 _COLUMN_FRAME = T.StructType(
@@ -43,7 +44,10 @@ class _LakeSource:
             for t in self.tables()
             for i, c in enumerate(self.columns(t), start=1)
         ]
-        return self.spark.createDataFrame(rows, _COLUMN_FRAME)
+        return small_frame(self.spark, rows, _COLUMN_FRAME)
+
+    def split_column(self, table: str) -> str | None:
+        return None  # files split by themselves
 
     def count(self, table: str) -> int:
         return self.read(table).count()

@@ -37,7 +37,10 @@ class Source(Protocol):
     def column_frame(self) -> DataFrame:
         """(table_schema, table_name, column_name, data_type, ordinal_position) of the whole schema."""
 
-    def read(self, table: str) -> DataFrame: ...
+    def split_column(self, table: str) -> str | None:
+        """Column to split a parallel read on, if the source needs one."""
+
+    def read(self, table: str, split_by: str | None = None, rows: int | None = None) -> DataFrame: ...
 
     def count(self, table: str) -> int: ...
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tablesync.operators.merge import latest_per_merge_key
+from tablesync.operators.merge import align, latest_per_merge_key
 from tablesync.plans.livetable import LiveTable
 from tablesync.plans.staging import gate, run_directory, stage
 from tablesync.plans.sync import merge_batch
@@ -46,14 +46,13 @@ def apply_changes(
 
     Within a micro-batch only the newest row of each key is applied.
     """
-    schema = changes.schema
-    live.ensure(schema)
+    live.ensure(changes.schema)
 
     def merge_micro_batch(batch: DataFrame, number: int) -> None:
         run_id = f"{run_label}-{number}"
-        newest = latest_per_merge_key(batch, keys, cursor)
+        newest = align(latest_per_merge_key(batch, keys, cursor), live.read())
         with run_directory(spark, staging_root, run_id, live.name) as staging:
-            staged = stage(newest, schema, staging, cursor, keys)
+            staged = stage(newest, newest.schema, staging, cursor, keys, live.slices, sort_by=cursor)
             if staged.rows:
                 gate(spark, staged, live.name)
                 merge_batch(spark, live, staged, keys, delete_flag, run_id)

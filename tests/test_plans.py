@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators import merge as mg
 from tablesync.operators.quality import GateFailed
 from tablesync.operators.reconcile import CDC_HISTORY
 from tablesync.plans import files, staging, sync
@@ -72,7 +73,7 @@ def test_only_touched_slices_move(spark, tmp_path, schema_name):
     df = spark.range(100).select("id", F.lit(1).alias("v"))
     live.ensure(df.schema)
     live.publish(live.write_version(df, "a"))
-    touched = live.slices_of(df.filter("id = 5"))
+    touched = list(live.slices_of(df.filter("id = 5")))
     assert len(touched) == 1
     before = live.read(touched)
     path = live.write_version(before.withColumn("v", F.lit(7)), "b")
@@ -306,6 +307,28 @@ def test_failing_table_keeps_its_cursor(spark, tmp_path, schema_name, control):
     assert control.watermark("good") == T0 + DAY and control.watermark("bad") == datetime(1970, 1, 1)
 
 
+def test_big_batches_go_in_groups_of_slices(spark, tmp_path, schema_name, control, monkeypatch):
+    """With a tiny broadcast bound every slice is merged by itself; the result is the same."""
+    monkeypatch.setattr(mg, "BROADCAST_BYTES", 200)
+    live = LiveTable(spark, f"{schema_name}.t", f"{tmp_path}/t", HashSlices(("id",), 4))
+    many = [(n, n, None, T0) for n in range(60)]
+    run_sync(spark, many, CFG, live, control, tmp_path, "r1")
+    again = [(n, n * 10, n % 3 == 0, T0 + DAY) for n in range(90)]
+    outcome = run_sync(spark, again, CFG, live, control, tmp_path, "r2")
+    assert outcome.ok, outcome.error
+    assert (outcome.result.inserted, outcome.result.updated, outcome.result.deleted) == (20, 40, 20)
+    assert content(live.read(), "id", "v") == sorted(((n, n * 10) for n in range(90) if n % 3), key=repr)
+    versions = [n for n in files.list_names(spark, live.root) if n.startswith("v-r2")]
+    assert len(versions) == 4
+
+
+def test_slice_groups():
+    bound = mg.BROADCAST_BYTES
+    sizes = {1: (1, bound // 2), 2: (1, bound // 3), 3: (1, 10), 4: (1, 2 * bound)}
+    assert sync.slice_groups(sizes) == [([3, 2, 1], True), ([4], False)]
+    assert sync.slice_groups({}) == []
+
+
 def test_source_gains_a_column(spark, tmp_path, live, control):
     run_sync(spark, HISTORY_START, CFG, live, control, tmp_path, "r1")
     wider = source_frame(spark, LATER).withColumn("note", F.lit("n"))

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.functions.coerce import ntz
 from tablesync.functions.flags import active_condition, delete_condition
@@ -16,6 +17,7 @@ from tablesync.operators.interval import interval_count, replace_interval
 from tablesync.operators.metadata import evolve
 from tablesync.operators.quality import count_gate
 from tablesync.plans.files import run_folder
+from tablesync.plans.frames import small_frame
 from tablesync.plans.staging import run_directory, stage
 from workload import inputs as i
 from workload.registry import query
@@ -332,7 +334,7 @@ def staged_gate(spark: SparkSession, sf: str) -> DataFrame:
     with run_directory(spark, run_folder(spark, "gate"), i.RUN_ID, "orders") as path:
         batch = stage(changed, changed.schema, path, CURSOR, ["o_orderkey"])
         staged = batch.read(spark).count()
-    counts = spark.createDataFrame([(batch.rows, staged)], "extracted bigint, staged bigint")
+    counts = small_frame(spark, [(batch.rows, staged)], T.StructType.fromDDL("extracted bigint, staged bigint"))
     return count_gate(
         counts.select(F.col("extracted").alias("row_count")), counts.select(F.col("staged").alias("row_count"))
     )

@@ -10,8 +10,10 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.functions.coerce import ntz
+from tablesync.plans.frames import small_frame
 
 LO = datetime(1999, 1, 1)
 HI = datetime(2000, 1, 1)
@@ -200,7 +202,7 @@ meta_constraints AS (
 
 
 def _owned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shapes = spark.createDataFrame(SHAPES, _SHAPE_NAMES)  # the rows above, so small enough to broadcast
+    shapes = small_frame(spark, SHAPES, T.StructType.fromDDL(_SHAPE_NAMES))  # the rows above, so small enough to broadcast
     return (
         table(spark, sf_dir, "customer")
         .join(F.broadcast(shapes), F.col("c_mktsegment") == F.col("segment"))

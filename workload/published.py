@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tablesync.functions.coerce import ntz
 from tablesync.plans import backfill as bf
 from tablesync.plans.files import run_folder
+from tablesync.plans.frames import small_frame
 from tablesync.plans.full_load import load_source
 from tablesync.plans.livetable import DaySlices, HashSlices, LiveTable
 from tablesync.plans.stores import ControlStore, FullLoadHistory
@@ -74,7 +75,7 @@ def cdc_sync_published(spark: SparkSession, sf: str) -> DataFrame:
     control.ensure()
     cfg = SyncConfig("orders", ("o_orderkey",), "o_orderdate")
     known = [(cfg.table, cfg.cursor, ",".join(cfg.keys), "", i.LO, i.LO)]
-    control.append(spark.createDataFrame(known, control.columns))
+    control.append(small_frame(spark, known, control.columns))
     (outcome,) = sync_many(spark, [SyncTarget(cfg, _order_columns(spark, sf), live)], control, root, i.RUN_ID)
     if not outcome.ok:
         raise RuntimeError(outcome.error)
