@@ -28,26 +28,24 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def list_status(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(name, modification time in ms) of the entries of a folder; none if it does not exist."""
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
     fs, p = _open(spark, path)
     if not fs.exists(p):
         return []
-    return [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(p)]
-
-
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    return [name for name, _ in list_status(spark, path)]
+    return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a folder of this machine stands in.
+    Only where that is unset in local mode, as in tests, a folder of this machine stands in.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return tempfile.mkdtemp(prefix="tablesync-")
 
 

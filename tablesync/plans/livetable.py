@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,8 +162,9 @@ class LiveTable:
 
     def version_path(self, run_id: str) -> str:
         """A folder no other attempt uses, so a replayed run never writes over files that may be
-        live already. Leftovers of failed attempts go with ``expire``."""
-        return f"{self.root}/v-{run_id}-{uuid.uuid4().hex[:12]}"
+        live already. Leftovers of failed attempts go with ``expire``. The name carries the time,
+        because not every store keeps one for folders."""
+        return f"{self.root}/v-{run_id}-{int(time.time() * 1000)}-{uuid.uuid4().hex[:12]}"
 
     def write_version(self, df: DataFrame, run_id: str) -> str:
         """Write content beside the live files. Nothing a reader sees changes."""
@@ -231,26 +233,44 @@ class LiveTable:
     # -- upkeep ------------------------------------------------------------------------------
 
     def _locations(self) -> set[str]:
-        described = self.spark.sql(f"DESCRIBE EXTENDED {self.sql_name}").collect()
-        found = {r[1] for r in described if r[0] == "Location"}
+        """Folders that are live now, without their scheme."""
+        statements = [f"DESCRIBE EXTENDED {self.sql_name}"]
         if self.slices:
-            for value in self._partitions():
-                rows = self.spark.sql(f"DESCRIBE EXTENDED {self.sql_name} {self._clause(value)}").collect()
-                found |= {r[1] for r in rows if r[0] == "Location"}
-        return {f.rstrip("/") for f in found}
+            statements += [f"DESCRIBE EXTENDED {self.sql_name} {self._clause(v)}" for v in self._partitions()]
+        rows = (r for text in statements for r in self.spark.sql(text).collect())
+        return {urlparse(r[1]).path.rstrip("/") for r in rows if r[0] == "Location"}
 
     def expire(self, keep_seconds: float = 86_400) -> list[str]:
-        """Delete versions no longer live and older than ``keep_seconds``, which is how long a
-        reader that planned on an older version may still run."""
+        """Delete what was replaced more than ``keep_seconds`` ago, which is how long a reader that
+        planned on an older version may still run. Content counts as replaced when the next
+        version that holds the same slice (or table) was written."""
         live = self._locations()
         cutoff = (time.time() - keep_seconds) * 1000
+        names = [n for n in files.list_names(self.spark, self.root) if n.startswith("v-")]
+        versions = sorted((int(n.rsplit("-", 2)[1]), n) for n in names)
+        parts = {name: self._parts(name) for _, name in versions}
         gone = []
-        for version, written in files.list_status(self.spark, self.root):
-            if not version.startswith("v-") or written > cutoff:
-                continue
-            path = f"{self.root}/{version}"
-            if any(l.endswith(path) or f"{path}/" in l for l in live):
-                continue
-            files.delete_dir(self.spark, path)
-            gone.append(path)
+        for at, (written, name) in enumerate(versions):
+            later = versions[at + 1 :]
+            left = set(parts[name])
+            for part in parts[name]:
+                holders = [w for w, other in later if part in parts[other]]
+                replaced = holders[0] if holders else versions[-1][0]
+                path = f"{self.root}/{name}/{part}".rstrip("/")
+                if urlparse(path).path not in live and replaced < cutoff:
+                    files.delete_dir(self.spark, path)
+                    gone.append(path)
+                    left.discard(part)
+            if not left and written < cutoff:
+                files.delete_dir(self.spark, f"{self.root}/{name}")
         return gone
+
+    def _parts(self, version: str) -> list[str]:
+        if not self.slices:
+            return [""]
+        return [n for n in files.list_names(self.spark, f"{self.root}/{version}") if n.startswith(f"{SLICE}=")]
+
+    def drop(self) -> None:
+        """Remove the catalog entry and all files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.sql_name}")
+        files.delete_dir(self.spark, self.root)

@@ -17,6 +17,7 @@ from tablesync.operators.control import (
     advance,
     init_control,
     lookup_watermarks,
+    new_control_rows,
     upsert_watermarks,
 )
 from tablesync.operators.reconcile import CDC_HISTORY, FULL_LOAD_HISTORY
@@ -63,12 +64,18 @@ class ControlStore(_Store):
         super().__init__(spark, schema_name, root, "cdc_control", CONTROL_SCHEMA)
 
     def register(self, eligible: DataFrame) -> None:
-        """Add rows for eligible tables that have none."""
-        self._change(lambda control: init_control(control, eligible))
+        """Add rows for eligible tables that have none; nothing is written when all have one."""
+        if not new_control_rows(eligible, self.read()).isEmpty():
+            self._change(lambda control: init_control(control, eligible))
+
+    def watermarks(self, tables: Sequence[str]) -> dict[str, datetime]:
+        """Cursors of all tables of a run, in one job."""
+        wanted = small_frame(self.spark, [(t.lower(),) for t in tables], TABLE_NAMES)
+        stored = {r["table_name"]: r["watermark"] for r in lookup_watermarks(wanted, self.read()).collect()}
+        return {t: stored[t.lower()] for t in tables}
 
     def watermark(self, table: str) -> datetime:
-        wanted = small_frame(self.spark, [(table.lower(),)], TABLE_NAMES)
-        return lookup_watermarks(wanted, self.read()).first()["watermark"]
+        return self.watermarks([table])[table]
 
     def advance(self, results: Sequence[tuple[str, datetime]], run_at: datetime) -> None:
         """Store new cursors of all tables that merged, in one job."""

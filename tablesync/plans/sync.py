@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
@@ -10,15 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablesync.functions.flags import is_live
+from tablesync.functions.typemap import conform, mapped_schema
 from tablesync.operators.extract import BOUNDED, INCLUSIVE, extract_changes, project, upper_watermark
 from tablesync.operators.merge import MergeSpec, align, broadcast_safe, change_counts, merge, require_unique
+from tablesync.operators.metadata import cdc_eligible
 from tablesync.operators.reconcile import cdc_records, reconcile_counts
 from tablesync.plans.fanout import DEFAULT_WIDTH, Outcome, fan_out
 from tablesync.plans.full_load import COUNTS, now
-from tablesync.plans.livetable import LiveTable, by_slice
+from tablesync.plans.livetable import LiveTable, Slices, by_slice
 from tablesync.plans.frames import small_frame
 from tablesync.plans.staging import StagedBatch, gate, key_size, run_directory, stage
 from tablesync.plans.stores import CdcHistory, ControlStore
+from tablesync.sources.registry import SourceSpec, open_source
 
 CHANGES = T.StructType(
     [
@@ -132,14 +135,13 @@ def sync_table(
     source: DataFrame,
     cfg: SyncConfig,
     live: LiveTable,
-    control: ControlStore,
+    low: datetime,
     staging_root: str,
     run_id: str,
 ) -> SyncResult:
-    """One table, up to and including the publish. The caller moves the cursor afterwards, so a
+    """One table past its cursor ``low``, up to and including the publish. The caller moves the cursor afterwards, so a
     failure anywhere before leaves it where it was and the batch is replayed; merging twice
     changes nothing."""
-    low = control.watermark(cfg.table)
     live.ensure(source.schema)
     high = None
     if cfg.mode == BOUNDED:
@@ -161,12 +163,16 @@ def sync_table(
 
 @dataclass(frozen=True)
 class SyncTarget:
-    """A table to sync: its configuration, its source rows and its live table."""
+    """A table to sync: its configuration, its source rows and its live table. The rows may be
+    given as a function, called when the table's turn comes."""
 
     cfg: SyncConfig
-    source: DataFrame
+    source: DataFrame | Callable[[], DataFrame]
     live: LiveTable
 
+    def rows(self) -> DataFrame:
+        return self.source if isinstance(self.source, DataFrame) else self.source()
+
 
 def sync_many(
     spark: SparkSession,
@@ -181,10 +187,12 @@ def sync_many(
     that failed keeps its cursor and is replayed next time."""
     control.ensure()
     control.register(eligible_frame(spark, [t.cfg for t in targets]))
+    lows = control.watermarks([t.cfg.table for t in targets])
 
     def one(target: SyncTarget) -> SyncResult:
-        result = sync_table(spark, target.source, target.cfg, target.live, control, staging_root, run_id)
-        return result if history is None else counted(target, result)
+        rows = target.rows()
+        result = sync_table(spark, rows, target.cfg, target.live, lows[target.cfg.table], staging_root, run_id)
+        return result if history is None else counted(rows, target, result)
 
     outcomes = fan_out(spark, targets, one, width)
     done = [o for o in outcomes if o.ok]
@@ -194,9 +202,39 @@ def sync_many(
     return outcomes
 
 
-def counted(target: SyncTarget, result: SyncResult) -> SyncResult:
+def sync_source(
+    spark: SparkSession,
+    spec: SourceSpec,
+    root: str,
+    control: ControlStore,
+    run_id: str,
+    history: CdcHistory | None = None,
+    slices: Callable[[SyncConfig], Slices | None] = lambda cfg: None,
+    width: int = DEFAULT_WIDTH,
+    **options,
+) -> list[Outcome]:
+    """Discover the tables of a source that can be synced and sync them all.
+
+    ``slices`` says how a table is laid out when it is first created; ``options`` go to every
+    table's configuration.
+    """
+    source = open_source(spark, spec)
+    found = cdc_eligible(source.column_frame(), source.constraint_frame(), source.key_usage_frame(), source.schema)
+
+    def target(cfg: SyncConfig) -> SyncTarget:
+        def rows() -> DataFrame:
+            schema = mapped_schema(source.kind, source.columns(cfg.table))
+            return conform(source.read(cfg.table, cfg.keys[0]), schema)
+
+        live = LiveTable(spark, f"{spec.target_schema}.{cfg.table}", f"{root.rstrip('/')}/{cfg.table}", slices(cfg))
+        return SyncTarget(cfg, rows, live)
+
+    targets = [target(cfg) for cfg in configs_from(found, **options)]
+    return sync_many(spark, targets, control, root, run_id, history, width)
+
+
+def counted(rows: DataFrame, target: SyncTarget, result: SyncResult) -> SyncResult:
     """The result with the row counts of both sides, for the record."""
-    rows = target.source
     if target.cfg.active_only:
         rows = rows.filter(is_live(rows, target.cfg.delete_flag))
     return replace(result, source_rows=rows.count(), target_rows=target.live.read().count())

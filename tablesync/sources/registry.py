@@ -29,6 +29,7 @@ class Source(Protocol):
     """What every source offers. Rows only ever travel as DataFrames."""
 
     kind: str
+    schema: str
 
     def tables(self) -> list[str]: ...
 
@@ -37,6 +38,12 @@ class Source(Protocol):
     def column_frame(self) -> DataFrame:
         """(table_schema, table_name, column_name, data_type, ordinal_position) of the whole schema."""
 
+    def constraint_frame(self) -> DataFrame:
+        """(table_schema, table_name, constraint_name, constraint_type)."""
+
+    def key_usage_frame(self) -> DataFrame:
+        """(table_schema, table_name, constraint_name, column_name, ordinal_position)."""
+
     def split_column(self, table: str) -> str | None:
         """Column to split a parallel read on, if the source needs one."""
 

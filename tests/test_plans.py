@@ -16,6 +16,7 @@ from tablesync.plans import files, staging, sync
 from tablesync.plans.backfill import backfill
 from tablesync.plans.fanout import fan_out
 from tablesync.plans.forecast import load_forecast
+from tablesync.plans.frames import small_frame
 from tablesync.plans.full_load import load_all, load_source, load_table
 from tablesync.plans.livetable import DaySlices, HashSlices, LiveTable
 from tablesync.plans.stores import CdcHistory, ControlStore, FullLoadHistory, WatermarkStore
@@ -34,7 +35,7 @@ def content(df, *columns):
 
 
 def source_frame(spark, rows):
-    return spark.createDataFrame(rows, SOURCE)
+    return small_frame(spark, rows, T.StructType.fromDDL(SOURCE))
 
 
 @pytest.fixture(params=["whole", "sliced"])
@@ -99,9 +100,20 @@ def test_expire_keeps_what_is_live(spark, live):
     live.ensure(df.schema)
     for run in ("a", "b", "c"):
         live.publish(live.write_version(df, run))
-    assert live.expire(3600) == []
+    versions = lambda: [n for n in files.list_names(spark, live.root) if n.startswith("v-")]
+    assert live.expire(3600) == [] and len(versions()) == 3
+    live.expire(-1)
+    assert len(versions()) == 1 and live.read().count() == 10
+
+
+def test_expire_keeps_slices_that_were_not_replaced(spark, tmp_path, schema_name):
+    live = LiveTable(spark, f"{schema_name}.t", f"{tmp_path}/t", HashSlices(("id",), 4))
+    df = spark.range(40).select("id")
+    live.ensure(df.schema)
+    live.publish(live.write_version(df, "a"))
+    live.publish(live.write_version(live.read([1, 2]), "b"), [1, 2])
     assert len(live.expire(-1)) == 2
-    assert live.read().count() == 10
+    assert live.read().count() == 40
 
 
 def test_new_definition(spark, tmp_path, schema_name):
@@ -345,6 +357,30 @@ def test_overlap_catches_late_rows(spark, tmp_path, live, control):
     assert [r[0] for r in content(live.read(), "id")] == [1, 2, 8, 9]
 
 
+def test_sync_of_a_whole_source(spark, tmp_path, schema_name, control):
+    """Discovery, then sync: one table has no key, one no cursor, two qualify."""
+    folder = f"{tmp_path}/lake"
+    rows = source_frame(spark, HISTORY_START).withColumnRenamed("gone", "is_deleted")
+    for name in ("keyless", "one"):
+        rows.write.parquet(f"{folder}/{name}.parquet")
+    rows.drop("is_deleted").withColumnRenamed("updated_at", "modified_at").write.parquet(f"{folder}/two.parquet")
+    rows.drop("updated_at").write.parquet(f"{folder}/cursorless.parquet")
+    options = {"path": folder, "keys": "one=id; two=id,v; cursorless=id"}
+    spec = SourceSpec("lake", "parquet", "public", schema_name, options)
+    history = CdcHistory(spark, schema_name, f"{tmp_path}/h")
+    run = lambda run_id: sync.sync_source(
+        spark, spec, f"{tmp_path}/live", control, run_id, history, slices=lambda c: HashSlices(c.keys, 2), mode="strict"
+    )
+    first = {o.result.table: o.result for o in run("r1")}
+    assert {t: r.rows for t, r in first.items()} == {"one": 2, "two": 2}
+    late = source_frame(spark, LATER).withColumnRenamed("gone", "is_deleted")
+    late.write.mode("append").parquet(f"{folder}/one.parquet")
+    second = {o.result.table: o.result for o in run("r2")}
+    assert {t: r.rows for t, r in second.items()} == {"one": 3, "two": 0}
+    assert content(spark.table(f"{schema_name}.one"), "id", "v") == [(1, 10), (4, 4)]
+    assert history.read().count() == 4
+
+
 def test_configs_from_metadata(spark):
     rows = [("t", "updated_at", ["a", "b"], None)]
     frame = spark.createDataFrame(rows, sync.ELIGIBLE)

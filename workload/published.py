@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablesync.functions.coerce import ntz
 from tablesync.plans import backfill as bf
-from tablesync.plans.files import run_folder
+from tablesync.plans.files import delete_dir, run_folder
 from tablesync.plans.frames import small_frame
 from tablesync.plans.full_load import load_source
 from tablesync.plans.livetable import DaySlices, HashSlices, LiveTable
@@ -40,16 +40,23 @@ def _schema_name(root: str) -> str:
     ),
 )
 def full_load_all(spark: SparkSession, sf: str) -> DataFrame:
-    """Full load of every table of a source; the history rows tell the counts of all sides."""
+    """Full load of every table of a source; the history rows tell the counts of all sides.
+
+    Only these rows, one per table, outlive the run: the loaded copy is dropped again.
+    """
     root = run_folder(spark, "full_load")
     spec = SourceSpec("lake", "parquet", "public", _schema_name(root), {"path": sf})
     history = FullLoadHistory(spark, _schema_name(root), root)
     failed = [o for o in load_source(spark, spec, root, i.RUN_ID, history) if not o.ok]
     if failed:
         raise RuntimeError(f"{failed[0].item}: {failed[0].error}")
-    return history.read().select(
+    records = history.read().select(
         "table_name", "status", "pg_count", "sf_count", "count_diff", "extracted_count", "staged_count"
     )
+    kept = small_frame(spark, records.collect(), records.schema)
+    spark.sql(f"DROP DATABASE {_schema_name(root)} CASCADE")
+    delete_dir(spark, root)
+    return kept
 
 
 def _order_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,6 +86,7 @@ def cdc_sync_published(spark: SparkSession, sf: str) -> DataFrame:
     (outcome,) = sync_many(spark, [SyncTarget(cfg, _order_columns(spark, sf), live)], control, root, i.RUN_ID)
     if not outcome.ok:
         raise RuntimeError(outcome.error)
+    live.expire(0)
     return live.read()
 
 
@@ -93,6 +101,7 @@ def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     changes = read_changes(spark, sf, _order_columns(spark, sf).schema, name_pattern="orders.parquet")
     running = apply_changes(spark, changes, live, ("o_orderkey",), "o_orderdate", f"{root}/checkpoint", root)
     running.awaitTermination()
+    live.expire(0)
     return live.read()
 
 
@@ -109,4 +118,5 @@ def backfill_published(spark: SparkSession, sf: str) -> DataFrame:
     live.ensure(events.schema)
     live.publish(live.write_version(events.withColumn("value", F.col("value") + 1), "initial"))
     bf.backfill(spark, events, "ts", live, root, i.START, i.END, i.RUN_ID)
+    live.expire(0)
     return live.read()
