@@ -1,4 +1,8 @@
-"""Change extraction past a cursor, and half-open interval extraction."""
+"""Change extraction past a cursor, and half-open interval extraction.
+
+Bounds are zone-less UTC. A cursor column with a zone, or a date, is compared under the session's
+time zone, which is therefore to be UTC.
+"""
 
 from __future__ import annotations
 
@@ -69,12 +73,12 @@ def extract_changes(
 def upper_watermark(df: DataFrame, cursor: str, low: datetime | str) -> DataFrame:
     """One row: the largest cursor above ``low``, NULL when nothing changed."""
     at = F.col(f"`{cursor}`")
-    return df.filter(at > ntz(low)).agg(F.max(at).alias("upper_watermark"))
+    return df.filter(at > ntz(low)).agg(F.max(at).cast("timestamp_ntz").alias("upper_watermark"))
 
 
 def next_watermark(extracted: DataFrame, cursor: str, old: datetime | str, mode: str = BOUNDED) -> DataFrame:
     """One row: the cursor to store after this batch; the old one when the batch is empty."""
-    newest = F.max(F.col(f"`{cursor}`"))
+    newest = F.max(F.col(f"`{cursor}`")).cast("timestamp_ntz")
     if mode == INCLUSIVE:
         newest = newest + F.expr("INTERVAL 1 MICROSECOND")
     return extracted.agg(F.coalesce(newest, ntz(old)).alias("next_watermark"))

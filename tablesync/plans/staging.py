@@ -63,7 +63,7 @@ def stage(
     inside each file, so that row groups carry narrow ranges; nothing is shuffled for it.
     """
     seen = Observation()
-    newest = F.max(F.col(f"`{cursor}`")) if cursor else F.lit(None).cast("timestamp_ntz")
+    newest = (F.max(F.col(f"`{cursor}`")) if cursor else F.lit(None)).cast("timestamp_ntz")
     typed = by_slice(conform(df, schema), slices, sort_by)
     measured = typed.observe(
         seen,

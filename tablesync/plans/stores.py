@@ -31,8 +31,8 @@ TABLE_NAMES = T.StructType([T.StructField("table_name", T.StringType())])
 
 
 class _Store:
-    """One row per table and run at most, so a single output file is right. Changes of one
-    process are serialised; the reference semantics allow one run of a sync at a time."""
+    """One row per table and run at most, so a single output file is right. Changes made by one
+    process are serialised; only one run of a sync is allowed at a time."""
 
     def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType):
         self.spark = spark
@@ -51,6 +51,7 @@ class _Store:
         with self._lock:
             path = self.table.write_version(step(self.table.read()).coalesce(1), uuid.uuid4().hex)
             self.table.publish(path)
+            self.table.expire()
 
     def append(self, rows: DataFrame) -> None:
         with self._lock:

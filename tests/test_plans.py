@@ -225,6 +225,11 @@ def test_reload_with_fewer_columns(spark, tmp_path, lake, schema_name, live):
     assert live.read().columns == ["id"] and live.read().count() == 3
 
 
+def test_empty_table_loads_typed(spark, lake, schema_name, live):
+    load_table(spark, ParquetSource(spark, spec_of(lake, schema_name)), "empty", live, "r1")
+    assert live.read().count() == 0 and live.read().columns == ["id", "d"]
+
+
 def test_fan_out_isolates_failures(spark):
     def work(n):
         if n == 2:
@@ -274,6 +279,18 @@ def test_sync_in_steps(spark, tmp_path, schema_name, live, control, mode):
     assert rows["r3"]["cdc_row_count"] == 0 and rows["r3"]["last_watermark"] == T0 + 3 * DAY + step
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "date"])
+def test_cursor_with_zone_or_without_time(spark, tmp_path, live, control, kind):
+    def rows(data):
+        return source_frame(spark, data).withColumn("updated_at", F.col("updated_at").cast(kind))
+
+    for run_id, data in (("r1", HISTORY_START), ("r2", LATER)):
+        (outcome,) = sync_many(spark, [SyncTarget(CFG, rows(data), live)], control, f"{tmp_path}/st", run_id)
+        assert outcome.ok, outcome.error
+    assert control.watermark("t") == T0 + 3 * DAY
+    assert content(live.read(), "id", "v") == [(1, 10), (4, 4)]
+
+
 def test_active_only_compares_live_rows(spark, tmp_path, schema_name, live, control):
     history = CdcHistory(spark, schema_name, f"{tmp_path}/h")
     cfg = SyncConfig("t", ("id",), "updated_at", "gone", active_only=True)
