@@ -15,8 +15,8 @@ def delete_condition(df: DataFrame, flag: str | None) -> Column:
     """
     if flag is None:
         return F.lit(False)
-    kind = df.schema[flag].dataType
     column = F.col(f"`{flag}`")
+    kind = df.select(column).schema[0].dataType  # resolved by Spark, so case does not matter
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return column.isNotNull()
     if isinstance(kind, T.BooleanType):

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.functions.flags import active_condition, delete_condition, is_live
@@ -85,6 +85,8 @@ def mark_matches(target: DataFrame, staged: DataFrame, spec: MergeSpec, carry: S
         .join(_keys_of(staged, spec), keys, "left_semi")
         .withColumn(MATCHED, F.lit(True))
     )
+    if spec.broadcast_keys and not carry:
+        found = F.broadcast(found)  # a subset of the measured keys
     return staged.join(found, keys, "left").withColumn(MATCHED, F.coalesce(MATCHED, F.lit(False)))
 
 
@@ -101,13 +103,27 @@ def merge(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFrame:
     Columns only the source has are added, NULL for the rows that stay.
     """
     staged = align(staged, target)
+    live = staged.filter(is_live(staged, _resolved(spec, staged).delete_flag))
+    if _target_only(target, staged):
+        live = mark_batch(target, live, spec)
+    return assemble(target, staged, live, spec)
+
+
+def _target_only(target: DataFrame, staged: DataFrame) -> list[str]:
+    return [c for c in target.columns if c not in staged.columns]
+
+
+def mark_batch(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFrame:
+    """An aligned batch with ``_matched`` and the values of columns only the target has."""
+    return mark_matches(target, staged, spec, carry=_target_only(target, staged))
+
+
+def assemble(target: DataFrame, staged: DataFrame, batch: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Target rows whose key is not staged, and the live rows of a batch. ``staged`` is aligned and
+    gives the keys; ``batch`` holds the same rows, marked or not."""
     spec = _resolved(spec, staged)
-    keys = list(spec.keys)
-    kept = target.join(_keys_of(staged, spec), keys, "left_anti")
-    live = staged.filter(is_live(staged, spec.delete_flag))
-    target_only = [c for c in target.columns if c not in staged.columns]
-    if target_only:
-        live = mark_matches(target, live, spec, carry=target_only).drop(MATCHED)
+    kept = target.join(_keys_of(staged, spec), list(spec.keys), "left_anti")
+    live = batch.filter(is_live(batch, spec.delete_flag)).drop(MATCHED)
     ordered = [*target.columns, *[c for c in staged.columns if c not in target.columns]]
     return kept.unionByName(live, allowMissingColumns=True).select(*[F.col(f"`{c}`") for c in ordered])
 
@@ -132,12 +148,17 @@ def change_counts(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> Data
     """One row of recorded change counts, in one pass. A NULL flag counts as neither insert nor
     update, although the merge applies such rows; ``effect_counts`` tells what really happens."""
     marked, spec = _marked(target, staged, spec)
-    active = active_condition(marked, spec.delete_flag)
-    return marked.agg(
+    return marked.agg(*count_columns(marked, spec.delete_flag))
+
+
+def count_columns(marked: DataFrame, flag: str | None) -> list[Column]:
+    """The recorded change counts as aggregates over a marked batch."""
+    active = active_condition(marked, flag)
+    return [
         F.count_if(~F.col(MATCHED) & active).alias("inserted_row_count"),
         F.count_if(F.col(MATCHED) & active).alias("updated_row_count"),
-        F.count_if(F.col(MATCHED) & delete_condition(marked, spec.delete_flag)).alias("deleted_row_count"),
-    )
+        F.count_if(F.col(MATCHED) & delete_condition(marked, flag)).alias("deleted_row_count"),
+    ]
 
 
 def effect_counts(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFrame:

@@ -18,6 +18,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _open(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.mkdirs(p)

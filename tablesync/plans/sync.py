@@ -6,13 +6,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from tablesync.functions.flags import is_live
 from tablesync.functions.typemap import conform, mapped_schema
 from tablesync.operators.extract import BOUNDED, INCLUSIVE, extract_changes, project, upper_watermark
-from tablesync.operators.merge import MergeSpec, align, broadcast_safe, change_counts, merge, require_unique
+from tablesync.operators.merge import MergeSpec, align, assemble, broadcast_safe, count_columns, mark_batch, require_unique
 from tablesync.operators.metadata import cdc_eligible
 from tablesync.operators.reconcile import cdc_records, reconcile_counts
 from tablesync.plans.fanout import DEFAULT_WIDTH, Outcome, fan_out
@@ -23,6 +23,8 @@ from tablesync.plans.staging import StagedBatch, gate, key_size, run_directory,
 from tablesync.plans.stores import CdcHistory, ControlStore
 from tablesync.sources.registry import SourceSpec, open_source
 
+GROUPS_AT_ONCE = 4  # groups of slices merged side by side, each with a broadcast of its own
+
 CHANGES = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -95,20 +97,37 @@ def merge_batch(
     live.evolve(batch.schema)
     whole = align(batch.read(spark), live.read())
     require_unique(whole, keys)
-    if live.slices:
-        groups = slice_groups(live.slices_of(whole, key_size(keys)))
-    else:
-        groups = [(None, broadcast_safe(batch.rows, batch.key_bytes))]
-    totals = (0, 0, 0)
-    for touched, small in groups:
-        spec = MergeSpec(tuple(keys), delete_flag, small)
-        target = live.read(touched)
-        staged = align(batch.read(spark, touched), target)
-        counted = change_counts(target, staged, spec).first()
-        path = live.write_version(merge(target, by_slice(staged, live.slices), spec), run_id)
-        live.publish(path, touched)
-        totals = tuple(a + b for a, b in zip(totals, counted))
-    return totals
+    if not live.slices:
+        return _merge_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, broadcast_safe(batch.rows, batch.key_bytes)), None, run_id)
+
+    def one(group: tuple[list, bool]) -> tuple[int, int, int]:
+        touched, small = group
+        return _merge_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, small), touched, run_id)
+
+    outcomes = fan_out(spark, slice_groups(live.slices_of(whole, key_size(keys))), one, GROUPS_AT_ONCE)
+    failed = [o.error for o in outcomes if not o.ok]
+    if failed:
+        raise RuntimeError(f"{len(failed)} of {len(outcomes)} groups of slices failed, first: {failed[0]}")
+    return tuple(sum(o.result[i] for o in outcomes) for i in range(3))
+
+
+def _merge_group(
+    spark: SparkSession, live: LiveTable, batch: StagedBatch, spec: MergeSpec, touched: list | None, run_id: str
+) -> tuple[int, int, int]:
+    """Merge some slices, or a whole unsliced table, in one job.
+
+    The change counts are observed by the pass that writes. They are taken in its last stage,
+    behind the shuffle by slice, so a stage that is run again does not count twice.
+    """
+    target = live.read(touched)
+    staged = align(batch.read(spark, touched), target)
+    seen = Observation()
+    marked = by_slice(mark_batch(target, staged, spec), live.slices)
+    marked = marked.observe(seen, *count_columns(marked, spec.delete_flag))
+    path = live.write_version(assemble(target, staged, marked, spec), run_id)
+    live.publish(path, touched)
+    counts = seen.get
+    return counts["inserted_row_count"], counts["updated_row_count"], counts["deleted_row_count"]
 
 
 def slice_groups(sizes: dict) -> list[tuple[list, bool]]:

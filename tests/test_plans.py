@@ -291,6 +291,15 @@ def test_cursor_with_zone_or_without_time(spark, tmp_path, live, control, kind):
     assert content(live.read(), "id", "v") == [(1, 10), (4, 4)]
 
 
+def test_case_of_configured_names_does_not_matter(spark, tmp_path, live, control):
+    cfg = SyncConfig("T", ("ID",), "Updated_At", "GONE")
+    run_sync(spark, HISTORY_START, cfg, live, control, tmp_path, "r1")
+    outcome = run_sync(spark, LATER, cfg, live, control, tmp_path, "r2")
+    assert outcome.ok, outcome.error
+    assert (outcome.result.updated, outcome.result.deleted) == (1, 1)
+    assert content(live.read(), "id", "v") == [(1, 10), (4, 4)]
+
+
 def test_active_only_compares_live_rows(spark, tmp_path, schema_name, live, control):
     history = CdcHistory(spark, schema_name, f"{tmp_path}/h")
     cfg = SyncConfig("t", ("id",), "updated_at", "gone", active_only=True)

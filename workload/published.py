@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablesync.functions.coerce import ntz
 from tablesync.plans import backfill as bf
-from tablesync.plans.files import delete_dir, run_folder
+from tablesync.plans.files import delete_dir, is_dir, run_folder
 from tablesync.plans.frames import small_frame
 from tablesync.plans.full_load import load_source
 from tablesync.plans.livetable import DaySlices, HashSlices, LiveTable
@@ -98,7 +98,11 @@ def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     """The change file arrives as a stream and is merged into the stale live table."""
     root = run_folder(spark, "stream")
     live = _stale_live_table(spark, sf, root)
-    changes = read_changes(spark, sf, _order_columns(spark, sf).schema, name_pattern="orders.parquet")
+    schema, table = _order_columns(spark, sf).schema, f"{sf}/orders.parquet"
+    if is_dir(spark, table):
+        changes = read_changes(spark, table, schema)
+    else:  # a stream reads folders, so a single file is picked out of its folder
+        changes = read_changes(spark, sf, schema, name_pattern="orders.parquet")
     running = apply_changes(spark, changes, live, ("o_orderkey",), "o_orderdate", f"{root}/checkpoint", root)
     running.awaitTermination()
     live.expire(0)
