@@ -7,7 +7,6 @@ from datetime import datetime
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as hs
-from pyspark.sql import functions as F
 
 from tablesync.operators import merge as mg
 
