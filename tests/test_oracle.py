@@ -6,8 +6,9 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle import compare, connect
+from workload.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -19,15 +20,15 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    got = queries()[name](spark, SF_DIR).toArrow()
-    want = con.execute(oracle_sql()[name]).to_arrow_table()
+    got = QUERIES[name](spark, SF_DIR).toArrow()
+    want = con.execute(ORACLES[name]).to_arrow_table()
     assert compare(got, want) == []
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_has_rows(spark):
