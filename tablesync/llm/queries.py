@@ -41,3 +41,20 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from tablesync.llm.exact_dedup import exact_groups
 
     return exact_groups(table(spark, sf, "documents"))
+
+
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public tokenizer's file; it is the same on all machines of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op10_binary_ids")
+def op10_binary_ids(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.binary_ids import id_digests, write_ids
+    from tablesync.llm.common import Scratch
+
+    files = Scratch(spark, "binary-ids").path("files")
+    write_ids(table(spark, sf, "documents"), files, vocabulary(), 2)
+    return id_digests(spark, files)
