@@ -58,3 +58,10 @@ def op10_binary_ids(spark: SparkSession, sf: str) -> DataFrame:
     files = Scratch(spark, "binary-ids").path("files")
     write_ids(table(spark, sf, "documents"), files, vocabulary(), 2)
     return id_digests(spark, files)
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.packing import Limits, pack
+
+    return pack(table(spark, sf, "documents"), vocabulary(), 2, Limits(tokens=4096, segments=256, loss=4096))
