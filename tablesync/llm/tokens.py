@@ -23,8 +23,10 @@ PIECES = {
 WHITE, LETTER, OTHER, STICKY = range(4)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_CHUNK = 4 << 20
-_KEPT = 500_000
+#: Bytes of text and pieces that are handled at a time, and pieces that are kept: they bound a worker's memory.
+_CHUNK = 1 << 20
+_BATCH = 4096
+_KEPT = 250_000
 
 
 def _classes() -> np.ndarray:
@@ -128,7 +130,8 @@ class Encoder:
         new = np.flatnonzero(slot < 0)
         if len(new):
             n = len(self.slots)
-            ids = self._library([joined[s:e] for s, e in zip(start[new].tolist(), end[new].tolist())])
+            places = list(zip(start[new].tolist(), end[new].tolist()))
+            ids = [x for k in range(0, len(places), _BATCH) for x in self._library([joined[s:e] for s, e in places[k : k + _BATCH]])]
             count = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))
             self.flat = _room(self.flat, self.used + len(flat))
