@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablesync.llm.common import table
+from tablesync.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,3 +66,13 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     from tablesync.llm.packing import Limits, pack
 
     return pack(table(spark, sf, "documents"), vocabulary(), 2, Limits(tokens=4096, segments=256, loss=4096))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.toxicity import fit, score
+
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    model = fit(docs.select("doc_id", "text").where(~held_out()).join(labels, "doc_id"))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
