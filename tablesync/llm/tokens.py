@@ -24,9 +24,9 @@ WHITE, LETTER, OTHER, STICKY = range(4)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes of text and pieces that are handled at a time, and pieces that are kept: they bound a worker's memory.
-_CHUNK = 1 << 20
+_CHUNK = 2 << 20
 _BATCH = 4096
-_KEPT = 250_000
+_KEPT = 600_000
 
 
 def _classes() -> np.ndarray:
