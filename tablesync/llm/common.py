@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +64,10 @@ class Scratch:
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether nothing may be learned from a row."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0
+
+
+def batch_parts(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in parts of about ``size`` bytes."""
+    rows = max(1, math.ceil(batch.num_rows * size / max(size, batch.nbytes)))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)

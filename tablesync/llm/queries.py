@@ -76,3 +76,12 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
     model = fit(docs.select("doc_id", "text").where(~held_out()).join(labels, "doc_id"))
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.langid import fit, predict
+
+    docs = table(spark, sf, "documents")
+    model = fit(docs.select("doc_id", "text", "lang").where(~held_out()))
+    return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

@@ -18,7 +18,6 @@ identifier and text are not looked at.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import whole
+from tablesync.llm.common import batch_parts, whole
 
 
 @dataclass(frozen=True)
@@ -202,13 +201,6 @@ def _scores(model: Model, texts: list[str], ordinary, toxic) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _parts(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch in parts of about ``size`` bytes."""
-    rows = max(1, math.ceil(batch.num_rows * size / max(size, batch.nbytes)))
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def _scored(shared, below: float | None = None):
     """Batches with the score of the text, the last column, in its place; or without it, and only rows scored below."""
 
@@ -216,7 +208,7 @@ def _scored(shared, below: float | None = None):
         model = shared.value
         both = model.compressors()
         for batch in batches:
-            for part in _parts(batch):
+            for part in batch_parts(batch):
                 kept, names = part.columns[:-1], part.schema.names[:-1]
                 scores = _scores(model, part.column(part.num_columns - 1).to_pylist(), *both)
                 if below is None:
