@@ -73,8 +73,7 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     from tablesync.llm.toxicity import fit, score
 
     docs = table(spark, sf, "documents")
-    labels = table(spark, sf, "labels").select("doc_id", "toxic")
-    model = fit(docs.select("doc_id", "text").where(~held_out()).join(labels, "doc_id"))
+    model = fit(docs, table(spark, sf, "labels").where(~held_out()))
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
@@ -85,3 +84,74 @@ def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = fit(docs.select("doc_id", "text", "lang").where(~held_out()))
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    "op2_line_dedup",
+    r"""
+WITH d AS (SELECT doc_id, text, md5(coalesce(text, '')) AS version, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, version, unnest(lines) AS line, generate_subscripts(lines, 1) AS k, len(lines) AS n FROM d WHERE text IS NOT NULL),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h, length(line) - length(replace(line, ' ', '')) + 1 >= 50 AS lng FROM l),
+e AS (
+  SELECT *, k = n OR lng OR lead(lng, 1, false) OVER w OR (coalesce(lag(h) OVER w, 0) * 31 + h) % 4 = 0 AS ends
+  FROM h WINDOW w AS (PARTITION BY doc_id, version ORDER BY k)
+),
+c AS (SELECT *, sum(ends::INT) OVER (PARTITION BY doc_id, version ORDER BY k) - ends::INT AS pos FROM e),
+g AS (
+  SELECT doc_id, version, pos, string_agg(line, chr(10) ORDER BY k) AS body, count(*) AS lines, bool_or(lng) AS lng
+  FROM c GROUP BY doc_id, version, pos
+),
+m AS (
+  SELECT *, (lines > 1 OR lng) AND trim(body) <> '' AS counts,
+         row_number() OVER (PARTITION BY body, (lines > 1 OR lng) AND trim(body) <> '' ORDER BY doc_id, version, pos) AS r
+  FROM g
+),
+s AS (
+  SELECT doc_id, version, string_agg(body, chr(10) ORDER BY pos) FILTER (WHERE NOT (counts AND r > 1)) AS clean,
+         count(*) AS n_chunks, count(*) FILTER (WHERE counts AND r > 1) AS n_removed
+  FROM m GROUP BY doc_id, version
+)
+SELECT d.doc_id, CASE WHEN n_removed > 0 THEN coalesce(clean, '') ELSE text END AS text, coalesce(n_chunks, 0)::BIGINT AS n_chunks,
+       coalesce(n_removed, 0)::BIGINT AS n_removed,
+       (length(coalesce(text, '')) - length(CASE WHEN n_removed > 0 THEN coalesce(clean, '') ELSE coalesce(text, '') END))::BIGINT AS removed_chars
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id AND d.version = s.version
+""",
+)
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.line_dedup import without_repeats
+
+    return without_repeats(table(spark, sf, "documents"))
+
+
+#: Copies of each document at seed 17; {docs} is the table, and {columns} what is returned.
+MIXED_SQL = r"""
+WITH RECURSIVE z AS (SELECT source, sum(length(coalesce(text, '')))::BIGINT AS chars FROM {docs} GROUP BY source),
+t AS (SELECT sum(CASE WHEN chars > 0 THEN sqrt(chars::DOUBLE) ELSE 0 END) AS weights, sum(chars)::DOUBLE AS total FROM z),
+r AS (SELECT source, CASE WHEN chars > 0 THEN sqrt(chars::DOUBLE) / weights * total / chars::DOUBLE ELSE 1.0 END AS rate FROM z, t),
+p AS (SELECT source, greatest(ceil(rate / 16), 1)::INT AS parts, rate / greatest(ceil(rate / 16), 1) AS mean FROM r),
+f AS (
+  SELECT source, parts, mean, 0 AS k, exp(-mean) AS p, exp(-mean) AS s FROM p
+  UNION ALL
+  SELECT source, parts, mean, k + 1, p * mean / (k + 1), s + p * mean / (k + 1) FROM f WHERE k < 96
+),
+i AS (SELECT DISTINCT doc_id, source FROM {docs}),
+j AS (SELECT doc_id, i.source, unnest(generate_series(1, parts)) AS j FROM i JOIN p ON i.source IS NOT DISTINCT FROM p.source),
+u AS (SELECT doc_id, source, j, ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, 'null') || '|' || j), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM j),
+n AS (SELECT doc_id, u.source, count(*) AS n FROM u JOIN f ON u.source IS NOT DISTINCT FROM f.source AND f.s <= u.u GROUP BY doc_id, u.source)
+SELECT {columns} FROM {docs} d JOIN n ON d.doc_id IS NOT DISTINCT FROM n.doc_id AND d.source IS NOT DISTINCT FROM n.source,
+  unnest(generate_series(1, n.n)) AS c(copy)
+"""
+
+
+@query("op3_mixing", MIXED_SQL.format(docs="documents", columns="d.*, c.copy::INT AS copy"))
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.mixing import mixed
+
+    return mixed(table(spark, sf, "documents"))
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.fingerprints import fingerprinted
+
+    return fingerprinted(table(spark, sf, "documents"))

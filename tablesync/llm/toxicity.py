@@ -172,14 +172,15 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.concatenate((w[:1], w[1:] / scale))
 
 
-def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
-    """From rows of doc_id, text, toxic (0 or 1)."""
-    usable = labelled.where("toxic IS NOT NULL AND length(text) > 0").where(F.octet_length("text") <= settings.sample_bytes)
-    some = [
-        usable.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).select("text", F.col("toxic").cast("int").alias("toxic"))
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
+    """From texts (doc_id, text) and labels (doc_id, toxic: 0 or 1). Only the drawn labels meet the texts, broadcast."""
+    drawn = [
+        labels.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
         for kind, n in ((1, settings.toxic), (0, settings.ordinary))
     ]
-    rows = dict.fromkeys((r.toxic, plain(r.text)) for r in some[0].union(some[1]).collect())
+    usable = docs.select("doc_id", "text").where(F.octet_length("text").between(1, settings.sample_bytes))
+    some = sorted(usable.join(F.broadcast(drawn[0].union(drawn[1])), "doc_id").collect(), key=lambda r: (r.doc_id, r.toxic, r.text))
+    rows = dict.fromkeys((r.toxic, plain(r.text)) for r in some)
     by = {kind: [t for k, t in rows if k == kind and len(t) > 1] for kind in (0, 1)}
     if min(map(len, by.values())) < 2:
         return Model(settings=settings)

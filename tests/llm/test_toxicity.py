@@ -27,7 +27,7 @@ def data(spark):
 
 
 def test_held_out_rows_are_told_apart(spark, data):
-    model = tox.fit(data.where("doc_id < 400"))
+    model = tox.fit(data, data.where("doc_id < 400"))
     got = tox.score(data.where("doc_id >= 400"), model).join(data, "doc_id").toPandas()
     assert (got.predicted == got.toxic).mean() > 0.95
     assert got.score.between(0, 1).all() and ((got.score >= 0.5) == (got.predicted == 1)).all()
@@ -35,7 +35,7 @@ def test_held_out_rows_are_told_apart(spark, data):
 
 
 def test_odd_rows_have_scores(spark, data):
-    model = tox.fit(data)
+    model = tox.fit(data, data)
     rows = [(None, None, "a"), (1, "", "a"), (1, "", "a"), (2, "é" * 50_000, None), (3, "scumbag vermin trash " * 9000, "x"), (4, "!!! \n", "x")]
     odd = spark.createDataFrame(rows, "doc_id long, text string, score string").repartition(2)
     got = {(r.doc_id, r.score) for r in tox.score(odd, model).collect()}
@@ -46,9 +46,9 @@ def test_odd_rows_have_scores(spark, data):
 
 
 def test_without_labels_nothing_is_toxic(spark, data):
-    model = tox.fit(data.where("toxic = 1"))
+    model = tox.fit(data, data.where("toxic = 1"))
     assert {r.score for r in tox.score(data, model).collect()} == {0.0}
-    assert tox.score(data.limit(0), tox.fit(data.limit(0))).count() == 0
+    assert tox.score(data.limit(0), tox.fit(data, data.limit(0))).count() == 0
 
 
 def test_windows_cover_the_text():
