@@ -54,7 +54,7 @@ def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 _IDS = "part int, row long, doc_id long, n_tokens long, ids binary"
-_BLOCKS = "part int, first_row long, doc_ids binary, lengths binary, control binary, data binary"
+_BLOCKS = "part int, first_row long, n_ids long, doc_ids binary, lengths binary, control binary, data binary"
 
 
 def _encoded(path: str, end: int, small: bool):
@@ -100,13 +100,12 @@ def _blocks(ranks, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank_of, held, size, last = ranks.value, [], 0, None
         for batch in batches:
-            for part, row, doc_id, ids in zip(*(batch.column(k) for k in range(4))):
-                part, row = part.as_py(), row.as_py()
+            for part, row, doc_id, ids in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if held and (size >= BLOCK_IDS or last != (part, row - 1)):
                     yield block(held)
                     held, size = [], 0
-                values = rank_of[np.frombuffer(ids.as_buffer(), kind)]
-                held.append((part, row, doc_id.as_py(), values))
+                values = rank_of[np.frombuffer(ids, kind)]
+                held.append((part, row, doc_id, values))
                 size, last = size + len(values), (part, row)
         if held:
             yield block(held)
@@ -117,10 +116,10 @@ def _blocks(ranks, kind: str):
         with pa.ipc.new_stream(sink, pa.schema([("doc_id", pa.int64())])) as out:
             out.write_batch(pa.RecordBatch.from_arrays([docs], names=["doc_id"]))
         control, data = pack_ids(np.concatenate([h[3] for h in held]))
-        lengths = np.array([len(h[3]) for h in held], "<u4").tobytes()
-        row = [[held[0][0]], [held[0][1]], [sink.getvalue().to_pybytes()], [lengths], [control], [data]]
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        names = ["part", "first_row", "doc_ids", "lengths", "control", "data"]
+        lengths = np.array([len(h[3]) for h in held], "<u4")
+        row = [[held[0][0]], [held[0][1]], [int(lengths.sum())], [sink.getvalue().to_pybytes()], [lengths.tobytes()], [control], [data]]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+        names = ["part", "first_row", "n_ids", "doc_ids", "lengths", "control", "data"]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
 
     return run
@@ -183,7 +182,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def id_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
     rows = read_ids(spark, path).mapInArrow(_summed, "part int, row long, doc_id long, n_tokens long, ids_crc32 long")
-    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    parts = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("row")) - F.col("n_tokens")
     numbered = rows.withColumn("inside", inside).join(F.broadcast(before), "part")

@@ -13,6 +13,7 @@ import os
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: The normalizer and the pattern for which texts may be cut between an ASCII letter and another ASCII
 #: character that is no apostrophe, and at ASCII white space.
@@ -25,7 +26,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes of text and pieces that are handled at a time, and pieces that are kept: they bound a worker's memory.
 _CHUNK = 2 << 20
-_BATCH = 4096
+_BATCH = 512
 _KEPT = 600_000
 
 
@@ -53,7 +54,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
-        self.cut = _cuttable(spec)
+        self.cut = _cuttable(spec) and bool(self.special)
+        self.parting = spec["added_tokens"][0]["id"] if self.special else None
         self.vocabulary = max(self.tokenizer.get_vocab_size(), (end or 0) + 1)
         self._clear()
         self._powers(_CHUNK)
@@ -112,7 +114,10 @@ class Encoder:
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.up[: len(b)])))
         key = (sums[end] - sums[start]) * self.down[start]
         key = (key ^ (key >> np.uint64(29))) * _BASE + (end - start).astype(np.uint64)
-        distinct, where, piece = np.unique(key, return_index=True, return_inverse=True)
+        coded = pa.array(key).dictionary_encode()
+        distinct, piece = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        where = np.empty(len(distinct), np.int64)
+        where[piece[::-1]] = np.arange(len(piece) - 1, -1, -1)
         slot = self._slots(distinct, joined, start[where], end[where])[piece]
         count = self.count[slot]
         after = np.cumsum(count)
@@ -121,6 +126,17 @@ class Encoder:
         for k, (low, high) in zip(chunk, zip(edge[:-1], edge[1:])):
             out[k] = self._ended(ids[low:high])
 
+    def _new(self, joined: bytes, start: list[int], end: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after another, and their numbers. The library gets many pieces at once, parted by a special token."""
+        flat, counts = [], []
+        for k in range(0, len(start), _BATCH):
+            some = [joined[s:e] for s, e in zip(start[k : k + _BATCH], end[k : k + _BATCH])]
+            ids = np.array(self._library([self.special[0].join(some)])[0], np.uint32)
+            parted = ids == self.parting
+            counts.append(np.diff(np.flatnonzero(parted), prepend=-1, append=len(ids)) - 1)
+            flat.append(ids[~parted])
+        return np.concatenate(flat), np.concatenate(counts)
+
     def _slots(self, keys: np.ndarray, joined: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Places of the pieces among the encoded ones; new pieces are encoded first."""
         if len(self.slots) > _KEPT:
@@ -130,10 +146,7 @@ class Encoder:
         new = np.flatnonzero(slot < 0)
         if len(new):
             n = len(self.slots)
-            places = list(zip(start[new].tolist(), end[new].tolist()))
-            ids = [x for k in range(0, len(places), _BATCH) for x in self._library([joined[s:e] for s, e in places[k : k + _BATCH]])]
-            count = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))
+            flat, count = self._new(joined, start[new].tolist(), end[new].tolist())
             self.flat = _room(self.flat, self.used + len(flat))
             self.flat[self.used : self.used + len(flat)] = flat
             self.first, self.count = _room(self.first, n + len(new)), _room(self.count, n + len(new))
