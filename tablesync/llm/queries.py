@@ -155,3 +155,10 @@ def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     from tablesync.llm.fingerprints import fingerprinted
 
     return fingerprinted(table(spark, sf, "documents"))
+
+
+@query("op9_near_dedup")
+def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.near_dedup import near_classes
+
+    return near_classes(table(spark, sf, "documents"))
