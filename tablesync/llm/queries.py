@@ -162,3 +162,10 @@ def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from tablesync.llm.near_dedup import near_classes
 
     return near_classes(table(spark, sf, "documents"))
+
+
+@query("op7_html_text")
+def op7_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.html_text import main_text
+
+    return main_text(table(spark, sf, "pages"))

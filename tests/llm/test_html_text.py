@@ -1,0 +1,61 @@
+"""Extraction of main text; runs against brute force."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tablesync.llm.html_text import blocks, main_text, main_texts, repeated
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="comment-page">
+<header><h1>Site</h1></header><nav><ul><li><a href="/x">menu</a></li></ul></nav><!-- <p>no</p> --><div class="ad-box"><div>buy</div> now</div>
+<article><header><h1>Title &amp; more</h1></header><p><b>One</b>two &lt;b&gt; &#233;\n three<br>four<p>five<div id='comments'><p>reader</p></div>
+<form><input value=">"><p>form</p></form><aside>side</aside><p hidden>gone</p><ul><li>six</li></ul></article><footer>&copy; foot</footer></body></html>"""
+
+
+def test_articles_are_kept_whole():
+    assert main_texts([PAGE]) == ["Title & more\nOnetwo <b> é three four\nfive\nsix"]
+
+
+def test_broken_pages():
+    assert main_texts(["", "plain & text", "<p>a<p>b &am", "<article><p>x</p><nav>n", "<nav><li>n<article>y</article>z", "<p>open <b", "1 < 2"]) == [
+        "", "plain & text", "a\nb &am", "x", "y", "open", "1 < 2"]
+
+
+def test_runs_on_many_pages_are_cut_where_there_is_no_article():
+    own = [" ".join(f"w{k}{i}" for i in range(9)) for k in range(5)]
+    pages = [f"<div>all our pages say this here</div><p>{t}</p><p>shared tail of this host now</p>" for t in own]
+    assert main_texts(pages) == own
+    inside = ["<article>%s</article>" % p for p in pages]
+    assert all(t.startswith("all our pages") for t in main_texts(inside))
+    assert [b[0] for b in blocks(pages[0])] == ["neither"] * 3
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=15), min_size=1, max_size=8), st.integers(2, 5), st.integers(2, 3))
+def test_runs_are_those_of_brute_force(pages, run, least):
+    tokens = [t for p in pages for t in p]
+    page = [k for k, p in enumerate(pages) for _ in p]
+    seen = defaultdict(set)
+    places = [(k, tuple(tokens[k : k + run])) for k in range(len(tokens) - run + 1) if page[k] == page[k + run - 1]]
+    for k, r in places:
+        seen[r].add(page[k])
+    want = np.zeros(len(tokens), bool)
+    for k, r in places:
+        if len(seen[r]) >= least:
+            want[k : k + run] = True
+    assert repeated(np.array(tokens, np.int64), np.array(page, np.int64), run, least).tolist() == want.tolist()
+
+
+def test_table(spark):
+    rows = [(k, "http://hot.example/%d" % k, PAGE, "x") for k in range(450)] + [(None, None, None, "x"), (1, "bad url", "<p>q</p>", "x"), (1, "bad url", "<p>q</p>", "x"), (2, "https://b.example", "<article>" + "w " * 100_000, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    got = main_text(pages).collect()
+    assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
+    texts = {(r.page_id, r.url): r.text for r in got}
+    assert texts[None, None] == "" and texts[1, "bad url"] == "q" and texts[2, "https://b.example"] == " ".join(["w"] * 100_000)
+    assert {t for (_, u), t in texts.items() if u and "hot" in u} == set(main_texts([PAGE]))
+    assert main_text(pages.limit(0)).count() == 0
