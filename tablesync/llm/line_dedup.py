@@ -62,7 +62,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "at")
     parts = keyed.select("doc_id", "version", F.posexplode_outer("__chunks").alias("at", "chunk"))
     # outer, as Spark would otherwise filter by the size of the array before it has computed it
-    parts = parts.where("(chunk.lines > 1 OR chunk.long) AND trim(chunk.text) <> ''").select(
+    parts = parts.where((F.col("chunk.lines") > 1) | F.col("chunk.long")).where(F.translate("chunk.text", " \n\t\r", "") != "").select(
         F.md5(F.col("chunk.text").cast("binary")).alias("key"), place.alias("place"), F.col("chunk.text").alias("body")
     )
     groups = parts.groupBy("key").agg(F.min("place").alias("owner"), F.max("place").alias("last"), F.min("body").alias("low"), F.max("body").alias("high"))

@@ -102,8 +102,8 @@ g AS (
   FROM c GROUP BY doc_id, version, pos
 ),
 m AS (
-  SELECT *, (lines > 1 OR lng) AND trim(body) <> '' AS counts,
-         row_number() OVER (PARTITION BY body, (lines > 1 OR lng) AND trim(body) <> '' ORDER BY doc_id, version, pos) AS r
+  SELECT *, (lines > 1 OR lng) AND translate(body, ' ' || chr(10) || chr(9) || chr(13), '') <> '' AS counts,
+         row_number() OVER (PARTITION BY body, (lines > 1 OR lng) AND translate(body, ' ' || chr(10) || chr(9) || chr(13), '') <> '' ORDER BY doc_id, version, pos) AS r
   FROM g
 ),
 s AS (
