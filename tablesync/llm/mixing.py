@@ -6,8 +6,8 @@ seeded hash of the identifier gives; a mean above ``PART`` is a sum of smaller o
 are dealt to partitions by hash and sorted by hash, which shuffles the corpus globally. All of it is DataFrame functions;
 the same seed gives the same copies on any cluster.
 
-What is joined to the documents is one row for each source; Spark broadcasts it if its measured size allows, and splits
-the hot source's partition if not. Texts are shuffled once, as copies.
+What is joined to the documents is one row for each source, written first and counted; it is broadcast if there are at
+most ``MANY``, else adaptive execution splits the hot source's partition. Texts are shuffled once, as copies.
 
 A null source is a source of its own. Null and empty texts count as no characters; a source of only such texts keeps
 each document once. Sources without a target weight get none. Null identifiers hash as such; rows with equal identifiers
@@ -20,11 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import whole
+from tablesync.llm.common import Scratch, whole
 
 #: Largest mean that is inverted as one, and how many terms of the distribution function that takes.
 PART = 16
 TERMS = 96
+#: Most sources whose rates are broadcast; a source takes less than a kilobyte.
+MANY = 20_000
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -67,9 +69,11 @@ def _terms(mean: Column) -> Column:
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, exponent: float = 0.5, size: float = 1.0, seed: int = 17, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """Each document as often as its Poisson number says, in a global random order; ``copy`` numbers the copies."""
     parts = F.greatest(F.ceil(F.col("rate") / PART), F.lit(1)).cast("int")
-    by_source = rates(docs, weights, exponent, size, source, text).select(
+    found = Scratch(docs.sparkSession, "mixing").write("rates", rates(docs, weights, exponent, size, source, text))
+    by_source = found.select(
         "__source", parts.alias("__parts"), _terms(F.col("rate") / parts.cast("double")).alias("__terms")
     )
+    by_source = F.broadcast(by_source) if found.count() <= MANY else by_source
     found = docs.join(by_source, docs[source].eqNullSafe(by_source["__source"]))
     drawn = lambda j: F.size(F.filter("__terms", lambda c: c <= uniform(seed, F.col(doc_id), j)))
     copies = F.aggregate(F.sequence(F.lit(1), F.col("__parts")), F.lit(0), lambda n, j: n + drawn(j))
