@@ -75,8 +75,8 @@ def mixed(docs: DataFrame, weights: dict[str, float] | None = None, exponent: fl
     )
     by_source = F.broadcast(by_source) if found.count() <= MANY else by_source
     found = docs.join(by_source, docs[source].eqNullSafe(by_source["__source"]))
-    drawn = lambda j: F.size(F.filter("__terms", lambda c: c <= uniform(seed, F.col(doc_id), j)))
-    copies = F.aggregate(F.sequence(F.lit(1), F.col("__parts")), F.lit(0), lambda n, j: n + drawn(j))
+    draws = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda j: uniform(seed, F.col(doc_id), j))
+    copies = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("__terms", lambda c: c <= u)))
     numbered = found.withColumn("__n", copies).drop("__terms", "__parts", "__source", "copy")
     # outer, as Spark would otherwise compute the number once more to filter by it
     exploded = numbered.withColumn("copy", F.explode_outer(F.when(F.col("__n") > 0, F.sequence(F.lit(1), F.col("__n"))))).where("copy IS NOT NULL").drop("__n")
