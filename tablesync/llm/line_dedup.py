@@ -6,8 +6,9 @@ of several lines, or of one long line, that occur more than once in the corpus a
 the smallest identifier (then smallest position). Occurrences are grouped by hash, and a group counts only if all its
 texts are equal byte by byte; texts that merely share a hash stay. All of it is DataFrame functions.
 
-What is shuffled: the texts of chunks once, to compare them, which partial aggregation reduces to one for each task; their
-places without texts; and the documents once, to take their removed chunks out.
+What is shuffled: hashes of chunks, to count them; the texts of those whose hash repeats, to compare them, which partial
+aggregation reduces to one for each task; their places without texts; and the documents once, to take their removed
+chunks out. The repeated hashes are broadcast if there are at most ``MANY``.
 
 Null texts stay null and empty ones empty. Blank chunks are never removed. Null identifiers sort last; rows that repeat
 identifier and text are one document and all keep or lose the same chunks. A document that only consists of removed
@@ -20,9 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.llm.common import Scratch
+
 #: One rolling hash in so many is a boundary.
 EVERY = 4
 LONG_LINE = 50
+#: Most hashes that are broadcast; one takes some 30 bytes.
+MANY = 500_000
 
 
 def _line_hash(line: Column) -> Column:
@@ -58,18 +63,24 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """doc_id, text, n_chunks, n_removed, removed_chars of every row."""
     kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     whole_text = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    keyed = chunked(kept.withColumn("version", whole_text), every=every, long_line=long_line)
+    kept = kept.withColumn("version", whole_text)
+    keyed = chunked(kept, every=every, long_line=long_line)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "at")
     parts = keyed.select("doc_id", "version", F.posexplode_outer("__chunks").alias("at", "chunk"))
     # outer, as Spark would otherwise filter by the size of the array before it has computed it
     parts = parts.where((F.col("chunk.lines") > 1) | F.col("chunk.long")).where(F.translate("chunk.text", " \n\t\r", "") != "").select(
-        F.md5(F.col("chunk.text").cast("binary")).alias("key"), place.alias("place"), F.col("chunk.text").alias("body")
+        F.xxhash64("chunk.text").alias("hash"), place.alias("place"), F.col("chunk.text").alias("body")
     )
+    counted = parts.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    again = Scratch(docs.sparkSession, "line-dedup").write("again", counted)
+    parts = parts.join(F.broadcast(again) if again.count() <= MANY else again, "hash", "left_semi")
+    parts = parts.withColumn("key", F.md5(F.col("body").cast("binary")))
     groups = parts.groupBy("key").agg(F.min("place").alias("owner"), F.max("place").alias("last"), F.min("body").alias("low"), F.max("body").alias("high"))
     repeated = groups.where("owner <> last AND low = high").select("key", "owner")
     lost = parts.select("key", "place").join(repeated, "key").where("place <> owner")
     by_doc = lost.groupBy("place.doc_id", "place.version").agg(F.collect_set("place.at").alias("__lost"))
-    found = keyed.join(by_doc.withColumnsRenamed({"doc_id": "__doc", "version": "__version"}), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("version") == F.col("__version")), "left")
+    found = kept.join(by_doc.withColumnsRenamed({"doc_id": "__doc", "version": "__version"}), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("version") == F.col("__version")), "left")
+    found = chunked(found, every=every, long_line=long_line)  # after the join, which then moves texts only
     stays = F.filter("__chunks", lambda c, k: ~F.array_contains("__lost", k))
     cleaned = F.when(F.col("__lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda c: c["text"]), "\n"))
     return found.withColumn("__clean", cleaned).select(
