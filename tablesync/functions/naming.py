@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote_plus
+
 _QUOTE_CHAR = {"postgres": '"', "oracle": '"', "mysql": "`", "spark": "`"}
 
 
@@ -25,5 +27,6 @@ def target_name(source_name: str, table_name: str) -> str:
     return f"{source_name}_{table_name}"
 
 
-def staging_name(target: str) -> str:
-    return f"{target}_staging"
+def path_safe(text: str) -> str:
+    """Text for use in a path: run ids often hold times, and some stores refuse colons."""
+    return quote_plus(text, safe="").replace("%", "_")

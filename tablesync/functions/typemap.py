@@ -97,11 +97,14 @@ class ColumnMeta:
     scale: int | None = None
 
 
-def _decimal(precision: int | None, scale: int | None) -> T.DecimalType:
+def _decimal(precision: int | None, scale: int | None) -> T.DataType:
+    """A negative scale widens the number by that many digits, and a scale beyond the precision makes it that wide.
+    More than 38 digits are kept as text: no decimal type holds them."""
     if not precision:
         return DEFAULT_DECIMAL
-    width = min(int(precision), 38)
-    return T.DecimalType(width, min(max(int(scale or 0), 0), width))
+    scale = int(scale or 0)
+    width = max(int(precision) - min(scale, 0), scale)
+    return T.DecimalType(width, max(scale, 0)) if width <= 38 else T.StringType()
 
 
 def spark_type(kind: str, native: str, precision: int | None = None, scale: int | None = None) -> T.DataType:

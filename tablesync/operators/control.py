@@ -32,19 +32,33 @@ WATERMARK_SCHEMA = T.StructType(
 )
 
 
+_NAME = "_folded"
+
+
+def control_name(source: str, table: str) -> str:
+    """Name of a table in the control rows: sources that share a table name have rows of their own."""
+    return f"{source}.{table}".lower() if source else table.lower()
+
+
+def _folded(df: DataFrame) -> DataFrame:
+    """With the lower-case name, by which all of lookup, initialisation and advance match."""
+    return df.withColumn(_NAME, F.lower("table_name"))
+
+
 def lookup_watermarks(tables: DataFrame, control: DataFrame, stored: str = "last_watermark") -> DataFrame:
-    """Cursor per table, the default where none is stored. Stored names are matched in lower case."""
-    known = control.select(F.lower("table_name").alias("table_name"), F.col(stored).alias("watermark"))
+    """Cursor per table, the default where none is stored. Of stored names that only differ in case the oldest cursor
+    counts, so nothing is left out."""
+    known = _folded(control).groupBy(_NAME).agg(F.min(stored).alias("watermark"))
     return (
-        tables.select("table_name")
-        .join(known, "table_name", "left")
+        _folded(tables.select("table_name"))
+        .join(known, _NAME, "left")
         .select("table_name", F.coalesce("watermark", ntz(DEFAULT_WATERMARK)).alias("watermark"))
     )
 
 
 def new_control_rows(eligible: DataFrame, control: DataFrame) -> DataFrame:
     """Initial rows of eligible tables that have none: key joined by commas, '' for no flag."""
-    return eligible.join(control.select("table_name"), "table_name", "left_anti").select(
+    return _folded(eligible).join(_folded(control).select(_NAME), _NAME, "left_anti").select(
         "table_name",
         "updated_at_col",
         F.concat_ws(",", "pk_columns").alias("pk_columns"),
@@ -62,8 +76,8 @@ def advance(control: DataFrame, results: DataFrame, run_at: datetime) -> DataFra
     """Control after successful merges. ``results`` is (table_name, new_watermark), one row per
     table; tables without changes bring their old cursor and only get a new run time. Unknown
     tables are not added: this is an update, so one left join does it."""
-    ran = results.select("table_name", "new_watermark", F.lit(True).alias("_ran"))
-    return control.join(ran, "table_name", "left").select(
+    ran = _folded(results).select(_NAME, "new_watermark", F.lit(True).alias("_ran"))
+    return _folded(control).join(ran, _NAME, "left").select(
         "table_name",
         "updated_at_col",
         "pk_columns",
@@ -76,13 +90,16 @@ def advance(control: DataFrame, results: DataFrame, run_at: datetime) -> DataFra
 def upsert_watermarks(stored: DataFrame, batches: DataFrame, run_id: str, now: datetime) -> DataFrame:
     """Cursor upsert for all tables of a run in one job. An update also stamps the audit time; an
     insert leaves it NULL."""
-    old = stored.withColumn("_stored", F.lit(True))
-    new = batches.select(
-        "table_name", F.col("max_updated_at").cast("timestamp_ntz").alias("_newest"), F.lit(True).alias("_ran")
+    old = _folded(stored).withColumn("_stored", F.lit(True))
+    new = _folded(batches).select(
+        _NAME,
+        F.col("table_name").alias("_name"),
+        F.col("max_updated_at").cast("timestamp_ntz").alias("_newest"),
+        F.lit(True).alias("_ran"),
     )
     ran = F.col("_ran")
-    return old.join(new, "table_name", "full_outer").select(
-        "table_name",
+    return old.join(new, _NAME, "full_outer").select(
+        F.coalesce("table_name", "_name").alias("table_name"),
         F.when(ran, F.col("_newest")).otherwise(F.col("last_updated_at")).alias("last_updated_at"),
         F.when(ran, F.lit(run_id)).otherwise(F.col("updated_by_run")).alias("updated_by_run"),
         F.when(ran & F.col("_stored"), ntz(now)).when(F.col("_stored"), F.col("updated_at")).alias("updated_at"),

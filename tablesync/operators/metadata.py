@@ -37,8 +37,9 @@ def pk_columns(constraints: DataFrame, key_usage: DataFrame, schema: str) -> Dat
 
 
 def _first_present(candidates: Sequence[str]) -> Column:
-    """First candidate a table has, by order of preference, as one aggregate of booleans."""
-    present = [F.when(F.bool_or(F.col("column_name") == c), F.lit(c)) for c in candidates]
+    """First candidate a table has, by order of preference, under the name the table gives it. Catalogs differ in
+    case, so names are compared in lower case."""
+    present = [F.min(F.when(F.lower("column_name") == c, F.col("column_name"))) for c in candidates]
     return F.coalesce(*present)
 
 

@@ -27,6 +27,13 @@ class Outcome(Generic[Item, Result]):
         return self.error is None
 
 
+def raise_failed(outcomes: Iterable[Outcome]) -> None:
+    """Raise if any outcome is a failure, naming all of them."""
+    failed = [f"{o.item}: {o.error}" for o in outcomes if not o.ok]
+    if failed:
+        raise RuntimeError(f"{len(failed)} failed: " + "; ".join(failed))
+
+
 def fan_out(
     spark: SparkSession, items: Iterable[Item], work: Callable[[Item], Result], width: int = DEFAULT_WIDTH
 ) -> list[Outcome]:

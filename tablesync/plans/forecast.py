@@ -33,7 +33,7 @@ def load_forecast(
 ) -> int:
     """Upsert the landed documents by date and stamp the load time; returns the staged row count.
 
-    Raises if, after the load, no row is dated ``as_of`` or later.
+    Raises, before anything is published, if after the load no row would be dated ``as_of`` or later.
     """
     schema = forecast_schema(measures)
     documents = read_landing(spark, landing, measures) if isinstance(landing, str) else landing
@@ -42,7 +42,8 @@ def load_forecast(
     with run_directory(spark, staging_root, run_id, live.name) as staging:
         batch = stage(rows, schema, staging, keys=("forecast_date",), slices=live.slices)
         gate(spark, batch, live.name)
+        dates = batch.read(spark).select("forecast_date").unionByName(live.read().select("forecast_date"))
+        if not freshness(dates, "forecast_date", as_of.date()).first()["is_fresh"]:
+            raise GateFailed(f"{live.name}: no row dated {as_of.date()} or later")
         merge_batch(spark, live, batch, ("forecast_date",), None, run_id)
-    if not freshness(live.read(), "forecast_date", as_of.date()).first()["is_fresh"]:
-        raise GateFailed(f"{live.name}: no row dated {as_of.date()} or later")
     return batch.rows

@@ -15,3 +15,8 @@ def small_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructT
         return spark.createDataFrame([], schema)
     columns = {name: list(values) for name, values in zip(schema.names, zip(*rows))}
     return spark.createDataFrame(pa.table(columns), schema)
+
+
+def rows_frame(spark: SparkSession, rows: Sequence[dict], schema: T.StructType) -> DataFrame:
+    """A small frame from dictionaries; what they lack is NULL."""
+    return small_frame(spark, [tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)

@@ -16,12 +16,13 @@ from tablesync.operators.quality import GateFailed
 from tablesync.operators.reconcile import full_load_records, reconcile_counts
 from tablesync.plans import files
 from tablesync.plans.fanout import DEFAULT_WIDTH, Outcome, fan_out
-from tablesync.plans.frames import small_frame
+from tablesync.plans.frames import rows_frame, small_frame
 from tablesync.plans.livetable import LiveTable
 from tablesync.plans.staging import stage
 from tablesync.plans.stores import FullLoadHistory
 from tablesync.sources.registry import Source, SourceSpec, open_source
 
+RETENTION = 86_400.0  # seconds that replaced files stay for readers that still use them
 COUNTS = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("row_count", T.LongType())]
 )
@@ -62,6 +63,7 @@ def load_table(
     run_id: str,
     split_by: str | None = None,
     strict: bool = True,
+    retention: float = RETENTION,
 ) -> LoadResult:
     """Load one table. The count gate runs on the staged files, before anything is published.
 
@@ -87,6 +89,7 @@ def load_table(
                 live.ensure(schema)
                 live.publish(path)
             published = True
+            live.expire(retention)
         return LoadResult(live.name, source_count, batch.rows, staged, started, now())
     finally:
         if not published:
@@ -103,7 +106,9 @@ def load_source(
     width: int = DEFAULT_WIDTH,
     source: Source | None = None,
 ) -> list[Outcome]:
-    """Load every table of a source, several at a time, and record each outcome.
+    """Load every table of a source, several at a time, and record each outcome, failures too.
+
+    Nothing is raised for a table that failed: pass the outcomes to ``raise_failed`` for that.
 
     With ``prefix`` the target is named ``<source>_<table>``, so sources can share a schema.
     """
@@ -128,12 +133,28 @@ def load_all(
     history: FullLoadHistory | None = None,
     width: int = DEFAULT_WIDTH,
 ) -> dict[str, list[Outcome]]:
-    return {s.name: load_source(spark, s, root, run_id, history, True, width) for s in specs}
+    """Every source by itself: one that cannot be opened or listed is one failed outcome, and the others go on."""
+    loaded = {}
+    for spec in specs:
+        try:
+            loaded[spec.name] = load_source(spark, spec, root, run_id, history, True, width)
+        except Exception as failure:
+            loaded[spec.name] = [Outcome(spec.name, None, f"{type(failure).__name__}: {failure}")]
+            if history is not None:
+                record(spark, history, loaded[spec.name], run_id)
+    return loaded
 
 
 def record(spark: SparkSession, history: FullLoadHistory, outcomes: list[Outcome], run_id: str) -> None:
-    """One history row per table that was counted, written together, with its real times."""
+    """One history row per table, written together: counts with real times, or FAILED with the error."""
     history.ensure()
+    failed = [
+        {"run_id": run_id, "pipeline_type": "FULL_LOAD", "table_name": o.item, "start_time": now(), "end_time": now(), "status": "FAILED", "error_message": o.error}
+        for o in outcomes
+        if not o.ok
+    ]
+    if failed:
+        history.append(rows_frame(spark, failed, history.columns))
     results = [o.result for o in outcomes if o.ok]
     if not results:
         return

@@ -9,6 +9,7 @@ finished by running the same (idempotent) batch again.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Iterable
@@ -21,11 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.coerce import utc_naive
-from tablesync.functions.naming import quote, text_literal
+from tablesync.functions.naming import path_safe, quote, text_literal
 from tablesync.functions.typemap import conform, ddl_columns
 from tablesync.plans import files
 
 SLICE = "sync_slice"
+LAYOUT = "sync.slices"
 _NO_DAY = "0001-01-01"  # slice of rows without a time
 
 
@@ -64,6 +66,22 @@ class DaySlices:
 Slices = HashSlices | DaySlices
 
 
+def layout_text(slices: Slices | None) -> str:
+    """The layout as the catalog entry keeps it."""
+    if slices is None:
+        return json.dumps(None)
+    if isinstance(slices, HashSlices):
+        return json.dumps({"hash": list(slices.keys), "count": slices.count})
+    return json.dumps({"day": slices.time_column})
+
+
+def layout_of(text: str) -> Slices | None:
+    kept = json.loads(text)
+    if kept is None:
+        return None
+    return DaySlices(kept["day"]) if "day" in kept else HashSlices(tuple(kept["hash"]), kept["count"])
+
+
 def sliced_schema(schema: T.StructType, slices: Slices | None) -> T.StructType:
     if slices is None:
         return schema
@@ -89,17 +107,32 @@ def write_files(df: DataFrame, path: str, slices: Slices | None) -> None:
 
 
 class LiveTable:
-    """``name`` is ``schema.table``; ``root`` is the table's folder on shared storage."""
+    """``name`` is ``schema.table``; ``root`` is the table's folder on shared storage.
+
+    ``slices`` is the layout of a table that is yet to be created. One that exists keeps the layout it was created
+    with, whatever is given here: rows are where that layout has put them.
+    """
 
     def __init__(self, spark: SparkSession, name: str, root: str, slices: Slices | None = None):
         self.spark = spark
         self.name = name
         self.root = root.rstrip("/")
-        self.slices = slices
+        self._slices = slices
+        self._layout_is_stored = False
         self.sql_name = ".".join(quote("spark", p) for p in name.split("."))
 
     # -- definition --------------------------------------------------------------------------
 
+    @property
+    def slices(self) -> Slices | None:
+        if not self._layout_is_stored and self.exists():
+            rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.sql_name}").collect()
+            kept = {r["key"]: r["value"] for r in rows}
+            if LAYOUT not in kept:
+                raise ValueError(f"{self.name} was not created as a live table: its layout is not known")
+            self._slices, self._layout_is_stored = layout_of(kept[LAYOUT]), True
+        return self._slices
+
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.sql_name)
 
@@ -120,7 +153,7 @@ class LiveTable:
             partitioning = f"PARTITIONED BY ({SLICE})"
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.sql_name} ({columns}) USING parquet {partitioning} "
-            f"LOCATION {text_literal(location)} TBLPROPERTIES ('sync.slices' = {text_literal(repr(self.slices))})"
+            f"LOCATION {text_literal(location)} TBLPROPERTIES ('{LAYOUT}' = {text_literal(layout_text(self.slices))})"
         )
 
     def _empty_folder(self) -> str:
@@ -164,12 +197,16 @@ class LiveTable:
         """A folder no other attempt uses, so a replayed run never writes over files that may be
         live already. Leftovers of failed attempts go with ``expire``. The name carries the time,
         because not every store keeps one for folders."""
-        return f"{self.root}/v-{run_id}-{int(time.time() * 1000)}-{uuid.uuid4().hex[:12]}"
+        return f"{self.root}/v-{path_safe(run_id)}-{int(time.time() * 1000)}-{uuid.uuid4().hex[:12]}"
 
     def write_version(self, df: DataFrame, run_id: str) -> str:
         """Write content beside the live files. Nothing a reader sees changes."""
         path = self.version_path(run_id)
-        write_files(conform(df, self.schema()), path, self.slices)
+        try:
+            write_files(by_slice(conform(df, self.schema()), self.slices), path, self.slices)
+        except Exception:
+            files.delete_dir(self.spark, path)
+            raise
         return path
 
     def read_version(self, path: str) -> DataFrame:
@@ -244,10 +281,12 @@ class LiveTable:
         """Delete what was replaced more than ``keep_seconds`` ago, which is how long a reader that
         planned on an older version may still run. Content counts as replaced when the next
         version that holds the same slice (or table) was written."""
-        live = self._locations()
         cutoff = (time.time() - keep_seconds) * 1000
         names = [n for n in files.list_names(self.spark, self.root) if n.startswith("v-")]
         versions = sorted((int(n.rsplit("-", 2)[1]), n) for n in names)
+        if len(versions) < 2 or versions[0][0] >= cutoff:
+            return []  # nothing is old enough; the catalog is not asked
+        live = self._locations()
         parts = {name: self._parts(name) for _, name in versions}
         gone = []
         for at, (written, name) in enumerate(versions):
@@ -273,4 +312,5 @@ class LiveTable:
     def drop(self) -> None:
         """Remove the catalog entry and all files."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.sql_name}")
+        self._layout_is_stored = False
         files.delete_dir(self.spark, self.root)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.naming import path_safe
 from tablesync.functions.typemap import conform
 from tablesync.operators.quality import require_equal
 from tablesync.plans import files
@@ -86,7 +87,7 @@ def gate(spark: SparkSession, batch: StagedBatch, label: str) -> int:
 @contextmanager
 def run_directory(spark: SparkSession, root: str, run_id: str, table: str) -> Iterator[str]:
     """A staging folder of one run and table, removed whatever happens."""
-    path = f"{root.rstrip('/')}/_staging/{run_id}/{table}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/_staging/{path_safe(run_id)}/{table}-{uuid.uuid4().hex[:12]}"
     try:
         yield path
     finally:

@@ -71,9 +71,8 @@ class ControlStore(_Store):
 
     def watermarks(self, tables: Sequence[str]) -> dict[str, datetime]:
         """Cursors of all tables of a run, in one job."""
-        wanted = small_frame(self.spark, [(t.lower(),) for t in tables], TABLE_NAMES)
-        stored = {r["table_name"]: r["watermark"] for r in lookup_watermarks(wanted, self.read()).collect()}
-        return {t: stored[t.lower()] for t in tables}
+        wanted = small_frame(self.spark, [(t,) for t in tables], TABLE_NAMES)
+        return {r["table_name"]: r["watermark"] for r in lookup_watermarks(wanted, self.read()).collect()}
 
     def watermark(self, table: str) -> datetime:
         return self.watermarks([table])[table]

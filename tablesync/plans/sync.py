@@ -11,16 +11,18 @@ from pyspark.sql import types as T
 
 from tablesync.functions.flags import is_live
 from tablesync.functions.typemap import conform, mapped_schema
+from tablesync.operators.control import control_name
 from tablesync.operators.extract import BOUNDED, INCLUSIVE, extract_changes, project, upper_watermark
 from tablesync.operators.merge import MergeSpec, align, assemble, broadcast_safe, count_columns, mark_batch, require_unique
 from tablesync.operators.metadata import cdc_eligible
 from tablesync.operators.reconcile import cdc_records, reconcile_counts
 from tablesync.plans.fanout import DEFAULT_WIDTH, Outcome, fan_out
-from tablesync.plans.full_load import COUNTS, now
+from tablesync.plans.full_load import COUNTS, RETENTION, now
 from tablesync.plans.livetable import LiveTable, Slices, by_slice
-from tablesync.plans.frames import small_frame
+from tablesync.plans.frames import rows_frame, small_frame
 from tablesync.plans.staging import StagedBatch, gate, key_size, run_directory, stage
 from tablesync.plans.stores import CdcHistory, ControlStore
+from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.registry import SourceSpec, open_source
 
 GROUPS_AT_ONCE = 4  # groups of slices merged side by side, each with a broadcast of its own
@@ -55,6 +57,11 @@ class SyncConfig:
     mode: str = BOUNDED
     overlap: timedelta | None = None
     active_only: bool = False  # compare with the source's live rows only
+    source: str = ""  # where several sources are synced, their cursors are kept apart by it
+
+    @property
+    def control_name(self) -> str:
+        return control_name(self.source, self.table)
 
 
 @dataclass(frozen=True)
@@ -82,7 +89,7 @@ def configs_from(eligible: DataFrame, **common) -> list[SyncConfig]:
 
 
 def eligible_frame(spark: SparkSession, configs: Sequence[SyncConfig]) -> DataFrame:
-    return small_frame(spark, [(c.table, c.cursor, list(c.keys), c.delete_flag) for c in configs], ELIGIBLE)
+    return small_frame(spark, [(c.control_name, c.cursor, list(c.keys), c.delete_flag) for c in configs], ELIGIBLE)
 
 
 def merge_batch(
@@ -157,6 +164,8 @@ def sync_table(
     low: datetime,
     staging_root: str,
     run_id: str,
+    newest: Callable[[datetime], datetime | None] | None = None,
+    retention: float = RETENTION,
 ) -> SyncResult:
     """One table past its cursor ``low``, up to and including the publish. The caller moves the cursor afterwards, so a
     failure anywhere before leaves it where it was and the batch is replayed; merging twice
@@ -164,20 +173,23 @@ def sync_table(
     live.ensure(source.schema)
     high = None
     if cfg.mode == BOUNDED:
-        high = _bounds(source, cfg, low)
+        # with an overlap, rows that were committed late count as well in a table that is quiet
+        since = low - (cfg.overlap or timedelta(0))
+        high = _bounds(source, cfg, since) if newest is None else newest(since)
         if high is None:
-            return SyncResult(cfg.table, low)
+            return SyncResult(cfg.control_name, low)
     changed = extract_changes(project(source, source.columns), cfg.cursor, low, cfg.mode, high, cfg.overlap)
     changed = align(changed, live.read())  # keys hash to the live table's slices only under its types
     with run_directory(spark, staging_root, run_id, cfg.table) as path:
         batch = stage(changed, changed.schema, path, cfg.cursor, cfg.keys, live.slices, sort_by=cfg.cursor)
         if batch.rows == 0 or batch.max_cursor is None:
-            return SyncResult(cfg.table, low)
+            return SyncResult(cfg.control_name, low)
         gate(spark, batch, cfg.table)
         counts = merge_batch(spark, live, batch, cfg.keys, cfg.delete_flag, run_id)
+        live.expire(retention)
         step = timedelta(microseconds=1 if cfg.mode == INCLUSIVE else 0)
-        newest = max(batch.max_cursor + step, low)  # an overlap may bring older rows only
-        return SyncResult(cfg.table, newest, batch.rows, *counts)
+        reached = max(batch.max_cursor + step, low)  # an overlap may bring older rows only
+        return SyncResult(cfg.control_name, reached, batch.rows, *counts)
 
 
 @dataclass(frozen=True)
@@ -188,6 +200,9 @@ class SyncTarget:
     cfg: SyncConfig
     source: DataFrame | Callable[[], DataFrame]
     live: LiveTable
+    #: The largest cursor above one, and the number of rows, where the source can tell them without sending rows.
+    newest: Callable[[datetime], datetime | None] | None = None
+    count: Callable[[], int] | None = None
 
     def rows(self) -> DataFrame:
         return self.source if isinstance(self.source, DataFrame) else self.source()
@@ -206,11 +221,12 @@ def sync_many(
     that failed keeps its cursor and is replayed next time."""
     control.ensure()
     control.register(eligible_frame(spark, [t.cfg for t in targets]))
-    lows = control.watermarks([t.cfg.table for t in targets])
+    lows = control.watermarks([t.cfg.control_name for t in targets])
 
     def one(target: SyncTarget) -> SyncResult:
         rows = target.rows()
-        result = sync_table(spark, rows, target.cfg, target.live, lows[target.cfg.table], staging_root, run_id)
+        low = lows[target.cfg.control_name]
+        result = sync_table(spark, rows, target.cfg, target.live, low, staging_root, run_id, target.newest)
         return result if history is None else counted(rows, target, result)
 
     outcomes = fan_out(spark, targets, one, width)
@@ -218,6 +234,7 @@ def sync_many(
     control.advance([(o.result.table, o.result.new_watermark) for o in done], now())
     if history is not None:
         record(spark, history, control, done, run_id)
+        record_failures(spark, history, [o for o in outcomes if not o.ok], run_id)
     return outcomes
 
 
@@ -246,9 +263,14 @@ def sync_source(
             return conform(source.read(cfg.table, cfg.keys[0]), schema)
 
         live = LiveTable(spark, f"{spec.target_schema}.{cfg.table}", f"{root.rstrip('/')}/{cfg.table}", slices(cfg))
-        return SyncTarget(cfg, rows, live)
-
-    targets = [target(cfg) for cfg in configs_from(found, **options)]
+        if not isinstance(source, JdbcSource):
+            return SyncTarget(cfg, rows, live)
+        upper = lambda low: source.newest(cfg.table, cfg.cursor, low)
+        return SyncTarget(cfg, rows, live, upper, lambda: source.count(cfg.table))
+
+    targets = [target(cfg) for cfg in configs_from(found, source=spec.name, **options)]
+    if not targets:
+        raise ValueError(f"{spec.name}: no table has both a primary key and a cursor column")
     return sync_many(spark, targets, control, root, run_id, history, width)
 
 
@@ -256,7 +278,16 @@ def counted(rows: DataFrame, target: SyncTarget, result: SyncResult) -> SyncResu
     """The result with the row counts of both sides, for the record."""
     if target.cfg.active_only:
         rows = rows.filter(is_live(rows, target.cfg.delete_flag))
-    return replace(result, source_rows=rows.count(), target_rows=target.live.read().count())
+    told = target.count is not None and not target.cfg.active_only
+    return replace(result, source_rows=target.count() if told else rows.count(), target_rows=target.live.read().count())
+
+
+def record_failures(spark: SparkSession, history: CdcHistory, outcomes: Sequence[Outcome], run_id: str) -> None:
+    """A FAILED row for each table whose sync raised, so reports know of it."""
+    if outcomes:
+        history.ensure()
+        rows = [{"dag_run_id": run_id, "table_name": o.item.cfg.control_name, "checked_at": now(), "status": "FAILED"} for o in outcomes]
+        history.append(rows_frame(spark, rows, history.columns))
 
 
 def record(

@@ -1,12 +1,16 @@
 """Relational sources through Spark's JDBC reader.
 
 A table is read in parallel: by ranges of a numeric, date or timestamp column, or, where the
-key is text, by a hash of it that the database computes. Filters, column lists, counts and
-maxima reach the database through Spark's own push-down.
+key is text or not a whole number, by a hash of it that the database computes. Filters and column lists
+reach the database through Spark's own push-down. Spark's reader pushes no aggregates, so counts,
+minima and maxima are sent as statements.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,11 +22,11 @@ from tablesync.sources.registry import SourceSpec
 
 FETCH_ROWS = 50_000
 ROWS_PER_TASK = 1_000_000
-MAX_TASKS = 64  # connections a source is asked to serve at once
 
 
-def task_count(rows: int) -> int:
-    return max(1, min(MAX_TASKS, -(-rows // ROWS_PER_TASK)))
+def task_count(rows: int, connections: int) -> int:
+    """Tasks of a read: one a million rows, as far as the source serves so many connections at once."""
+    return max(1, min(connections, -(-rows // ROWS_PER_TASK)))
 
 
 class JdbcSource:
@@ -61,7 +65,6 @@ class JdbcSource:
         return {
             "fetchsize": str(FETCH_ROWS),
             "preferTimestampNTZ": "true",
-            "pushDownAggregate": "true",
             **self.spec.options,
         }
 
@@ -104,8 +107,26 @@ class JdbcSource:
         ).first()
         return keys["pk_columns"][0] if keys else None
 
+    def count_sql(self, table: str) -> str:
+        return f"SELECT COUNT(*) AS n FROM {self.relation(table)}"
+
+    def bounds_sql(self, table: str, column: str) -> str:
+        quoted = quote(self.kind, column)
+        return f"SELECT MIN({quoted}) AS low, MAX({quoted}) AS high FROM {self.relation(table)}"
+
+    def newest_sql(self, table: str, cursor: str, low: datetime) -> str:
+        """The largest cursor above ``low``."""
+        quoted = quote(self.kind, cursor)
+        return f"SELECT MAX({quoted}) AS upper_watermark FROM {self.relation(table)} WHERE {quoted} > {self.timestamp_text(low)}"
+
+    def timestamp_text(self, at: datetime) -> str:
+        return f"TIMESTAMP {text_literal(at.strftime('%Y-%m-%d %H:%M:%S.%f'))}"
+
     def count(self, table: str) -> int:
-        return self._load(self.relation(table)).count()
+        return int(self._query(self.count_sql(table)).first()["n"])
+
+    def newest(self, table: str, cursor: str, low: datetime) -> datetime | None:
+        return self._query(self.newest_sql(table, cursor, low)).select(F.col("upper_watermark").cast("timestamp_ntz")).first()[0]
 
     def read(self, table: str, split_by: str | None = None, rows: int | None = None) -> DataFrame:
         """Whole table, in one task unless ``split_by`` names a column to split on."""
@@ -113,12 +134,12 @@ class JdbcSource:
         if split_by is None:
             return self._load(relation)
         whole = self._load(relation)
-        tasks = task_count(whole.count() if rows is None else rows)
+        tasks = task_count(self.count(table) if rows is None else rows, self.spec.connections)
         if tasks == 1:
             return whole
-        if isinstance(whole.schema[split_by].dataType, (T.NumericType, T.DateType, T.TimestampNTZType, T.TimestampType)):
-            low, high = whole.agg(F.min(split_by), F.max(split_by)).first()
-            return self._load(relation, **range_options(quote(self.kind, split_by), low, high, tasks))
+        if splits_by_range(whole.schema[split_by].dataType):
+            found = self._query(self.bounds_sql(table, split_by)).first()
+            return self._load(relation, **range_options(quote(self.kind, split_by), found["low"], found["high"], tasks))
         return self.spark.read.jdbc(
             url=self.spec.options["url"],
             table=relation,
@@ -133,11 +154,22 @@ class JdbcSource:
         return [f"{parts[0]} OR {quoted} IS NULL", *parts[1:]]
 
 
+def splits_by_range(kind: T.DataType) -> bool:
+    """Whole numbers and times have evenly spaced bounds that Spark's reader takes; all else is split by hash."""
+    if isinstance(kind, T.DecimalType):
+        return kind.scale == 0 and kind.precision <= 18
+    return isinstance(kind, (T.IntegralType, T.DateType, T.TimestampNTZType, T.TimestampType))
+
+
+def _bound(value: object) -> str:
+    return str(int(value)) if isinstance(value, (Decimal, float)) else str(value)
+
+
 def range_options(column: str, low: object, high: object, tasks: int) -> dict[str, str]:
     return {
         "partitionColumn": column,
-        "lowerBound": str(low),
-        "upperBound": str(high),
+        "lowerBound": _bound(low),
+        "upperBound": _bound(high),
         "numPartitions": str(tasks),
     }
 

@@ -15,7 +15,10 @@ from tablesync.functions.typemap import ColumnMeta
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """One configured source. ``options`` are Spark reader options (url, user, path, ...)."""
+    """One configured source. ``options`` are Spark reader options (url, user, path, ...).
+
+    ``connections`` is how many a database may be asked for at once; it bounds the tasks of one read.
+    """
 
     name: str
     kind: str
@@ -23,6 +26,7 @@ class SourceSpec:
     target_schema: str
     options: dict[str, str] = field(default_factory=dict)
     include_views: bool | None = None
+    connections: int = 64
 
 
 class Source(Protocol):
@@ -77,6 +81,7 @@ def specs_from(entries: Iterable[dict]) -> list[SourceSpec]:
             target_schema=e["target_schema"],
             options=dict(e.get("options", {})),
             include_views=e.get("include_views"),
+            connections=int(e.get("connections", 64)),
         )
         for e in entries
     ]

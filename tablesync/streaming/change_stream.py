@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tablesync.functions.typemap import by_folded_name
 from tablesync.operators.merge import align, latest_per_merge_key
 from tablesync.plans.livetable import LiveTable
 from tablesync.plans.staging import gate, run_directory, stage
@@ -31,6 +33,17 @@ def read_changes(
     return reader.parquet(folder)
 
 
+def without_stale(batch: DataFrame, target: DataFrame, keys: Sequence[str], cursor: str) -> DataFrame:
+    """The batch but for rows whose key the target holds with a larger cursor. Only keys and cursors of the target are
+    read."""
+    have = by_folded_name(batch.columns)
+    names = [have[k.lower()] for k in keys]
+    at = have[cursor.lower()]
+    known = target.select(*names, F.col(f"`{at}`").alias("_held"))
+    newer = batch.select(*names, F.col(f"`{at}`").alias("_came")).join(known, names).where("_held > _came").select(*names)
+    return batch.join(newer, names, "left_anti").select(*[F.col(f"`{c}`") for c in batch.columns])
+
+
 def apply_changes(
     spark: SparkSession,
     changes: DataFrame,
@@ -44,13 +57,15 @@ def apply_changes(
 ) -> StreamingQuery:
     """Merge everything that has landed and stop; the next start takes only what is new.
 
-    Within a micro-batch only the newest row of each key is applied.
+    Within a micro-batch only the newest row of each key is applied, and none that is older than what the table holds.
+    Deleted rows leave no trace in the table, so a late older change of a deleted key inserts it again.
     """
     live.ensure(changes.schema)
 
     def merge_micro_batch(batch: DataFrame, number: int) -> None:
         run_id = f"{run_label}-{number}"
         newest = align(latest_per_merge_key(batch, keys, cursor), live.read())
+        newest = without_stale(newest, live.read(), keys, cursor)
         with run_directory(spark, staging_root, run_id, live.name) as staging:
             staged = stage(newest, newest.schema, staging, cursor, keys, live.slices, sort_by=cursor)
             if staged.rows:

@@ -398,11 +398,11 @@ def test_sync_of_a_whole_source(spark, tmp_path, schema_name, control):
         spark, spec, f"{tmp_path}/live", control, run_id, history, slices=lambda c: HashSlices(c.keys, 2), mode="strict"
     )
     first = {o.result.table: o.result for o in run("r1")}
-    assert {t: r.rows for t, r in first.items()} == {"one": 2, "two": 2}
+    assert {t: r.rows for t, r in first.items()} == {"lake.one": 2, "lake.two": 2}
     late = source_frame(spark, LATER).withColumnRenamed("gone", "is_deleted")
     late.write.mode("append").parquet(f"{folder}/one.parquet")
     second = {o.result.table: o.result for o in run("r2")}
-    assert {t: r.rows for t, r in second.items()} == {"one": 3, "two": 0}
+    assert {t: r.rows for t, r in second.items()} == {"lake.one": 3, "lake.two": 0}
     assert content(spark.table(f"{schema_name}.one"), "id", "v") == [(1, 10), (4, 4)]
     assert history.read().count() == 4
 

@@ -7,7 +7,7 @@ import json
 import pytest
 
 from tablesync.sources import SourceSpec, load_specs, open_source
-from tablesync.sources.jdbc import MAX_TASKS, range_options, task_count
+from tablesync.sources.jdbc import range_options, splits_by_range, task_count
 
 
 def spec(kind, schema="public", **more):
@@ -66,7 +66,8 @@ def test_options(spark):
 
 
 def test_task_count():
-    assert [task_count(n) for n in (0, 1, 1_000_001, 10**12)] == [1, 1, 2, MAX_TASKS]
+    assert [task_count(n, 64) for n in (0, 1, 1_000_001, 10**12)] == [1, 1, 2, 64]
+    assert task_count(10**12, 5000) == 5000
 
 
 def test_catalog_source(spark, schema_name):

@@ -55,10 +55,10 @@ def filter_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "filter_run_kind",
+    "filter_pipeline",
     f"WITH {i.FULL_H} SELECT 'FULL_LOAD' AS kind, run_id, table_name, status FROM full_h",
 )
-def filter_run_kind(spark: SparkSession, sf: str) -> DataFrame:
+def filter_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """FULL_LOAD is selected: the other history turns empty but keeps its columns."""
     full = rp.filtered(i.full_history(spark, sf), rp.FULL_LOAD, selected=rp.FULL_LOAD)
     cdc = rp.filtered(i.cdc_history(spark, sf), rp.CDC, selected=rp.FULL_LOAD)
