@@ -15,7 +15,8 @@ a summary of bounded size finds candidates, a second pass counts them exactly, a
 4. Links make classes, by connected components over tables on shared storage.
 5. What that leaves are buckets that hold several classes. Within these, texts of different classes are compared by their
    samples, in blocks; large buckets are first divided by a second and a third band, in which similar texts agree as
-   well. Pairs with enough equal samples are verified, and the classes are joined along the new links.
+   well. Texts with a partner of enough equal samples meet once more, with their shingles, and are verified in the task:
+   no pairs leave it but the links that join classes, fewer than there are texts. The classes are joined along these.
 
 Null texts count as empty; empty texts are equal. Null identifiers come after all others. Rows of one identifier are one
 document: they share its class, by the smaller of their texts where these differ. An empty table gives an empty result. Columns beside identifier and text are not looked at.
@@ -217,16 +218,22 @@ def _signed(weights):
     return run
 
 
+def band_keys(got: np.ndarray) -> np.ndarray:
+    """Keys of the buckets of texts, by band, from their samples."""
+    got = got.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX, got.shape[:2]).copy()
+    for k in range(ROWS):
+        key = (key ^ got[:, :, k]) * _MIX
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each text and band: the key of its bucket."""
     for batch in batches:
-        got = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
-        key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX, got.shape[:2]).copy()
-        for k in range(ROWS):
-            key = (key ^ got[:, :, k]) * _MIX
-            key ^= key >> np.uint64(29)
+        key = band_keys(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32))
         ids = np.repeat(batch.column(0).to_numpy(), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key.reshape(-1).view(np.int64))], names=["id", "key"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key.reshape(-1))], names=["id", "key"])
 
 
 def _verified(weights):
@@ -252,11 +259,16 @@ def _verified(weights):
     return run
 
 
+def _first_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, text of the documents with these identifiers."""
+    return docs.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, weights, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) of identifiers of ``docs`` (id, text) that are similar, as a table on shared storage."""
     pairs = scratch.write(f"{name}-pairs", pairs)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = scratch.write(f"{name}-texts", docs.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+    texts = scratch.write(f"{name}-texts", _first_texts(docs, ends))
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", _hashed("left").alias("left"), _hashed("right").alias("right"))
@@ -265,34 +277,92 @@ def verified(pairs: DataFrame, docs: DataFrame, weights, scratch: Scratch, name:
     return links
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different classes of one bucket that agree in enough samples; rows come sorted by bucket."""
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of each key; they come sorted by it."""
     held: list[tuple] = []
-
-    def pairs_of(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        ids = np.array([r[1] for r in rows], np.int64)
-        label = np.array([r[2] for r in rows], np.int64)
-        got = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), -1)
-        for at in range(0, len(rows), 64):
-            block = slice(at, at + 64)
-            for other in range(at, len(rows), 2048):
-                far = slice(other, other + 2048)
-                agree = np.zeros((len(ids[block]), len(ids[far])), np.int16)
-                for k in range(got.shape[1]):
-                    agree += got[block, k][:, None] == got[far, k][None, :]
-                x, y = np.nonzero((agree >= AGREEING) & (label[block][:, None] != label[far][None, :]))
-                if len(x):
-                    a, b = ids[block][x], ids[far][y]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
     for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(4))):
+        for row in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns))):
             if held and held[0][0] != row[0]:
-                yield from pairs_of(held)
+                yield held
                 held = []
             held.append(row)
     if held:
-        yield from pairs_of(held)
+        yield held
+
+
+def _agreeing(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of two rows (key, id, label, samples) of different classes that agree in enough samples, and in how many;
+    in the first of the bands that both share only, if the key is that of a band."""
+    label = np.array([r[2] for r in rows], np.int64)
+    got = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), -1)
+    keys = band_keys(got)
+    for at in range(0, len(rows), 64):
+        block = got[at : at + 64]
+        for other in range(at, len(rows), 2048):
+            far = got[other : other + 2048]
+            agree = np.zeros((len(block), len(far)), np.int16)
+            for k in range(got.shape[1]):
+                agree += block[:, k][:, None] == far[:, k][None, :]
+            apart = label[at : at + 64][:, None] != label[other : other + 2048][None, :]
+            x, y = np.nonzero((agree >= AGREEING) & apart)
+            many = agree[x, y]
+            x, y = x + at, y + other
+            for part in range(0, len(x), 1 << 16):
+                a, b, n = (v[part : part + (1 << 16)] for v in (x, y, many))
+                same = keys[a] == keys[b]
+                first = keys[a, same.argmax(axis=1)]
+                here = (a < b) & (~same.any(axis=1) | (first == rows[0][0]) | ~(keys[a] == rows[0][0]).any(axis=1))
+                yield a[here], b[here], n[here]
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (key, id, label, samples) that have a partner to be compared with in their bucket."""
+    names = ["key", "id", "label", "samples"]
+    for rows in _by_key(batches):
+        found = np.zeros(len(rows), bool)
+        for x, y, _ in _agreeing(rows):
+            found[x] = found[y] = True
+        if found.any():
+            kept = [rows[k] for k in np.flatnonzero(found)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=names)
+
+
+def _joining(weights):
+    """Links that join classes within a bucket: rows (key, id, label, samples, hashed words). Partners are compared by
+    their shingles, those that agree most first, unless links found before have joined their classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_key(batches):
+            s = Shingles(pa.array([r[4] for r in rows], pa.list_(pa.int64())))
+            weight, edge = weights.value.of(s), np.append(s.first, len(s.hash))
+            root = {r[2]: r[2] for r in rows}
+
+            def find(label: int) -> int:
+                while root[label] != label:
+                    root[label] = label = root[root[label]]
+                return label
+
+            def similar(x: int, y: int) -> bool:
+                a, b = slice(edge[x], edge[x + 1]), slice(edge[y], edge[y + 1])
+                _, i, j = np.intersect1d(s.hash[a], s.hash[b], assume_unique=True, return_indices=True)
+                shared = np.minimum(weight[a][i], weight[b][j]).sum()
+                every = edge[x + 1] - edge[x] + edge[y + 1] - edge[y]
+                total = weight[a].sum() + weight[b].sum()
+                return max(shared / (total - shared), len(i) / (every - len(i))) >= SIMILAR
+
+            parts = list(_agreeing(rows))
+            x, y, n = (np.concatenate([p[k] for p in parts]) for k in range(3)) if parts else ([], [], np.zeros(0))
+            links = []
+            for k in np.argsort(-n, kind="stable").tolist():
+                a, b = int(x[k]), int(y[k])
+                p, q = find(rows[a][2]), find(rows[b][2])
+                if p != q and similar(a, b):
+                    root[max(p, q)] = min(p, q)
+                    links.append(sorted((rows[a][1], rows[b][1])))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
+
+    return run
 
 
 def _mixed_buckets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -337,9 +407,13 @@ def _classes(docs: DataFrame) -> DataFrame:
     small, large = _mixed_buckets(scratch.write("held", held))
     small_2, large_2 = _mixed_buckets(_divided(large, bands))
     parts = small.unionByName(small_2).unionByName(_divided(large_2, bands))
-    across = parts.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "a long, b long").distinct()
-    late = verified(across, docs, weights, scratch, "late")
-    scratch.drop("held", "bands")
+    sorted_ = parts.repartition("key").sortWithinPartitions("key")
+    partners = scratch.write("partners", sorted_.mapInArrow(_with_partners, "key long, id long, label long, samples binary"))
+    texts = scratch.write("texts", _first_texts(docs, partners.select("id").distinct()))
+    spelled = partners.join(texts, "id").select("key", "id", "label", "samples", "text").repartition("key").sortWithinPartitions("key")
+    spelled = spelled.select("key", "id", "label", "samples", _hashed("text").alias("words"))
+    late = scratch.write("late", spelled.mapInArrow(_joining(weights), "a long, b long").distinct())
+    scratch.drop("held", "bands", "partners", "texts")
     labels = components(nodes, late, scratch, "all", labels)
     ends = links.unionByName(late).select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     by_text = firsts.join(labels, "id", "left").join(ends, "id", "left")
@@ -350,7 +424,7 @@ def _classes(docs: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, class_id (smallest identifier of the class), class_size, n_links, kept of every row.
 
-    ``n_links`` counts the verified links of the document's text, and ``kept`` marks one document of each class.
+    ``n_links`` counts the links of the document's text that made its class, and ``kept`` marks one document of each class.
     """
     classed = _classes(docs.select(_identified(docs, doc_id, text).alias("id"), whole(text).alias("text")))
     sizes = classed.groupBy("label").agg(F.count("*").alias("class_size"))
