@@ -230,15 +230,15 @@ def delete_flag_split(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- the whole sync as one lazy plan -----------------------------------------------------------
 
-_SYNCED = f"""WITH t AS (SELECT o_orderkey, o_custkey, o_totalprice - 1 AS o_totalprice, o_orderdate FROM orders WHERE o_orderdate <= {i.SQL_HI}),
-    s AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders WHERE o_orderdate > {i.SQL_LO}
+_SYNCED = f"""WITH t AS (SELECT * REPLACE (o_totalprice - 1 AS o_totalprice) FROM orders WHERE o_orderdate <= {i.SQL_HI}),
+    s AS (SELECT * FROM orders WHERE o_orderdate > {i.SQL_LO}
       AND o_orderdate <= (SELECT max(o_orderdate) FROM orders WHERE o_orderdate > {i.SQL_LO}))
     SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
     UNION ALL SELECT * FROM s"""
 
 
 def _stale_and_changed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    source = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice", CURSOR)
+    source = _orders(spark, sf)
     stale = source.filter(F.col(CURSOR) <= ntz(i.HI)).withColumn("o_totalprice", F.col("o_totalprice") - 1)
     high = ex.upper_watermark(source, CURSOR, i.LO).scalar()
     return stale, ex.extract_changes(source, CURSOR, i.LO, ex.BOUNDED, high)
@@ -260,11 +260,8 @@ def cdc_replay_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- intervals ---------------------------------------------------------------------------------
 
-_EVENT = "event_id, user_id, event_type, ts, value"
-
-
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return i.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    return i.table(spark, sf, "events")
 
 
 def _replaced(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -277,14 +274,14 @@ def _replaced(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 _IN = f"ts >= {i.SQL_START} AND ts < {i.SQL_END}"
 
 
-@query("interval_extract", f"SELECT {_EVENT} FROM events WHERE {_IN}")
+@query("interval_extract", f"SELECT * FROM events WHERE {_IN}")
 def interval_extract(spark: SparkSession, sf: str) -> DataFrame:
     return ex.extract_interval(_events(spark, sf), "ts", i.START, i.END)
 
 
 @query(
     "interval_replace",
-    f"SELECT event_id, user_id, event_type, ts, CASE WHEN {_IN} THEN value ELSE value + 1 END AS value FROM events",
+    f"SELECT * REPLACE (CASE WHEN {_IN} THEN value ELSE value + 1 END AS value) FROM events",
 )
 def interval_replace(spark: SparkSession, sf: str) -> DataFrame:
     return _replaced(spark, sf)[1]

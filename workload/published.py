@@ -59,14 +59,10 @@ def full_load_all(spark: SparkSession, sf: str) -> DataFrame:
     return kept
 
 
-def _order_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return i.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-
-
 def _stale_live_table(spark: SparkSession, sf: str, root: str) -> LiveTable:
     """The live table as of HI, with stale prices, sliced by key."""
     live = LiveTable(spark, f"{_schema_name(root)}.orders", f"{root}/orders", HashSlices(("o_orderkey",), SLICES))
-    orders = _order_columns(spark, sf)
+    orders = i.table(spark, sf, "orders")
     stale = orders.filter(F.col("o_orderdate") <= ntz(i.HI)).withColumn("o_totalprice", F.col("o_totalprice") - 1)
     live.ensure(orders.schema)
     live.publish(live.write_version(stale, "initial"))
@@ -83,7 +79,7 @@ def cdc_sync_published(spark: SparkSession, sf: str) -> DataFrame:
     cfg = SyncConfig("orders", ("o_orderkey",), "o_orderdate")
     known = [(cfg.table, cfg.cursor, ",".join(cfg.keys), "", i.LO, i.LO)]
     control.append(small_frame(spark, known, control.columns))
-    (outcome,) = sync_many(spark, [SyncTarget(cfg, _order_columns(spark, sf), live)], control, root, i.RUN_ID)
+    (outcome,) = sync_many(spark, [SyncTarget(cfg, i.table(spark, sf, "orders"), live)], control, root, i.RUN_ID)
     if not outcome.ok:
         raise RuntimeError(outcome.error)
     live.expire(0)
@@ -92,13 +88,13 @@ def cdc_sync_published(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "stream_sync",
-    f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders""",
+    "SELECT * FROM orders",
 )
 def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     """The change file arrives as a stream and is merged into the stale live table."""
     root = run_folder(spark, "stream")
     live = _stale_live_table(spark, sf, root)
-    schema, table = _order_columns(spark, sf).schema, f"{sf}/orders.parquet"
+    schema, table = i.table(spark, sf, "orders").schema, f"{sf}/orders.parquet"
     if is_dir(spark, table):
         changes = read_changes(spark, table, schema)
     else:  # a stream reads folders, so a single file is picked out of its folder
@@ -111,13 +107,12 @@ def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "backfill_published",
-    f"""SELECT event_id, user_id, event_type, ts,
-    CASE WHEN ts >= {i.SQL_START} AND ts < {i.SQL_END} THEN value ELSE value + 1 END AS value FROM events""",
+    f"""SELECT * REPLACE (CASE WHEN ts >= {i.SQL_START} AND ts < {i.SQL_END} THEN value ELSE value + 1 END AS value) FROM events""",
 )
 def backfill_published(spark: SparkSession, sf: str) -> DataFrame:
     """A table sliced by day; the backfill rewrites only the days its interval touches."""
     root = run_folder(spark, "backfill")
-    events = i.table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    events = i.table(spark, sf, "events")
     live = LiveTable(spark, f"{_schema_name(root)}.events", f"{root}/events", DaySlices("ts"))
     live.ensure(events.schema)
     live.publish(live.write_version(events.withColumn("value", F.col("value") + 1), "initial"))

@@ -218,6 +218,20 @@ def watermarks(spark: SparkSession, sf: str) -> DataFrame:
     return ctl.lookup_watermarks(i.eligible(spark, sf), stored)
 
 
+@query(
+    "watermarks_many_sources",
+    f"""WITH {i.ELIGIBLE}, {i.CONTROL}, s AS (SELECT unnest(['crm', 'shop']) AS source)
+    SELECT lower(s.source || '.' || e.table_name) AS table_name,
+           CASE WHEN s.source = 'crm' THEN coalesce(c.last_watermark, {i.SQL_EPOCH}) ELSE {i.SQL_EPOCH} END AS watermark
+    FROM eligible e CROSS JOIN s LEFT JOIN control c ON e.table_name = c.table_name""",
+)
+def watermarks_many_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sources have tables of the same names; only the first one's, in another case, have a stored cursor."""
+    stored = i.control(spark, sf).withColumn("table_name", F.concat(F.lit("CRM."), F.upper("table_name")))
+    named = F.explode(F.transform(F.array(F.lit("crm"), F.lit("shop")), lambda s: F.concat(s, F.lit("."), F.col("table_name"))))
+    return ctl.lookup_watermarks(i.eligible(spark, sf).select(named.alias("table_name")), stored)
+
+
 @query(
     "control_init",
     f"""WITH {i.ELIGIBLE}, {i.CONTROL} SELECT * FROM control UNION ALL
