@@ -55,6 +55,9 @@ class Encoder:
             spec = json.load(f)
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         self.cut = _cuttable(spec) and bool(self.special)
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
         self.parting = spec["added_tokens"][0]["id"] if self.special else None
         self.vocabulary = max(self.tokenizer.get_vocab_size(), (end or 0) + 1)
         self._clear()
@@ -118,7 +121,9 @@ class Encoder:
         distinct, piece = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         where = np.empty(len(distinct), np.int64)
         where[piece[::-1]] = np.arange(len(piece) - 1, -1, -1)
-        slot = self._slots(distinct, joined, start[where], end[where])[piece]
+        sticky = np.append(0, np.cumsum(kind == STICKY))
+        words = (kind[start[where]] == LETTER) & (sticky[end[where]] == sticky[start[where]])
+        slot = self._slots(distinct, joined, start[where], end[where], words)[piece]
         count = self.count[slot]
         after = np.cumsum(count)
         ids = self.flat[np.repeat(self.first[slot] - (after - count), count) + np.arange(after[-1])]
@@ -126,19 +131,27 @@ class Encoder:
         for k, (low, high) in zip(chunk, zip(edge[:-1], edge[1:])):
             out[k] = self._ended(ids[low:high])
 
-    def _new(self, joined: bytes, start: list[int], end: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces one after another, and their numbers. The library gets many pieces at once, parted by a special token."""
-        flat, counts = [], []
-        for k in range(0, len(start), _BATCH):
-            some = [joined[s:e] for s, e in zip(start[k : k + _BATCH], end[k : k + _BATCH])]
-            ids = np.array(self._library([self.special[0].join(some)])[0], np.uint32)
-            parted = ids == self.parting
-            counts.append(np.diff(np.flatnonzero(parted), prepend=-1, append=len(ids)) - 1)
-            flat.append(ids[~parted])
+    def _new(self, pieces: list[bytes], words: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after another, and their numbers. The library gets many pieces at once: words parted by a
+        space, as each ends with an id that ends words, other pieces by a special token."""
+        flat, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(pieces), _BATCH):
+            some = pieces[k : k + _BATCH]
+            ids = np.array(self._library([(b" " if words else self.special[0]).join(some)])[0], np.uint32)
+            if words:
+                count = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+                if len(count) != len(some):  # not the kind of words that this holds for
+                    return self._new(pieces, False)
+            else:
+                parted = ids == self.parting
+                count = np.diff(np.flatnonzero(parted), prepend=-1, append=len(ids)) - 1
+                ids = ids[~parted]
+            counts.append(count)
+            flat.append(ids)
         return np.concatenate(flat), np.concatenate(counts)
 
-    def _slots(self, keys: np.ndarray, joined: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Places of the pieces among the encoded ones; new pieces are encoded first."""
+    def _slots(self, keys: np.ndarray, joined: bytes, start: np.ndarray, end: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Places of the pieces among the encoded ones; new pieces are encoded first. ``words``: of ASCII letters only."""
         if len(self.slots) > _KEPT:
             self._clear()
         wanted = keys.tolist()
@@ -146,7 +159,11 @@ class Encoder:
         new = np.flatnonzero(slot < 0)
         if len(new):
             n = len(self.slots)
-            flat, count = self._new(joined, start[new].tolist(), end[new].tolist())
+            new = np.concatenate((new[words[new]], new[~words[new]]))
+            pieces = [joined[s:e] for s, e in zip(start[new].tolist(), end[new].tolist())]
+            n_words = int(words[new].sum())
+            both = self._new(pieces[:n_words], True), self._new(pieces[n_words:], False)
+            flat, count = (np.concatenate(x) for x in zip(*both))
             self.flat = _room(self.flat, self.used + len(flat))
             self.flat[self.used : self.used + len(flat)] = flat
             self.first, self.count = _room(self.first, n + len(new)), _room(self.count, n + len(new))
