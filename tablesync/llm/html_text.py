@@ -3,7 +3,8 @@
 A page is read into blocks of text, each with where it stands: in an article, in a part that by its tag, role or class is
 no article (menus, headers, footers, sidebars, notices, adverts, forms, comments), or neither. The token streams of a
 host's pages, articles left out, are concatenated and their suffixes sorted; runs of ``Settings.run`` tokens and more
-that stand on several distinct pages are boilerplate, and are cut out. What is left of a page are its articles whole, or
+that stand on several distinct pages are boilerplate, and are cut out; pages of equal text outside parts are copies of
+one page and count once. What is left of a page are its articles whole, or
 if it has none, the unique runs of blocks that are in no part of the second kind. An article's own text is never cut,
 even if other pages repeat it.
 
@@ -17,6 +18,7 @@ give equal texts. An empty table gives an empty result. Columns beside identifie
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -131,13 +133,14 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return out
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int) -> np.ndarray:
+def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int, alike: np.ndarray | None = None) -> np.ndarray:
     """Which tokens lie in a run that stands on so many distinct pages. Runs end with their page.
 
-    Suffixes are ranked by their first 1, 2, 4, ... tokens; equal ranks next to each other in the sorted order are the
-    places of one run.
+    ``alike`` numbers pages so that copies share a number; without it all pages are distinct. Suffixes are ranked by their
+    first 1, 2, 4, ... tokens; equal ranks next to each other in the sorted order are the places of one run.
     """
     n = len(tokens)
+    alike = page if alike is None else alike
     covered = np.zeros(n, bool)
     if n < run:
         return covered
@@ -151,11 +154,11 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int) -> np.n
         length += step
     inside = np.zeros(n, bool)
     inside[: n - run + 1] = page[: n - run + 1] == page[run - 1 :]
-    order = np.lexsort((page, rank))
+    order = np.lexsort((alike, rank))
     order = order[inside[order]]
     if not len(order):
         return covered
-    r, p = rank[order], page[order]
+    r, p = rank[order], alike[order]
     first = np.append(True, r[1:] != r[:-1])
     fresh = first | np.append(True, p[1:] != p[:-1])
     group = np.cumsum(first) - 1
@@ -166,6 +169,12 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int) -> np.n
     return np.cumsum(edge[:-1]) > 0
 
 
+def content(page_blocks: list[tuple[str, str]]) -> int:
+    """Equal for pages of one content: 63 bits of their text outside parts. Copies differ in parts only, if at all."""
+    text = "\n".join(text for place, text in page_blocks if place != IN_PART)
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") >> 1
+
+
 def main_texts(pages: list[str], settings: Settings = Settings()) -> list[str]:
     """Main text of each page of one shard of a host."""
     found = [blocks(p) for p in pages]
@@ -178,8 +187,10 @@ def main_texts(pages: list[str], settings: Settings = Settings()) -> list[str]:
                 words = ["\n", *text.split(), "\n"]  # the edges of a block are tokens too
                 tokens += [numbers.setdefault(w, len(numbers)) for w in words]
                 page += [k] * len(words)
-    least = max(settings.pages, int(np.ceil(settings.share * len(pages))))
-    covered = repeated(np.array(tokens, np.int64), np.array(page, np.int64), settings.run, least)
+    contents = np.unique(np.array([content(f) for f in found], np.int64), return_inverse=True)[1]
+    least = max(settings.pages, int(np.ceil(settings.share * (contents.max(initial=-1) + 1))))
+    page = np.array(page, np.int64)
+    covered = repeated(np.array(tokens, np.int64), page, settings.run, least, contents[page])
     out = []
     for k, page_blocks in enumerate(found):
         wanted = IN_ARTICLE if any(place == IN_ARTICLE for place, _ in page_blocks) else NEITHER

@@ -34,6 +34,16 @@ def test_runs_on_many_pages_are_cut_where_there_is_no_article():
     assert [b[0] for b in blocks(pages[0])] == ["neither"] * 3
 
 
+def test_copies_are_one_page():
+    page = "<nav>visitor %d</nav><p>the main text of a page that has no article at all</p><p>and a second block of it</p>"
+    text = "the main text of a page that has no article at all\nand a second block of it"
+    assert main_texts([page % k for k in range(4)]) == [text] * 4
+    foot = "<p>shared tail of this host now</p>"
+    others = ["<p>%s</p>" % " ".join(f"w{k}{i}" for i in range(9)) for k in range(3)]
+    got = main_texts([page % k + foot for k in range(4)] + [o + foot for o in others])
+    assert got[:4] == [text] * 4 and all("shared" not in t for t in got)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), max_size=15), min_size=1, max_size=8), st.integers(2, 5), st.integers(2, 3))
 def test_runs_are_those_of_brute_force(pages, run, least):
