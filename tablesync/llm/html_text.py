@@ -2,11 +2,11 @@
 
 A page is read into blocks of text, each with where it stands: in an article, in a part that by its tag, role or class is
 no article (menus, headers, footers, sidebars, notices, adverts, forms, comments), or neither. The token streams of a
-host's pages, articles left out, are concatenated and their suffixes sorted; runs of ``Settings.run`` tokens and more
-that stand on several distinct pages are boilerplate, and are cut out; pages of equal text outside parts are copies of
-one page and count once. What is left of a page are its articles whole, or
-if it has none, the unique runs of blocks that are in no part of the second kind. An article's own text is never cut,
-even if other pages repeat it.
+host's pages are concatenated and their suffixes sorted; runs of ``Settings.run`` tokens and more that stand on several
+distinct pages are boilerplate, and are cut out; pages of equal text outside parts are copies of one page and count once.
+Where a block stands is evidence beside that: in an article a run must stand on more pages to be cut, as articles quote
+each other, and parts of the second kind are left out also where they are unique, as comments are. What is left of a page
+are the other runs of its blocks, in an article or not.
 
 Hosts are cut into shards of a bounded number of pages and bytes, each with a suffix array of its own: a hot host is many
 tasks, and a shard fits in memory. The pages are shuffled once, with the number of shards of large hosts, which is
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +39,9 @@ class Settings:
     #: Distinct pages that a run must stand on: at least so many, and this share of the shard's.
     pages: int = 3
     share: float = 0.02
+    #: The same for a run in an article.
+    article_pages: int = 10
+    article_share: float = 0.1
     shard_pages: int = 200
     shard_bytes: int = 4 << 20
 
@@ -84,6 +88,7 @@ def blocks(page: str) -> list[tuple[str, str]]:
     out: list[tuple[str, str]] = []
     held: list[str] = []
     part, depth, article = "", 0, []  # the open part and how often its tag is open in it; open articles
+    around = "", 0  # the part around the open articles, and how often its tag is open
     raw = ""
 
     def flush() -> None:
@@ -119,8 +124,8 @@ def blocks(page: str) -> list[tuple[str, str]]:
                 if not depth:
                     part = ""
             elif tag in ARTICLES and not ends and not _is_part(tag, piece["rest"], False):
-                part, depth = "", 0  # a part that was never closed
-                article.append(tag)
+                around, part, depth = (part, depth), "", 0  # the article stands in a part, which goes on after it
+                article = [tag]
             continue
         if not ends and _is_part(tag, piece["rest"], bool(article)):
             flush()
@@ -129,21 +134,22 @@ def blocks(page: str) -> list[tuple[str, str]]:
             article.append(tag)
         elif tag in article and ends:
             article.remove(tag)
+            if not article:
+                part, depth = around
+                around = "", 0
     flush()
     return out
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int, alike: np.ndarray | None = None) -> np.ndarray:
-    """Which tokens lie in a run that stands on so many distinct pages. Runs end with their page.
+def runs(tokens: np.ndarray, page: np.ndarray, run: int, alike: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where runs start, the number of each start's run, and on how many distinct pages each run stands.
 
-    ``alike`` numbers pages so that copies share a number; without it all pages are distinct. Suffixes are ranked by their
-    first 1, 2, 4, ... tokens; equal ranks next to each other in the sorted order are the places of one run.
+    Runs end with their page; ``alike`` numbers pages so that copies share a number. Suffixes are ranked by their first
+    1, 2, 4, ... tokens; equal ranks next to each other in the sorted order are the places of one run.
     """
-    n = len(tokens)
-    alike = page if alike is None else alike
-    covered = np.zeros(n, bool)
+    n, none = len(tokens), np.zeros(0, np.int64)
     if n < run:
-        return covered
+        return none, none, none
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     length = 1
     while length < run:
@@ -157,18 +163,28 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int, alike:
     order = np.lexsort((alike, rank))
     order = order[inside[order]]
     if not len(order):
-        return covered
+        return none, none, none
     r, p = rank[order], alike[order]
     first = np.append(True, r[1:] != r[:-1])
     fresh = first | np.append(True, p[1:] != p[:-1])
     group = np.cumsum(first) - 1
-    starts = order[(np.bincount(group, fresh) >= pages)[group]]
+    return order, group, np.bincount(group, fresh).astype(np.int64)
+
+
+def covered_by(starts: np.ndarray, run: int, n: int) -> np.ndarray:
+    """Which of n tokens lie in the runs that start at these."""
     edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + run, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
+def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int) -> np.ndarray:
+    """Which tokens lie in a run that stands on so many distinct pages."""
+    starts, group, on = runs(tokens, page, run, page)
+    return covered_by(starts[on[group] >= pages], run, len(tokens))
+
+
 def content(page_blocks: list[tuple[str, str]]) -> int:
     """Equal for pages of one content: 63 bits of their text outside parts. Copies differ in parts only, if at all."""
     text = "\n".join(text for place, text in page_blocks if place != IN_PART)
@@ -181,26 +197,30 @@ def main_texts(pages: list[str], settings: Settings = Settings()) -> list[str]:
     numbers: dict[str, int] = {}
     tokens, page, start = [], [], {}
     for k, page_blocks in enumerate(found):
-        for b, (place, text) in enumerate(page_blocks):
-            if place != IN_ARTICLE:
-                start[k, b] = len(tokens)
-                words = ["\n", *text.split(), "\n"]  # the edges of a block are tokens too
-                tokens += [numbers.setdefault(w, len(numbers)) for w in words]
-                page += [k] * len(words)
+        for b, (_, text) in enumerate(page_blocks):
+            start[k, b] = len(tokens)
+            words = ["\n", *text.split(), "\n"]  # the edges of a block are tokens too
+            tokens += [numbers.setdefault(w, len(numbers)) for w in words]
+            page += [k] * len(words)
     contents = np.unique(np.array([content(f) for f in found], np.int64), return_inverse=True)[1]
-    least = max(settings.pages, int(np.ceil(settings.share * (contents.max(initial=-1) + 1))))
+    distinct = int(contents.max(initial=-1)) + 1
     page = np.array(page, np.int64)
-    covered = repeated(np.array(tokens, np.int64), page, settings.run, least, contents[page])
+    starts, group, on = runs(np.array(tokens, np.int64), page, settings.run, contents[page])
+    on = on[group]
+    least = {
+        NEITHER: max(settings.pages, math.ceil(settings.share * distinct)),
+        IN_ARTICLE: max(settings.article_pages, math.ceil(settings.article_share * distinct)),
+    }
+    covered = {place: covered_by(starts[on >= n], settings.run, len(tokens)) for place, n in least.items()}
     out = []
     for k, page_blocks in enumerate(found):
-        wanted = IN_ARTICLE if any(place == IN_ARTICLE for place, _ in page_blocks) else NEITHER
         kept = []
         for b, (place, text) in enumerate(page_blocks):
-            if (k, b) in start:
-                at = start[k, b] + 1
-                text = " ".join(w for i, w in enumerate(text.split()) if not covered[at + i])
-            if place == wanted and text:
-                kept.append(text)
+            if place != IN_PART:
+                at, cut = start[k, b] + 1, covered[place]
+                text = " ".join(w for i, w in enumerate(text.split()) if not cut[at + i])
+                if text:
+                    kept.append(text)
         out.append("\n".join(kept))
     return out
 

@@ -34,6 +34,19 @@ def test_runs_on_many_pages_are_cut_where_there_is_no_article():
     assert [b[0] for b in blocks(pages[0])] == ["neither"] * 3
 
 
+def test_runs_decide_in_and_beside_articles():
+    card = "<article>one small card %d</article>"
+    body = ["<div>%s</div>" % " ".join(f"v{k}x{i}" for i in range(40)) for k in range(12)]
+    tail = "<p>shared tail of this host now</p>"
+    got = main_texts([card % k + b + tail for k, b in enumerate(body)])
+    assert got == ["one small card %d\n" % k + b[5:-6] for k, b in enumerate(body)]
+    sign = "please support our work with a small gift"
+    own = [" ".join(f"w{k}y{i}" for i in range(30)) for k in range(12)]
+    assert main_texts([f"<article><p>{o}</p><p>{sign}</p></article>" for o in own]) == own
+    few = main_texts([f"<article><p>{o}</p>{'<p>%s</p>' % sign if k < 4 else ''}</article>" for k, o in enumerate(own)])
+    assert few == [o + ("\n" + sign if k < 4 else "") for k, o in enumerate(own)]
+
+
 def test_copies_are_one_page():
     page = "<nav>visitor %d</nav><p>the main text of a page that has no article at all</p><p>and a second block of it</p>"
     text = "the main text of a page that has no article at all\nand a second block of it"
