@@ -9,8 +9,12 @@ each other, and parts of the second kind are left out also where they are unique
 are the other runs of its blocks, in an article or not.
 
 Hosts are cut into shards of a bounded number of pages and bytes, each with a suffix array of its own: a hot host is many
-tasks, and a shard fits in memory. The pages are shuffled once, with the number of shards of large hosts, which is
-broadcast only if there are at most ``MANY`` of these.
+tasks, and a shard fits in memory. Pages are counted over the whole host, so results do not depend on the shards. Where a
+host has several, one copy of each page is its owner and counts. A run on enough pages of the host stands on the mean number
+for a shard in one of them at least: a first pass finds these runs, a second counts them in all shards by 64-bit hash, and
+the last one cuts. Each pass shuffles pages once, the first two those of large hosts only. The hashes of the first pass are
+broadcast if there are at most ``MANY_RUNS``, or else all runs of large hosts are counted; the large hosts are, if there are
+at most ``MANY``.
 
 Null html is empty and gives the empty text. Pages without a readable host share the empty host's shards. Repeated rows
 give equal texts. An empty table gives an empty result. Columns beside identifier, url and html are not looked at.
@@ -29,14 +33,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tablesync.llm.common import Scratch, whole
+from tablesync.llm.common import Scratch, batch_parts, whole
 
 
 @dataclass(frozen=True)
 class Settings:
     run: int = 6
-    #: Distinct pages that a run must stand on: at least so many, and this share of the shard's.
+    #: Distinct pages that a run must stand on: at least so many, and this share of the host's.
     pages: int = 3
     share: float = 0.02
     #: The same for a run in an article.
@@ -47,6 +52,8 @@ class Settings:
 
 
 MANY = 50_000
+MANY_RUNS = 4_000_000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 #: HTML elements by what they do to text.
 BLOCKS = set(
@@ -141,10 +148,11 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return out
 
 
-def runs(tokens: np.ndarray, page: np.ndarray, run: int, alike: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(tokens: np.ndarray, page: np.ndarray, run: int, alike: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where runs start, the number of each start's run, and on how many distinct pages each run stands.
 
-    Runs end with their page; ``alike`` numbers pages so that copies share a number. Suffixes are ranked by their first
+    Runs end with their page; ``alike`` numbers pages so that copies share a number, and only ``counted`` tokens make their
+    page count. Suffixes are ranked by their first
     1, 2, 4, ... tokens; equal ranks next to each other in the sorted order are the places of one run.
     """
     n, none = len(tokens), np.zeros(0, np.int64)
@@ -160,7 +168,7 @@ def runs(tokens: np.ndarray, page: np.ndarray, run: int, alike: np.ndarray) -> t
         length += step
     inside = np.zeros(n, bool)
     inside[: n - run + 1] = page[: n - run + 1] == page[run - 1 :]
-    order = np.lexsort((alike, rank))
+    order = np.lexsort((~counted, alike, rank))
     order = order[inside[order]]
     if not len(order):
         return none, none, none
@@ -168,7 +176,7 @@ def runs(tokens: np.ndarray, page: np.ndarray, run: int, alike: np.ndarray) -> t
     first = np.append(True, r[1:] != r[:-1])
     fresh = first | np.append(True, p[1:] != p[:-1])
     group = np.cumsum(first) - 1
-    return order, group, np.bincount(group, fresh).astype(np.int64)
+    return order, group, np.bincount(group, fresh & counted[order]).astype(np.int64)
 
 
 def covered_by(starts: np.ndarray, run: int, n: int) -> np.ndarray:
@@ -181,7 +189,7 @@ def covered_by(starts: np.ndarray, run: int, n: int) -> np.ndarray:
 
 def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int) -> np.ndarray:
     """Which tokens lie in a run that stands on so many distinct pages."""
-    starts, group, on = runs(tokens, page, run, page)
+    starts, group, on = runs(tokens, page, run, page, np.ones(len(page), bool))
     return covered_by(starts[on[group] >= pages], run, len(tokens))
 
 
@@ -191,73 +199,179 @@ def content(page_blocks: list[tuple[str, str]]) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") >> 1
 
 
-def main_texts(pages: list[str], settings: Settings = Settings()) -> list[str]:
-    """Main text of each page of one shard of a host."""
-    found = [blocks(p) for p in pages]
-    numbers: dict[str, int] = {}
-    tokens, page, start = [], [], {}
-    for k, page_blocks in enumerate(found):
-        for b, (_, text) in enumerate(page_blocks):
-            start[k, b] = len(tokens)
-            words = ["\n", *text.split(), "\n"]  # the edges of a block are tokens too
-            tokens += [numbers.setdefault(w, len(numbers)) for w in words]
-            page += [k] * len(words)
-    contents = np.unique(np.array([content(f) for f in found], np.int64), return_inverse=True)[1]
-    distinct = int(contents.max(initial=-1)) + 1
-    page = np.array(page, np.int64)
-    starts, group, on = runs(np.array(tokens, np.int64), page, settings.run, contents[page])
-    on = on[group]
-    least = {
-        NEITHER: max(settings.pages, math.ceil(settings.share * distinct)),
-        IN_ARTICLE: max(settings.article_pages, math.ceil(settings.article_share * distinct)),
-    }
-    covered = {place: covered_by(starts[on >= n], settings.run, len(tokens)) for place, n in least.items()}
-    out = []
-    for k, page_blocks in enumerate(found):
-        kept = []
-        for b, (place, text) in enumerate(page_blocks):
-            if place != IN_PART:
-                at, cut = start[k, b] + 1, covered[place]
-                text = " ".join(w for i, w in enumerate(text.split()) if not cut[at + i])
-                if text:
-                    kept.append(text)
-        out.append("\n".join(kept))
-    return out
+class Shard:
+    """Pages of a host, or some of them, with the runs of their tokens. ``counted`` says which pages count; without it the
+    copy of the least ``order`` does."""
+
+    def __init__(self, pages: list[str], settings: Settings, order: list[int] | None = None, counted: list[bool] | None = None):
+        self.run, self.found = settings.run, [blocks(p) for p in pages]
+        numbers: dict[str, int] = {}
+        tokens, page, self.start = [], [], {}
+        for k, page_blocks in enumerate(self.found):
+            for b, (_, text) in enumerate(page_blocks):
+                self.start[k, b] = len(tokens)
+                words = ["\n", *text.split(), "\n"]  # the edges of a block are tokens too
+                tokens += [numbers.setdefault(w, len(numbers)) for w in words]
+                page += [k] * len(words)
+        contents = np.unique(np.array([content(f) for f in self.found], np.int64), return_inverse=True)[1]
+        self.distinct = int(contents.max(initial=-1)) + 1
+        if counted is None:
+            order = np.arange(len(pages)) if order is None else np.array(order, np.int64)
+            least = np.full(self.distinct, np.iinfo(np.int64).max)
+            np.minimum.at(least, contents, order)
+            counted = order == least[contents]
+        page = np.array(page, np.int64)
+        self.words, self.tokens = list(numbers), np.array(tokens, np.int64)
+        self.starts, self.group, self.on = runs(self.tokens, page, self.run, contents[page], np.array(counted, bool)[page])
+
+    def keys(self) -> np.ndarray:
+        """Hashes of the runs by their words, equal in all shards."""
+        first = self.starts[np.unique(self.group, return_index=True)[1]]
+        word = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in self.words], np.uint64)
+        key = np.zeros(len(first), np.uint64)
+        for k in range(self.run if len(first) else 0):
+            key = (key ^ word[self.tokens[first + k]]) * _MIX
+            key ^= key >> np.uint64(31)
+        return key.view(np.int64)
+
+    def texts(self, cut: dict[str, np.ndarray]) -> list[str]:
+        """Main texts without the runs that are to be cut from blocks of each place."""
+        covered = {place: covered_by(self.starts[which[self.group]], self.run, len(self.tokens)) for place, which in cut.items()}
+        out = []
+        for k, page_blocks in enumerate(self.found):
+            kept = []
+            for b, (place, text) in enumerate(page_blocks):
+                if place != IN_PART:
+                    at, gone = self.start[k, b] + 1, covered[place]
+                    text = " ".join(w for i, w in enumerate(text.split()) if not gone[at + i])
+                    if text:
+                        kept.append(text)
+            out.append("\n".join(kept))
+        return out
+
+
+def main_texts(pages: list[str], settings: Settings = Settings(), order: list[int] | None = None) -> list[str]:
+    """Main text of each page of one host."""
+    shard = Shard(pages, settings, order)
+    least = max(settings.pages, math.ceil(settings.share * shard.distinct))
+    least_article = max(settings.article_pages, math.ceil(settings.article_share * shard.distinct))
+    return shard.texts({NEITHER: shard.on >= least, IN_ARTICLE: shard.on >= least_article})
+
+
+#: Kinds of rows of a shard, in this order: rows that own their content, runs to be cut, pages.
+OWNER, CUT, PAGE = range(3)
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], list[dict], list[dict]]]:
+    """Owners, runs to be cut and pages of each shard; they come sorted by it."""
+    held, at = ([], [], []), None
+    for batch in batches:
+        for part in range(0, batch.num_rows, 256):
+            for row in batch.slice(part, 256).to_pylist():
+                if at is not None and at != (row["host"], row["shard"]):
+                    yield held
+                    held = ([], [], [])
+                at = row["host"], row["shard"]
+                held[row["kind"]].append(row)
+    if at is not None:
+        yield held
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in batch_parts(batch):
+            got = pa.array([content(blocks(p)) for p in part.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), got], names=["host", "row", "content"])
+
+
+def _counted(settings: Settings, wanted=None, first: bool = False):
+    """Runs of each shard and their pages: in the first pass those on ``enough`` pages, then those wanted."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for owners, _, pages in _by_shard(batches):
+            if not pages or first and pages[0]["enough"] < 2:
+                continue
+            own = {r["row"] for r in owners}
+            shard = Shard([r["html"] for r in pages], settings, counted=[r["row"] in own for r in pages])
+            keys, on = shard.keys(), shard.on
+            if first:
+                kept = on >= pages[0]["enough"]
+            elif wanted is None or pages[0]["enough"] < 2:
+                kept = np.ones(len(on), bool)
+            else:
+                kept = np.isin(keys, wanted.value)
+            n = int(kept.sum())
+            columns = [pa.array([pages[0]["host"]] * n, pa.string()), pa.array([pages[0]["shard"]] * n, pa.int64()), pa.array(keys[kept]), pa.array(on[kept])]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "shard", "run", "n"])
 
-def _extracted(settings: Settings):
-    names = ["page_id", "url", "text"]
+    return run
 
-    def texts(rows: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
-        got = main_texts([r[4] for r in rows], settings)
-        return pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows], kinds[0]), pa.array([r[3] for r in rows], kinds[1]), pa.array(got, pa.string())], names=names)
 
+def _extracted(settings: Settings, kinds: list[pa.DataType]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for batch in batches:
-            kinds = [batch.schema.field(k).type for k in (2, 3)]
-            for at in range(0, batch.num_rows, 256):
-                for row in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
-                    if held and held[0][:2] != row[:2]:
-                        yield texts(held, kinds)
-                        held = []
-                    held.append(row)
-        if held:
-            yield texts(held, kinds)
+        for _, cut, pages in _by_shard(batches):
+            if not pages:
+                continue
+            bodies = [r["html"] for r in pages]
+            if pages[0]["shards"] is None:
+                got = main_texts(bodies, settings, [r["row"] for r in pages])
+            else:
+                shard = Shard(bodies, settings)
+                keys = shard.keys()
+                weak, strong = (np.array([r["run"] for r in cut if r["strong"] or not least], np.int64) for least in (0, 1))
+                got = shard.texts({NEITHER: np.isin(keys, weak), IN_ARTICLE: np.isin(keys, strong)})
+            columns = [pa.array([r[c] for r in pages], kind) for c, kind in zip(("page_id", "url"), kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(got, pa.string())], names=["page_id", "url", "text"])
 
     return run
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("host", "shard").sortWithinPartitions("host", "shard", "kind")
+
+
+def _cut_runs(rows: DataFrame, large: DataFrame, settings: Settings, scratch: Scratch) -> DataFrame:
+    """host, shard, kind, run, strong: the runs to be cut in each shard of the large hosts, strong ones from articles too."""
+    spark = rows.sparkSession
+    contents = rows.select("host", "row", "html").mapInArrow(_contents, "host string, row long, content long")
+    owners = scratch.write("owners", contents.groupBy("host", "content").agg(F.min("row").alias("row")))
+    on = lambda pages, share: F.greatest(F.lit(pages), F.ceil(F.lit(share) * F.col("distinct")))
+    limits = owners.groupBy("host").agg(F.count("*").alias("distinct")).join(large, "host")
+    limits = limits.select("host", "shards", on(settings.pages, settings.share).alias("least"), on(settings.article_pages, settings.article_share).alias("least_article"))
+    limits = scratch.write("limits", limits.withColumn("enough", F.ceil(F.col("least") / F.col("shards"))))
+    limits = F.broadcast(limits) if limits.count() <= MANY else limits
+    shard = F.pmod("row", "shards").alias("shard")
+    paged = rows.join(limits, "host").select("host", shard, F.lit(PAGE).alias("kind"), "row", "html", "enough")
+    owned = owners.join(limits, "host").select("host", shard, F.lit(OWNER).alias("kind"), "row")
+    dealt = _dealt(paged.unionByName(owned, allowMissingColumns=True))
+    kinds = "host string, shard long, run long, n long"
+    often = scratch.write("often", dealt.mapInArrow(_counted(settings, first=True), kinds).select("run").distinct())
+    wanted = spark.sparkContext.broadcast(np.sort(often.toArrow().column(0).to_numpy())) if often.count() <= MANY_RUNS else None
+    counts = scratch.write("counts", dealt.mapInArrow(_counted(settings, wanted), kinds))
+    totals = counts.groupBy("host", "run").agg(F.sum("n").alias("n")).join(limits, "host").where("n >= least").select("host", "run", (F.col("n") >= F.col("least_article")).alias("strong"))
+    return counts.join(totals, ["host", "run"]).select("host", "shard", F.lit(CUT).alias("kind"), "run", "strong")
+
+
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", body: str = "html", settings: Settings = Settings()) -> DataFrame:
     """page_id, url, text, n_chars of every row; page_id and url keep their types."""
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select(host.alias("host"), F.col(page_id).alias("page_id"), F.col(url).alias("url"), whole(body).alias("html"))
-    sizes = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("bytes"))
+    rows = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
+    weight = F.least(F.octet_length("html"), F.lit(settings.shard_bytes))  # a long page is one shard at most
+    sizes = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(weight).alias("bytes"))
     shards = F.greatest(F.ceil(F.col("n") / settings.shard_pages), F.ceil(F.col("bytes") / settings.shard_bytes))
-    large = Scratch(pages.sparkSession, "hosts").write("large", sizes.select("host", shards.alias("shards")).where("shards > 1"))
-    large = F.broadcast(large) if large.count() <= MANY else large
-    shard = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("shards", F.lit(1)))
-    dealt = rows.join(large, "host", "left").select("host", shard.alias("shard"), "page_id", "url", "html").repartition("host", "shard").sortWithinPartitions("host", "shard")
+    scratch = Scratch(pages.sparkSession, "hosts")
+    large = scratch.write("large", sizes.select("host", shards.alias("shards")).where("shards > 1"))
+    n = large.count()
+    large = F.broadcast(large) if n <= MANY else large
+    shard = F.pmod("row", F.coalesce("shards", F.lit(1))).alias("shard")
+    dealt = rows.join(large, "host", "left").select("host", shard, F.lit(PAGE).alias("kind"), "shards", "row", "page_id", "url", "html")
+    if n:
+        cut = _cut_runs(rows.join(large.select("host"), "host", "left_semi"), large, settings, scratch)
+        dealt = dealt.unionByName(cut, allowMissingColumns=True)
+    else:
+        dealt = dealt.withColumns({"run": F.lit(None).cast("long"), "strong": F.lit(None).cast("boolean")})
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    texts = dealt.mapInArrow(_extracted(settings), f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
+    arrow = [f.type for f in to_arrow_schema(rows.select("page_id", "url").schema)]
+    texts = _dealt(dealt).mapInArrow(_extracted(settings, arrow), f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -8,7 +8,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tablesync.llm.html_text import blocks, main_text, main_texts, repeated
+from tablesync.llm.html_text import Settings, blocks, main_text, main_texts, repeated
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="comment-page">
 <header><h1>Site</h1></header><nav><ul><li><a href="/x">menu</a></li></ul></nav><!-- <p>no</p> --><div class="ad-box"><div>buy</div> now</div>
@@ -73,6 +73,18 @@ def test_runs_are_those_of_brute_force(pages, run, least):
     assert repeated(np.array(tokens, np.int64), np.array(page, np.int64), run, least).tolist() == want.tolist()
 
 
+def test_shards_do_not_change_results(spark):
+    tail, sign = "<p>shared tail of this host now</p>", "please support our work with a small gift"
+    rows = [(k, "http://h.example/%d" % k, f"<p>{' '.join(f'w{k}y{i}' for i in range(9))}</p>" + (tail if k % 13 == 0 else "") + (f"<p>{sign}</p>" if k < 2 else "")) for k in range(40)]
+    rows += [(100 + k, "http://h.example/?%d" % k, f"<nav>{k}</nav><article>{' '.join(f'a{k % 20}y{i}' for i in range(9))} {sign}</article>") for k in range(30)]
+    rows += [(200 + k, "http://h.example/c%d" % k, "<p>one page that has many copies on this host</p>") for k in range(30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    whole = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert whole[0] == " ".join(f"w0y{i}" for i in range(9)) and whole[205] == "one page that has many copies on this host" and "support" not in whole[100]
+    for size in (Settings(shard_pages=7), Settings(shard_pages=50), Settings(shard_bytes=100)):
+        assert {r.page_id: r.text for r in main_text(pages, settings=size).collect()} == whole
+
+
 def test_table(spark):
     rows = [(k, "http://hot.example/%d" % k, PAGE, "x") for k in range(450)] + [(None, None, None, "x"), (1, "bad url", "<p>q</p>", "x"), (1, "bad url", "<p>q</p>", "x"), (2, "https://b.example", "<article>" + "w " * 100_000, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
