@@ -14,9 +14,10 @@ a summary of bounded size finds candidates, a second pass counts them exactly, a
    those whose plain Jaccard similarity is.
 4. Links make classes, by connected components over tables on shared storage.
 5. What that leaves are buckets that hold several classes. Within these, texts of different classes are compared by their
-   samples, in blocks; large buckets are first divided by a second and a third band, in which similar texts agree as
-   well. Texts with a partner of enough equal samples meet once more, with their shingles, and are verified in the task:
-   no pairs leave it but the links that join classes, fewer than there are texts. The classes are joined along these.
+   samples, whole at any size: a bucket is dealt into blocks of about ``BLOCK`` texts, and each pair of blocks that may
+   hold two classes meets in a group of its own, so a text goes to as many groups as its bucket has such blocks. Texts with a
+   partner of enough equal samples meet once more, with their shingles, and are verified in the task: no pairs leave it but
+   the links that join classes, fewer than there are texts. The classes are joined along these.
 
 Null texts count as empty; empty texts are equal. Null identifiers come after all others. Rows of one identifier are one
 document: they share its class, by the smaller of their texts where these differ. An empty table gives an empty result. Columns beside identifier and text are not looked at.
@@ -43,11 +44,13 @@ BANDS, ROWS = 16, 4
 SIMILAR = 0.8
 #: Of ``BANDS * ROWS`` samples, two texts of similarity 0.8 agree in fewer than this once in ten thousand times.
 AGREEING = 38
-#: Buckets with more texts are divided by a further band.
-LARGE = 400
+#: Texts of a bucket that meet in one group, from each of its two blocks.
+BLOCK = 256
 #: Identifiers are smaller.
 _NO_ID = 1 << 62
 _TABLE = 1 << 14
+#: The side of rows whose block meets itself.
+BOTH = 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -291,10 +294,10 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def _agreeing(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Places of two rows (key, id, label, samples) of different classes that agree in enough samples, and in how many;
-    in the first of the bands that both share only, if the key is that of a band."""
-    label = np.array([r[2] for r in rows], np.int64)
-    got = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), -1)
+    """Places of two rows (pair, key, side, id, label, samples) of different classes and, of two blocks, different sides
+    that agree in enough samples, and in how many; only in the first of the bands that both share."""
+    side, label = np.array([r[2] for r in rows]), np.array([r[4] for r in rows], np.int64)
+    got = np.frombuffer(b"".join(r[5] for r in rows), np.uint32).reshape(len(rows), -1)
     keys = band_keys(got)
     for at in range(0, len(rows), 64):
         block = got[at : at + 64]
@@ -303,39 +306,39 @@ def _agreeing(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
             agree = np.zeros((len(block), len(far)), np.int16)
             for k in range(got.shape[1]):
                 agree += block[:, k][:, None] == far[:, k][None, :]
-            apart = label[at : at + 64][:, None] != label[other : other + 2048][None, :]
+            left, right = side[at : at + 64][:, None], side[other : other + 2048][None, :]
+            apart = (label[at : at + 64][:, None] != label[other : other + 2048][None, :]) & ((left != right) | (left == BOTH))
             x, y = np.nonzero((agree >= AGREEING) & apart)
             many = agree[x, y]
             x, y = x + at, y + other
             for part in range(0, len(x), 1 << 16):
                 a, b, n = (v[part : part + (1 << 16)] for v in (x, y, many))
-                same = keys[a] == keys[b]
-                first = keys[a, same.argmax(axis=1)]
-                here = (a < b) & (~same.any(axis=1) | (first == rows[0][0]) | ~(keys[a] == rows[0][0]).any(axis=1))
+                first = keys[a, (keys[a] == keys[b]).argmax(axis=1)]
+                here = (a < b) & (first == rows[0][1])
                 yield a[here], b[here], n[here]
 
 
 def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (key, id, label, samples) that have a partner to be compared with in their bucket."""
-    names = ["key", "id", "label", "samples"]
+    """The rows (pair, key, side, id, label, samples) that have a partner to be compared with in their group."""
+    kinds = {"pair": pa.int64(), "key": pa.int64(), "side": pa.int32(), "id": pa.int64(), "label": pa.int64(), "samples": pa.binary()}
     for rows in _by_key(batches):
         found = np.zeros(len(rows), bool)
         for x, y, _ in _agreeing(rows):
             found[x] = found[y] = True
         if found.any():
             kept = [rows[k] for k in np.flatnonzero(found)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept), kinds.values())], names=list(kinds))
 
 
 def _joining(weights):
-    """Links that join classes within a bucket: rows (key, id, label, samples, hashed words). Partners are compared by
-    their shingles, those that agree most first, unless links found before have joined their classes."""
+    """Links that join classes within a group: rows (pair, key, side, id, label, samples, hashed words). Partners are
+    compared by their shingles as they are found, unless links found before have joined their classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_key(batches):
-            s = Shingles(pa.array([r[4] for r in rows], pa.list_(pa.int64())))
+            s = Shingles(pa.array([r[6] for r in rows], pa.list_(pa.int64())))
             weight, edge = weights.value.of(s), np.append(s.first, len(s.hash))
-            root = {r[2]: r[2] for r in rows}
+            root = {r[4]: r[4] for r in rows}
 
             def find(label: int) -> int:
                 while root[label] != label:
@@ -350,32 +353,40 @@ def _joining(weights):
                 total = weight[a].sum() + weight[b].sum()
                 return max(shared / (total - shared), len(i) / (every - len(i))) >= SIMILAR
 
-            parts = list(_agreeing(rows))
-            x, y, n = (np.concatenate([p[k] for p in parts]) for k in range(3)) if parts else ([], [], np.zeros(0))
             links = []
-            for k in np.argsort(-n, kind="stable").tolist():
-                a, b = int(x[k]), int(y[k])
-                p, q = find(rows[a][2]), find(rows[b][2])
-                if p != q and similar(a, b):
-                    root[max(p, q)] = min(p, q)
-                    links.append(sorted((rows[a][1], rows[b][1])))
+            for x, y, n in _agreeing(rows):
+                for k in np.argsort(-n, kind="stable").tolist():
+                    a, b = int(x[k]), int(y[k])
+                    p, q = find(rows[a][4]), find(rows[b][4])
+                    if p != q and similar(a, b):
+                        root[max(p, q)] = min(p, q)
+                        links.append(sorted((rows[a][3], rows[b][3])))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
 
     return run
 
 
-def _mixed_buckets(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (key, id, label, samples) of buckets with several classes: the small buckets, and the large ones."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", "n")
-    found = rows.join(sizes, "key")
-    return found.where(F.col("n") <= LARGE).drop("n"), found.where(F.col("n") > LARGE).drop("n")
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """pair, key, side, id, label, samples: rows (key, id, label, samples) of buckets with several classes, in each pair of
+    blocks that they belong to.
 
-
-def _divided(rows: DataFrame, bands: DataFrame) -> DataFrame:
-    """Buckets divided by every other band of their texts."""
-    other = bands.select("id", F.col("key").alias("also"))
-    return rows.join(other, "id").where("key <> also").select(F.xxhash64(F.least("key", "also"), F.greatest("key", "also")).alias("key"), "id", "label", "samples").dropDuplicates(["key", "id"])
+    Classes of ``BLOCK`` rows and more have blocks of their own, which need not meet each other; the others share theirs.
+    """
+    classes = rows.groupBy("key", "label").agg(F.count("*").alias("n"))
+    shared = F.sum(F.when(F.col("n") < BLOCK, F.col("n")))
+    sizes = classes.groupBy("key").agg(F.count("*").alias("classes"), shared.alias("shared")).where("classes > 1").select("key", "shared")
+    own = F.when(F.col("n") >= BLOCK, F.col("label"))
+    classes = classes.join(sizes, "key").select("key", "label", own.alias("own"), F.ceil(F.when(F.col("n") >= BLOCK, F.col("n")).otherwise(F.col("shared")) / BLOCK).alias("parts"))
+    block = F.when(F.col("own").isNull(), F.xxhash64(F.lit(-1), F.pmod(F.xxhash64("label"), "parts"))).otherwise(F.xxhash64("own", F.pmod(F.xxhash64("id"), "parts")))
+    placed = rows.join(classes, ["key", "label"]).withColumn("block", block).drop("parts")
+    blocks = placed.select("key", "own", "block").distinct()
+    end = lambda c: blocks.select("key", F.col("own").alias(f"own_{c}"), F.col("block").alias(c))
+    pairs = end("x").join(end("y"), "key").where("x <= y AND (own_x IS NULL OR own_y IS NULL OR own_x <> own_y)")
+    of = lambda c, side: F.struct(F.col(c).alias("block"), F.lit(side).alias("side"))
+    ends = F.when(F.col("x") == F.col("y"), F.array(of("x", BOTH))).otherwise(F.array(of("x", 0), of("y", 1)))
+    ends = pairs.select("key", F.xxhash64("key", "x", "y").alias("pair"), F.explode(ends).alias("end")).select("key", "pair", "end.*")
+    return placed.join(ends, ["key", "block"]).select("pair", "key", "side", "id", "label", "samples")
 
 
 def _identified(docs: DataFrame, doc_id: str, text: str) -> Column:
@@ -404,14 +415,12 @@ def _classes(docs: DataFrame) -> DataFrame:
     nodes = bands.select("id").distinct()
     labels = components(nodes, links, scratch, "first")
     held = bands.join(labels, "id").select("key", "id", "label").join(signed, "id").select("key", "id", "label", "samples")
-    small, large = _mixed_buckets(scratch.write("held", held))
-    small_2, large_2 = _mixed_buckets(_divided(large, bands))
-    parts = small.unionByName(small_2).unionByName(_divided(large_2, bands))
-    sorted_ = parts.repartition("key").sortWithinPartitions("key")
-    partners = scratch.write("partners", sorted_.mapInArrow(_with_partners, "key long, id long, label long, samples binary"))
+    parts = _block_pairs(scratch.write("held", held))
+    sorted_ = parts.repartition("pair").sortWithinPartitions("pair")
+    partners = scratch.write("partners", sorted_.mapInArrow(_with_partners, "pair long, key long, side int, id long, label long, samples binary"))
     texts = scratch.write("texts", _first_texts(docs, partners.select("id").distinct()))
-    spelled = partners.join(texts, "id").select("key", "id", "label", "samples", "text").repartition("key").sortWithinPartitions("key")
-    spelled = spelled.select("key", "id", "label", "samples", _hashed("text").alias("words"))
+    spelled = partners.join(texts, "id").select(*partners.columns, "text").repartition("pair").sortWithinPartitions("pair")
+    spelled = spelled.select(*partners.columns, _hashed("text").alias("words"))
     late = scratch.write("late", spelled.mapInArrow(_joining(weights), "a long, b long").distinct())
     scratch.drop("held", "bands", "partners", "texts")
     labels = components(nodes, late, scratch, "all", labels)

@@ -9,6 +9,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tablesync.llm import near_dedup
 from tablesync.llm.common import Scratch
 from tablesync.llm.components import components
 from tablesync.llm.near_dedup import Frequent, keep_representatives, near_classes
@@ -93,6 +94,30 @@ def test_summary_holds_what_is_frequent(parts, size):
         assert every.count(x) - found.lost <= held.get(x, 0) <= every.count(x)
 
 
+def bucket(spark, sizes):
+    """Rows of one bucket: classes of these sizes, whose texts agree in band 0 only."""
+    rng = np.random.default_rng(3)
+    n = sum(sizes)
+    got = rng.integers(0, 1 << 32, (n, near_dedup.BANDS * near_dedup.ROWS), np.uint32)
+    got[:, : near_dedup.ROWS] = 7
+    label = np.repeat(np.arange(len(sizes)), sizes)
+    return got, lambda: spark.createDataFrame([(int(near_dedup.band_keys(got)[0, 0]), k, int(label[k]), bytearray(got[k].tobytes())) for k in range(n)], "key long, id long, label long, samples binary")
+
+
+def test_no_group_holds_more_than_two_blocks(spark):
+    sizes = [1500, 300, *[1] * 700]
+    rows = near_dedup._block_pairs(bucket(spark, sizes)[1]()).select("pair", "side", "id", "label").collect()
+    label, met, held = {}, set(), {}
+    for r in rows:
+        label[r.id] = r.label
+        held.setdefault(r.pair, []).append(r)
+    assert max(len(h) for h in held.values()) < 3 * near_dedup.BLOCK
+    for h in held.values():
+        met |= {(min(a.id, b.id), max(a.id, b.id)) for a in h for b in h if a.label != b.label and (a.side != b.side or a.side == near_dedup.BOTH)}
+    n = sum(sizes)
+    assert len(met) == (n * n - sum(k * k for k in sizes)) // 2
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(k, k + 1) for k in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)]
