@@ -118,6 +118,15 @@ def test_no_group_holds_more_than_two_blocks(spark):
     assert len(met) == (n * n - sum(k * k for k in sizes)) // 2
 
 
+def test_pairs_that_share_one_large_bucket_only_are_compared(spark):
+    got, frame = bucket(spark, [1] * 600)
+    got[599] = got[0]
+    got[599, near_dedup.ROWS :: near_dedup.ROWS] += 1  # one sample of each other band differs
+    held = near_dedup._block_pairs(frame()).repartition("pair").sortWithinPartitions("pair")
+    kinds = "pair long, key long, side int, id long, label long, samples binary"
+    assert sorted(r.id for r in held.mapInArrow(near_dedup._with_partners, kinds).collect()) == [0, 599]
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(k, k + 1) for k in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)]
