@@ -6,6 +6,10 @@ of several lines, or of one long line, that occur more than once in the corpus a
 the smallest identifier (then smallest position). Occurrences are grouped by hash, and a group counts only if all its
 texts are equal byte by byte; texts that merely share a hash stay. All of it is DataFrame functions.
 
+A repeated passage is therefore not always removed whole: its first lines up to a boundary and its last ones after one share
+their chunk with what is around it, and chunks of one short line, about one in four, always stay. The SQL counterpart has
+the same chunks.
+
 What is shuffled: hashes of chunks, to count them; the texts of those whose hash repeats, to compare them, which partial
 aggregation reduces to one for each task; their places without texts; and the documents once, to take their removed
 chunks out. The repeated hashes are broadcast if there are at most ``MANY``.
