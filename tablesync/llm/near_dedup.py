@@ -10,8 +10,8 @@ a summary of bounded size finds candidates, a second pass counts them exactly, a
 2. ``BANDS * ROWS`` samples of each text: the shingle with the least ``c / (y e^r)`` (Ioffe 2010). Random numbers come from
    a table by hash of the shingle and number of the sample; equal samples agree in shingle and in ``t``.
 3. Texts that agree in all samples of a band share a bucket. Each is paired with the bucket's smallest identifier, not
-   with every other text. Pairs are compared by their weighted Jaccard similarity; those of 0.8 and more are links, also
-   those whose plain Jaccard similarity is.
+   with every other text. Pairs are compared by their weighted Jaccard similarity; those of 0.8 and more are links. Those
+   whose plain similarity alone is 0.8 are links too where they are found: samples are weighted, so at no promised rate.
 4. Links make classes, by connected components over tables on shared storage.
 5. What that leaves are buckets that hold several classes. Within these, texts of different classes are compared by their
    samples, whole at any size: a bucket is dealt into blocks of about ``BLOCK`` texts, and each pair of blocks that may
