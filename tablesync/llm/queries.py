@@ -169,3 +169,10 @@ def op7_html_text(spark: SparkSession, sf: str) -> DataFrame:
     from tablesync.llm.html_text import main_text
 
     return main_text(table(spark, sf, "pages"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.conversations import conversations_repaired
+
+    return conversations_repaired(table(spark, sf, "conversations"))
