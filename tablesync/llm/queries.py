@@ -176,3 +176,10 @@ def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     from tablesync.llm.conversations import conversations_repaired
 
     return conversations_repaired(table(spark, sf, "conversations"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.periodic_runs import periodic_runs
+
+    return periodic_runs(table(spark, sf, "documents"))
