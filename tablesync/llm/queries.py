@@ -183,3 +183,25 @@ def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     from tablesync.llm.periodic_runs import periodic_runs
 
     return periodic_runs(table(spark, sf, "documents"))
+
+
+@query(
+    "op11_warc",
+    r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body) AS n, sha1(body) AS h, min(page_id) OVER (PARTITION BY body) AS first_id FROM p)
+SELECT page_id, n AS payload_bytes,
+       array_to_string([translate(upper(to_base(('0x' || substr(h, 5 * i + 1, 5))::BIGINT, 32, 4)),
+                        '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') FOR i IN range(8)], '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d
+""",
+)
+def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
+    from tablesync.llm.common import Scratch
+    from tablesync.llm.warc import capture_index, write_archives
+
+    archives = Scratch(spark, "warc-files").path("archives")
+    write_archives(table(spark, sf, "pages"), archives)
+    return capture_index(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
