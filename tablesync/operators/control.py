@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,33 +32,66 @@ WATERMARK_SCHEMA = T.StructType(
 )
 
 
-_NAME = "_folded"
+#: Whose table a row is about; '' or absent for a single source. With the exact table name it is the row's identity.
+SOURCE_NAME = T.StructField("source_name", T.StringType())
+
+_SOURCE, _FOLDED = "_source", "_folded"
+_GROUP = [_SOURCE, _FOLDED]
 
 
 def control_name(source: str, table: str) -> str:
-    """Name of a table in the control rows: sources that share a table name have rows of their own."""
+    """A table's name in reports: sources that share a table name have rows of their own."""
     return f"{source}.{table}".lower() if source else table.lower()
 
 
-def _folded(df: DataFrame) -> DataFrame:
-    """With the lower-case name, by which all of lookup, initialisation and advance match."""
-    return df.withColumn(_NAME, F.lower("table_name"))
+def _grouped(df: DataFrame) -> DataFrame:
+    """With source and lower-case name. Names are matched exactly; where a spelling is not stored, another one of the same source and
+    letters stands in for it, because catalogs differ in case."""
+    source = F.coalesce("source_name", F.lit("")) if "source_name" in df.columns else F.lit("")
+    return df.withColumns({_SOURCE: source, _FOLDED: F.lower("table_name")})
+
+
+def _spellings(df: DataFrame, *columns: Column) -> DataFrame:
+    """One row per source and lower-case name, with all its spellings: a list as long as there are spellings."""
+    return _grouped(df).groupBy(*_GROUP).agg(F.collect_list(F.struct(F.col("table_name").alias("name"), *columns)).alias("came"))
+
+
+def _kept(df: DataFrame) -> list[str]:
+    return [c for c in ("source_name", "table_name") if c in df.columns]
+
+
+def _named(rows: Column, name: Column) -> Column:
+    return F.filter(rows, lambda r: r["name"] == name)
+
+
+def _unnamed(rows: Column, names: Column) -> Column:
+    return F.filter(rows, lambda r: ~F.array_contains(names, r["name"]))
 
 
 def lookup_watermarks(tables: DataFrame, control: DataFrame, stored: str = "last_watermark") -> DataFrame:
-    """Cursor per table, the default where none is stored. Of stored names that only differ in case the oldest cursor
-    counts, so nothing is left out."""
-    known = _folded(control).groupBy(_NAME).agg(F.min(stored).alias("watermark"))
+    """Cursor per table, the default where none is stored: that of the exact name, else the oldest of its other spellings, so
+    nothing is left out."""
+    known = _spellings(control, F.col(stored).alias("at"))
+    exact = F.array_min(F.transform(_named(F.col("came"), F.col("table_name")), lambda r: r["at"]))
+    oldest = F.array_min(F.transform("came", lambda r: r["at"]))
     return (
-        _folded(tables.select("table_name"))
-        .join(known, _NAME, "left")
-        .select("table_name", F.coalesce("watermark", ntz(DEFAULT_WATERMARK)).alias("watermark"))
+        _grouped(tables.select(*_kept(tables)))
+        .join(known, _GROUP, "left")
+        .select(*_kept(tables), F.coalesce(exact, oldest, ntz(DEFAULT_WATERMARK)).alias("watermark"))
     )
 
 
 def new_control_rows(eligible: DataFrame, control: DataFrame) -> DataFrame:
-    """Initial rows of eligible tables that have none: key joined by commas, '' for no flag."""
-    return _folded(eligible).join(_folded(control).select(_NAME), _NAME, "left_anti").select(
+    """Initial rows of eligible tables that have none: key joined by commas, '' for no flag. A stored name that is not eligible itself
+    counts for another spelling of it."""
+    wanted = _grouped(eligible)
+    spelled = F.collect_set("table_name").over(Window.partitionBy(*_GROUP))
+    name, names = F.col("table_name"), F.transform("came", lambda r: r["name"])
+    has_one = F.array_contains(names, name) | (F.size(F.array_except(names, F.col("_spelled"))) > 0)
+    found = wanted.withColumn("_spelled", spelled).join(_spellings(control), _GROUP, "left")
+    columns = [c for c in ("source_name",) if c in control.columns]
+    return found.where(~F.coalesce(has_one, F.lit(False))).select(
+        *(F.col(_SOURCE).alias(c) for c in columns),
         "table_name",
         "updated_at_col",
         F.concat_ws(",", "pk_columns").alias("pk_columns"),
@@ -73,37 +106,57 @@ def init_control(control: DataFrame, eligible: DataFrame) -> DataFrame:
 
 
 def advance(control: DataFrame, results: DataFrame, run_at: datetime) -> DataFrame:
-    """Control after successful merges. ``results`` is (table_name, new_watermark), one row per
-    table; tables without changes bring their old cursor and only get a new run time. Unknown
-    tables are not added: this is an update, so one left join does it."""
-    ran = _folded(results).select(_NAME, "new_watermark", F.lit(True).alias("_ran"))
-    return _folded(control).join(ran, _NAME, "left").select(
-        "table_name",
-        "updated_at_col",
-        "pk_columns",
-        "delete_flag_col",
-        F.when(F.col("_ran"), F.col("new_watermark")).otherwise(F.col("last_watermark")).alias("last_watermark"),
-        F.when(F.col("_ran"), ntz(run_at)).otherwise(F.col("last_run_at")).alias("last_run_at"),
+    """Control after successful merges. ``results`` is (source_name, table_name, new_watermark); tables without changes bring their
+    old cursor and only get a new run time. Unknown tables are not added: this is an update. Results are gathered by
+    name before the join, so there are as many rows after it as before."""
+    ran = _spellings(results, F.col("new_watermark").alias("at"))
+    spelled = F.collect_set("table_name").over(Window.partitionBy(*_GROUP))
+    exact = _named(F.col("came"), F.col("table_name"))
+    found = F.when(F.size(exact) > 0, exact).otherwise(_unnamed(F.col("came"), F.col("_spelled")))
+    is_mine = F.coalesce(F.size("_found") > 0, F.lit(False))
+    newest = F.array_max(F.transform("_found", lambda r: r["at"]))
+    return (
+        _grouped(control)
+        .withColumn("_spelled", spelled)
+        .join(ran, _GROUP, "left")
+        .withColumn("_found", found)
+        .withColumns(
+            {
+                "last_watermark": F.when(is_mine, newest).otherwise(F.col("last_watermark")),
+                "last_run_at": F.when(is_mine, ntz(run_at)).otherwise(F.col("last_run_at")),
+            }
+        )
+        .select(*control.columns)
     )
 
 
 def upsert_watermarks(stored: DataFrame, batches: DataFrame, run_id: str, now: datetime) -> DataFrame:
     """Cursor upsert for all tables of a run in one job. An update also stamps the audit time; an
     insert leaves it NULL."""
-    old = _folded(stored).withColumn("_stored", F.lit(True))
-    new = _folded(batches).select(
-        _NAME,
-        F.col("table_name").alias("_name"),
-        F.col("max_updated_at").cast("timestamp_ntz").alias("_newest"),
-        F.lit(True).alias("_ran"),
-    )
-    ran = F.col("_ran")
-    return old.join(new, _NAME, "full_outer").select(
-        F.coalesce("table_name", "_name").alias("table_name"),
-        F.when(ran, F.col("_newest")).otherwise(F.col("last_updated_at")).alias("last_updated_at"),
-        F.when(ran, F.lit(run_id)).otherwise(F.col("updated_by_run")).alias("updated_by_run"),
-        F.when(ran & F.col("_stored"), ntz(now)).when(F.col("_stored"), F.col("updated_at")).alias("updated_at"),
-    )
+    fields = ("last_updated_at", "updated_by_run", "updated_at")
+    old = _spellings(stored, *(F.col(f) for f in fields)).withColumnRenamed("came", "_old")
+    new = _spellings(batches, F.col("max_updated_at").cast("timestamp_ntz").alias("at"))
+    none = F.array()
+    both = old.join(new, _GROUP, "full_outer").withColumns({"_old": F.coalesce("_old", none), "came": F.coalesce("came", none)})
+    known, brought = F.transform("_old", lambda r: r["name"]), F.transform("came", lambda r: r["name"])
+    stranger = _unnamed(F.col("came"), known)
+    newest = lambda rows: F.array_max(F.transform(rows, lambda r: r["at"]))
+
+    def row(name: Column, last: Column, run: Column, at: Column) -> Column:
+        return F.struct(name.alias("table_name"), *(v.alias(f) for v, f in zip((last, run, at), fields)))
+
+    def updated(r: Column) -> Column:
+        own = _named(F.col("came"), r["name"])
+        mine = F.when(F.size(own) > 0, own).otherwise(stranger)
+        moved = row(r["name"], newest(mine), F.lit(run_id), ntz(now))
+        return F.when(F.size(mine) > 0, moved).otherwise(row(r["name"], *(r[f] for f in fields)))
+
+    nothing = F.lit(None).cast("timestamp_ntz")
+    stands_in = F.size(F.array_except(known, brought)) > 0
+    inserted = F.when(~stands_in, F.transform(stranger, lambda c: row(c["name"], c["at"], F.lit(run_id), nothing)))
+    rows = F.explode(F.concat(F.transform("_old", updated), F.coalesce(inserted, F.array()))).alias("row")
+    source = [F.col(_SOURCE).alias("source_name")] if "source_name" in stored.columns else []
+    return both.select(*source, rows).select(*(["source_name"] if source else []), "row.*").select(*stored.columns)
 
 
 def pair_results(configs: DataFrame, results: DataFrame) -> DataFrame:

@@ -1,13 +1,10 @@
 """Keyed merge as a DataFrame function.
 
-Plain Parquet tables take no MERGE, so the merged content is computed and published as new files:
+Plain Parquet tables take no MERGE, so the merged content is computed and published as new files. Target and staged rows meet
+in one pass that marks each row as staged or not and matched or not; content and change counts are both read off these marks.
 
-    kept   = target  left-anti  staged keys
-    result = kept  union  live staged rows
-
-Only staged *keys* ever go to the other side of a join, so when they are few they are broadcast
-and the target is neither shuffled nor widened. Whatever needs to know which staged rows exist
-in the target first reduces the target with a semi-join to at most as many rows as are staged.
+* Staged keys that were measured and fit the broadcast bound are sent to the target, which is then neither shuffled nor sorted.
+* Otherwise one full outer join on the key shuffles either side once and gives kept rows, live rows, carried columns and counts.
 """
 
 from __future__ import annotations
@@ -21,7 +18,8 @@ from pyspark.sql import functions as F
 from tablesync.functions.flags import active_condition, delete_condition, is_live
 from tablesync.functions.typemap import by_folded_name, typed
 
-MATCHED = "_matched"
+MATCHED = "__matched"
+STAGED = "__staged"
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 _ROW_OVERHEAD = 48  # hash-relation bytes per row beyond the key itself
@@ -36,8 +34,7 @@ def broadcast_safe(rows: int, key_bytes: int) -> bool:
 class MergeSpec:
     """How a batch is applied: ordered key columns, and the soft-delete flag if there is one.
 
-    ``broadcast_keys`` is set by callers that have measured the staged keys; otherwise Spark
-    chooses the join from its own statistics.
+    ``broadcast_keys`` is set by callers that have measured the staged keys; otherwise both sides are shuffled once.
     """
 
     keys: tuple[str, ...]
@@ -76,17 +73,14 @@ def _keys_of(staged: DataFrame, spec: MergeSpec) -> DataFrame:
 
 
 def mark_matches(target: DataFrame, staged: DataFrame, spec: MergeSpec, carry: Sequence[str] = ()) -> DataFrame:
-    """Staged rows with ``_matched`` (true where the key exists in the target) and, on request,
-    columns carried over from the target."""
+    """Staged rows with whether their key exists in the target and, on request, columns carried over from the target."""
     spec = _resolved(spec, staged)
     keys = list(spec.keys)
-    found = (
-        target.select(*keys, *carry)
-        .join(_keys_of(staged, spec), keys, "left_semi")
-        .withColumn(MATCHED, F.lit(True))
-    )
-    if spec.broadcast_keys and not carry:
-        found = F.broadcast(found)  # a subset of the measured keys
+    found = target.select(*keys, *carry, F.lit(True).alias(MATCHED))
+    if spec.broadcast_keys:
+        found = found.join(F.broadcast(staged.select(*keys)), keys, "left_semi")
+        if not carry:
+            found = F.broadcast(found)  # a subset of the measured keys
     return staged.join(found, keys, "left").withColumn(MATCHED, F.coalesce(MATCHED, F.lit(False)))
 
 
@@ -95,37 +89,53 @@ def _marked(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> tuple[Data
     return mark_matches(target, aligned, spec), _resolved(spec, aligned)
 
 
-def merge(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Content of the target after the batch.
+def merged_rows(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Every row of the target and of the batch, once, with its values after the batch and two marks: whether it is staged, and
+    whether a staged row's key exists in the target. Flagged rows are still there; `stays` tells what is content.
 
-    Matched rows take the staged values of all columns the source knows; columns only the target
-    has keep their value. Flagged rows are dropped if matched and not inserted if unmatched.
-    Columns only the source has are added, NULL for the rows that stay.
+    ``staged`` is aligned to the target. Columns only the target has keep their value, columns only the batch has
+    are added, NULL for rows that stay as they are.
     """
-    staged = align(staged, target)
-    live = staged.filter(is_live(staged, _resolved(spec, staged).delete_flag))
-    if _target_only(target, staged):
-        live = mark_batch(target, live, spec)
-    return assemble(target, staged, live, spec)
-
+    spec = _resolved(spec, staged)
+    target_only = [c for c in target.columns if c not in staged.columns]
+    ordered = [*target.columns, *[c for c in staged.columns if c not in target.columns]]
+    if spec.broadcast_keys:
+        kept = target.join(F.broadcast(staged.select(*spec.keys)), list(spec.keys), "left_anti")
+        kept = kept.withColumns({MATCHED: F.lit(False), STAGED: F.lit(False)})
+        batch = mark_matches(target, staged, spec, target_only).withColumn(STAGED, F.lit(True))
+        both = kept.unionByName(batch, allowMissingColumns=True)
+        return both.select(*[F.col(f"`{c}`") for c in ordered], MATCHED, STAGED)
+    old = target.select(*[F.col(f"`{c}`").alias(f"__t{k}") for k, c in enumerate(ordered) if c in target.columns], F.lit(True).alias("__t"))
+    new = staged.select(*[F.col(f"`{c}`").alias(f"__s{k}") for k, c in enumerate(ordered) if c in staged.columns], F.lit(True).alias("__s"))
+    place = {c: k for k, c in enumerate(ordered)}
+    same = [F.col(f"__t{place[k]}") == F.col(f"__s{place[k]}") for k in spec.keys]
+    is_staged, values = F.col("__s").isNotNull(), []
+    for k, c in enumerate(ordered):
+        if c not in staged.columns:
+            value = F.col(f"__t{k}")
+        elif c not in target.columns:
+            value = F.col(f"__s{k}")
+        else:
+            value = F.when(is_staged, F.col(f"__s{k}")).otherwise(F.col(f"__t{k}"))
+        values.append(value.alias(c))
+    matched = (is_staged & F.col("__t").isNotNull()).alias(MATCHED)
+    return old.join(new, same, "full_outer").select(*values, matched, is_staged.alias(STAGED))
 
-def _target_only(target: DataFrame, staged: DataFrame) -> list[str]:
-    return [c for c in target.columns if c not in staged.columns]
 
+def stays(rows: DataFrame, spec: MergeSpec) -> Column:
+    """Which of `merged_rows` are content: all that are not staged, and staged ones that no flag deletes."""
+    return ~F.col(STAGED) | is_live(rows, _resolved(spec, rows).delete_flag)
 
-def mark_batch(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFrame:
-    """An aligned batch with ``_matched`` and the values of columns only the target has."""
-    return mark_matches(target, staged, spec, carry=_target_only(target, staged))
 
+def merge(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Content of the target after the batch.
 
-def assemble(target: DataFrame, staged: DataFrame, batch: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Target rows whose key is not staged, and the live rows of a batch. ``staged`` is aligned and
-    gives the keys; ``batch`` holds the same rows, marked or not."""
-    spec = _resolved(spec, staged)
-    kept = target.join(_keys_of(staged, spec), list(spec.keys), "left_anti")
-    live = batch.filter(is_live(batch, spec.delete_flag)).drop(MATCHED)
-    ordered = [*target.columns, *[c for c in staged.columns if c not in target.columns]]
-    return kept.unionByName(live, allowMissingColumns=True).select(*[F.col(f"`{c}`") for c in ordered])
+    Matched rows take the staged values of all columns the source knows; columns only the target
+    has keep their value. Flagged rows are dropped if matched and not inserted if unmatched.
+    Columns only the source has are added, NULL for the rows that stay.
+    """
+    rows = merged_rows(target, align(staged, target), spec)
+    return rows.where(stays(rows, spec)).drop(MATCHED, STAGED)
 
 
 def rows_to_insert(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -152,8 +162,10 @@ def change_counts(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> Data
 
 
 def count_columns(marked: DataFrame, flag: str | None) -> list[Column]:
-    """The recorded change counts as aggregates over a marked batch."""
+    """The recorded change counts as aggregates over a marked batch, or over `merged_rows`."""
     active = active_condition(marked, flag)
+    if STAGED in marked.columns:
+        active = F.col(STAGED) & active
     return [
         F.count_if(~F.col(MATCHED) & active).alias("inserted_row_count"),
         F.count_if(F.col(MATCHED) & active).alias("updated_row_count"),

@@ -1,10 +1,13 @@
-"""A published table: Parquet files behind a catalog entry that moves in one call.
+"""A published table: a view over Parquet files that moves to new content in one call.
 
-New content is always written beside the old. An unsliced table is then moved with one
-``SET LOCATION``. A big table can be sliced, by a hash of its key or by day; a batch then reads
-and rewrites only the slices it touches, and each of those moves with one call of its own. A
-reader sees the old or the new content of a slice, never a mix; a publish that stops half-way is
-finished by running the same (idempotent) batch again.
+New content is always written beside the old. A publish registers the files of all slices in a catalog entry of its own, in
+batched calls, and then replaces the view: readers see all of a batch or nothing of it, whatever number of slices it touches,
+and a publish that stops half-way leaves the view where it was. Columns may change with the content.
+
+A big table can be sliced, by a hash of its key or by day; a batch then reads and rewrites only the slices it touches.
+
+A manifest, one small file that the view names, lists the folder of each slice, and which folders and entries were replaced when.
+Expiry reads it and lists the table's folder once; it asks the catalog nothing about slices.
 """
 
 from __future__ import annotations
@@ -12,12 +15,11 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass, field
 from datetime import date, datetime, timedelta
-from urllib.parse import urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +29,8 @@ from tablesync.functions.typemap import conform, ddl_columns
 from tablesync.plans import files
 
 SLICE = "sync_slice"
-LAYOUT = "sync.slices"
+LAYOUT, ENTRY, MANIFEST = "sync.slices", "sync.entry", "sync.manifest"
+REGISTERED_AT_ONCE = 1000  # slices of one catalog call
 _NO_DAY = "0001-01-01"  # slice of rows without a time
 
 
@@ -106,6 +109,35 @@ def write_files(df: DataFrame, path: str, slices: Slices | None) -> None:
         df.withColumn(SLICE, slices.column()).write.partitionBy(SLICE).parquet(path)
 
 
+@dataclass(frozen=True)
+class Manifest:
+    """What is live and what was replaced, paths relative to the table's folder; times are milliseconds.
+
+    An unsliced table is one slice, named ''.
+    """
+
+    entry: str
+    live: dict[str, str] = field(default_factory=dict)
+    replaced: list[tuple[str, int]] = field(default_factory=list)
+    entries: list[tuple[str, int]] = field(default_factory=list)
+
+    @staticmethod
+    def of(text: str) -> Manifest:
+        kept = json.loads(text)
+        return Manifest(kept["entry"], kept["live"], [tuple(x) for x in kept["replaced"]], [tuple(x) for x in kept["entries"]])
+
+
+def _stamp() -> str:
+    """Of its own, and with its time: not every store keeps one for folders."""
+    return f"{int(time.time() * 1000)}-{uuid.uuid4().hex[:12]}"
+
+
+def _written(name: str) -> int | None:
+    """Milliseconds in the name of a version, an entry or a manifest."""
+    found = name.replace("_", "-").removesuffix(".json").rsplit("-", 2)
+    return int(found[1]) if len(found) == 3 and found[1].isdigit() else None
+
+
 class LiveTable:
     """``name`` is ``schema.table``; ``root`` is the table's folder on shared storage.
 
@@ -123,16 +155,26 @@ class LiveTable:
 
     # -- definition --------------------------------------------------------------------------
 
+    def _properties(self) -> dict[str, str]:
+        kept = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.sql_name}").collect()}
+        if LAYOUT not in kept:
+            raise ValueError(f"{self.name} was not created as a live table: its layout is not known")
+        return kept
+
     @property
     def slices(self) -> Slices | None:
         if not self._layout_is_stored and self.exists():
-            rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.sql_name}").collect()
-            kept = {r["key"]: r["value"] for r in rows}
-            if LAYOUT not in kept:
-                raise ValueError(f"{self.name} was not created as a live table: its layout is not known")
-            self._slices, self._layout_is_stored = layout_of(kept[LAYOUT]), True
+            self._slices, self._layout_is_stored = layout_of(self._properties()[LAYOUT]), True
         return self._slices
 
+    def manifest(self) -> Manifest:
+        return Manifest.of(files.read_text(self.spark, f"{self.root}/{self._properties()[MANIFEST]}"))
+
+    def _write_manifest(self, manifest: Manifest) -> str:
+        name = f"manifest-{_stamp()}.json"
+        files.write_text(self.spark, f"{self.root}/{name}", json.dumps(asdict(manifest)))
+        return name
+
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.sql_name)
 
@@ -140,45 +182,62 @@ class LiveTable:
         """Create the table if it is absent, otherwise add the columns it lacks."""
         if self.exists():
             self.evolve(schema)
-        else:
-            self._create(schema, self._empty_folder())
-
-    def _create(self, schema: T.StructType, location: str) -> None:
+            return
         if "." in self.name:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote('spark', self.name.split('.')[0])}")
-        columns = ddl_columns(schema)
-        partitioning = ""
+        entry = self._new_entry(schema, {})
+        self._move(schema, entry, self._write_manifest(Manifest(entry)))
+
+    def _sql_entry(self, entry: str) -> str:
+        return ".".join(quote("spark", p) for p in [*self.name.split(".")[:-1], entry])
+
+    def _new_entry(self, schema: T.StructType, live: dict[str, str]) -> str:
+        """A catalog entry over the folders of all slices; no reader knows of it yet."""
+        entry = f"{self.name.split('.')[-1]}__{_stamp()}".replace("-", "_")
+        location, columns, partitioning = f"{self.root}/empty", ddl_columns(schema), ""
+        files.make_dir(self.spark, location)
         if self.slices:
             columns += f", {SLICE} {self.slices.type_name}"
             partitioning = f"PARTITIONED BY ({SLICE})"
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.sql_name} ({columns}) USING parquet {partitioning} "
-            f"LOCATION {text_literal(location)} TBLPROPERTIES ('{LAYOUT}' = {text_literal(layout_text(self.slices))})"
-        )
-
-    def _empty_folder(self) -> str:
-        path = f"{self.root}/empty"
-        files.make_dir(self.spark, path)
-        return path
+        elif live:
+            location = self._path(live[""])
+        self.spark.sql(f"CREATE TABLE {self._sql_entry(entry)} ({columns}) USING parquet {partitioning} LOCATION {text_literal(location)}")
+        if self.slices:
+            parts = [f"PARTITION ({SLICE} = {text_literal(v)}) LOCATION {text_literal(self._path(p))}" for v, p in sorted(live.items())]
+            for at in range(0, len(parts), REGISTERED_AT_ONCE):
+                self.spark.sql(f"ALTER TABLE {self._sql_entry(entry)} ADD {' '.join(parts[at : at + REGISTERED_AT_ONCE])}")
+        return entry
+
+    def _move(self, schema: T.StructType, entry: str, manifest: str) -> None:
+        """The one call by which readers see other content."""
+        kept = {LAYOUT: layout_text(self.slices), ENTRY: entry, MANIFEST: manifest}
+        properties = ", ".join(f"'{k}' = {text_literal(v)}" for k, v in kept.items())
+        columns = ", ".join(quote("spark", f.name) for f in schema.fields)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.sql_name} TBLPROPERTIES ({properties}) AS SELECT {columns} FROM {self._sql_entry(entry)}")
 
     def evolve(self, schema: T.StructType) -> list[str]:
         """Add columns the source has and the table lacks; names are compared without case."""
-        have = {c.lower() for c in self.read().columns}
+        now = self.schema()
+        have = {c.lower() for c in now.names}
         new = [f for f in schema.fields if f.name.lower() not in have]
         if new:
-            self.spark.sql(f"ALTER TABLE {self.sql_name} ADD COLUMNS ({ddl_columns(T.StructType(new))})")
+            kept = self._properties()
+            entry = self._sql_entry(kept[ENTRY])
+            known = {c.lower() for c in self.spark.table(entry).columns}  # an attempt cut short may have added some
+            lacking = [f for f in new if f.name.lower() not in known]
+            if lacking:
+                self.spark.sql(f"ALTER TABLE {entry} ADD COLUMNS ({ddl_columns(T.StructType(lacking))})")
+            self._move(T.StructType([*now.fields, *new]), kept[ENTRY], kept[MANIFEST])
         return [f.name for f in new]
 
     # -- reading -----------------------------------------------------------------------------
 
     def read(self, slices: Iterable | None = None) -> DataFrame:
         """Current content, or that of some slices only; other slices are not even listed."""
-        df = self.spark.table(self.sql_name)
-        if not self.slices:
-            return df
-        if slices is not None:
-            df = df.filter(F.col(SLICE).isin(list(slices)))
-        return df.drop(SLICE)
+        if slices is None or not self.slices:
+            return self.spark.table(self.sql_name)
+        entry = self.spark.table(self._sql_entry(self._properties()[ENTRY]))
+        return entry.filter(F.col(SLICE).isin(list(slices))).drop(SLICE)
 
     def schema(self) -> T.StructType:
         return self.read().schema
@@ -193,17 +252,38 @@ class LiveTable:
 
     # -- publishing --------------------------------------------------------------------------
 
+    def _path(self, relative: str) -> str:
+        return relative if "/" in relative and not relative.startswith("v-") else f"{self.root}/{relative}"
+
+    def _relative(self, path: str) -> str:
+        return path.rstrip("/").removeprefix(f"{self.root}/")
+
     def version_path(self, run_id: str) -> str:
         """A folder no other attempt uses, so a replayed run never writes over files that may be
-        live already. Leftovers of failed attempts go with ``expire``. The name carries the time,
-        because not every store keeps one for folders."""
-        return f"{self.root}/v-{path_safe(run_id)}-{int(time.time() * 1000)}-{uuid.uuid4().hex[:12]}"
-
-    def write_version(self, df: DataFrame, run_id: str) -> str:
-        """Write content beside the live files. Nothing a reader sees changes."""
-        path = self.version_path(run_id)
+        live already. Leftovers of failed attempts go with ``expire``."""
+        return f"{self.root}/v-{path_safe(run_id)}-{_stamp()}"
+
+    def write_version(
+        self,
+        df: DataFrame,
+        run_id: str,
+        marks: Sequence[str] = (),
+        watch: tuple[Observation, list[Column]] | None = None,
+        keep: Column | None = None,
+    ) -> str:
+        """Write content beside the live files. Nothing a reader sees changes.
+
+        ``watch`` observes the rows in the last stage, behind the shuffle by slice, so that a stage that is run again does not count
+        twice; then ``keep`` drops rows. Both may use columns that are not written, named in ``marks``.
+        """
+        path, schema = self.version_path(run_id), self.schema()
+        rows = by_slice(conform(df, T.StructType([*schema.fields, *[df.schema[m] for m in marks]])), self.slices)
+        if watch is not None:
+            rows = rows.observe(watch[0], *watch[1])
+        if keep is not None:
+            rows = rows.where(keep)
         try:
-            write_files(by_slice(conform(df, self.schema()), self.slices), path, self.slices)
+            write_files(rows.drop(*marks), path, self.slices)
         except Exception:
             files.delete_dir(self.spark, path)
             raise
@@ -216,101 +296,80 @@ class LiveTable:
         """Make a written version live. For a sliced table only ``touched`` slices move (all, if
         not given); a touched slice the version has no rows for is dropped, so deletes that
         empty a slice take effect."""
-        if self.slices is None:
-            self.spark.sql(f"ALTER TABLE {self.sql_name} SET LOCATION {text_literal(path)}")
-        else:
-            self._move_slices(path, touched)
-        self.spark.catalog.refreshTable(self.sql_name)
-
-    def _partitions(self) -> set[str]:
-        rows = self.spark.sql(f"SHOW PARTITIONS {self.sql_name}").collect()
-        return {r[0].split("=", 1)[1] for r in rows}
-
-    def _clause(self, value: str) -> str:
-        return f"PARTITION ({SLICE} = {text_literal(value)})"
-
-    def _move_slices(self, path: str, touched: Iterable | None) -> None:
-        live = self._partitions()
-        prefix = f"{SLICE}="
-        written = {n[len(prefix):] for n in files.list_names(self.spark, path) if n.startswith(prefix)}
-        wanted = live | written if touched is None else {str(t) for t in touched}
-        for value in sorted(wanted & written & live):
-            self.spark.sql(
-                f"ALTER TABLE {self.sql_name} {self._clause(value)} SET LOCATION {text_literal(f'{path}/{prefix}{value}')}"
-            )
-        fresh = sorted((wanted & written) - live)
-        if fresh:
-            parts = " ".join(f"{self._clause(v)} LOCATION {text_literal(f'{path}/{prefix}{v}')}" for v in fresh)
-            self.spark.sql(f"ALTER TABLE {self.sql_name} ADD IF NOT EXISTS {parts}")
-        emptied = sorted((wanted - written) & live)
-        if emptied:
-            parts = ", ".join(self._clause(v) for v in emptied)
-            self.spark.sql(f"ALTER TABLE {self.sql_name} DROP IF EXISTS {parts}")
+        self.publish_all([(path, touched)])
+
+    def publish_all(self, versions: Iterable[tuple[str, Iterable | None]], schema: T.StructType | None = None) -> None:
+        """Make several written versions, of different slices, live in one move."""
+        schema, before = schema or self.schema(), self.manifest()
+        live = dict(before.live)
+        for path, touched in versions:
+            if not self.slices:
+                live = {"": self._relative(path)}
+                continue
+            prefix = f"{SLICE}="
+            written = {n[len(prefix):] for n in files.list_names(self.spark, path) if n.startswith(prefix)}
+            for value in set(live) | written if touched is None else {str(t) for t in touched}:
+                if value in written:
+                    live[value] = f"{self._relative(path)}/{prefix}{value}"
+                else:
+                    live.pop(value, None)
+        entry, at = self._new_entry(schema, live), int(time.time() * 1000)
+        replaced = [*before.replaced, *[(p, at) for v, p in before.live.items() if live.get(v) != p]]
+        manifest = self._write_manifest(Manifest(entry, live, replaced, [*before.entries, (before.entry, at)]))
+        self._move(schema, entry, manifest)
 
     def replace_definition(self, schema: T.StructType, path: str) -> None:
-        """Put new content with another schema in place. Added columns need one more catalog call;
-        removed or retyped ones need the entry to be made anew, beside the old and then renamed."""
-        have = {f.name.lower(): f.dataType for f in self.schema().fields}
-        want = {f.name.lower(): f.dataType for f in schema.fields}
-        if all(want.get(name) == kind for name, kind in have.items()):
-            self.evolve(schema)
-            self.publish(path)
-            return
-        following = LiveTable(self.spark, f"{self.name}__next", self.root, self.slices)
-        self.spark.sql(f"DROP TABLE IF EXISTS {following.sql_name}")
-        following._create(schema, self._empty_folder())
-        following.publish(path)
-        self.spark.sql(f"DROP TABLE {self.sql_name}")  # external: its files stay
-        self.spark.sql(f"ALTER TABLE {following.sql_name} RENAME TO {self.sql_name}")
-
-    def append(self, df: DataFrame) -> None:
-        """Add rows in place; for history tables."""
-        conform(df, self.schema()).write.mode("append").insertInto(self.sql_name)
+        """Put new content with another schema in place, whatever has changed in it."""
+        self.publish_all([(path, None)], schema)
 
     # -- upkeep ------------------------------------------------------------------------------
 
-    def _locations(self) -> set[str]:
-        """Folders that are live now, without their scheme."""
-        statements = [f"DESCRIBE EXTENDED {self.sql_name}"]
-        if self.slices:
-            statements += [f"DESCRIBE EXTENDED {self.sql_name} {self._clause(v)}" for v in self._partitions()]
-        rows = (r for text in statements for r in self.spark.sql(text).collect())
-        return {urlparse(r[1]).path.rstrip("/") for r in rows if r[0] == "Location"}
-
     def expire(self, keep_seconds: float = 86_400) -> list[str]:
-        """Delete what was replaced more than ``keep_seconds`` ago, which is how long a reader that
-        planned on an older version may still run. Content counts as replaced when the next
-        version that holds the same slice (or table) was written."""
-        cutoff = (time.time() - keep_seconds) * 1000
-        names = [n for n in files.list_names(self.spark, self.root) if n.startswith("v-")]
-        versions = sorted((int(n.rsplit("-", 2)[1]), n) for n in names)
-        if len(versions) < 2 or versions[0][0] >= cutoff:
-            return []  # nothing is old enough; the catalog is not asked
-        live = self._locations()
-        parts = {name: self._parts(name) for _, name in versions}
-        gone = []
-        for at, (written, name) in enumerate(versions):
-            later = versions[at + 1 :]
-            left = set(parts[name])
-            for part in parts[name]:
-                holders = [w for w, other in later if part in parts[other]]
-                replaced = holders[0] if holders else versions[-1][0]
-                path = f"{self.root}/{name}/{part}".rstrip("/")
-                if urlparse(path).path not in live and replaced < cutoff:
-                    files.delete_dir(self.spark, path)
-                    gone.append(path)
-                    left.discard(part)
-            if not left and written < cutoff:
+        """Delete what was replaced more than ``keep_seconds`` ago, which is how long a reader that planned on an older version may
+        still run, and what attempts that failed as long ago have left. Returns the folders of replaced slices."""
+        cutoff, kept = (time.time() - keep_seconds) * 1000, self.manifest()
+        gone = [p for p, at in kept.replaced if at < cutoff]
+        old = [e for e, at in kept.entries if at < cutoff]
+        for path in gone:
+            files.delete_dir(self.spark, self._path(path))
+        for entry in old:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._sql_entry(entry)}")  # external: files are not its own
+        current = self._properties()[MANIFEST]
+        if gone or old:
+            left = Manifest(kept.entry, kept.live, [x for x in kept.replaced if x[1] >= cutoff], [x for x in kept.entries if x[1] >= cutoff])
+            current = self._write_manifest(left)
+            self.spark.sql(f"ALTER VIEW {self.sql_name} SET TBLPROPERTIES ('{MANIFEST}' = {text_literal(current)})")
+            kept = left
+        self._sweep(kept, current, cutoff)
+        return [self._path(p) for p in gone]
+
+    def _sweep(self, kept: Manifest, current: str, cutoff: float) -> None:
+        """Versions, manifests and entries that nothing names: one listing of the folder, one of the schema's tables."""
+        named = {p.split("/")[0] for p in [*kept.live.values(), *[p for p, _ in kept.replaced]]} | {current}
+        orphans = False
+        for name in files.list_names(self.spark, self.root):
+            at = _written(name) if name.startswith(("v-", "manifest-")) else None
+            if at is not None and at < cutoff and name not in named:
                 files.delete_dir(self.spark, f"{self.root}/{name}")
-        return gone
-
-    def _parts(self, version: str) -> list[str]:
-        if not self.slices:
-            return [""]
-        return [n for n in files.list_names(self.spark, f"{self.root}/{version}") if n.startswith(f"{SLICE}=")]
+                orphans = True
+        if orphans:
+            for entry in self._entries():
+                if entry not in {kept.entry, *[e for e, _ in kept.entries]} and _written(entry) < cutoff:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self._sql_entry(entry)}")
+
+    def _entries(self) -> list[str]:
+        """All catalog entries of this table, those of failed publishes too."""
+        *schema, table = self.name.split(".")
+        place = f"IN {quote('spark', schema[0])} " if schema else ""
+        names = [r["tableName"] for r in self.spark.sql(f"SHOW TABLES {place}LIKE {text_literal(table + '__*')}").collect()]
+        own = f"{table}__".lower()
+        return [n for n in names if n.lower().startswith(own) and n.lower().removeprefix(own).count("_") == 1 and _written(n) is not None]
 
     def drop(self) -> None:
-        """Remove the catalog entry and all files."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.sql_name}")
+        """Remove the catalog entries and all files."""
+        if self.exists():
+            self.spark.sql(f"DROP VIEW {self.sql_name}")
+            for entry in self._entries():
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._sql_entry(entry)}")
         self._layout_is_stored = False
         files.delete_dir(self.spark, self.root)

@@ -22,7 +22,8 @@ from tablesync.operators.control import (
 )
 from tablesync.operators.reconcile import CDC_HISTORY, FULL_LOAD_HISTORY
 from tablesync.plans.frames import small_frame
-from tablesync.plans.livetable import LiveTable
+from tablesync.functions.typemap import conform
+from tablesync.plans.livetable import DaySlices, LiveTable
 
 RESULT_SCHEMA = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("new_watermark", T.TimestampNTZType())]
@@ -34,9 +35,9 @@ class _Store:
     """One row per table and run at most, so a single output file is right. Changes made by one
     process are serialised; only one run of a sync is allowed at a time."""
 
-    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType):
+    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, slices: DaySlices | None = None):
         self.spark = spark
-        self.table = LiveTable(spark, f"{schema_name}.{table}", f"{root.rstrip('/')}/{table}")
+        self.table = LiveTable(spark, f"{schema_name}.{table}", f"{root.rstrip('/')}/{table}", slices)
         self.columns = columns
         self._lock = threading.Lock()
 
@@ -54,8 +55,7 @@ class _Store:
             self.table.expire()
 
     def append(self, rows: DataFrame) -> None:
-        with self._lock:
-            self.table.append(rows.coalesce(1))
+        self._change(lambda kept: kept.unionByName(rows))
 
 
 class ControlStore(_Store):
@@ -100,11 +100,28 @@ class WatermarkStore(_Store):
             self._change(lambda stored: upsert_watermarks(stored, batches, run_id, now))
 
 
-class FullLoadHistory(_Store):
+class _History(_Store):
+    """Rows of all runs, sliced by day. A run writes the days of its own rows anew, so however many runs a day has, it is
+    a file or a few, and closed days are never touched."""
+
+    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, time_column: str):
+        super().__init__(spark, schema_name, root, table, columns, DaySlices(time_column))
+
+    def append(self, rows: DataFrame) -> None:
+        with self._lock:
+            added = small_frame(self.spark, conform(rows, self.columns).collect(), self.columns)  # a row per table of one run
+            days = [r[0] for r in added.select(self.table.slices.column()).distinct().collect()]
+            if days:
+                path = self.table.write_version(self.table.read(days).unionByName(added), uuid.uuid4().hex)
+                self.table.publish(path, days)
+                self.table.expire()
+
+
+class FullLoadHistory(_History):
     def __init__(self, spark: SparkSession, schema_name: str, root: str):
-        super().__init__(spark, schema_name, root, "migration_monitoring", FULL_LOAD_HISTORY)
+        super().__init__(spark, schema_name, root, "migration_monitoring", FULL_LOAD_HISTORY, "start_time")
 
 
-class CdcHistory(_Store):
+class CdcHistory(_History):
     def __init__(self, spark: SparkSession, schema_name: str, root: str):
-        super().__init__(spark, schema_name, root, "cdc_monitoring", CDC_HISTORY)
+        super().__init__(spark, schema_name, root, "cdc_monitoring", CDC_HISTORY, "checked_at")

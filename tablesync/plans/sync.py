@@ -13,12 +13,13 @@ from tablesync.functions.flags import is_live
 from tablesync.functions.typemap import conform, mapped_schema
 from tablesync.operators.control import control_name
 from tablesync.operators.extract import BOUNDED, INCLUSIVE, extract_changes, project, upper_watermark
-from tablesync.operators.merge import MergeSpec, align, assemble, broadcast_safe, count_columns, mark_batch, require_unique
+from tablesync.operators.merge import MATCHED, STAGED, MergeSpec, align, broadcast_safe, count_columns, merged_rows, require_unique, stays
 from tablesync.operators.metadata import cdc_eligible
 from tablesync.operators.reconcile import cdc_records, reconcile_counts
 from tablesync.plans.fanout import DEFAULT_WIDTH, Outcome, fan_out
 from tablesync.plans.full_load import COUNTS, RETENTION, now
-from tablesync.plans.livetable import LiveTable, Slices, by_slice
+from tablesync.plans import files
+from tablesync.plans.livetable import LiveTable, Slices
 from tablesync.plans.frames import rows_frame, small_frame
 from tablesync.plans.staging import StagedBatch, gate, key_size, run_directory, stage
 from tablesync.plans.stores import CdcHistory, ControlStore
@@ -99,42 +100,42 @@ def merge_batch(
 
     Of a sliced table only the touched slices are read and written, in groups whose staged keys
     fit the broadcast bound: the target is then never shuffled, however big the batch is. The
-    staged side was written to files first, so each use of it is a plain scan.
+    staged side was written to files first, so each use of it is a plain scan. All groups go live in one move,
+    after the last of them is written; if one fails, nothing does.
     """
     live.evolve(batch.schema)
     whole = align(batch.read(spark), live.read())
     require_unique(whole, keys)
-    if not live.slices:
-        return _merge_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, broadcast_safe(batch.rows, batch.key_bytes)), None, run_id)
+    groups: list[tuple[list | None, bool]] = [(None, broadcast_safe(batch.rows, batch.key_bytes))]
+    if live.slices:
+        groups = slice_groups(live.slices_of(whole, key_size(keys)))
 
-    def one(group: tuple[list, bool]) -> tuple[int, int, int]:
+    def one(group: tuple[list | None, bool]) -> tuple[str, dict]:
         touched, small = group
-        return _merge_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, small), touched, run_id)
+        return _write_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, small), touched, run_id)
 
-    outcomes = fan_out(spark, slice_groups(live.slices_of(whole, key_size(keys))), one, GROUPS_AT_ONCE)
+    outcomes = fan_out(spark, groups, one, GROUPS_AT_ONCE)
     failed = [o.error for o in outcomes if not o.ok]
     if failed:
+        for o in outcomes:
+            if o.ok:
+                files.delete_dir(spark, o.result[0])
         raise RuntimeError(f"{len(failed)} of {len(outcomes)} groups of slices failed, first: {failed[0]}")
-    return tuple(sum(o.result[i] for o in outcomes) for i in range(3))
+    live.publish_all([(o.result[0], o.item[0]) for o in outcomes])
+    counts = [o.result[1] for o in outcomes]
+    return tuple(sum(c[f"{kind}_row_count"] for c in counts) for kind in ("inserted", "updated", "deleted"))
 
 
-def _merge_group(
+def _write_group(
     spark: SparkSession, live: LiveTable, batch: StagedBatch, spec: MergeSpec, touched: list | None, run_id: str
-) -> tuple[int, int, int]:
-    """Merge some slices, or a whole unsliced table, in one job.
-
-    The change counts are observed by the pass that writes. They are taken in its last stage,
-    behind the shuffle by slice, so a stage that is run again does not count twice.
-    """
+) -> tuple[str, dict]:
+    """Write the merged content of some slices, or of a whole unsliced table, in one job; returns its folder and change counts."""
     target = live.read(touched)
     staged = align(batch.read(spark, touched), target)
-    seen = Observation()
-    marked = by_slice(mark_batch(target, staged, spec), live.slices)
-    marked = marked.observe(seen, *count_columns(marked, spec.delete_flag))
-    path = live.write_version(assemble(target, staged, marked, spec), run_id)
-    live.publish(path, touched)
-    counts = seen.get
-    return counts["inserted_row_count"], counts["updated_row_count"], counts["deleted_row_count"]
+    rows, seen = merged_rows(target, staged, spec), Observation()
+    watch = (seen, count_columns(rows, spec.delete_flag))
+    path = live.write_version(rows, run_id, (MATCHED, STAGED), watch, stays(rows, spec))
+    return path, seen.get
 
 
 def slice_groups(sizes: dict) -> list[tuple[list, bool]]:
