@@ -24,10 +24,11 @@ PIECES = {
 WHITE, LETTER, OTHER, STICKY = range(4)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-#: Bytes of text and pieces that are handled at a time, and pieces that are kept: they bound a worker's memory.
-_CHUNK = 2 << 20
+#: Bytes of text and pieces that are handled at a time, pieces that are kept, and their ids: they bound a worker's memory.
+_CHUNK = 1 << 19
 _BATCH = 512
-_KEPT = 600_000
+_KEPT = 500_000
+_KEPT_IDS = 4_000_000
 
 
 def _classes() -> np.ndarray:
@@ -64,9 +65,9 @@ class Encoder:
         self._powers(_CHUNK)
 
     def _clear(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.first, self.count = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int32)  # keys in order, and where each piece is
+        self.flat, self.used, self.kept = np.empty(1 << 16, np.uint32), 0, 0
+        self.first, self.count = np.empty(1 << 14, np.int32), np.empty(1 << 14, np.int32)
 
     def _powers(self, n: int) -> None:
         self.up, self.down = (np.cumprod(np.full(n, x, np.uint64)) for x in (_BASE, _BACK))
@@ -124,7 +125,7 @@ class Encoder:
         sticky = np.append(0, np.cumsum(kind == STICKY))
         words = (kind[start[where]] == LETTER) & (sticky[end[where]] == sticky[start[where]])
         slot = self._slots(distinct, joined, start[where], end[where], words)[piece]
-        count = self.count[slot]
+        count = self.count[slot].astype(np.int64)
         after = np.cumsum(count)
         ids = self.flat[np.repeat(self.first[slot] - (after - count), count) + np.arange(after[-1])]
         edge = np.concatenate((np.zeros(1, np.int64), after))[np.searchsorted(start, begin)]
@@ -152,13 +153,16 @@ class Encoder:
 
     def _slots(self, keys: np.ndarray, joined: bytes, start: np.ndarray, end: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Places of the pieces among the encoded ones; new pieces are encoded first. ``words``: of ASCII letters only."""
-        if len(self.slots) > _KEPT:
+        if self.kept > _KEPT or self.used > _KEPT_IDS:
             self._clear()
-        wanted = keys.tolist()
-        slot = np.fromiter((self.slots.get(k, -1) for k in wanted), np.int64, len(wanted))
-        new = np.flatnonzero(slot < 0)
+        place = np.searchsorted(self.keys, keys)
+        held = place < len(self.keys)
+        held[held] = self.keys[place[held]] == keys[held]
+        slot = np.full(len(keys), -1, np.int64)
+        slot[held] = self.slots[place[held]]
+        new = np.flatnonzero(~held)
         if len(new):
-            n = len(self.slots)
+            n = self.kept
             new = np.concatenate((new[words[new]], new[~words[new]]))
             pieces = [joined[s:e] for s, e in zip(start[new].tolist(), end[new].tolist())]
             n_words = int(words[new].sum())
@@ -169,16 +173,18 @@ class Encoder:
             self.first, self.count = _room(self.first, n + len(new)), _room(self.count, n + len(new))
             self.first[n : n + len(new)] = self.used + np.cumsum(count) - count
             self.count[n : n + len(new)] = count
-            self.used += len(flat)
+            self.used, self.kept = self.used + len(flat), n + len(new)
             slot[new] = np.arange(n, n + len(new))
-            self.slots.update(zip((wanted[k] for k in new.tolist()), range(n, n + len(new))))
+            order = new[np.argsort(keys[new])]
+            self.keys = np.insert(self.keys, place[order], keys[order])
+            self.slots = np.insert(self.slots, place[order], slot[order].astype(np.int32))
         return slot
 
 
 def _room(array: np.ndarray, n: int) -> np.ndarray:
     if n <= len(array):
         return array
-    grown = np.empty(max(n, 2 * len(array)), array.dtype)
+    grown = np.empty(max(n, len(array) + len(array) // 2), array.dtype)
     grown[: len(array)] = array
     return grown
 
