@@ -16,7 +16,7 @@ def preferred(a: Owner, b: Owner) -> Owner:
     """The owner of two sets of equal texts: most code points, then the smallest identifier."""
     rank = lambda o: (-o[0], o[1] is None, o[1] or 0)
     best = min(a, b, key=rank)
-    return best[0], best[1], a[2] + b[2], a[3] + b[3] if a[1] == b[1] else best[3]
+    return best[0], best[1], a[2] + b[2], a[3] + b[3] if a[:2] == b[:2] else best[3]
 
 
 class _Node:

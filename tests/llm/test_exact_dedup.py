@@ -62,3 +62,16 @@ def test_owners_keep_their_rows(spark):
 
 def test_empty(spark):
     assert exact_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_of_one_identifier_the_longer_text_stays(spark):
+    docs = spark.createDataFrame([(1, "a b", 1), (1, "ab", 2), (2, "c", 3), (2, "c ", 4), (2, " c", 5)], "doc_id long, text string, key int")
+    assert {(r.doc_id, r.kept, r.group_size) for r in exact_groups(docs.limit(2)).collect()} == {(1, True, 2), (1, False, 2)}
+    assert sorted(tuple(r) for r in keep_owners(docs).collect()) == [(1, "a b", 1), (2, " c", 5)]
+
+
+def test_rows_pass_by_the_marks_and_through_the_join(spark, monkeypatch):
+    monkeypatch.setattr("tablesync.llm.exact_dedup.MARKS", 2)
+    rows = [(k, f"t{k % 70}", "m", True) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark string, repeated boolean")
+    assert sorted(r.doc_id for r in keep_owners(docs).collect()) == list(range(70))
