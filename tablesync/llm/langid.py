@@ -5,8 +5,11 @@ n-grams, first the longest, then shorter and shorter ones until some are known;
 text's language has the largest sum over all its words; the score is its share after a softmax of the mean per word,
 sharpened by the square root of the number of words.
 
-Words and n-grams are counted in at most ``Settings.rows`` rows a language, texts of at most ``Settings.sample_bytes``
-bytes, chosen by the hash of the identifier, and the most frequent are kept: the model does not grow with the corpus.
+Words and n-grams are counted by Spark in a sample of at most ``Settings.rows`` texts and ``Settings.language_bytes`` bytes a
+language, drawn by the hash of the identifier; a language with fewer texts than that is learned from all of them, however long
+they are, and from one of its longer texts if even that exceeds the bytes. What the driver gets are the most frequent items, of
+which a language has fewer the more languages there are (``Settings.cells``), so the model does not grow with the corpus. Only
+the ``Settings.languages`` most frequent languages are learned; documents of others are given to one of these.
 Whole texts are scored, in the tasks that read them, without a shuffle.
 
 A null text, and one without a letter, is ``und`` with score 0. Where the model has no evidence at all, or the sums tie,
@@ -23,10 +26,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import batch_parts, whole
+from tablesync.llm.common import Scratch, batch_parts, whole
 
 UNKNOWN = "und"
 
@@ -35,9 +38,11 @@ UNKNOWN = "und"
 class Settings:
     rows: int = 2000
     languages: int = 400
-    sample_bytes: int = 16384
+    language_bytes: int = 8 << 20
     words: int = 20_000
     grams: int = 20_000
+    #: Kept items times languages of one table of the model, at most.
+    cells: int = 8_000_000
     longest: int = 5
     #: A word's evidence for a language is at most this much below that for its best one.
     floor: float = 6.0
@@ -76,43 +81,86 @@ class Model:
         return np.zeros(len(self.languages))
 
 
-def _logs(counts: dict[str, Counter], keep: int, floor: float) -> dict[str, np.ndarray]:
+def _logs(counts: dict[str, dict[str, int]], totals: dict[str, int], floor: float) -> dict[str, np.ndarray]:
     """Log frequency of each kept item by language, less that of its best language."""
-    kept = {item for c in counts.values() for item, n in c.most_common(keep) if n > 1}
-    totals = [sum(c.values()) + len(kept) * 0.1 + 1 for c in counts.values()]
+    kept = {item for c in counts.values() for item in c}
+    totals = [totals.get(lang, 0) + len(kept) * 0.1 + 1 for lang in counts]
     out = {}
     for item in kept:
-        logs = np.array([math.log((c[item] + 0.1) / t) for c, t in zip(counts.values(), totals)])
+        logs = np.array([math.log((c.get(item, 0) + 0.1) / t) for c, t in zip(counts.values(), totals)])
         out[item] = np.maximum(logs - logs.max(), -floor)
     return out
 
 
+_COUNTS = "lang string, size int, item string, n long"
+
+
+def _batch(counts: Counter) -> pa.RecordBatch:
+    keys = list(counts)
+    kinds = (pa.string(), pa.int32(), pa.string())
+    columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(list(counts.values()), pa.int64())], names=["lang", "size", "item", "n"])
+
+
+def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in batch_parts(batch):
+            yield _batch(Counter((lang, 0, w) for lang, text in zip(*(c.to_pylist() for c in part.columns)) for w in words(text)))
+
+
+def _counted_grams(longest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = Counter()
+            for lang, word, times in zip(*(c.to_pylist() for c in batch.columns)):
+                for n in range(1, longest + 1):
+                    for g in grams(word, n):
+                        found[lang, n, g] += times
+            yield _batch(found)
+
+    return run
+
+
+def _sampled(labelled: DataFrame, settings: Settings) -> tuple[list[str], DataFrame]:
+    """Languages by name, and lang, text of the rows that are learned from."""
+    texts = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    sized = texts.withColumns({"place": place, "size": F.octet_length("text")})
+    first = F.min(F.struct("size", "place")).alias("least")  # the shortest text, should all be too long
+    held = sized.groupBy("lang").agg(F.count("*").alias("count"), F.sum("size").alias("bytes"), first).orderBy(F.desc("count"), "lang").limit(settings.languages).collect()
+    share, least = F.lit(-1.0), F.lit(False)
+    for r in held:
+        of = F.col("lang") == r["lang"]
+        part = min(1.0, settings.rows / r["count"], settings.language_bytes / max(r["bytes"], 1))
+        share = F.when(of, F.lit(part)).otherwise(share)
+        least = least | (of & (F.col("size") == r["least"]["size"]) & (F.col("place") == r["least"]["place"]))
+    return sorted(r["lang"] for r in held), sized.where((F.col("place") < share) | least).select("lang", "text").distinct()
+
+
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     """From rows of doc_id, text, lang."""
-    usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL").where(F.octet_length("text") <= settings.sample_bytes)
-    held = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()
-    if not held:
+    languages, sample = _sampled(labelled, settings)
+    if not languages:
         return Model([], settings=settings)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
-    for r in held:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 1.2 * settings.rows / r["count"]))).otherwise(share)
-    rows = usable.withColumn("place", place).where(F.col("place") < share).select("lang", "text", "place", "doc_id").collect()
-    rows.sort(key=lambda r: (r.place, r.doc_id is None, r.doc_id or 0, r.text))
-    texts: dict[str, list[str]] = {r["lang"]: [] for r in sorted(held, key=lambda r: r["lang"])}
-    for r in rows:
-        if len(texts[r.lang]) < settings.rows:
-            texts[r.lang].append(r.text)
-    counted = {lang: Counter(w for t in dict.fromkeys(some) for w in words(t)) for lang, some in texts.items()}
-    known = [_logs(counted, settings.words, settings.floor)]
-    for n in range(settings.longest, 0, -1):
-        by = {lang: Counter() for lang in counted}
-        for lang, c in counted.items():
-            for word, times in c.items():
-                for g in grams(word, n):
-                    by[lang][g] += times
-        known.append(_logs(by, settings.grams, settings.floor))
-    return Model(list(counted), known, settings)
+    scratch = Scratch(labelled.sparkSession, "language-counts")
+    total = F.sum("n").alias("n")
+    by_word = scratch.write("words", sample.mapInArrow(_counted_words, _COUNTS).groupBy("lang", "size", "item").agg(total))
+    spread = by_word.select("lang", "item", "n").repartition("item")
+    by_gram = spread.mapInArrow(_counted_grams(settings.longest), _COUNTS).groupBy("lang", "size", "item").agg(total)
+    counts = scratch.write("counts", by_word.unionByName(by_gram))
+    few = settings.cells // len(languages) ** 2
+    most = F.when(F.col("size") == 0, min(settings.words, few)).otherwise(min(settings.grams, few))
+    rank = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "item"))
+    kept = counts.where("n > 1").withColumn("rank", rank).where(F.col("rank") <= most).select("size", "item").distinct()
+    sums = {(r["lang"], r["size"]): r["n"] for r in counts.groupBy("lang", "size").agg(total).collect()}
+    tables = [{lang: {} for lang in languages} for _ in range(settings.longest + 1)]
+    rows = counts.join(kept, ["size", "item"]).select("lang", "size", "item", "n").toArrow()
+    for lang, size, item, n in zip(*(rows.column(c).to_pylist() for c in ("lang", "size", "item", "n"))):
+        tables[size][lang][item] = n
+    scratch.drop("words", "counts")
+    order = [0, *range(settings.longest, 0, -1)]
+    known = [_logs(tables[size], {lang: sums.get((lang, size), 0) for lang in languages}, settings.floor) for size in order]
+    return Model(languages, known, settings)
 
 
 class _Scorer:

@@ -46,3 +46,19 @@ def test_without_languages_everything_is_unknown(spark, data):
     model = langid.fit(data.limit(0))
     assert {(r.lang_pred, r.score) for r in langid.predict(data, model).collect()} == {("und", 0.0)}
     assert langid.predict(data.limit(0), model).count() == 0
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    rng = random.Random(7)
+    long = [(k, " ".join(rng.choices(WORDS["bb"], k=6000)), "bb") for k in range(20)]
+    short = [(100 + k, " ".join(rng.choices(WORDS["aa"], k=9)), "aa") for k in range(20)]
+    labelled = spark.createDataFrame(long + short, "doc_id long, text string, lang string")
+    for settings in (langid.Settings(), langid.Settings(language_bytes=1000)):
+        model = langid.fit(labelled, settings)
+        assert model.languages == ["aa", "bb"] and model.languages[int(model.word("haus").argmax())] == "bb"
+
+
+def test_many_languages_share_the_cells(spark):
+    rows = [(k, f"w{k % 50}x{i} " * 3, f"l{k % 50:02d}") for k in range(200) for i in range(4)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langid.Settings(cells=50 * 50 * 3))
+    assert len(model.languages) == 50 and all(len(t) <= 150 for t in model.known)
