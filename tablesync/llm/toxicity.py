@@ -36,6 +36,8 @@ class Settings:
     words: int = 12
     level: int = 12
     base_bytes: int = 16384
+    #: Pieces of ordinary text that the base is trained on at most, spread over all sampled texts.
+    base_pieces: int = 40_000
     toxic: int = 2000
     ordinary: int = 4000
     sample_bytes: int = 16384
@@ -149,8 +151,10 @@ def toxic_strings(toxic: list[bytes], ordinary: list[bytes], settings: Settings)
     return [s for _, s in sorted(chosen.values())]
 
 
-def _base(ordinary: list[bytes], size: int) -> bytes:
-    samples = [w for t in ordinary for w in (t[k : k + 96] for k in range(0, len(t), 96))][:40_000]
+def _base(ordinary: list[bytes], size: int, pieces: int) -> bytes:
+    """A dictionary from at most ``pieces`` pieces, spread evenly over all texts."""
+    samples = [w for t in ordinary for w in (t[k : k + 96] for k in range(0, len(t), 96))]
+    samples = samples[:: max(1, -(-len(samples) // pieces))]
     try:
         return zstandard.train_dictionary(size, samples, k=32, d=6).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
@@ -184,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     by = {kind: [t for k, t in rows if k == kind and len(t) > 1] for kind in (0, 1)}
     if min(map(len, by.values())) < 2:
         return Model(settings=settings)
-    model = Model(_base(by[0], settings.base_bytes), toxic_strings(by[1], by[0], settings), [], settings)
+    model = Model(_base(by[0], settings.base_bytes, settings.base_pieces), toxic_strings(by[1], by[0], settings), [], settings)
     x, y = [], []
     for part in (0, 1):
         seen, unseen = ({k: v[p::2] for k, v in by.items()} for p in (part, 1 - part))

@@ -56,3 +56,13 @@ def test_windows_cover_the_text():
     start, length = tox.windows(words, 2)
     assert [words[s : s + n] for s, n in zip(start, length)] == [b" one two ", b" three four ", b" five "]
     assert tox.evidence([b" ", b""], *tox.Model(b"abc", [b"x"]).compressors(), 2).tolist() == np.zeros((2, 4)).tolist()
+
+
+def test_the_base_is_trained_on_pieces_of_all_texts(monkeypatch):
+    from tablesync.llm import toxicity
+
+    seen = []
+    monkeypatch.setattr(toxicity.zstandard, "train_dictionary", lambda size, samples, **_: seen.extend(samples) or toxicity.zstandard.ZstdCompressionDict(b"x" * 99))
+    texts = [f"text {k:04d} ".encode() * 40 for k in range(500)]
+    toxicity._base(texts, 1024, 600)
+    assert len(seen) <= 600 and b"0000" in seen[0] and any(b"049" in s for s in seen[-6:])
