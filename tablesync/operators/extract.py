@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablesync.functions.coerce import ntz, utc_naive
@@ -39,37 +39,66 @@ def rename_by_position(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def extract_changes(
-    df: DataFrame,
+def is_changed(
     cursor: str,
     low: datetime | str,
     mode: str = BOUNDED,
     high: datetime | str | Column | None = None,
     overlap: timedelta | None = None,
-) -> DataFrame:
-    """Rows past the cursor.
+) -> Column:
+    """Whether a row is past the cursor.
 
     ``strict``     cursor > low
     ``inclusive``  cursor >= low, for cursors stored one microsecond past the last row
     ``bounded``    low < cursor <= high, where high was read first: a range that can be repeated
 
     The upper bound may be a scalar sub-query, so that bound and rows come from one lazy plan.
-    Rows with a NULL cursor are never extracted. ``overlap`` moves the lower bound back so rows
+    Rows with a NULL cursor are never past it. ``overlap`` moves the lower bound back so rows
     that were committed late are read again; the merge is idempotent, so that is harmless.
     """
     at = F.col(f"`{cursor}`")
     bound = _low(low, overlap)
     if mode == STRICT:
-        return df.filter(at > bound)
+        return at > bound
     if mode == INCLUSIVE:
-        return df.filter((at >= bound) & at.isNotNull())
+        return (at >= bound) & at.isNotNull()
     if mode == BOUNDED:
         if high is None:
             raise ValueError("bounded extraction needs an upper bound")
-        return df.filter((at > bound) & (at <= (high if isinstance(high, Column) else ntz(high))))
+        return (at > bound) & (at <= (high if isinstance(high, Column) else ntz(high)))
     raise ValueError(f"unknown cursor mode {mode!r}")
 
 
+def extract_changes(
+    df: DataFrame,
+    cursor: str,
+    low: datetime | str,
+    mode: str = BOUNDED,
+    high: datetime | str | Column | None = None,
+    overlap: timedelta | None = None,
+) -> DataFrame:
+    """Rows past the cursor, see `is_changed`."""
+    return df.filter(is_changed(cursor, low, mode, high, overlap))
+
+
+def watched_changes(df: DataFrame, cursor: str, seen: Observation, low: datetime | str, mode: str, overlap: timedelta | None = None) -> DataFrame:
+    """Rows past the cursor; the same scan counts the rows without one, which are never synced, as ``null_cursors``.
+
+    They are counted where they are read, so that they are not shuffled; a read that is run again after the loss of
+    an executor counts again.
+    """
+    missing = F.col(f"`{cursor}`").isNull()
+    past = is_changed(cursor, low, mode, None, overlap)
+    return df.filter(past | missing).observe(seen, F.count_if(missing).alias("null_cursors")).filter(past)
+
+
+def bounds_of_changes(df: DataFrame, cursor: str, low: datetime | str) -> DataFrame:
+    """One row: the largest cursor above ``low``, and how many rows have none; one scan of the cursor column."""
+    at = F.col(f"`{cursor}`")
+    some = df.select(at).filter((at > ntz(low)) | at.isNull())
+    return some.agg(F.max(at).cast("timestamp_ntz").alias("upper_watermark"), F.count_if(at.isNull()).alias("null_cursors"))
+
+
 def upper_watermark(df: DataFrame, cursor: str, low: datetime | str) -> DataFrame:
     """One row: the largest cursor above ``low``, NULL when nothing changed."""
     at = F.col(f"`{cursor}`")

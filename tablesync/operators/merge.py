@@ -40,6 +40,8 @@ class MergeSpec:
     keys: tuple[str, ...]
     delete_flag: str | None = None
     broadcast_keys: bool = False
+    #: Staged rows whose key the target holds with a larger value of this column are not applied.
+    cursor: str | None = None
 
     def __post_init__(self) -> None:
         if not self.keys:
@@ -64,7 +66,20 @@ def _resolved(spec: MergeSpec, staged: DataFrame) -> MergeSpec:
     """The spec under the spelling the aligned staged columns have."""
     have = by_folded_name(staged.columns)
     flag = spec.delete_flag and have[spec.delete_flag.lower()]
-    return replace(spec, keys=tuple(have[k.lower()] for k in spec.keys), delete_flag=flag)
+    cursor = spec.cursor and have[spec.cursor.lower()]
+    return replace(spec, keys=tuple(have[k.lower()] for k in spec.keys), delete_flag=flag, cursor=cursor)
+
+
+def without_stale(batch: DataFrame, target: DataFrame, keys: Sequence[str], cursor: str, broadcast_keys: bool = False) -> DataFrame:
+    """The batch but for rows whose key the target holds with a larger cursor. Only keys and cursors of the target are read; with
+    ``broadcast_keys`` it is not shuffled either."""
+    have = by_folded_name(batch.columns)
+    names, at = [have[k.lower()] for k in keys], have[cursor.lower()]
+    held = target.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{at}`").alias("__held"))
+    if broadcast_keys:
+        held = F.broadcast(held.join(F.broadcast(batch.select(*names)), names, "left_semi"))
+    stale = F.coalesce(F.col("__held") > F.col(f"`{at}`"), F.lit(False))
+    return batch.join(held, names, "left").where(~stale).select(*[F.col(f"`{c}`") for c in batch.columns])
 
 
 def _keys_of(staged: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -100,6 +115,8 @@ def merged_rows(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFr
     target_only = [c for c in target.columns if c not in staged.columns]
     ordered = [*target.columns, *[c for c in staged.columns if c not in target.columns]]
     if spec.broadcast_keys:
+        if spec.cursor:
+            staged = without_stale(staged, target, spec.keys, spec.cursor, True)
         kept = target.join(F.broadcast(staged.select(*spec.keys)), list(spec.keys), "left_anti")
         kept = kept.withColumns({MATCHED: F.lit(False), STAGED: F.lit(False)})
         batch = mark_matches(target, staged, spec, target_only).withColumn(STAGED, F.lit(True))
@@ -110,6 +127,9 @@ def merged_rows(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFr
     place = {c: k for k, c in enumerate(ordered)}
     same = [F.col(f"__t{place[k]}") == F.col(f"__s{place[k]}") for k in spec.keys]
     is_staged, values = F.col("__s").isNotNull(), []
+    if spec.cursor:
+        k = place[spec.cursor]
+        is_staged = is_staged & ~F.coalesce(F.col(f"__t{k}") > F.col(f"__s{k}"), F.lit(False))
     for k, c in enumerate(ordered):
         if c not in staged.columns:
             value = F.col(f"__t{k}")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tablesync.functions.coerce import ntz
 from tablesync.functions.status import count_status
 
+# The columns of the two histories (the last one of the second is an addition).
 FULL_LOAD_HISTORY = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -45,6 +46,7 @@ CDC_HISTORY = T.StructType(
         T.StructField("deleted_row_count", T.LongType()),
         T.StructField("last_watermark", T.TimestampNTZType()),
         T.StructField("last_cdc_run_at", T.TimestampNTZType()),
+        T.StructField("null_cursor_row_count", T.LongType()),
     ]
 )
 
@@ -112,8 +114,9 @@ def cdc_records(
     """History rows of a sync: counts of both sides, change counts and the stored cursor.
 
     ``changes`` is (table_name, cdc_row_count, inserted_row_count, updated_row_count,
-    deleted_row_count); tables without changes may be absent.
+    deleted_row_count) and, where it is known, null_cursor_row_count; tables without changes may be absent.
     """
+    nulls = [c for c in ("null_cursor_row_count",) if c in changes.columns]
     zero = {
         c: F.coalesce(c, F.lit(0)).cast("bigint")
         for c in ("cdc_row_count", "inserted_row_count", "updated_row_count", "deleted_row_count")
@@ -131,4 +134,5 @@ def cdc_records(
         *zero,
         "last_watermark",
         "last_cdc_run_at",
+        *nulls,
     )

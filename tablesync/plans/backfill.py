@@ -10,6 +10,8 @@ from tablesync.functions.coerce import utc_naive
 from tablesync.operators.extract import extract_interval
 from tablesync.operators.interval import replace_interval
 from tablesync.operators.quality import require_equal
+from tablesync.plans import files
+from tablesync.plans.full_load import RETENTION
 from tablesync.plans.livetable import DaySlices, LiveTable
 from tablesync.plans.staging import gate, run_directory, stage
 
@@ -32,6 +34,7 @@ def backfill(
     start: datetime | str,
     end: datetime | str,
     run_id: str,
+    retention: float = RETENTION,
 ) -> int:
     """Replace one interval and return its row count. An interval without source rows is emptied.
 
@@ -46,7 +49,12 @@ def backfill(
         gate(spark, batch, live.name)
         content = replace_interval(live.read(touched), batch.read(spark), column, start, end)
         path = live.write_version(content, run_id)
-        loaded = extract_interval(live.read_version(path), column, start, end).count()
-        require_equal(f"{live.name}: rows in the interval", batch.rows, loaded)
+        try:
+            loaded = extract_interval(live.read_version(path), column, start, end).count()
+            require_equal(f"{live.name}: rows in the interval", batch.rows, loaded)
+        except Exception:
+            files.delete_dir(spark, path)
+            raise
         live.publish(path, touched)
+    live.expire(retention)
     return loaded

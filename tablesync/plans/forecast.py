@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablesync.functions.coerce import ntz
 from tablesync.operators.quality import GateFailed, freshness
+from tablesync.plans.full_load import RETENTION
 from tablesync.plans.livetable import LiveTable
 from tablesync.plans.staging import gate, run_directory, stage
 from tablesync.plans.sync import merge_batch
@@ -30,6 +31,7 @@ def load_forecast(
     run_id: str,
     as_of: datetime,
     measures: Sequence[str] = FORECAST_MEASURES,
+    retention: float = RETENTION,
 ) -> int:
     """Upsert the landed documents by date and stamp the load time; returns the staged row count.
 
@@ -46,4 +48,5 @@ def load_forecast(
         if not freshness(dates, "forecast_date", as_of.date()).first()["is_fresh"]:
             raise GateFailed(f"{live.name}: no row dated {as_of.date()} or later")
         merge_batch(spark, live, batch, ("forecast_date",), None, run_id)
+    live.expire(retention)
     return batch.rows

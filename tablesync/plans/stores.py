@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tablesync.functions.coerce import utc_naive
 from tablesync.operators.control import (
     CONTROL_SCHEMA,
+    SOURCE_NAME,
     WATERMARK_SCHEMA,
     advance,
     init_control,
@@ -25,10 +26,15 @@ from tablesync.plans.frames import small_frame
 from tablesync.functions.typemap import conform
 from tablesync.plans.livetable import DaySlices, LiveTable
 
-RESULT_SCHEMA = T.StructType(
-    [T.StructField("table_name", T.StringType()), T.StructField("new_watermark", T.TimestampNTZType())]
-)
-TABLE_NAMES = T.StructType([T.StructField("table_name", T.StringType())])
+TABLE_NAMES = T.StructType([SOURCE_NAME, T.StructField("table_name", T.StringType())])
+RESULT_SCHEMA = T.StructType([*TABLE_NAMES.fields, T.StructField("new_watermark", T.TimestampNTZType())])
+
+#: A table: the name of its source ('' for a single one) and its exact name; a name alone is one of no source.
+Identity = tuple[str, str] | str
+
+
+def _identity(table: Identity) -> tuple[str, str]:
+    return ("", table) if isinstance(table, str) else table
 
 
 class _Store:
@@ -62,25 +68,26 @@ class ControlStore(_Store):
     """Cursor, key and flag per synced table."""
 
     def __init__(self, spark: SparkSession, schema_name: str, root: str):
-        super().__init__(spark, schema_name, root, "cdc_control", CONTROL_SCHEMA)
+        super().__init__(spark, schema_name, root, "cdc_control", T.StructType([*CONTROL_SCHEMA.fields, SOURCE_NAME]))
 
     def register(self, eligible: DataFrame) -> None:
         """Add rows for eligible tables that have none; nothing is written when all have one."""
         if not new_control_rows(eligible, self.read()).isEmpty():
             self._change(lambda control: init_control(control, eligible))
 
-    def watermarks(self, tables: Sequence[str]) -> dict[str, datetime]:
+    def watermarks(self, tables: Sequence[Identity]) -> dict[Identity, datetime]:
         """Cursors of all tables of a run, in one job."""
-        wanted = small_frame(self.spark, [(t,) for t in tables], TABLE_NAMES)
-        return {r["table_name"]: r["watermark"] for r in lookup_watermarks(wanted, self.read()).collect()}
+        wanted = small_frame(self.spark, [_identity(t) for t in tables], TABLE_NAMES)
+        found = {(r["source_name"], r["table_name"]): r["watermark"] for r in lookup_watermarks(wanted, self.read()).collect()}
+        return {t: found[_identity(t)] for t in tables}
 
-    def watermark(self, table: str) -> datetime:
+    def watermark(self, table: Identity) -> datetime:
         return self.watermarks([table])[table]
 
-    def advance(self, results: Sequence[tuple[str, datetime]], run_at: datetime) -> None:
+    def advance(self, results: Sequence[tuple[Identity, datetime]], run_id: str, run_at: datetime) -> None:
         """Store new cursors of all tables that merged, in one job."""
         if results:
-            frame = small_frame(self.spark, [(t, utc_naive(w)) for t, w in results], RESULT_SCHEMA)
+            frame = _results(self.spark, results)
             self._change(lambda control: advance(control, frame, run_at))
 
 
@@ -88,17 +95,37 @@ class WatermarkStore(_Store):
     """Cursors with run id and audit time, for syncs that keep no control row."""
 
     def __init__(self, spark: SparkSession, schema_name: str, root: str):
-        super().__init__(spark, schema_name, root, "cdc_watermarks", WATERMARK_SCHEMA)
+        super().__init__(spark, schema_name, root, "cdc_watermarks", T.StructType([*WATERMARK_SCHEMA.fields, SOURCE_NAME]))
 
-    def watermarks(self, tables: DataFrame) -> DataFrame:
-        return lookup_watermarks(tables, self.read(), "last_updated_at")
+    def read(self) -> DataFrame:
+        """The cursors of a single source; ``entries`` tells those of several apart."""
+        return self.entries().select(*WATERMARK_SCHEMA.names)
+
+    def entries(self) -> DataFrame:
+        return self.table.read()
 
-    def upsert(self, results: Sequence[tuple[str, datetime]], run_id: str, now: datetime) -> None:
+    def register(self, eligible: DataFrame) -> None:
+        """Nothing to do: a table gets its row with its first cursor."""
+
+    def watermarks(self, tables: DataFrame | Sequence[Identity]) -> DataFrame | dict[Identity, datetime]:
+        if isinstance(tables, DataFrame):
+            return lookup_watermarks(tables, self.entries(), "last_updated_at")
+        wanted = small_frame(self.spark, [_identity(t) for t in tables], TABLE_NAMES)
+        rows = lookup_watermarks(wanted, self.entries(), "last_updated_at").collect()
+        found = {(r["source_name"], r["table_name"]): r["watermark"] for r in rows}
+        return {t: found[_identity(t)] for t in tables}
+
+    def upsert(self, results: Sequence[tuple[Identity, datetime]], run_id: str, now: datetime) -> None:
         if results:
-            frame = small_frame(self.spark, [(t, utc_naive(w)) for t, w in results], RESULT_SCHEMA)
-            batches = frame.withColumnRenamed("new_watermark", "max_updated_at")
+            batches = _results(self.spark, results).withColumnRenamed("new_watermark", "max_updated_at")
             self._change(lambda stored: upsert_watermarks(stored, batches, run_id, now))
 
+    advance = upsert
+
+
+def _results(spark: SparkSession, results: Sequence[tuple[Identity, datetime]]) -> DataFrame:
+    return small_frame(spark, [(*_identity(t), utc_naive(w)) for t, w in results], RESULT_SCHEMA)
+
 
 class _History(_Store):
     """Rows of all runs, sliced by day. A run writes the days of its own rows anew, so however many runs a day has, it is

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
+from typing import Protocol
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.flags import is_live
 from tablesync.functions.typemap import conform, mapped_schema
-from tablesync.operators.control import control_name
-from tablesync.operators.extract import BOUNDED, INCLUSIVE, extract_changes, project, upper_watermark
-from tablesync.operators.merge import MATCHED, STAGED, MergeSpec, align, broadcast_safe, count_columns, merged_rows, require_unique, stays
+from tablesync.operators.control import SOURCE_NAME, control_name
+from tablesync.operators.extract import BOUNDED, INCLUSIVE, bounds_of_changes, extract_changes, null_cursor_rows, project, watched_changes
+from tablesync.operators.merge import MATCHED, STAGED, MergeSpec, align, broadcast_safe, count_columns, merged_rows, require_unique, stays, without_stale
 from tablesync.operators.metadata import cdc_eligible
 from tablesync.operators.reconcile import cdc_records, reconcile_counts
 from tablesync.plans.fanout import DEFAULT_WIDTH, Outcome, fan_out
@@ -22,7 +24,7 @@ from tablesync.plans import files
 from tablesync.plans.livetable import LiveTable, Slices
 from tablesync.plans.frames import rows_frame, small_frame
 from tablesync.plans.staging import StagedBatch, gate, key_size, run_directory, stage
-from tablesync.plans.stores import CdcHistory, ControlStore
+from tablesync.plans.stores import CdcHistory, ControlStore, WatermarkStore
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.registry import SourceSpec, open_source
 
@@ -35,6 +37,14 @@ CHANGES = T.StructType(
         T.StructField("inserted_row_count", T.LongType()),
         T.StructField("updated_row_count", T.LongType()),
         T.StructField("deleted_row_count", T.LongType()),
+        T.StructField("null_cursor_row_count", T.LongType()),
+    ]
+)
+CURSORS = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("last_watermark", T.TimestampNTZType()),
+        T.StructField("last_run_at", T.TimestampNTZType()),
     ]
 )
 ELIGIBLE = T.StructType(
@@ -62,8 +72,14 @@ class SyncConfig:
 
     @property
     def control_name(self) -> str:
+        """The table's name in histories and reports."""
         return control_name(self.source, self.table)
 
+    @property
+    def identity(self) -> tuple[str, str]:
+        """What its cursor is kept by."""
+        return self.source, self.table
+
 
 @dataclass(frozen=True)
 class SyncResult:
@@ -75,6 +91,8 @@ class SyncResult:
     deleted: int = 0
     source_rows: int | None = None
     target_rows: int | None = None
+    #: Rows that have no cursor and so are never synced; unknown where nothing told.
+    null_cursors: int | None = None
 
     @property
     def changed(self) -> bool:
@@ -90,14 +108,26 @@ def configs_from(eligible: DataFrame, **common) -> list[SyncConfig]:
 
 
 def eligible_frame(spark: SparkSession, configs: Sequence[SyncConfig]) -> DataFrame:
-    return small_frame(spark, [(c.control_name, c.cursor, list(c.keys), c.delete_flag) for c in configs], ELIGIBLE)
+    rows = [(c.source, c.table, c.cursor, list(c.keys), c.delete_flag) for c in configs]
+    return small_frame(spark, rows, T.StructType([SOURCE_NAME, *ELIGIBLE.fields]))
 
 
 def merge_batch(
-    spark: SparkSession, live: LiveTable, batch: StagedBatch, keys: Sequence[str], delete_flag: str | None, run_id: str
+    spark: SparkSession,
+    live: LiveTable,
+    batch: StagedBatch,
+    keys: Sequence[str],
+    delete_flag: str | None,
+    run_id: str,
+    cursor: str | None = None,
+    buried: LiveTable | None = None,
+    unique: bool = False,
 ) -> tuple[int, int, int]:
     """Apply a staged batch to the live table; returns inserted, updated and deleted counts.
 
+    With ``cursor``, rows older than what the table holds are not applied, nor those older than the delete of their key in
+    ``buried``. ``unique`` says that the batch is known to have one row a key.
+
     Of a sliced table only the touched slices are read and written, in groups whose staged keys
     fit the broadcast bound: the target is then never shuffled, however big the batch is. The
     staged side was written to files first, so each use of it is a plain scan. All groups go live in one move,
@@ -105,14 +135,15 @@ def merge_batch(
     """
     live.evolve(batch.schema)
     whole = align(batch.read(spark), live.read())
-    require_unique(whole, keys)
+    if not unique:
+        require_unique(whole, keys)
     groups: list[tuple[list | None, bool]] = [(None, broadcast_safe(batch.rows, batch.key_bytes))]
     if live.slices:
         groups = slice_groups(live.slices_of(whole, key_size(keys)))
 
     def one(group: tuple[list | None, bool]) -> tuple[str, dict]:
         touched, small = group
-        return _write_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, small), touched, run_id)
+        return _write_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, small, cursor), touched, run_id, buried)
 
     outcomes = fan_out(spark, groups, one, GROUPS_AT_ONCE)
     failed = [o.error for o in outcomes if not o.ok]
@@ -127,11 +158,14 @@ def merge_batch(
 
 
 def _write_group(
-    spark: SparkSession, live: LiveTable, batch: StagedBatch, spec: MergeSpec, touched: list | None, run_id: str
+    spark: SparkSession, live: LiveTable, batch: StagedBatch, spec: MergeSpec, touched: list | None, run_id: str, buried: LiveTable | None
 ) -> tuple[str, dict]:
     """Write the merged content of some slices, or of a whole unsliced table, in one job; returns its folder and change counts."""
     target = live.read(touched)
     staged = align(batch.read(spark, touched), target)
+    if buried is not None:
+        markers = buried.read(touched if buried.slices else None)
+        staged = without_stale(staged, markers, spec.keys, spec.cursor, spec.broadcast_keys)
     rows, seen = merged_rows(target, staged, spec), Observation()
     watch = (seen, count_columns(rows, spec.delete_flag))
     path = live.write_version(rows, run_id, (MATCHED, STAGED), watch, stays(rows, spec))
@@ -153,8 +187,14 @@ def slice_groups(sizes: dict) -> list[tuple[list, bool]]:
     return groups
 
 
-def _bounds(source: DataFrame, cfg: SyncConfig, low: datetime) -> datetime | None:
-    return upper_watermark(source, cfg.cursor, low).first()["upper_watermark"]
+class Incremental(Protocol):
+    """What a source can tell and read of a table's changes itself, without sending other rows."""
+
+    def newest(self, table: str, cursor: str, low: datetime) -> datetime | None: ...
+
+    def null_cursors(self, table: str, cursor: str) -> int: ...
+
+    def read_changes(self, table: str, cursor: str, low: datetime, mode: str, high: datetime | None, split_by: str) -> DataFrame: ...
 
 
 def sync_table(
@@ -165,32 +205,46 @@ def sync_table(
     low: datetime,
     staging_root: str,
     run_id: str,
-    newest: Callable[[datetime], datetime | None] | None = None,
+    incremental: Incremental | None = None,
     retention: float = RETENTION,
 ) -> SyncResult:
     """One table past its cursor ``low``, up to and including the publish. The caller moves the cursor afterwards, so a
     failure anywhere before leaves it where it was and the batch is replayed; merging twice
-    changes nothing."""
+    changes nothing. Rows without a cursor are counted by the pass that looks for changes."""
     live.ensure(source.schema)
-    high = None
+    high, nulls, seen = None, None, None
+    since = low - (cfg.overlap or timedelta(0))
+    if incremental is not None:
+        nulls = incremental.null_cursors(cfg.table, cfg.cursor)
     if cfg.mode == BOUNDED:
         # with an overlap, rows that were committed late count as well in a table that is quiet
-        since = low - (cfg.overlap or timedelta(0))
-        high = _bounds(source, cfg, since) if newest is None else newest(since)
+        if incremental is not None:
+            high = incremental.newest(cfg.table, cfg.cursor, since)
+        else:
+            high, nulls = bounds_of_changes(source, cfg.cursor, since).first()
         if high is None:
-            return SyncResult(cfg.control_name, low)
-    changed = extract_changes(project(source, source.columns), cfg.cursor, low, cfg.mode, high, cfg.overlap)
+            return SyncResult(cfg.control_name, low, null_cursors=nulls)
+    if incremental is not None:
+        changed = conform(incremental.read_changes(cfg.table, cfg.cursor, since, cfg.mode, high, cfg.keys[0]), source.schema)
+    elif cfg.mode == BOUNDED:
+        changed = extract_changes(project(source, source.columns), cfg.cursor, low, cfg.mode, high, cfg.overlap)
+    else:
+        seen = Observation()
+        changed = watched_changes(project(source, source.columns), cfg.cursor, seen, low, cfg.mode, cfg.overlap)
     changed = align(changed, live.read())  # keys hash to the live table's slices only under its types
     with run_directory(spark, staging_root, run_id, cfg.table) as path:
         batch = stage(changed, changed.schema, path, cfg.cursor, cfg.keys, live.slices, sort_by=cfg.cursor)
+        if seen is not None:
+            # a plan that turns out to be empty is cut short and tells nothing
+            nulls = seen.get["null_cursors"] if batch.rows else null_cursor_rows(source, cfg.cursor).first()[0]
         if batch.rows == 0 or batch.max_cursor is None:
-            return SyncResult(cfg.control_name, low)
+            return SyncResult(cfg.control_name, low, null_cursors=nulls)
         gate(spark, batch, cfg.table)
         counts = merge_batch(spark, live, batch, cfg.keys, cfg.delete_flag, run_id)
         live.expire(retention)
         step = timedelta(microseconds=1 if cfg.mode == INCLUSIVE else 0)
         reached = max(batch.max_cursor + step, low)  # an overlap may bring older rows only
-        return SyncResult(cfg.control_name, reached, batch.rows, *counts)
+        return SyncResult(cfg.control_name, reached, batch.rows, *counts, null_cursors=nulls)
 
 
 @dataclass(frozen=True)
@@ -201,8 +255,8 @@ class SyncTarget:
     cfg: SyncConfig
     source: DataFrame | Callable[[], DataFrame]
     live: LiveTable
-    #: The largest cursor above one, and the number of rows, where the source can tell them without sending rows.
-    newest: Callable[[datetime], datetime | None] | None = None
+    #: Where the source can find changes itself, and count its rows without sending them.
+    incremental: Incremental | None = None
     count: Callable[[], int] | None = None
 
     def rows(self) -> DataFrame:
@@ -212,7 +266,7 @@ class SyncTarget:
 def sync_many(
     spark: SparkSession,
     targets: Sequence[SyncTarget],
-    control: ControlStore,
+    control: ControlStore | WatermarkStore,
     staging_root: str,
     run_id: str,
     history: CdcHistory | None = None,
@@ -222,19 +276,20 @@ def sync_many(
     that failed keeps its cursor and is replayed next time."""
     control.ensure()
     control.register(eligible_frame(spark, [t.cfg for t in targets]))
-    lows = control.watermarks([t.cfg.control_name for t in targets])
+    lows = control.watermarks([t.cfg.identity for t in targets])
 
     def one(target: SyncTarget) -> SyncResult:
         rows = target.rows()
-        low = lows[target.cfg.control_name]
-        result = sync_table(spark, rows, target.cfg, target.live, low, staging_root, run_id, target.newest)
+        low = lows[target.cfg.identity]
+        result = sync_table(spark, rows, target.cfg, target.live, low, staging_root, run_id, target.incremental)
         return result if history is None else counted(rows, target, result)
 
     outcomes = fan_out(spark, targets, one, width)
     done = [o for o in outcomes if o.ok]
-    control.advance([(o.result.table, o.result.new_watermark) for o in done], now())
+    moved = now()
+    control.advance([(o.item.cfg.identity, o.result.new_watermark) for o in done], run_id, moved)
     if history is not None:
-        record(spark, history, control, done, run_id)
+        record(spark, history, done, run_id, moved)
         record_failures(spark, history, [o for o in outcomes if not o.ok], run_id)
     return outcomes
 
@@ -243,7 +298,7 @@ def sync_source(
     spark: SparkSession,
     spec: SourceSpec,
     root: str,
-    control: ControlStore,
+    control: ControlStore | WatermarkStore,
     run_id: str,
     history: CdcHistory | None = None,
     slices: Callable[[SyncConfig], Slices | None] = lambda cfg: None,
@@ -261,13 +316,12 @@ def sync_source(
     def target(cfg: SyncConfig) -> SyncTarget:
         def rows() -> DataFrame:
             schema = mapped_schema(source.kind, source.columns(cfg.table))
-            return conform(source.read(cfg.table, cfg.keys[0]), schema)
+            return conform(source.read(cfg.table), schema)
 
         live = LiveTable(spark, f"{spec.target_schema}.{cfg.table}", f"{root.rstrip('/')}/{cfg.table}", slices(cfg))
         if not isinstance(source, JdbcSource):
             return SyncTarget(cfg, rows, live)
-        upper = lambda low: source.newest(cfg.table, cfg.cursor, low)
-        return SyncTarget(cfg, rows, live, upper, lambda: source.count(cfg.table))
+        return SyncTarget(cfg, rows, live, source, lambda: source.count(cfg.table))
 
     targets = [target(cfg) for cfg in configs_from(found, source=spec.name, **options)]
     if not targets:
@@ -291,18 +345,20 @@ def record_failures(spark: SparkSession, history: CdcHistory, outcomes: Sequence
         history.append(rows_frame(spark, rows, history.columns))
 
 
-def record(
-    spark: SparkSession, history: CdcHistory, control: ControlStore, outcomes: Sequence[Outcome], run_id: str
-) -> None:
-    """One reconciliation row per synced table: counts of both sides, change counts, cursor."""
+def record(spark: SparkSession, history: CdcHistory, outcomes: Sequence[Outcome], run_id: str, run_at: datetime) -> None:
+    """One reconciliation row per synced table: counts of both sides, change counts, cursor. Rows are put together by their place in the
+    run: tables of different sources may share a name in reports."""
     if not outcomes:
         return
     history.ensure()
-    results = [o.result for o in outcomes]
+    results = {str(k): o.result for k, o in enumerate(outcomes)}
     compared = reconcile_counts(
-        small_frame(spark, [(r.table, r.source_rows) for r in results], COUNTS),
-        small_frame(spark, [(r.table, r.target_rows) for r in results], COUNTS),
+        small_frame(spark, [(k, r.source_rows) for k, r in results.items()], COUNTS),
+        small_frame(spark, [(k, r.target_rows) for k, r in results.items()], COUNTS),
         unequal="MISMATCH",
     )
-    changes = small_frame(spark, [(r.table, r.rows, r.inserted, r.updated, r.deleted) for r in results], CHANGES)
-    history.append(cdc_records(compared, changes, control.read(), run_id, now()))
+    counts = [(k, r.rows, r.inserted, r.updated, r.deleted, r.null_cursors) for k, r in results.items()]
+    cursors = small_frame(spark, [(k, r.new_watermark, run_at) for k, r in results.items()], CURSORS)
+    told = cdc_records(compared, small_frame(spark, counts, CHANGES), cursors, run_id, now())
+    names = F.create_map(*(F.lit(x) for k, r in results.items() for x in (k, r.table)))
+    history.append(told.withColumn("table_name", names[F.col("table_name")]))

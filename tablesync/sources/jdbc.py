@@ -3,13 +3,14 @@
 A table is read in parallel: by ranges of a numeric, date or timestamp column, or, where the
 key is text or not a whole number, by a hash of it that the database computes. Filters and column lists
 reach the database through Spark's own push-down. Spark's reader pushes no aggregates, so counts,
-minima and maxima are sent as statements.
+minima and maxima are sent as statements. A sync reads a relation of changed rows only, split by their quantiles.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from tablesync.functions.naming import qualified, quote, text_literal
 from tablesync.functions.typemap import ColumnMeta
+from tablesync.operators.extract import INCLUSIVE
 from tablesync.operators.metadata import pk_columns
 from tablesync.sources.registry import SourceSpec
 
@@ -81,31 +83,52 @@ class JdbcSource:
     def tables(self) -> list[str]:
         return [r[0] for r in self._query(self.tables_sql()).orderBy("table_name").collect()]
 
+    # Each catalog view is asked once for the whole schema and kept as a local relation: a source is opened for one run, and a row a
+    # column, constraint or key column is as much as the catalog holds.
+
+    def _snapshot(self, sql: str) -> DataFrame:
+        rows = self._query(sql)
+        return self.spark.createDataFrame(rows.toArrow(), rows.schema)
+
+    @cached_property
+    def _column_snapshot(self) -> DataFrame:
+        return self._snapshot(self.columns_sql())
+
+    @cached_property
+    def _constraint_snapshot(self) -> DataFrame:
+        return self._snapshot(self.constraints_sql())
+
+    @cached_property
+    def _key_usage_snapshot(self) -> DataFrame:
+        return self._snapshot(self.key_usage_sql())
+
     def column_frame(self) -> DataFrame:
-        return self._query(self.columns_sql())
+        return self._column_snapshot
 
     def constraint_frame(self) -> DataFrame:
-        return self._query(self.constraints_sql())
+        return self._constraint_snapshot
 
     def key_usage_frame(self) -> DataFrame:
-        return self._query(self.key_usage_sql())
+        return self._key_usage_snapshot
+
+    @cached_property
+    def _columns(self) -> dict[str, list[ColumnMeta]]:
+        found: dict[str, list[ColumnMeta]] = {}
+        for r in self.column_frame().orderBy("table_name", "ordinal_position").collect():
+            found.setdefault(r["table_name"], []).append(ColumnMeta(r["column_name"], r["data_type"], r["num_precision"], r["num_scale"]))
+        return found
+
+    @cached_property
+    def _leading_keys(self) -> dict[str, str]:
+        keys = pk_columns(self.constraint_frame(), self.key_usage_frame(), self.schema)
+        return {r["table_name"]: r["pk_columns"][0] for r in keys.collect()}
 
     def columns(self, table: str) -> list[ColumnMeta]:
-        rows = (
-            self.column_frame()
-            .filter(F.col("table_name") == table)
-            .orderBy("ordinal_position")
-            .collect()
-        )
-        return [ColumnMeta(r["column_name"], r["data_type"], r["num_precision"], r["num_scale"]) for r in rows]
+        return self._columns.get(table, [])
 
     def split_column(self, table: str) -> str | None:
         """The leading key column: the database has an index on it."""
-        of_table = F.col("table_name") == table
-        keys = pk_columns(
-            self.constraint_frame().filter(of_table), self.key_usage_frame().filter(of_table), self.schema
-        ).first()
-        return keys["pk_columns"][0] if keys else None
+        return self._leading_keys.get(table)
 
     def count_sql(self, table: str) -> str:
         return f"SELECT COUNT(*) AS n FROM {self.relation(table)}"
@@ -119,6 +142,64 @@ class JdbcSource:
         quoted = quote(self.kind, cursor)
         return f"SELECT MAX({quoted}) AS upper_watermark FROM {self.relation(table)} WHERE {quoted} > {self.timestamp_text(low)}"
 
+    def changed_text(self, cursor: str, low: datetime, mode: str, high: datetime | None) -> str:
+        """The condition of changed rows, as `is_changed` has it."""
+        quoted = quote(self.kind, cursor)
+        text = f"{quoted} {'>=' if mode == INCLUSIVE else '>'} {self.timestamp_text(low)}"
+        return text if high is None else f"{text} AND {quoted} <= {self.timestamp_text(high)}"
+
+    def changes_relation(self, table: str, changed: str) -> str:
+        return f"(SELECT * FROM {self.relation(table)} WHERE {changed}) changes"
+
+    def changed_count_sql(self, table: str, changed: str) -> str:
+        return f"{self.count_sql(table)} WHERE {changed}"
+
+    def null_cursors_sql(self, table: str, cursor: str) -> str:
+        return f"{self.count_sql(table)} WHERE {quote(self.kind, cursor)} IS NULL"
+
+    def quantiles_sql(self, table: str, column: str, changed: str, tasks: int) -> str:
+        """The least value of each of ``tasks`` parts of equally many changed rows."""
+        quoted = quote(self.kind, column)
+        ranked = f"SELECT {quoted} AS k, NTILE({tasks}) OVER (ORDER BY {quoted}) AS part FROM {self.relation(table)} WHERE ({changed}) AND {quoted} IS NOT NULL"
+        return f"SELECT MIN(k) AS low FROM ({ranked}) ranked GROUP BY part"
+
+    def literal(self, value: object) -> str:
+        if isinstance(value, datetime):
+            return self.timestamp_text(value)
+        if isinstance(value, date):
+            return f"DATE {text_literal(value.isoformat())}"
+        return text_literal(value) if isinstance(value, str) else str(value)
+
+    def quantile_predicates(self, column: str, lows: list) -> list[str]:
+        """Disjoint ranges that together cover all values; NULLs go with the first. A value that fills several parts is one range."""
+        quoted = quote(self.kind, column)
+        edges = [self.literal(v) for v in sorted(set(lows))[1:]]
+        if not edges:
+            return ["1 = 1"]
+        inner = [f"{quoted} >= {a} AND {quoted} < {b}" for a, b in zip(edges, edges[1:])]
+        return [f"{quoted} < {edges[0]} OR {quoted} IS NULL", *inner, f"{quoted} >= {edges[-1]}"]
+
+    def read_changes(self, table: str, cursor: str, low: datetime, mode: str, high: datetime | None, split_by: str) -> DataFrame:
+        """Changed rows only. Their number is counted, and the read is split by their quantiles, whatever gaps and outliers the
+        table has; nothing is asked about other rows. Text keys are split by hash, as databases order text in ways of their own."""
+        changed = self.changed_text(cursor, low, mode, high)
+        relation = self.changes_relation(table, changed)
+        tasks = task_count(int(self._query(self.changed_count_sql(table, changed)).first()["n"]), self.spec.connections)
+        rows = self._load(relation)
+        if tasks == 1:
+            return rows
+        kind = rows.schema[split_by].dataType
+        if splits_by_range(kind) or isinstance(kind, T.DecimalType):
+            lows = [r["low"] for r in self._query(self.quantiles_sql(table, split_by, changed, tasks)).collect()]
+            predicates = self.quantile_predicates(split_by, lows)
+        else:
+            predicates = self.split_predicates(split_by, tasks)
+        properties = {k: v for k, v in self.options().items() if k != "url"}
+        return self.spark.read.jdbc(url=self.spec.options["url"], table=relation, predicates=predicates, properties=properties)
+
+    def null_cursors(self, table: str, cursor: str) -> int:
+        return int(self._query(self.null_cursors_sql(table, cursor)).first()["n"])
+
     def timestamp_text(self, at: datetime) -> str:
         return f"TIMESTAMP {text_literal(at.strftime('%Y-%m-%d %H:%M:%S.%f'))}"
 

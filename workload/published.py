@@ -77,7 +77,7 @@ def cdc_sync_published(spark: SparkSession, sf: str) -> DataFrame:
     control = ControlStore(spark, _schema_name(root), root)
     control.ensure()
     cfg = SyncConfig("orders", ("o_orderkey",), "o_orderdate")
-    known = [(cfg.table, cfg.cursor, ",".join(cfg.keys), "", i.LO, i.LO)]
+    known = [(cfg.table, cfg.cursor, ",".join(cfg.keys), "", i.LO, i.LO, cfg.source)]
     control.append(small_frame(spark, known, control.columns))
     (outcome,) = sync_many(spark, [SyncTarget(cfg, i.table(spark, sf, "orders"), live)], control, root, i.RUN_ID)
     if not outcome.ok:
