@@ -134,7 +134,7 @@ def merged_rows(target: DataFrame, staged: DataFrame, spec: MergeSpec) -> DataFr
         if c not in staged.columns:
             value = F.col(f"__t{k}")
         elif c not in target.columns:
-            value = F.col(f"__s{k}")
+            value = F.when(is_staged, F.col(f"__s{k}"))
         else:
             value = F.when(is_staged, F.col(f"__s{k}")).otherwise(F.col(f"__t{k}"))
         values.append(value.alias(c))
