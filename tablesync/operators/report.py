@@ -94,15 +94,18 @@ def filtered(df: DataFrame, kind: str, selected: str = ALL, status: str = ALL, t
     return filter_table(filter_status(filter_kind(df, kind, selected), status), table)
 
 
-def latest_per_table(df: DataFrame, time_column: str, tiebreak: str) -> DataFrame:
-    """Latest run of each table; unreadable times sort last, runs without a table name form one
-    group. Spark limits each group to one row before the shuffle, so a hot table does not pile up."""
-    newest = Window.partitionBy("table_name").orderBy(
-        timestamp_or_null(F.col(time_column)).desc_nulls_last(), F.col(tiebreak)
-    )
+def latest_per(df: DataFrame, columns: Sequence[str], time_column: str, tiebreak: str) -> DataFrame:
+    """Latest run of each group; unreadable times sort last, runs without a value form a group of their own. Spark limits each
+    group to one row before the shuffle, so a hot table does not pile up."""
+    newest = Window.partitionBy(*columns).orderBy(timestamp_or_null(F.col(time_column)).desc_nulls_last(), F.col(tiebreak))
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
+def latest_per_table(df: DataFrame, time_column: str, tiebreak: str) -> DataFrame:
+    """Latest run of each table; runs without a table name form one group."""
+    return latest_per(df, ("table_name",), time_column, tiebreak)
+
+
 def _ok(diff: Column) -> Column:
     return status_is(F.col("status"), "SUCCESS") & (diff == 0)
 

@@ -91,12 +91,14 @@ def sliced_schema(schema: T.StructType, slices: Slices | None) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(SLICE, T.DataType.fromDDL(slices.type_name))])
 
 
-def by_slice(df: DataFrame, slices: Slices | None, sort_by: str | None = None) -> DataFrame:
+def by_slice(df: DataFrame, slices: Slices | None, sort_by: str | None = None, tasks: int | None = None) -> DataFrame:
     """Bring rows of a slice together before a partitioned write. Adaptive execution splits a
-    slice that is too big for one task and joins those that are too small."""
+    slice that is too big for one task and joins those that are too small. Where very many slices are small each, the files
+    and not the rows take the time: ``tasks`` deals them over so many."""
     if slices is None:
         return df.sortWithinPartitions(F.col(f"`{sort_by}`")) if sort_by else df
-    df = df.withColumn(SLICE, slices.column()).hint("rebalance", SLICE)
+    df = df.withColumn(SLICE, slices.column())
+    df = df.hint("rebalance", SLICE) if tasks is None else df.repartition(tasks, SLICE)
     if sort_by:
         df = df.sortWithinPartitions(SLICE, F.col(f"`{sort_by}`"))
     return df.drop(SLICE)
@@ -170,6 +172,10 @@ class LiveTable:
     def manifest(self) -> Manifest:
         return Manifest.of(files.read_text(self.spark, f"{self.root}/{self._properties()[MANIFEST]}"))
 
+    def state(self) -> str:
+        """A name of the current content; each publish gives another."""
+        return self._properties()[ENTRY]
+
     def _write_manifest(self, manifest: Manifest) -> str:
         name = f"manifest-{_stamp()}.json"
         files.write_text(self.spark, f"{self.root}/{name}", json.dumps(asdict(manifest)))
@@ -270,6 +276,7 @@ class LiveTable:
         marks: Sequence[str] = (),
         watch: tuple[Observation, list[Column]] | None = None,
         keep: Column | None = None,
+        tasks: int | None = None,
     ) -> str:
         """Write content beside the live files. Nothing a reader sees changes.
 
@@ -277,7 +284,7 @@ class LiveTable:
         twice; then ``keep`` drops rows. Both may use columns that are not written, named in ``marks``.
         """
         path, schema = self.version_path(run_id), self.schema()
-        rows = by_slice(conform(df, T.StructType([*schema.fields, *[df.schema[m] for m in marks]])), self.slices)
+        rows = by_slice(conform(df, T.StructType([*schema.fields, *[df.schema[m] for m in marks]])), self.slices, tasks=tasks)
         if watch is not None:
             rows = rows.observe(watch[0], *watch[1])
         if keep is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,6 +21,8 @@ from tablesync.operators.control import (
     new_control_rows,
     upsert_watermarks,
 )
+from tablesync.functions.naming import path_safe
+from tablesync.operators.report import latest_per
 from tablesync.operators.reconcile import CDC_HISTORY, FULL_LOAD_HISTORY
 from tablesync.plans.frames import small_frame
 from tablesync.functions.typemap import conform
@@ -129,26 +131,66 @@ def _results(spark: SparkSession, results: Sequence[tuple[Identity, datetime]])
 
 class _History(_Store):
     """Rows of all runs, sliced by day. A run writes the days of its own rows anew, so however many runs a day has, it is
-    a file or a few, and closed days are never touched."""
+    a file or a few, and closed days are never touched.
 
-    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, time_column: str):
+    Beside it stands the latest run of each table and status, brought up to date with every run, so that reports need not read
+    the history. It names the state of the history it belongs to; one that is behind is made anew from the history.
+    """
+
+    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, time_column: str, run_column: str):
         super().__init__(spark, schema_name, root, table, columns, DaySlices(time_column))
+        self.time_column, self.run_column = time_column, run_column
+        self._latest = LiveTable(spark, f"{schema_name}.{table}_latest", f"{root.rstrip('/')}/{table}_latest")
 
     def append(self, rows: DataFrame) -> None:
         with self._lock:
             added = small_frame(self.spark, conform(rows, self.columns).collect(), self.columns)  # a row per table of one run
             days = [r[0] for r in added.select(self.table.slices.column()).distinct().collect()]
-            if days:
-                path = self.table.write_version(self.table.read(days).unionByName(added), uuid.uuid4().hex)
-                self.table.publish(path, days)
-                self.table.expire()
+            if not days:
+                return
+            before = self._state()
+            path = self.table.write_version(self.table.read(days).unionByName(added), uuid.uuid4().hex)
+            self.table.publish(path, days)
+            self._bring_up(self._latest.read().unionByName(added) if self._is_of(before) else self.table.read())
+            self.table.expire()
+
+    def load(self, rows: DataFrame) -> None:
+        """Take over a whole history, of any size, in place of what is here."""
+        with self._lock:
+            self.table.ensure(self.columns)
+            tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.spark.sparkContext.defaultParallelism)
+            self.table.publish(self.table.write_version(rows, uuid.uuid4().hex, tasks=tasks))
+            self._bring_up(self.table.read())
+
+    def latest(self) -> DataFrame:
+        """The latest run of each table and status."""
+        with self._lock:
+            if not self._is_of(self._state()):
+                self._bring_up(self.table.read())
+        return self._latest.read()
+
+    def days(self) -> list[date]:
+        """Days that have rows, newest first."""
+        return sorted(map(date.fromisoformat, self.table.manifest().live), reverse=True)
+
+    def _state(self) -> str:
+        return self.table.state()
+
+    def _is_of(self, state: str) -> bool:
+        return self._latest.exists() and any(path_safe(state) in p for p in self._latest.manifest().live.values())
+
+    def _bring_up(self, rows: DataFrame) -> None:
+        self._latest.ensure(self.columns)
+        newest = latest_per(rows, ("table_name", "status"), self.time_column, self.run_column)
+        self._latest.publish(self._latest.write_version(newest.coalesce(1), self._state()))
+        self._latest.expire()
 
 
 class FullLoadHistory(_History):
     def __init__(self, spark: SparkSession, schema_name: str, root: str):
-        super().__init__(spark, schema_name, root, "migration_monitoring", FULL_LOAD_HISTORY, "start_time")
+        super().__init__(spark, schema_name, root, "migration_monitoring", FULL_LOAD_HISTORY, "start_time", "run_id")
 
 
 class CdcHistory(_History):
     def __init__(self, spark: SparkSession, schema_name: str, root: str):
-        super().__init__(spark, schema_name, root, "cdc_monitoring", CDC_HISTORY, "checked_at")
+        super().__init__(spark, schema_name, root, "cdc_monitoring", CDC_HISTORY, "checked_at", "dag_run_id")
