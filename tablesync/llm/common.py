@@ -61,6 +61,17 @@ class Scratch:
             delete_dir(self.spark, self.path(name))
 
 
+#: Marks that are broadcast at most, whatever the corpus.
+MARKS = 1 << 20
+
+
+def maybe_among(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` (any columns, one of them ``key``) without most of those whose key is not in ``wanted``: told by a broadcast of at
+    most ``MARKS`` numbers, so nothing is shuffled. None that is wanted is lost."""
+    mark = F.pmod(F.xxhash64(F.col(key)), F.lit(MARKS)).alias("__mark")
+    return rows.withColumn("__mark", mark).join(F.broadcast(wanted.select(mark).distinct()), "__mark", "left_semi").drop("__mark")
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether nothing may be learned from a row."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0

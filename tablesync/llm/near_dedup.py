@@ -10,12 +10,14 @@ a summary of bounded size finds candidates, a second pass counts them exactly, a
 2. ``BANDS * ROWS`` samples of each text: the shingle with the least ``c / (y e^r)`` (Ioffe 2010). Random numbers come from
    a table by hash of the shingle and number of the sample; equal samples agree in shingle and in ``t``.
 3. Texts that agree in all samples of a band share a bucket. Each is paired with the bucket's smallest identifier, not
-   with every other text. Pairs are compared by their weighted Jaccard similarity; those of 0.8 and more are links. Those
-   whose plain similarity alone is 0.8 are links too where they are found: samples are weighted, so at no promised rate.
+   with every other text. Pairs that agree in at least ``AGREEING`` samples are compared by their shingles; they are a link if
+   their weighted Jaccard similarity, or the plain one of their sets of shingles, is 0.8 or more. Samples are weighted, so a pair
+   is missed at a rate that its weighted similarity gives: 0.0002 for 0.8, 0.002 for 0.75.
 4. Links make classes, by connected components over tables on shared storage.
 5. What that leaves are buckets that hold several classes. Within these, texts of different classes are compared by their
-   samples, whole at any size: a bucket is dealt into blocks of about ``BLOCK`` texts, and each pair of blocks that may
-   hold two classes meets in a group of its own, so a text goes to as many groups as its bucket has such blocks. Texts with a
+   samples, whole at any size: a bucket is dealt into blocks of about ``BLOCK`` texts or ``BLOCK_WORDS`` words, and each pair of
+   blocks that may hold two classes meets in a group of its own, so a text goes to as many groups as its bucket has such
+   blocks: to one, unless that bucket is larger than a block. Texts with a
    partner of enough equal samples meet once more, with their shingles, and are verified in the task: no pairs leave it but
    the links that join classes, fewer than there are texts. The classes are joined along these.
 
@@ -34,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import Scratch, batch_parts, whole
+from tablesync.llm.common import Scratch, batch_parts, maybe_among, whole
 from tablesync.llm.components import components
 
 SIZE = 5
@@ -44,8 +46,15 @@ BANDS, ROWS = 16, 4
 SIMILAR = 0.8
 #: Of ``BANDS * ROWS`` samples, two texts of similarity 0.8 agree in fewer than this once in ten thousand times.
 AGREEING = 38
-#: Texts of a bucket that meet in one group, from each of its two blocks.
-BLOCK = 256
+#: Texts of a bucket that meet in one group, from each of its two blocks, and their words.
+BLOCK = 4096
+BLOCK_WORDS = 1 << 20
+#: Texts of a star that are compared with its centre in one group.
+STAR = 256
+#: Texts of a task that looks for frequent shingles.
+TASK_TEXTS = 4096
+#: Classes of so many documents have their sizes broadcast: there are few.
+LARGE_CLASS = 10_000
 #: Identifiers are smaller.
 _NO_ID = 1 << 62
 _TABLE = 1 << 14
@@ -110,16 +119,21 @@ class Frequent:
         self.values, self.counts = distinct[kept], total[kept]
 
 
-def _candidates(size: int):
-    """What may be frequent, and in a row without a shingle by how much counts may be too small."""
+def _candidates(size: int, allowance: float):
+    """What may be frequent, and in a row without a shingle by how much counts may be too small.
+
+    A task keeps to itself what it has at most ``allowance`` times a text of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Frequent(size)
+        found, texts = Frequent(size), 0
         for batch in batches:
             for part in batch_parts(batch, 8 << 20):
+                texts += part.num_rows
                 found.add(*np.unique(Shingles(part.column(0)).hash, return_counts=True))
-        shingles = pa.array([None, *found.values.view(np.int64).tolist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([shingles, pa.array([found.lost, *found.counts.tolist()], pa.int64())], names=["shingle", "n"])
+        few = int(allowance * texts)
+        kept = found.counts > few
+        shingles = pa.array([None, *found.values[kept].view(np.int64).tolist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([shingles, pa.array([found.lost + few, *found.counts[kept].tolist()], pa.int64())], names=["shingle", "n"])
 
     return run
 
@@ -163,9 +177,11 @@ def frequent_weights(worded: DataFrame, texts: int, characters: int) -> Weights:
     if not texts:
         return Weights(*none)
     least = max(2, texts / COMMON)
+    # tasks of thousands of texts can tell what is rare: all together they may keep a quarter of ``least`` to themselves
+    gathered = worded.select("words").coalesce(max(1, math.ceil(texts / TASK_TEXTS)))
     room = math.ceil(characters / 2 / least) + 64  # for words of three letters on average; doubled if that is too few
     while True:
-        parts = worded.select("words").mapInArrow(_candidates(room), "shingle long, n long")
+        parts = gathered.mapInArrow(_candidates(room, least / 4 / texts), "shingle long, n long")
         merged = parts.groupBy("shingle").agg(F.sum("n").alias("n")).where((F.col("n") >= least / 2) | F.col("shingle").isNull()).toArrow()
         shingle, n = merged.column("shingle"), merged.column("n")
         lost = pc.sum(n.filter(shingle.is_null())).as_py() or 0
@@ -216,7 +232,8 @@ def _signed(weights):
             for part in batch_parts(batch, 1 << 20):
                 s = Shingles(part.column(3))
                 got = samples(s, weights.value.of(s), randoms)
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([x.tobytes() for x in got], pa.binary())], names=["id", "h1", "h2", "samples"])
+                size = pc.list_value_length(part.column(3)).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([x.tobytes() for x in got], pa.binary()), size], names=["id", "h1", "h2", "samples", "size"])
 
     return run
 
@@ -239,44 +256,68 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(key.reshape(-1))], names=["id", "key"])
 
 
+def alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
+    """Whether two texts, by hashes and weights of their shingles, are similar: by weights, or by mere numbers of shingles."""
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    shared = np.minimum(a[1][i], b[1][j]).sum()
+    weighted = shared / (a[1].sum() + b[1].sum() - shared)
+    return max(weighted, len(i) / (len(a[0]) + len(b[0]) - len(i))) >= SIMILAR
+
+
+def _weighed(words: pa.ListArray, weights) -> list[tuple[np.ndarray, np.ndarray]]:
+    s = Shingles(words)
+    weight, edge = weights.value.of(s), np.append(s.first, len(s.hash))
+    return [(s.hash[x:y], weight[x:y]) for x, y in zip(edge[:-1], edge[1:])]
+
+
 def _verified(weights):
-    """Pairs whose texts are similar: columns a, b and the hashed words of both."""
+    """Links a, b of each star: rows (a, part, b, words) sorted so that the centre, which has no b, comes first of its part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        star, centre = None, None
         for batch in batches:
-            for part in batch_parts(batch):
-                a, b = Shingles(part.column(2)), Shingles(part.column(3))
-                owner = np.concatenate((a.owner, b.owner))
-                value = np.concatenate((a.hash, b.hash))
-                weight = np.concatenate((weights.value.of(a), weights.value.of(b)))
-                order = np.lexsort((value, owner))
-                owner, value, weight = owner[order], value[order], weight[order]
-                both = np.flatnonzero((owner[1:] == owner[:-1]) & (value[1:] == value[:-1]))
-                n = part.num_rows
-                shared = np.bincount(owner[both], np.minimum(weight[both], weight[both + 1]), n)
-                total = np.bincount(owner, weight, n)
-                common, every = np.bincount(owner[both], minlength=n), np.bincount(owner, minlength=n)
-                alike = np.maximum(shared / np.maximum(total - shared, 1e-12), common / np.maximum(every - common, 1))
-                yield part.select([0, 1]).filter(pa.array(alike >= SIMILAR))
+            for rows in batch_parts(batch):
+                links = []
+                for a, part, b, text in zip(*(rows.column(k).to_pylist() for k in range(3)), _weighed(rows.column(3), weights)):
+                    if b is None:
+                        star, centre = (a, part), text
+                    elif star == (a, part) and alike(centre, text):
+                        links.append((a, b))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
 
     return run
 
 
-def _first_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, text of the documents with these identifiers."""
-    return docs.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+def _same_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs a, b that agree in enough samples."""
+    for batch in batches:
+        left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for k in (2, 3))
+        yield batch.select([0, 1]).filter(pa.array((left == right).sum(axis=1) >= AGREEING))
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame, repeated: bool) -> DataFrame:
+    """id, text of the documents with these identifiers; of an identifier that repeats, the least text."""
+    found = maybe_among(docs.select("id", "text"), ids, "id").join(ids, "id", "left_semi")
+    return found.groupBy("id").agg(F.min("text").alias("text")) if repeated else found
 
 
-def verified(pairs: DataFrame, docs: DataFrame, weights, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (a, b) of identifiers of ``docs`` (id, text) that are similar, as a table on shared storage."""
-    pairs = scratch.write(f"{name}-pairs", pairs)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = scratch.write(f"{name}-texts", _first_texts(docs, ends))
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", _hashed("left").alias("left"), _hashed("right").alias("right"))
-    links = scratch.write(name, both.mapInArrow(_verified(weights), "a long, b long"))
-    scratch.drop(f"{name}-pairs", f"{name}-texts")
+def verified(stars: DataFrame, signed: DataFrame, docs: DataFrame, weights, scratch: Scratch, repeated: bool) -> DataFrame:
+    """The pairs (a, b) of a star's centre and another text that are similar, as a table on shared storage.
+
+    Samples decide first; then each text goes to its stars once, and centres of large stars to each part of them.
+    """
+    samples_of = lambda c: signed.select(F.col("id").alias(c), F.col("samples").alias(f"samples_{c}"))
+    sampled = stars.join(samples_of("a"), "a").join(samples_of("b"), "b").select("a", "b", "samples_a", "samples_b")
+    pairs = scratch.write("pairs", sampled.mapInArrow(_same_samples, "a long, b long"))
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
+    others = pairs.join(sizes, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), "b")
+    centres = sizes.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"))
+    members = scratch.write("members", others.unionByName(centres))
+    texts = _texts_of(docs, members.select("id").distinct(), repeated)
+    placed = members.join(texts, "id").select("a", "part", "b", "text").repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    links = scratch.write("links", placed.select("a", "part", "b", _hashed("text").alias("words")).mapInArrow(_verified(weights), "a long, b long"))
+    scratch.drop("pairs", "members")
     return links
 
 
@@ -336,8 +377,7 @@ def _joining(weights):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_key(batches):
-            s = Shingles(pa.array([r[6] for r in rows], pa.list_(pa.int64())))
-            weight, edge = weights.value.of(s), np.append(s.first, len(s.hash))
+            texts = _weighed(pa.array([r[6] for r in rows], pa.list_(pa.int64())), weights)
             root = {r[4]: r[4] for r in rows}
 
             def find(label: int) -> int:
@@ -345,20 +385,12 @@ def _joining(weights):
                     root[label] = label = root[root[label]]
                 return label
 
-            def similar(x: int, y: int) -> bool:
-                a, b = slice(edge[x], edge[x + 1]), slice(edge[y], edge[y + 1])
-                _, i, j = np.intersect1d(s.hash[a], s.hash[b], assume_unique=True, return_indices=True)
-                shared = np.minimum(weight[a][i], weight[b][j]).sum()
-                every = edge[x + 1] - edge[x] + edge[y + 1] - edge[y]
-                total = weight[a].sum() + weight[b].sum()
-                return max(shared / (total - shared), len(i) / (every - len(i))) >= SIMILAR
-
             links = []
             for x, y, n in _agreeing(rows):
                 for k in np.argsort(-n, kind="stable").tolist():
                     a, b = int(x[k]), int(y[k])
                     p, q = find(rows[a][4]), find(rows[b][4])
-                    if p != q and similar(a, b):
+                    if p != q and alike(texts[a], texts[b]):
                         root[max(p, q)] = min(p, q)
                         links.append(sorted((rows[a][3], rows[b][3])))
             if links:
@@ -371,13 +403,16 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
     """pair, key, side, id, label, samples: rows (key, id, label, samples) of buckets with several classes, in each pair of
     blocks that they belong to.
 
-    Classes of ``BLOCK`` rows and more have blocks of their own, which need not meet each other; the others share theirs.
+    Classes of a block and more have blocks of their own, which need not meet each other; the others share theirs. A row is written
+    once for each block that its bucket has, so a bucket of up to ``BLOCK`` texts has each of them once.
     """
-    classes = rows.groupBy("key", "label").agg(F.count("*").alias("n"))
-    shared = F.sum(F.when(F.col("n") < BLOCK, F.col("n")))
+    words = F.sum("size") if "size" in rows.columns else F.lit(0)
+    blocks_of = F.greatest(F.count("*") / BLOCK, words / BLOCK_WORDS)
+    classes = rows.groupBy("key", "label").agg(blocks_of.alias("n"))
+    shared = F.sum(F.when(F.col("n") < 1, F.col("n")))
     sizes = classes.groupBy("key").agg(F.count("*").alias("classes"), shared.alias("shared")).where("classes > 1").select("key", "shared")
-    own = F.when(F.col("n") >= BLOCK, F.col("label"))
-    classes = classes.join(sizes, "key").select("key", "label", own.alias("own"), F.ceil(F.when(F.col("n") >= BLOCK, F.col("n")).otherwise(F.col("shared")) / BLOCK).alias("parts"))
+    own = F.when(F.col("n") >= 1, F.col("label"))
+    classes = classes.join(sizes, "key").select("key", "label", own.alias("own"), F.ceil(F.when(F.col("n") >= 1, F.col("n")).otherwise(F.col("shared"))).alias("parts"))
     block = F.when(F.col("own").isNull(), F.xxhash64(F.lit(-1), F.pmod(F.xxhash64("label"), "parts"))).otherwise(F.xxhash64("own", F.pmod(F.xxhash64("id"), "parts")))
     placed = rows.join(classes, ["key", "label"]).withColumn("block", block).drop("parts")
     blocks = placed.select("key", "own", "block").distinct()
@@ -404,25 +439,27 @@ def _classes(docs: DataFrame) -> DataFrame:
     weights = spark.sparkContext.broadcast(frequent_weights(worded, size.texts, size.characters or 0))
     # two hashes of all words: texts that agree in both are taken as equal
     keyed = worded.select("id", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), F.reverse("words")).alias("h2"), "words")
-    copies = scratch.write("signed", keyed.mapInArrow(_signed(weights), "id long, h1 long, h2 long, samples binary"))
+    copies = scratch.write("signed", keyed.mapInArrow(_signed(weights), "id long, h1 long, h2 long, samples binary, size long"))
     firsts = scratch.write("firsts", copies.groupBy("h1", "h2").agg(F.min("id").alias("id")))
-    signed = copies.join(firsts, ["h1", "h2", "id"], "left_semi").dropDuplicates(["id"]).select("id", "samples")
-    bands = signed.mapInArrow(_banded, "id long, key long")
+    repeated = not copies.groupBy("id").count().where("count > 1").isEmpty()
+    signed = copies.join(firsts, ["h1", "h2", "id"], "left_semi").select("id", "samples", "size")
+    signed = scratch.write("distinct", signed.dropDuplicates(["id"]) if repeated else signed)
+    bands = signed.select("id", "samples").mapInArrow(_banded, "id long, key long")
     buckets = bands.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     bands = scratch.write("bands", bands.join(buckets, "key").select("id", "key", "a"))
     stars = bands.select("a", F.col("id").alias("b")).where("a <> b").distinct()
-    links = verified(stars, docs, weights, scratch, "links")
+    links = verified(stars, signed, docs, weights, scratch, repeated)
     nodes = bands.select("id").distinct()
     labels = components(nodes, links, scratch, "first")
-    held = bands.join(labels, "id").select("key", "id", "label").join(signed, "id").select("key", "id", "label", "samples")
+    held = bands.join(labels, "id").select("key", "id", "label").join(signed, "id").select("key", "id", "label", "samples", "size")
     parts = _block_pairs(scratch.write("held", held))
     sorted_ = parts.repartition("pair").sortWithinPartitions("pair")
     partners = scratch.write("partners", sorted_.mapInArrow(_with_partners, "pair long, key long, side int, id long, label long, samples binary"))
-    texts = scratch.write("texts", _first_texts(docs, partners.select("id").distinct()))
+    texts = _texts_of(docs, partners.select("id").distinct(), repeated)
     spelled = partners.join(texts, "id").select(*partners.columns, "text").repartition("pair").sortWithinPartitions("pair")
     spelled = spelled.select(*partners.columns, _hashed("text").alias("words"))
     late = scratch.write("late", spelled.mapInArrow(_joining(weights), "a long, b long").distinct())
-    scratch.drop("held", "bands", "partners", "texts")
+    scratch.drop("held", "bands", "partners", "distinct")
     labels = components(nodes, late, scratch, "all", labels)
     ends = links.unionByName(late).select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     by_text = firsts.join(labels, "id", "left").join(ends, "id", "left")
@@ -436,10 +473,16 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     ``n_links`` counts the links of the document's text that made its class, and ``kept`` marks one document of each class.
     """
     classed = _classes(docs.select(_identified(docs, doc_id, text).alias("id"), whole(text).alias("text")))
-    sizes = classed.groupBy("label").agg(F.count("*").alias("class_size"))
+    scratch = Scratch(docs.sparkSession, "near-classes")
+    classed = scratch.write("classed", classed)
+    sizes = classed.groupBy("label").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") >= LARGE_CLASS).select("label", F.col("n").alias("n_large"))
+    small = sizes.where(F.col("n") < LARGE_CLASS).select(F.col("label").alias("small"), "n")
+    # rows of large classes, that have their size, are spread over the second join
+    told = classed.join(F.broadcast(large), "label", "left").withColumn("small", F.when(F.col("n_large").isNull(), F.col("label")).otherwise(F.xxhash64("id")))
     known = lambda c: F.when(F.col(c) < _NO_ID, F.col(c))
-    return classed.join(sizes, "label").select(
-        known("id").alias("doc_id"), known("label").alias("class_id"), "class_size", "n_links", (F.col("id") == F.col("label")).alias("kept")
+    return told.join(small, "small", "left").select(
+        known("id").alias("doc_id"), known("label").alias("class_id"), F.coalesce("n_large", "n").alias("class_size"), "n_links", (F.col("id") == F.col("label")).alias("kept")
     )
 
 

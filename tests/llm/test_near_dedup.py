@@ -139,3 +139,41 @@ def test_components(spark):
         for a, b in links:
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert got == parent
+
+
+def test_rows_of_a_bucket_grow_with_its_texts(spark):
+    counts = [near_dedup._block_pairs(bucket(spark, [1] * n)[1]()).count() for n in (500, 2000)]
+    assert counts == [500, 2000]
+
+
+def test_blocks_are_bounded_by_words_too(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_WORDS", 1000)
+    got, frame = bucket(spark, [1] * 40)
+    rows = near_dedup._block_pairs(frame().selectExpr("*", "100L AS size")).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.pair] = sizes.get(r.pair, 0) + 1
+    assert len(rows) > 40 and max(sizes.values()) <= 40
+
+
+def test_tasks_keep_rare_shingles_to_themselves(spark):
+    words = [(list(range(k * 100, k * 100 + 50)),) for k in range(600)] + [([1, 2, 3, 4, 5],)] * 30
+    frame = spark.createDataFrame(words, "words array<long>").coalesce(1)
+    rows = frame.mapInArrow(near_dedup._candidates(100_000, 1 / 300), "shingle long, n long").collect()
+    assert sorted(r.n for r in rows if r.shingle is not None) == [30] and [r.n for r in rows if r.shingle is None] == [2]
+
+
+def test_stars_of_many_texts_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "STAR", 3)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    rows = [(k, " ".join([*base[:50], f"x{k}", *base[51:]]), "a") for k in range(40)]
+    got = near_classes(spark.createDataFrame(rows, "doc_id long, text string, part string")).collect()
+    assert {(r.class_id, r.class_size) for r in got} == {(0, 40)}
+
+
+def test_large_classes_have_their_sizes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LARGE_CLASS", 5)
+    rows = [(k, "the same words in each of them" if k % 2 else f"one two three four {k // 8}") for k in range(40)]
+    got = near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.class_id, r.class_size) for r in got} == {(1, 20)} | {(8 * k, 4) for k in range(5)}
