@@ -1,20 +1,23 @@
 """Main text of web pages, with boilerplate found by suffix arrays of a host's pages.
 
-A page is read into blocks of text, each with where it stands: in an article, in a part that by its tag, role or class is
-no article (menus, headers, footers, sidebars, notices, adverts, forms, comments), or neither. The token streams of a
-host's pages are concatenated and their suffixes sorted; runs of ``Settings.run`` tokens and more that stand on several
-distinct pages are boilerplate, and are cut out; pages of equal text outside parts are copies of one page and count once.
-Where a block stands is evidence beside that: in an article a run must stand on more pages to be cut, as articles quote
-each other, and parts of the second kind are left out also where they are unique, as comments are. What is left of a page
-are the other runs of its blocks, in an article or not.
+A page is read once, into blocks of text, each with where it stands: in an article, in a part that by its tag, role or class is no
+article (menus, headers, footers, sidebars, notices, adverts, forms, comments), or neither. Blocks in parts go, as comments
+are unique and yet no main text; so do articles in parts, such as teasers, unless a page has nothing else. A class or an id names a
+part only if all its words fit one (``has-widget`` and ``social-history`` do not), and never a container with most of the page's text, unless an
+article stands outside it.
+
+The token streams of a host's blocks are concatenated, their suffixes sorted by prefix doubling, and common prefixes of
+neighbours computed from the ranks. Neighbours that share ``Settings.run`` tokens and more are the places of a repeated substring, and
+what such substrings cover is boilerplate if they stand on several distinct pages; pages of equal text are copies of one page and
+count once. Where a block stands is evidence beside that: in an article a whole block must stand on more pages to be cut, as
+articles quote each other, and a stretch within a block on even more. What is left of a page are its unique runs.
 
 Hosts are cut into shards of a bounded number of pages and bytes, each with a suffix array of its own: a hot host is many
-tasks, and a shard fits in memory. Pages are counted over the whole host, so results do not depend on the shards. Where a
-host has several, one copy of each page is its owner and counts. A run on enough pages of the host stands on the mean number
-for a shard in one of them at least: a first pass finds these runs, a second counts them in all shards by 64-bit hash, and
-the last one cuts. Each pass shuffles pages once, the first two those of large hosts only. The hashes of the first pass are
-broadcast if there are at most ``MANY_RUNS``, or else all runs of large hosts are counted; the large hosts are, if there are
-at most ``MANY``.
+tasks, and a shard fits in memory. Blocks are shuffled once, into a table with a row for each shard, and all passes read that.
+Pages are counted over the whole host, so results do not depend on the shards: a run on enough pages of the host stands on the mean
+number for a shard in one of them at least. So the arrays of the shards give candidates, as 64-bit hashes of host and run;
+counting them in all shards and cutting those that are on enough pages take a hash of each window of tokens. Candidates are
+broadcast if there are at most ``MANY_RUNS``; else all runs of large hosts are counted, and those to be cut are joined by host.
 
 Null html is empty and gives the empty text. Pages without a readable host share the empty host's shards. Repeated rows
 give equal texts. An empty table gives an empty result. Columns beside identifier, url and html are not looked at.
@@ -44,9 +47,10 @@ class Settings:
     #: Distinct pages that a run must stand on: at least so many, and this share of the host's.
     pages: int = 3
     share: float = 0.02
-    #: The same for a run in an article.
+    #: The same for a block in an article, and the share for a run within a block.
     article_pages: int = 10
     article_share: float = 0.1
+    within_share: float = 0.25
     shard_pages: int = 200
     shard_bytes: int = 4 << 20
 
@@ -71,6 +75,13 @@ NAMES = set(
     "social related recommended recommendations comment comments disqus reply replies respond widget login search skip".split()
 )
 
+#: Words that stand beside these in names of parts.
+BESIDE = set(
+    "site page main top bottom left right upper lower global primary secondary box block area wrap wrapper container content inner outer section list item items "
+    "link links bar row col column unit slot zone panel header head title body text button buttons icon icons form input field post posts article articles entry "
+    "message policy by author v m xs sm md lg js is".split()
+)
+
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!/?a-zA-Z][^>]*+(?:>|\Z)|[^<]++|<", re.S
 )
@@ -78,38 +89,56 @@ _NAME = re.compile(r"""(?:^|[\s"'])(class|id|role|style|aria-hidden|hidden)(?:\s
 IN_ARTICLE, IN_PART, NEITHER = "article", "part", "neither"
 
 
-def _is_part(tag: str, rest: str, in_article: bool) -> bool:
+STRONG, WEAK, ARTICLE = range(3)
+
+
+def _names_part(name: str) -> bool:
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    return bool(NAMES.intersection(words)) and all(w in NAMES or w in BESIDE for w in words)
+
+
+def _kind(tag: str, rest: str, in_article: bool) -> int | None:
+    """What an element starts, if anything: a part by tag, role or being hidden, a part by its names, or an article."""
     if tag in PARTS and not (tag == "header" and in_article):
-        return True
+        return STRONG
+    weak = False
     for name, value in _NAME.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name == "role" and value in ROLES or name in ("class", "id") and tag not in ("html", "body") and NAMES.intersection(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+            return STRONG
+        if name == "role" and value in ROLES:
+            return STRONG
+        weak = weak or name in ("class", "id") and tag not in ("html", "body") and any(map(_names_part, value.split()))
+    return WEAK if weak else ARTICLE if tag in ARTICLES else None
+
+
+class _Element:
+    """An open part or article, and how often its tag is open in it."""
+
+    __slots__ = ("tag", "kind", "depth", "size", "outside")
+
+    def __init__(self, tag: str, kind: int):
+        self.tag, self.kind, self.depth, self.size, self.outside = tag, kind, 1, 0, 0
 
 
 def blocks(page: str) -> list[tuple[str, str]]:
     """Where it stands, and text with single spaces, of each block that has text, in page order."""
-    out: list[tuple[str, str]] = []
+    out: list[tuple[str, tuple[_Element, ...]]] = []
     held: list[str] = []
-    part, depth, article = "", 0, []  # the open part and how often its tag is open in it; open articles
-    around = "", 0  # the part around the open articles, and how often its tag is open
+    around: list[_Element] = []
     raw = ""
 
     def flush() -> None:
-        text = " ".join(html.unescape("".join(held)).split())
+        text = " ".join(html.unescape("".join(held)).split()) if held else ""
         held.clear()
         if text:
-            out.append((IN_PART if part else IN_ARTICLE if article else NEITHER, text))
+            out.append((text, tuple(around)))
 
     for piece in _PIECE.finditer(page):
         tag = piece["tag"]
         if tag is None:
-            if not raw and piece[0][0] != "<" or piece[0] == "<":
-                if not raw:
-                    held.append(piece[0])
+            if not raw and (piece[0][0] != "<" or piece[0] == "<"):
+                held.append(piece[0])
             continue
         tag, ends = tag.lower(), bool(piece["end"])
         if raw:
@@ -125,56 +154,103 @@ def blocks(page: str) -> list[tuple[str, str]]:
             flush()
         if tag in VOID:
             continue
-        if part:
-            if tag == part:
-                depth += -1 if ends else 1
-                if not depth:
-                    part = ""
-            elif tag in ARTICLES and not ends and not _is_part(tag, piece["rest"], False):
-                around, part, depth = (part, depth), "", 0  # the article stands in a part, which goes on after it
-                article = [tag]
+        if ends:
+            for k, element in enumerate(around):
+                if element.tag == tag:
+                    element.depth -= 1
+                    if not element.depth:
+                        flush()
+                        del around[k:]
+                        break
             continue
-        if not ends and _is_part(tag, piece["rest"], bool(article)):
+        for element in around:
+            element.depth += element.tag == tag
+        kind = _kind(tag, piece["rest"], any(e.kind == ARTICLE for e in around))
+        if kind is not None:
             flush()
-            part, depth = tag, 1
-        elif tag in ARTICLES and not ends:
-            article.append(tag)
-        elif tag in article and ends:
-            article.remove(tag)
-            if not article:
-                part, depth = around
-                around = "", 0
+            around.append(_Element(tag, kind))
     flush()
-    return out
+    return _placed(out)
+
+
+def _placed(out: list[tuple[str, tuple[_Element, ...]]]) -> list[tuple[str, str]]:
+    """Places of blocks, once the whole page is known."""
+    shown = [(len(text), inside) for text, inside in out if not any(e.kind == STRONG for e in inside)]
+    total = sum(n for n, _ in shown)
+    articles = sum(n for n, inside in shown if any(e.kind == ARTICLE for e in inside))
+    for n, inside in shown:
+        for k, element in enumerate(inside):
+            element.size += n
+            # how much of it is in articles that stand within it
+            element.outside += n if any(e.kind == ARTICLE for e in inside[k + 1 :]) else 0
+
+    def is_part(element: _Element) -> bool:
+        """Names do not make a part of what holds most of the page, unless an article stands outside it."""
+        if element.kind != WEAK:
+            return element.kind == STRONG
+        return 2 * element.size <= total or articles > element.outside
+
+    found, spare = [], []
+    for text, inside in out:
+        last = max((k for k, e in enumerate(inside) if is_part(e)), default=-1)
+        within = any(e.kind == ARTICLE for e in inside)
+        found.append((IN_PART if last >= 0 else IN_ARTICLE if within else NEITHER, text))
+        spare.append(last >= 0 and any(e.kind == ARTICLE for e in inside[last + 1 :]))
+    if any(place != IN_PART for place, _ in found):
+        return found
+    return [(IN_ARTICLE if alone else place, text) for (place, text), alone in zip(found, spare)]
+
+
+def sorted_suffixes(tokens: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of the pages in order, how many tokens each shares with the one before, and how many tokens it has.
+
+    Ranks by the first 1, 2, 4, ... tokens are doubled until no two suffixes are equal or the longest page is reached; a suffix ends with
+    its page, and the shorter of two that agree comes first.
+    """
+    n = len(tokens)
+    end = np.searchsorted(page, page, side="right")
+    longest = int((end - np.arange(n)).max())
+    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
+    ranks, length = [rank], 1
+    while length < longest and int(rank.max()) + 1 < n:
+        after = np.zeros(n, np.int64)
+        at = np.flatnonzero(np.arange(n) + length < end)
+        after[at] = rank[at + length] + 1
+        rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64)
+        ranks.append(rank)
+        length *= 2
+    order = np.argsort(rank, kind="stable")
+    i, j, shared = order[:-1].copy(), order[1:].copy(), np.zeros(n, np.int64)
+    stop_i, stop_j = end[i], end[j]
+    for k in range(len(ranks) - 1, -1, -1):
+        step = 1 << k
+        whole_ = (i + step <= stop_i) & (j + step <= stop_j)
+        same = np.flatnonzero(whole_)
+        same = same[ranks[k][i[same]] == ranks[k][j[same]]]
+        i[same] += step
+        j[same] += step
+        shared[same + 1] += step
+    return order, shared, (end - np.arange(n))[order]
 
 
 def runs(tokens: np.ndarray, page: np.ndarray, run: int, alike: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where runs start, the number of each start's run, and on how many distinct pages each run stands.
 
-    Runs end with their page; ``alike`` numbers pages so that copies share a number, and only ``counted`` tokens make their
-    page count. Suffixes are ranked by their first
-    1, 2, 4, ... tokens; equal ranks next to each other in the sorted order are the places of one run.
+    Neighbours in the order of suffixes that share ``run`` tokens and more are places of one run. ``alike`` numbers pages so that
+    copies share a number, and only ``counted`` tokens make their page count.
     """
-    n, none = len(tokens), np.zeros(0, np.int64)
-    if n < run:
+    none = np.zeros(0, np.int64)
+    if len(tokens) < run:
         return none, none, none
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
-    length = 1
-    while length < run:
-        step = min(length, run - length)
-        after = np.full(n, -1, np.int64)
-        after[: n - step] = rank[step:]
-        rank = np.unique(rank * (n + 1) + after + 1, return_inverse=True)[1].astype(np.int64)
-        length += step
-    inside = np.zeros(n, bool)
-    inside[: n - run + 1] = page[: n - run + 1] == page[run - 1 :]
-    order = np.lexsort((~counted, alike, rank))
-    order = order[inside[order]]
+    order, shared, left = sorted_suffixes(tokens, page)
+    group = np.cumsum(shared < run)[left >= run]
+    order = order[left >= run]
     if not len(order):
         return none, none, none
-    r, p = rank[order], alike[order]
-    first = np.append(True, r[1:] != r[:-1])
-    fresh = first | np.append(True, p[1:] != p[:-1])
+    by_page = np.lexsort((~counted[order], alike[order], group))
+    order, group = order[by_page], group[by_page]
+    first = np.append(True, group[1:] != group[:-1])
+    fresh = first | np.append(True, alike[order][1:] != alike[order][:-1])
     group = np.cumsum(first) - 1
     return order, group, np.bincount(group, fresh & counted[order]).astype(np.int64)
 
@@ -199,179 +275,270 @@ def content(page_blocks: list[tuple[str, str]]) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") >> 1
 
 
+#: How often a run stands on a host: enough to be cut beside articles, as a whole block of one, or within such a block.
+BESIDE_ARTICLES, WHOLE_BLOCK, WITHIN_BLOCK = 1, 2, 3
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
 class Shard:
-    """Pages of a host, or some of them, with the runs of their tokens. ``counted`` says which pages count; without it the
-    copy of the least ``order`` does."""
+    """Blocks outside parts of pages of a host, or of some of them, as one stream of tokens. ``counted`` says which pages count;
+    without it the copy of the least ``order`` does."""
 
-    def __init__(self, pages: list[str], settings: Settings, order: list[int] | None = None, counted: list[bool] | None = None):
-        self.run, self.found = settings.run, [blocks(p) for p in pages]
+    def __init__(self, found: list[list[tuple[str, str]]], settings: Settings, order: list[int] | None = None, counted: list[bool] | None = None):
+        self.settings, self.found = settings, found
         numbers: dict[str, int] = {}
         tokens, page, self.start = [], [], {}
-        for k, page_blocks in enumerate(self.found):
+        for k, page_blocks in enumerate(found):
             for b, (_, text) in enumerate(page_blocks):
                 self.start[k, b] = len(tokens)
                 words = ["\n", *text.split(), "\n"]  # the edges of a block are tokens too
                 tokens += [numbers.setdefault(w, len(numbers)) for w in words]
                 page += [k] * len(words)
-        contents = np.unique(np.array([content(f) for f in self.found], np.int64), return_inverse=True)[1]
+        contents = np.unique(np.array([content(f) for f in found], np.int64), return_inverse=True)[1]
         self.distinct = int(contents.max(initial=-1)) + 1
         if counted is None:
-            order = np.arange(len(pages)) if order is None else np.array(order, np.int64)
+            order = np.arange(len(found)) if order is None else np.array(order, np.int64)
             least = np.full(self.distinct, np.iinfo(np.int64).max)
             np.minimum.at(least, contents, order)
             counted = order == least[contents]
-        page = np.array(page, np.int64)
+        self.page = np.array(page, np.int64)
         self.words, self.tokens = list(numbers), np.array(tokens, np.int64)
-        self.starts, self.group, self.on = runs(self.tokens, page, self.run, contents[page], np.array(counted, bool)[page])
-
-    def keys(self) -> np.ndarray:
-        """Hashes of the runs by their words, equal in all shards."""
-        first = self.starts[np.unique(self.group, return_index=True)[1]]
-        word = np.array([int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for w in self.words], np.uint64)
-        key = np.zeros(len(first), np.uint64)
-        for k in range(self.run if len(first) else 0):
-            key = (key ^ word[self.tokens[first + k]]) * _MIX
+        self.alike, self.counted = contents[self.page], np.array(counted, bool)[self.page]
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return runs(self.tokens, self.page, self.settings.run, self.alike, self.counted)
+
+    def windows(self, host: str) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all windows of ``run`` tokens that end in their page, and hashes of host and window, equal in all shards."""
+        n, run = len(self.tokens), self.settings.run
+        if n < run:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.flatnonzero(self.page[: n - run + 1] == self.page[run - 1 :])
+        word = np.fromiter(map(_hash, self.words), np.uint64, len(self.words))[self.tokens]
+        key = np.full(len(at), _hash(host), np.uint64)
+        for k in range(run):
+            key = (key ^ word[at + k]) * _MIX
             key ^= key >> np.uint64(31)
-        return key.view(np.int64)
+        return at, key.view(np.int64)
 
-    def texts(self, cut: dict[str, np.ndarray]) -> list[str]:
-        """Main texts without the runs that are to be cut from blocks of each place."""
-        covered = {place: covered_by(self.starts[which[self.group]], self.run, len(self.tokens)) for place, which in cut.items()}
+    def texts(self, starts: np.ndarray, levels: np.ndarray) -> list[str]:
+        """Main texts without the runs that start at these places and may be cut up to these levels."""
+        run, n = self.settings.run, len(self.tokens)
+        beside, block, within = (covered_by(starts[levels >= level], run, n) for level in (BESIDE_ARTICLES, WHOLE_BLOCK, WITHIN_BLOCK))
         out = []
         for k, page_blocks in enumerate(self.found):
             kept = []
             for b, (place, text) in enumerate(page_blocks):
-                if place != IN_PART:
-                    at, gone = self.start[k, b] + 1, covered[place]
-                    text = " ".join(w for i, w in enumerate(text.split()) if not gone[at + i])
-                    if text:
-                        kept.append(text)
+                words, at = text.split(), self.start[k, b] + 1
+                if place == IN_ARTICLE and block[at : at + len(words)].all():
+                    continue
+                gone = (within if place == IN_ARTICLE else beside)[at : at + len(words)]
+                if gone.any():
+                    text = " ".join(w for w, cut in zip(words, gone.tolist()) if not cut)
+                if text:
+                    kept.append(text)
             out.append("\n".join(kept))
         return out
 
 
+def _least(distinct, settings: Settings) -> tuple[int, int, int]:
+    """Pages that a run must stand on for each level."""
+    s = settings
+    return tuple(max(least, math.ceil(share * distinct)) for least, share in ((s.pages, s.share), (s.article_pages, s.article_share), (s.article_pages, s.within_share)))
+
+
+def shown(page: str) -> list[tuple[str, str]]:
+    return [b for b in blocks(page) if b[0] != IN_PART]
+
+
+def _whole_host(found: list[list[tuple[str, str]]], settings: Settings, order: list[int] | None) -> list[str]:
+    shard = Shard(found, settings, order)
+    starts, group, on = shard.runs()
+    return shard.texts(starts, np.searchsorted(_least(shard.distinct, settings), on, side="right")[group])
+
+
 def main_texts(pages: list[str], settings: Settings = Settings(), order: list[int] | None = None) -> list[str]:
     """Main text of each page of one host."""
-    shard = Shard(pages, settings, order)
-    least = max(settings.pages, math.ceil(settings.share * shard.distinct))
-    least_article = max(settings.article_pages, math.ceil(settings.article_share * shard.distinct))
-    return shard.texts({NEITHER: shard.on >= least, IN_ARTICLE: shard.on >= least_article})
+    return _whole_host([shown(p) for p in pages], settings, order)
 
 
-#: Kinds of rows of a shard, in this order: rows that own their content, runs to be cut, pages.
-OWNER, CUT, PAGE = range(3)
+PLACES = (IN_ARTICLE, NEITHER)
+#: Kinds of rows of a shard, in this order: rows that own their content, pages.
+OWNER, PAGE = range(2)
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], list[dict], list[dict]]]:
-    """Owners, runs to be cut and pages of each shard; they come sorted by it."""
-    held, at = ([], [], []), None
-    for batch in batches:
-        for part in range(0, batch.num_rows, 256):
-            for row in batch.slice(part, 256).to_pylist():
-                if at is not None and at != (row["host"], row["shard"]):
-                    yield held
-                    held = ([], [], [])
-                at = row["host"], row["shard"]
-                held[row["kind"]].append(row)
-    if at is not None:
-        yield held
-
-
-def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as blocks outside parts: host, row, page_id, url, content, bytes, places, texts."""
+    names = ["host", "row", "page_id", "url", "content", "bytes", "places", "texts"]
     for batch in batches:
         for part in batch_parts(batch):
-            got = pa.array([content(blocks(p)) for p in part.column(2).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), got], names=["host", "row", "content"])
+            found = [shown(p) for p in part.column(4).to_pylist()]
+            columns = [
+                pa.array([content(f) for f in found], pa.int64()),
+                pa.array([sum(len(text.encode("utf-8", "replace")) + 1 for _, text in f) for f in found], pa.int64()),
+                pa.array([[PLACES.index(place) for place, _ in f] for f in found], pa.list_(pa.int8())),
+                pa.array([[text for _, text in f] for f in found], pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], *columns], names=names)
 
 
-def _counted(settings: Settings, wanted=None, first: bool = False):
-    """Runs of each shard and their pages: in the first pass those on ``enough`` pages, then those wanted."""
+def _gathered(page_type: pa.DataType):
+    """One row for each shard, from rows (host, shard, kind, shards, row, page_id, url, places, texts) sorted by shard and kind."""
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(page_type)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for owners, _, pages in _by_shard(batches):
-            if not pages or first and pages[0]["enough"] < 2:
-                continue
-            own = {r["row"] for r in owners}
-            shard = Shard([r["html"] for r in pages], settings, counted=[r["row"] in own for r in pages])
-            keys, on = shard.keys(), shard.on
-            if first:
-                kept = on >= pages[0]["enough"]
-            elif wanted is None or pages[0]["enough"] < 2:
-                kept = np.ones(len(on), bool)
-            else:
-                kept = np.isin(keys, wanted.value)
-            n = int(kept.sum())
-            columns = [pa.array([pages[0]["host"]] * n, pa.string()), pa.array([pages[0]["shard"]] * n, pa.int64()), pa.array(keys[kept]), pa.array(on[kept])]
-            yield pa.RecordBatch.from_arrays(columns, names=["host", "shard", "run", "n"])
+        at, shards, owners, pages = None, None, set(), []
+
+        def row() -> pa.RecordBatch:
+            columns = [pa.array([v], k) for v, k in zip((*at, shards, pages), kinds)]
+            return pa.RecordBatch.from_arrays(columns, names=["host", "shard", "shards", "pages"])
+
+        for batch in batches:
+            for part in batch_parts(batch):
+                for r in part.to_pylist():
+                    if at != (r["host"], r["shard"]):
+                        if pages:
+                            yield row()
+                        at, owners, pages = (r["host"], r["shard"]), set(), []
+                    if r["kind"] == OWNER:
+                        owners.add(r["row"])
+                        continue
+                    shards = r["shards"]
+                    pages.append({"row": r["row"], "page_id": r["page_id"], "url": r["url"], "owner": r["row"] in owners, "places": r["places"], "texts": r["texts"]})
+        if pages:
+            yield row()
 
     return run
 
 
-def _extracted(settings: Settings, kinds: list[pa.DataType]):
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[list[tuple[str, str]]]]]:
+    """A row at a time, and the blocks of its pages."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
+            yield row, [[(PLACES[p], text) for p, text in zip(page["places"], page["texts"])] for page in row["pages"]]
+
+
+def _counting(found: list[list[tuple[str, str]]], pages: list[dict], settings: Settings) -> Shard:
+    return Shard(found, settings, counted=[p["owner"] for p in pages])
+
+
+def _often(settings: Settings):
+    """Hashes of runs that stand on ``enough`` pages of their shard, from its suffix array."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, cut, pages in _by_shard(batches):
-            if not pages:
+        for row, found in _each(batches):
+            if row["enough"] < 2:
                 continue
-            bodies = [r["html"] for r in pages]
-            if pages[0]["shards"] is None:
-                got = main_texts(bodies, settings, [r["row"] for r in pages])
+            shard = _counting(found, row["pages"], settings)
+            starts, group, on = shard.runs()
+            at, keys = shard.windows(row["host"])
+            first = np.unique(group, return_index=True)[1]
+            chosen = starts[first][on >= row["enough"]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys[np.searchsorted(at, chosen)]))], names=["run"])
+
+    return run
+
+
+def _pages_of_runs(settings: Settings, wanted):
+    """On how many counted pages of a shard the wanted runs stand; all runs where a shard's mean is below two pages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, found in _each(batches):
+            shard = _counting(found, row["pages"], settings)
+            at, keys = shard.windows(row["host"])
+            kept = shard.counted[at]
+            if wanted is not None and row["enough"] >= 2:
+                kept &= np.isin(keys, wanted.value)
+            pairs = np.unique(np.stack((keys[kept], shard.page[at[kept]])), axis=1)
+            run_, n = np.unique(pairs[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([row["host"]] * len(run_), pa.string()), pa.array(run_), pa.array(n)], names=["host", "run", "n"])
+
+    return run
+
+
+def _extracted(settings: Settings, kinds: list[pa.DataType], cut=None):
+    """Main texts of the pages of each shard; the runs of large hosts that are to be cut are broadcast or in the row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, found in _each(batches):
+            pages = row["pages"]
+            if row["shards"] is None:
+                got = _whole_host(found, settings, [p["row"] for p in pages])
             else:
-                shard = Shard(bodies, settings)
-                keys = shard.keys()
-                weak, strong = (np.array([r["run"] for r in cut if r["strong"] or not least], np.int64) for least in (0, 1))
-                got = shard.texts({NEITHER: np.isin(keys, weak), IN_ARTICLE: np.isin(keys, strong)})
-            columns = [pa.array([r[c] for r in pages], kind) for c, kind in zip(("page_id", "url"), kinds)]
+                if cut is not None:
+                    runs_, levels = cut.value
+                else:
+                    cuts = sorted((c["run"], c["level"]) for c in row["cuts"] or ())
+                    runs_, levels = (np.array([c[k] for c in cuts], np.int64) for k in (0, 1))
+                shard = Shard(found, settings, counted=[True] * len(pages))
+                at, keys = shard.windows(row["host"])
+                level = np.zeros(len(keys), np.int64)
+                if len(runs_):
+                    place = np.minimum(np.searchsorted(runs_, keys), len(runs_) - 1)
+                    level = np.where(runs_[place] == keys, levels[place], 0)
+                got = shard.texts(at, level)
+            columns = [pa.array([p[c] for p in pages], kind) for c, kind in zip(("page_id", "url"), kinds)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(got, pa.string())], names=["page_id", "url", "text"])
 
     return run
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    return rows.repartition("host", "shard").sortWithinPartitions("host", "shard", "kind")
-
-
-def _cut_runs(rows: DataFrame, large: DataFrame, settings: Settings, scratch: Scratch) -> DataFrame:
-    """host, shard, kind, run, strong: the runs to be cut in each shard of the large hosts, strong ones from articles too."""
-    spark = rows.sparkSession
-    contents = rows.select("host", "row", "html").mapInArrow(_contents, "host string, row long, content long")
-    owners = scratch.write("owners", contents.groupBy("host", "content").agg(F.min("row").alias("row")))
-    on = lambda pages, share: F.greatest(F.lit(pages), F.ceil(F.lit(share) * F.col("distinct")))
-    limits = owners.groupBy("host").agg(F.count("*").alias("distinct")).join(large, "host")
-    limits = limits.select("host", "shards", on(settings.pages, settings.share).alias("least"), on(settings.article_pages, settings.article_share).alias("least_article"))
-    limits = scratch.write("limits", limits.withColumn("enough", F.ceil(F.col("least") / F.col("shards"))))
-    limits = F.broadcast(limits) if limits.count() <= MANY else limits
-    shard = F.pmod("row", "shards").alias("shard")
-    paged = rows.join(limits, "host").select("host", shard, F.lit(PAGE).alias("kind"), "row", "html", "enough")
-    owned = owners.join(limits, "host").select("host", shard, F.lit(OWNER).alias("kind"), "row")
-    dealt = _dealt(paged.unionByName(owned, allowMissingColumns=True))
-    kinds = "host string, shard long, run long, n long"
-    often = scratch.write("often", dealt.mapInArrow(_counted(settings, first=True), kinds).select("run").distinct())
+def _large_hosts(shards: DataFrame, owners: DataFrame, settings: Settings, scratch: Scratch) -> tuple[DataFrame, object]:
+    """The shards of large hosts, and what is to be cut of them: broadcast, or in a column ``cuts``."""
+    spark, s = shards.sparkSession, settings
+    on = lambda pages, share: F.greatest(F.lit(pages), F.ceil(F.lit(share) * F.col("distinct"))).cast("long")
+    least = {"least": on(s.pages, s.share), "least_block": on(s.article_pages, s.article_share), "least_within": on(s.article_pages, s.within_share)}
+    limits = owners.groupBy("host", "shards").agg(F.count("*").alias("distinct")).withColumns(least)
+    limits = scratch.write("limits", limits.withColumn("enough", F.ceil(F.col("least") / F.col("shards"))).drop("shards", "distinct"))
+    known = F.broadcast(limits) if limits.count() <= MANY else limits
+    rows = shards.join(known.select("host", "enough"), "host").select("host", "shard", "shards", "enough", "pages")
+    often = scratch.write("often", rows.mapInArrow(_often(s), "run long").distinct())
     wanted = spark.sparkContext.broadcast(np.sort(often.toArrow().column(0).to_numpy())) if often.count() <= MANY_RUNS else None
-    counts = scratch.write("counts", dealt.mapInArrow(_counted(settings, wanted), kinds))
-    totals = counts.groupBy("host", "run").agg(F.sum("n").alias("n")).join(limits, "host").where("n >= least").select("host", "run", (F.col("n") >= F.col("least_article")).alias("strong"))
-    return counts.join(totals, ["host", "run"]).select("host", "shard", F.lit(CUT).alias("kind"), "run", "strong")
+    counts = rows.mapInArrow(_pages_of_runs(s, wanted), "host string, run long, n long").groupBy("host", "run").agg(F.sum("n").alias("n"))
+    level = F.when(F.col("n") >= F.col("least_within"), WITHIN_BLOCK).when(F.col("n") >= F.col("least_block"), WHOLE_BLOCK).otherwise(BESIDE_ARTICLES)
+    cut = scratch.write("cut", counts.join(known, "host").where("n >= least").select("host", "run", level.cast("long").alias("level")))
+    if cut.count() <= MANY_RUNS:
+        held = cut.select("run", "level").distinct().orderBy("run", "level").toArrow()
+        runs_, levels = held.column("run").to_numpy(), held.column("level").to_numpy()
+        return shards, spark.sparkContext.broadcast((runs_, levels))
+    by_host = cut.groupBy("host").agg(F.collect_list(F.struct("run", "level")).alias("cuts"))
+    return shards.join(by_host, "host", "left"), None
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", body: str = "html", settings: Settings = Settings()) -> DataFrame:
     """page_id, url, text, n_chars of every row; page_id and url keep their types."""
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select(host.alias("host"), F.col(page_id).alias("page_id"), F.col(url).alias("url"), whole(body).alias("html"))
-    rows = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
-    weight = F.least(F.octet_length("html"), F.lit(settings.shard_bytes))  # a long page is one shard at most
-    sizes = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(weight).alias("bytes"))
-    shards = F.greatest(F.ceil(F.col("n") / settings.shard_pages), F.ceil(F.col("bytes") / settings.shard_bytes))
+    rows = rows.select("host", F.xxhash64("page_id", "url", "html").alias("row"), "page_id", "url", "html")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    id_, url_ = (f.type for f in to_arrow_schema(rows.select("page_id", "url").schema))
+    typed = f"page_id {kinds['page_id']}, url {kinds['url']}"
     scratch = Scratch(pages.sparkSession, "hosts")
+    parsed = scratch.write("parsed", rows.mapInArrow(_parsed, f"host string, row long, {typed}, content long, bytes long, places array<tinyint>, texts array<string>"))
+    weight = F.least(F.col("bytes"), F.lit(settings.shard_bytes))  # a long page is one shard at most
+    sizes = parsed.groupBy("host").agg(F.count("*").alias("n"), F.sum(weight).alias("bytes"))
+    shards = F.greatest(F.ceil(F.col("n") / settings.shard_pages), F.ceil(F.col("bytes") / settings.shard_bytes))
     large = scratch.write("large", sizes.select("host", shards.alias("shards")).where("shards > 1"))
     n = large.count()
     large = F.broadcast(large) if n <= MANY else large
     shard = F.pmod("row", F.coalesce("shards", F.lit(1))).alias("shard")
-    dealt = rows.join(large, "host", "left").select("host", shard, F.lit(PAGE).alias("kind"), "shards", "row", "page_id", "url", "html")
+    dealt = parsed.join(large, "host", "left").select("host", shard, F.lit(PAGE).alias("kind"), "shards", "row", "page_id", "url", "places", "texts")
     if n:
-        cut = _cut_runs(rows.join(large.select("host"), "host", "left_semi"), large, settings, scratch)
-        dealt = dealt.unionByName(cut, allowMissingColumns=True)
-    else:
-        dealt = dealt.withColumns({"run": F.lit(None).cast("long"), "strong": F.lit(None).cast("boolean")})
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    arrow = [f.type for f in to_arrow_schema(rows.select("page_id", "url").schema)]
-    texts = _dealt(dealt).mapInArrow(_extracted(settings, arrow), f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
+        owners = parsed.join(large, "host").groupBy("host", "shards", "content").agg(F.min("row").alias("row"))
+        owners = scratch.write("owners", owners.select("host", "shards", "row"))
+        dealt = dealt.unionByName(owners.select("host", shard, F.lit(OWNER).alias("kind"), "shards", "row"), allowMissingColumns=True)
+    page = pa.struct([("row", pa.int64()), ("page_id", id_), ("url", url_), ("owner", pa.bool_()), ("places", pa.list_(pa.int8())), ("texts", pa.list_(pa.string()))])
+    fields = f"row: bigint, page_id: {kinds['page_id']}, url: {kinds['url']}, owner: boolean, places: array<tinyint>, texts: array<string>"
+    sorted_ = dealt.repartition("host", "shard").sortWithinPartitions("host", "shard", "kind")
+    gathered = scratch.write("shards", sorted_.mapInArrow(_gathered(page), f"host string, shard long, shards long, pages array<struct<{fields}>>"))
+    scratch.drop("parsed")
+    result, cut = f"{typed}, text string", None
+    if n:
+        many, cut = _large_hosts(gathered.where("shards IS NOT NULL"), owners, settings, scratch)
+        gathered = many.unionByName(gathered.where("shards IS NULL"), allowMissingColumns=True)
+    texts = gathered.mapInArrow(_extracted(settings, [id_, url_], cut), result)
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))

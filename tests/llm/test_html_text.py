@@ -8,7 +8,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tablesync.llm.html_text import Settings, blocks, main_text, main_texts, repeated
+from tablesync.llm.html_text import Settings, blocks, main_text, main_texts, repeated, sorted_suffixes
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="comment-page">
 <header><h1>Site</h1></header><nav><ul><li><a href="/x">menu</a></li></ul></nav><!-- <p>no</p> --><div class="ad-box"><div>buy</div> now</div>
@@ -94,3 +94,90 @@ def test_table(spark):
     assert texts[None, None] == "" and texts[1, "bad url"] == "q" and texts[2, "https://b.example"] == " ".join(["w"] * 100_000)
     assert {t for (_, u), t in texts.items() if u and "hot" in u} == set(main_texts([PAGE]))
     assert main_text(pages.limit(0)).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), min_size=1, max_size=12), min_size=1, max_size=6))
+def test_suffixes_and_common_prefixes(pages):
+    tokens = [t for p in pages for t in p]
+    page = np.array([k for k, p in enumerate(pages) for _ in p])
+    suffix = [tuple(p[i:]) for p in pages for i in range(len(p))]
+    order, shared, left = sorted_suffixes(np.array(tokens, np.int64), page)
+    assert [suffix[i] for i in order] == sorted(suffix) and left.tolist() == [len(suffix[i]) for i in order]
+    for k in range(1, len(order)):
+        a, b = suffix[order[k - 1]], suffix[order[k]]
+        assert shared[k] == next((i for i in range(min(len(a), len(b))) if a[i] != b[i]), min(len(a), len(b)))
+
+
+LONG = "<p>" + " ".join(f"word{k}" for k in range(60)) + "</p>"
+BODY = LONG[3:-4]
+
+
+def test_wrappers_are_no_parts():
+    for name in ("page no-sidebar", "content-area has-widget", "layout with-comments", "sidebar"):
+        assert main_texts([f'<div class="{name}">{LONG}</div>']) == [BODY]
+    assert main_texts([f'<main><section id="social-history">{LONG}</section><p>end</p></main>']) == [BODY + "\nend"]
+    assert main_texts([f'<article><div class="related-work">{LONG}</div><p>end</p></article>']) == [BODY + "\nend"]
+    assert main_texts([f'<div class="widget"><article>{LONG}</article><div class="sidebar">side</div></div>']) == [BODY]
+
+
+def test_parts_by_name():
+    for name in ("sidebar", "site-sidebar left", "cookie-notice", "ad_box", "post-comments", "share-buttons", "widget-area-2"):
+        assert main_texts([f'<div class="{name}">gone</div><div>{LONG}</div>']) == [BODY]
+    assert main_texts([f'<article><p>short</p></article><div id="comments">{LONG}</div>']) == ["short"]
+    assert main_texts([f'<article><p>short</p><div id="comments">{LONG}</div></article>']) == ["short"]
+
+
+def test_articles_in_parts_stay_parts():
+    teasers = '<aside class="related"><article>one teaser</article><article>another teaser</article></aside>'
+    assert main_texts([f"<article>{LONG}</article>{teasers}", f"<div>{LONG}</div>{teasers}x"]) == [BODY, BODY + "\nx"]
+    assert main_texts([f"<nav>menu</nav>{teasers}"]) == ["one teaser\nanother teaser"]
+
+
+def test_a_sentence_within_articles_is_cut_on_more_pages_than_a_block():
+    sign = "please support our work with a small gift"
+    own = [" ".join(f"w{k}y{i}" for i in range(30)) for k in range(60)]
+    block = main_texts([f"<article><p>{o}</p>{'<p>%s</p>' % sign if k < 12 else ''}</article>" for k, o in enumerate(own)])
+    assert block == own
+    within = main_texts([f"<article><p>{o}{' ' + sign if k < 12 else ''}</p></article>" for k, o in enumerate(own)])
+    assert within == [o + (" " + sign if k < 12 else "") for k, o in enumerate(own)]
+    assert main_texts([f"<article><p>{o}{' ' + sign if k < 18 else ''}</p></article>" for k, o in enumerate(own)]) == own
+
+
+PIECES = ["alpha beta gamma delta eps zeta", "one two three four five six seven", "x y", "u v w x y z a b"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.lists(st.sampled_from([*range(4), 4, 5]), min_size=1, max_size=4)), min_size=1, max_size=14))
+def test_main_texts_against_brute_force(drawn):
+    """Windows of six tokens, edges of blocks among them, counted page by page."""
+    pages = []
+    for k, (article, parts) in enumerate(drawn):
+        texts = [PIECES[p] if p < 4 else f"own {k} {i} text" if p == 4 else f"own {k} {i} " + PIECES[1] for i, p in enumerate(parts)]
+        pages.append((article, texts))
+    conf = Settings(pages=2, article_pages=3, share=0.02, article_share=0.1, within_share=0.5)
+    distinct = {"\n".join(t) for _, t in pages}
+    on = defaultdict(set)
+    streams = []
+    for _, texts in pages:
+        stream = [w for t in texts for w in ["\n", *t.split(), "\n"]]
+        streams.append(stream)
+        for i in range(len(stream) - 5):
+            on[tuple(stream[i : i + 6])].add("\n".join(texts))
+    least = [max(p, -(-int(s * 100) * len(distinct) // 100)) for p, s in ((2, 0.02), (3, 0.1), (3, 0.5))]
+    want = []
+    for (article, texts), stream in zip(pages, streams):
+        cover = [set().union(*(range(i, i + 6) for i in range(len(stream) - 5) if len(on[tuple(stream[i : i + 6])]) >= n)) for n in least]
+        at, kept = 0, []
+        for t in texts:
+            words = t.split()
+            places = range(at + 1, at + 1 + len(words))
+            at += len(words) + 2
+            if article and all(p in cover[1] for p in places):
+                continue
+            left = [w for w, p in zip(words, places) if p not in cover[2 if article else 0]]
+            if left:
+                kept.append(" ".join(left))
+        want.append("\n".join(kept))
+    tag = {True: "article", False: "div"}
+    assert main_texts(["".join(f"<{tag[a]}>" + "".join(f"<p>{x}</p>" for x in t) + f"</{tag[a]}>" for _ in [0]) for a, t in pages], conf) == want
