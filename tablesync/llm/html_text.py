@@ -49,8 +49,8 @@ class Settings:
     share: float = 0.02
     #: The same for a block in an article, and the share for a run within a block.
     article_pages: int = 10
-    article_share: float = 0.1
-    within_share: float = 0.25
+    article_share: float = 0.3
+    within_share: float = 0.35
     shard_pages: int = 200
     shard_bytes: int = 4 << 20
 

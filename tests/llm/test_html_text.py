@@ -137,11 +137,12 @@ def test_articles_in_parts_stay_parts():
 def test_a_sentence_within_articles_is_cut_on_more_pages_than_a_block():
     sign = "please support our work with a small gift"
     own = [" ".join(f"w{k}y{i}" for i in range(30)) for k in range(60)]
-    block = main_texts([f"<article><p>{o}</p>{'<p>%s</p>' % sign if k < 12 else ''}</article>" for k, o in enumerate(own)])
-    assert block == own
-    within = main_texts([f"<article><p>{o}{' ' + sign if k < 12 else ''}</p></article>" for k, o in enumerate(own)])
-    assert within == [o + (" " + sign if k < 12 else "") for k, o in enumerate(own)]
-    assert main_texts([f"<article><p>{o}{' ' + sign if k < 18 else ''}</p></article>" for k, o in enumerate(own)]) == own
+    def got(n, apart):
+        return main_texts([f"<article><p>{o}{apart + sign if k < n else ''}</p></article>" for k, o in enumerate(own)])
+
+    assert got(20, "</p><p>") == got(22, " ") == own
+    assert got(20, " ") == [o + (" " + sign if k < 20 else "") for k, o in enumerate(own)]
+    assert got(14, "</p><p>") == [o + ("\n" + sign if k < 14 else "") for k, o in enumerate(own)]
 
 
 PIECES = ["alpha beta gamma delta eps zeta", "one two three four five six seven", "x y", "u v w x y z a b"]
