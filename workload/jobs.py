@@ -5,24 +5,35 @@ Each run writes under a folder of its own below the cluster's shared checkpoint
 
 from __future__ import annotations
 
+import re
 from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.functions.coerce import ntz
+from tablesync.functions.typemap import spark_type, typed
 from tablesync.operators import control as ctl
+from tablesync.operators.extract import STRICT, extract_changes, extract_interval
+from tablesync.operators.interval import interval_count, replace_interval
+from tablesync.operators.quality import count_gate
 from tablesync.plans.files import delete_dir, run_folder
 from tablesync.plans.frames import small_frame
-from tablesync.plans.livetable import LiveTable
+from tablesync.plans.full_load import load_source
+from tablesync.plans.livetable import HashSlices, LiveTable
 from tablesync.plans.report import report
-from tablesync.plans.stores import CdcHistory, FullLoadHistory, WatermarkStore
+from tablesync.plans.staging import run_directory, stage
+from tablesync.plans.stores import CdcHistory, ControlStore, FullLoadHistory, WatermarkStore
 from tablesync.plans.sync import SyncConfig, SyncTarget, sync_many
+from tablesync.sources.lake import ParquetSource
+from tablesync.sources.registry import SourceSpec
 from tablesync.streaming.change_stream import apply_changes, read_changes
 from workload import inputs as i
 from workload.published import _schema_name, _stale_live_table
 from workload.registry import query
+from workload.scans import TABLES
 
 DAY = timedelta(days=1)
 
@@ -204,3 +215,164 @@ def report_frames(spark: SparkSession, sf: str) -> DataFrame:
     parts = [figures("cdc_kpis", _KPIS), figures("full_kpis", _KPIS), figures("dq_summary", _DQ), figures("today", ("today_change_count",))]
     parts += [listed("attention", "Table", "차이"), listed("recent", "Table", "이번 CDC"), listed("statuses", "status", None), listed("tables", "table_name", None)]
     return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "gates_refuse",
+    f"""SELECT 'staged whole' AS what, count(*) AS extracted_count, count(*) AS staged_count, true AS gate_ok FROM orders WHERE o_orderdate > {i.SQL_LO}
+    UNION ALL SELECT 'staged in part', count(*), count(*) FILTER (WHERE o_orderpriority <> '1-URGENT'),
+      count(*) = count(*) FILTER (WHERE o_orderpriority <> '1-URGENT') FROM orders WHERE o_orderdate > {i.SQL_LO}
+    UNION ALL SELECT 'interval replaced', count(*), count(*), true FROM events WHERE ts >= {i.SQL_START} AND ts < {i.SQL_END}
+    UNION ALL SELECT 'interval added to', count(*), 2 * count(*), count(*) = 0 FROM events WHERE ts >= {i.SQL_START} AND ts < {i.SQL_END}""",
+)
+def gates_refuse(spark: SparkSession, sf: str) -> DataFrame:
+    """Both count gates beside what they are there to catch: files of a staged extract that are not whole, and an interval whose old
+    rows are still there."""
+    changed = extract_changes(i.table(spark, sf, "orders"), "o_orderdate", i.LO, STRICT)
+    with run_directory(spark, run_folder(spark, "gates"), i.RUN_ID, "orders") as path:
+        batch = stage(changed, changed.schema, path, "o_orderdate", ["o_orderkey"])
+        staged = batch.read(spark)
+        whole, part = staged.count(), staged.where("o_orderpriority <> '1-URGENT'").count()
+    schema = T.StructType.fromDDL("row_count bigint")
+    one = lambda n: small_frame(spark, [(n,)], schema)
+    events = i.table(spark, sf, "events")
+    new = extract_interval(events, "ts", i.START, i.END)
+    replaced = replace_interval(events.withColumn("value", F.col("value") + 1), new, "ts", i.START, i.END)
+    rows = lambda df: interval_count(df, "ts", i.START, i.END).withColumnRenamed("interval_rows", "row_count")
+    cases = {
+        "staged whole": (one(batch.rows), one(whole)),
+        "staged in part": (one(batch.rows), one(part)),
+        "interval replaced": (rows(events), rows(replaced)),
+        "interval added to": (rows(events), rows(events.unionByName(new))),
+    }
+    return reduce(DataFrame.unionByName, [count_gate(*sides).select(F.lit(what).alias("what"), "*") for what, sides in cases.items()])
+
+
+class _Miscounting(ParquetSource):
+    """A source that has one row more than it sends of some tables."""
+
+    def count(self, table: str) -> int:
+        return super().count(table) + (table in ("nation", "orders"))
+
+
+def _loaded_sql(table: str) -> str:
+    off = int(table in ("nation", "orders"))
+    message = f"concat('lake_{table} mismatch: source=', CAST(count(*) + 1 AS VARCHAR), ', target=', CAST(count(*) AS VARCHAR))" if off else "CAST(NULL AS VARCHAR)"
+    return f"SELECT 'lake_{table}' AS table_name, '{'FAILED' if off else 'SUCCESS'}' AS status, count(*) + {off} AS pg_count, count(*) AS sf_count, CAST({off} AS BIGINT) AS count_diff, count(*) AS extracted_count, count(*) AS staged_count, {message} AS error_message FROM {table}"
+
+
+@query("full_load_failures_record", " UNION ALL ".join(_loaded_sql(t) for t in TABLES))
+def full_load_failures_record(spark: SparkSession, sf: str) -> DataFrame:
+    """A load whose count gate finds two tables wanting: counts are those of the source, of the extract and of the staged files."""
+    root = run_folder(spark, "miscounted")
+    spec = SourceSpec("lake", "parquet", "public", _schema_name(root), {"path": sf})
+    history = FullLoadHistory(spark, _schema_name(root), root)
+    load_source(spark, spec, root, i.RUN_ID, history, source=_Miscounting(spark, spec))
+    told = history.read().select("table_name", "status", "pg_count", "sf_count", "count_diff", "extracted_count", "staged_count", "error_message")
+    kept = small_frame(spark, told.collect(), told.schema)
+    delete_dir(spark, root)
+    return kept
+
+
+@query(
+    "cdc_record_merged",
+    f"""WITH t AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0),
+    s AS (SELECT *, o_orderkey % 3 <> 0 AS matched FROM orders WHERE o_orderdate > {i.SQL_LO}),
+    after AS (SELECT o_orderkey FROM t WHERE NOT (o_orderdate > {i.SQL_LO} AND o_orderstatus = 'P')
+      UNION ALL SELECT o_orderkey FROM s WHERE NOT matched AND o_orderstatus <> 'P'),
+    c AS (SELECT (SELECT count(*) FROM orders) AS source_row_count, (SELECT count(*) FROM after) AS target_row_count)
+    SELECT 'orders' AS table_name, CASE WHEN source_row_count = target_row_count THEN 'SUCCESS' ELSE 'MISMATCH' END AS status,
+      source_row_count, target_row_count, source_row_count - target_row_count AS row_count_diff, count(*) AS cdc_row_count,
+      count(*) FILTER (WHERE NOT matched AND o_orderstatus = 'F') AS inserted_row_count,
+      count(*) FILTER (WHERE matched AND o_orderstatus = 'F') AS updated_row_count,
+      count(*) FILTER (WHERE matched AND o_orderstatus = 'P') AS deleted_row_count, max(o_orderdate) AS last_watermark,
+      CAST(0 AS BIGINT) AS null_cursor_row_count FROM s, c GROUP BY source_row_count, target_row_count""",
+)
+def cdc_record_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The record of a sync, its change counts told by the merge itself: pending orders are flagged, open ones have no flag."""
+    root = run_folder(spark, "merged")
+    flag = F.when(F.col("o_orderstatus") == "P", True).when(F.col("o_orderstatus") == "F", False)
+    orders = i.table(spark, sf, "orders").withColumn("is_deleted", flag)
+    live = LiveTable(spark, f"{_schema_name(root)}.orders", f"{root}/orders", HashSlices(("o_orderkey",), 4))
+    live.ensure(orders.schema)
+    live.publish(live.write_version(orders.where("o_orderkey % 3 <> 0"), "initial"))
+    control, history = ControlStore(spark, _schema_name(root), root), CdcHistory(spark, _schema_name(root), root)
+    control.ensure()
+    cfg = SyncConfig("orders", ("o_orderkey",), "o_orderdate", "is_deleted")
+    control.append(small_frame(spark, [(cfg.table, cfg.cursor, "o_orderkey", "is_deleted", i.LO, i.LO, cfg.source)], control.columns))
+    (outcome,) = sync_many(spark, [SyncTarget(cfg, orders, live)], control, root, i.RUN_ID, history)
+    if not outcome.ok:
+        raise RuntimeError(outcome.error)
+    told = history.read().drop("dag_run_id", "checked_at", "last_cdc_run_at")
+    kept = small_frame(spark, told.collect(), told.schema)
+    delete_dir(spark, root)
+    return kept
+
+
+#: What each native type of the three maps is to become, and how much of it there is: one text of each order, cast.
+_NUMBER, _TEXT, _DAY, _TIME, _FLAG, _JSON = "number", "text", "day", "time", "flag", "json"
+_EXPECTED = {
+    "postgres": {
+        _NUMBER: "smallint,integer,bigint,numeric(12,2),real,double precision",
+        _TEXT: "text,character varying(15),character(1),uuid,no such type",
+        _FLAG: "boolean",
+        _DAY: "date",
+        _TIME: "timestamp without time zone",
+        _JSON: "json,jsonb",
+    },
+    "mysql": {
+        _NUMBER: "tinyint,smallint,mediumint,int(11),BIGINT,decimal(12,2),float,double",
+        _TEXT: "varchar(15),char(1),text,longtext,no such type",
+        _DAY: "date",
+        _TIME: "datetime,timestamp",
+        _JSON: "json",
+    },
+    "oracle": {
+        _NUMBER: "NUMBER(12,2),FLOAT,number",
+        _TEXT: "VARCHAR2(15),NVARCHAR2(15),CHAR(1),CLOB,no such type",
+        _TIME: "DATE,TIMESTAMP(6)",
+    },
+}
+_MEASURES_SQL = {
+    _NUMBER: "sum(o_orderkey)",
+    _TEXT: "sum(length(CAST(o_orderkey AS VARCHAR)))",
+    _FLAG: "count(*) FILTER (WHERE o_orderkey % 2 = 0)",
+    _DAY: "sum(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)))",
+    _TIME: "sum(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)))",
+    _JSON: "sum(o_orderkey)",
+}
+
+
+def _natives():
+    for kind, groups in _EXPECTED.items():
+        for group, names in groups.items():
+            parts = re.findall(r"[^,(]+(?:\([^)]*\))?", names)
+            yield from ((kind, native, group) for native in parts)
+
+
+@query(
+    "type_maps",
+    " UNION ALL ".join(f"SELECT '{k}' AS source_kind, '{n}' AS native_type, count(*) AS kept, CAST({_MEASURES_SQL[g]} AS BIGINT) AS total FROM orders" for k, n, g in _natives()),
+)
+def type_maps(spark: SparkSession, sf: str) -> DataFrame:
+    """Every native type of all three maps: texts of all orders are cast to what the map says, and measured as what they have become."""
+    orders = i.table(spark, sf, "orders")
+    key, moment = F.col("o_orderkey").cast("string"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    texts = {_FLAG: (F.col("o_orderkey") % 2 == 0).cast("string"), _DAY: F.substring(moment, 1, 10), _TIME: moment}
+    columns, values, kinds = [], [], list(_natives())
+    for k, (kind, native, group) in enumerate(kinds):
+        found = re.search(r"\((\d+),(\d+)\)", native)
+        become = spark_type(kind, native, *(map(int, found.groups()) if found else ()))
+        value = typed(texts.get(group, key), T.StringType(), become)
+        columns.append(value.alias(f"c{k}"))
+        c = F.col(f"c{k}")
+        total = {
+            _NUMBER: F.sum(c).cast("bigint"),
+            _TEXT: F.sum(F.char_length(c)),
+            _FLAG: F.count_if(c.cast("boolean")),
+            _DAY: F.sum(F.datediff(c, F.lit("1970-01-01").cast("date"))),
+            _TIME: F.sum(F.datediff(c, F.lit("1970-01-01").cast("date"))),
+            _JSON: F.sum(c.cast("bigint")),
+        }[group]
+        values.append(F.struct(F.lit(kind).alias("source_kind"), F.lit(native).alias("native_type"), F.count(c).alias("kept"), total.alias("total")))
+    return orders.select(*columns).agg(F.array(*values).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
