@@ -41,12 +41,15 @@ def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
 class Scratch:
     """Parquet tables in the folder that all executors share; each cuts the lineage of what reads it.
 
-    A lost executor costs the tasks that ran on it: what is written stays.
+    A lost executor costs the tasks that ran on it: what is written stays, until `dropping_scratch` ends.
     """
 
+    made: list[Scratch] = []
+
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = run_folder(spark, label)
+        Scratch.made.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -61,6 +64,26 @@ class Scratch:
             delete_dir(self.spark, self.path(name))
 
 
+@contextmanager
+def dropping_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables that operators make inside are deleted at the end: results are to be written or collected by then."""
+    before = len(Scratch.made)
+    try:
+        yield
+    finally:
+        for scratch in Scratch.made[before:]:
+            delete_dir(spark, scratch.root)
+        del Scratch.made[before:]
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like ``name`` that none of ``columns`` has, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Marks that are broadcast at most, whatever the corpus.
 MARKS = 1 << 20
 

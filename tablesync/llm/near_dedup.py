@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import Scratch, batch_parts, maybe_among, whole
+from tablesync.llm.common import Scratch, batch_parts, maybe_among, unused, whole
 from tablesync.llm.components import components
 
 SIZE = 5
@@ -53,8 +53,8 @@ BLOCK_WORDS = 1 << 20
 STAR = 256
 #: Texts of a task that looks for frequent shingles.
 TASK_TEXTS = 4096
-#: Classes of so many documents have their sizes broadcast: there are few.
-LARGE_CLASS = 10_000
+#: Classes of so many documents, and of one in a million of all, have their sizes broadcast: there are a million at most.
+LARGE_CLASS = 1000
 #: Identifiers are smaller.
 _NO_ID = 1 << 62
 _TABLE = 1 << 14
@@ -476,8 +476,9 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     scratch = Scratch(docs.sparkSession, "near-classes")
     classed = scratch.write("classed", classed)
     sizes = classed.groupBy("label").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") >= LARGE_CLASS).select("label", F.col("n").alias("n_large"))
-    small = sizes.where(F.col("n") < LARGE_CLASS).select(F.col("label").alias("small"), "n")
+    least = max(LARGE_CLASS, classed.count() // 1_000_000)
+    large = sizes.where(F.col("n") >= least).select("label", F.col("n").alias("n_large"))
+    small = sizes.where(F.col("n") < least).select(F.col("label").alias("small"), "n")
     # rows of large classes, that have their size, are spread over the second join
     told = classed.join(F.broadcast(large), "label", "left").withColumn("small", F.when(F.col("n_large").isNull(), F.col("label")).otherwise(F.xxhash64("id")))
     known = lambda c: F.when(F.col(c) < _NO_ID, F.col(c))
@@ -488,6 +489,8 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, all columns, whose identifier stands for their class."""
-    keyed = docs.withColumn("__id", _identified(docs, doc_id, text))
-    lost = _classes(keyed.select(F.col("__id").alias("id"), whole(text).alias("text"))).where("id <> label").select(F.col("id").alias("__id"))
-    return keyed.join(lost.distinct(), "__id", "left_anti").select(*docs.columns)
+    name = unused("id", docs.columns)
+    keyed = docs.withColumn(name, _identified(docs, doc_id, text))
+    classed = _classes(keyed.select(F.col(name).alias("id"), whole(text).alias("text")))
+    lost = classed.where("id <> label").select(F.col("id").alias(name)).distinct()
+    return keyed.join(lost, name, "left_anti").select(*docs.columns)

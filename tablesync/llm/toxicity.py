@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import batch_parts, whole
+from tablesync.llm.common import batch_parts, unused, whole
 
 
 @dataclass(frozen=True)
@@ -235,4 +235,4 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of docs, all columns, that are not predicted to be toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.withColumn("__whole", whole(text)).mapInArrow(_scored(shared, 0.5), docs.schema)
+    return docs.withColumn(unused("whole", docs.columns), whole(text)).mapInArrow(_scored(shared, 0.5), docs.schema)

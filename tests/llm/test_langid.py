@@ -62,3 +62,11 @@ def test_many_languages_share_the_cells(spark):
     rows = [(k, f"w{k % 50}x{i} " * 3, f"l{k % 50:02d}") for k in range(200) for i in range(4)]
     model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langid.Settings(cells=50 * 50 * 3))
     assert len(model.languages) == 50 and all(len(t) <= 150 for t in model.known)
+
+
+def test_predictions_against_plain_sums(data):
+    """Each word's evidence added up one by one."""
+    model = langid.fit(data)
+    for r in langid.predict(data, model).join(data, "doc_id").where("text IS NOT NULL").collect():
+        sums = [sum(float(model.word(w)[k]) for w in langid.words(r.text)) for k in range(len(model.languages))]
+        assert abs(max(sums) - sums[model.languages.index(r.lang_pred)]) < 1e-9

@@ -177,3 +177,16 @@ def test_large_classes_have_their_sizes(spark, monkeypatch):
     rows = [(k, "the same words in each of them" if k % 2 else f"one two three four {k // 8}") for k in range(40)]
     got = near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.class_id, r.class_size) for r in got} == {(1, 20)} | {(8 * k, 4) for k in range(5)}
+
+
+def test_scratch_is_dropped(spark):
+    from tablesync.llm.common import dropping_scratch
+    from tablesync.plans.files import exists
+
+    with dropping_scratch(spark):
+        at = len(Scratch.made)
+        docs = spark.createDataFrame([(k, f"text of {k // 2}", k) for k in range(9)], "doc_id long, text string, id int")
+        assert sorted(r.doc_id for r in keep_representatives(docs).collect()) == [0, 2, 4, 6, 8]
+        roots = [s.root for s in Scratch.made[at:]]
+        assert any(exists(spark, r) for r in roots)
+    assert roots and not any(exists(spark, r) for r in roots)

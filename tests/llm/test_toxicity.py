@@ -66,3 +66,17 @@ def test_the_base_is_trained_on_pieces_of_all_texts(monkeypatch):
     texts = [f"text {k:04d} ".encode() * 40 for k in range(500)]
     toxicity._base(texts, 1024, 600)
     assert len(seen) <= 600 and b"0000" in seen[0] and any(b"049" in s for s in seen[-6:])
+
+
+def test_each_row_has_the_score_of_its_text_alone(data):
+    model = tox.fit(data, data)
+    both = model.compressors()
+    want = {r.doc_id: tox._scores(model, [r.text], *both)[0] for r in data.collect()}
+    got = {r.doc_id: r.score for r in tox.score(data.repartition(5), model).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_columns_of_any_name_stay(spark, data):
+    model = tox.fit(data, data)
+    odd = spark.createDataFrame([(1, "calm", 5, 6)], "doc_id long, text string, whole int, WHOLE_ int")
+    assert [tuple(r) for r in tox.keep_clean(odd, model).collect()] == [(1, "calm", 5, 6)]
