@@ -53,8 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each but the last is written and read again."""
+    """All stages over the documents; each but the last is written and read again, and dropped when the next one is written.
+
+    Run it within `dropping_scratch` to leave nothing behind.
+    """
     scratch, docs = Scratch(spark, "pipeline"), table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES[:-1]):
         docs = scratch.write(f"stage-{k}", stage(spark, docs, sf_dir))
+        scratch.drop(f"stage-{k - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
