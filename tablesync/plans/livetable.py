@@ -140,6 +140,18 @@ def _written(name: str) -> int | None:
     return int(found[1]) if len(found) == 3 and found[1].isdigit() else None
 
 
+def entries_of(schema: str) -> str:
+    return f"{schema}__entries"
+
+
+def live_names(spark: SparkSession, schema: str) -> set[str]:
+    """Lower-case names of the live tables of a schema."""
+    if not spark.catalog.databaseExists(entries_of(schema)):
+        return set()
+    listed = spark.sql(f"SHOW TABLES IN {quote('spark', entries_of(schema))}").collect()
+    return {r["tableName"].rsplit("__", 1)[0].lower() for r in listed}
+
+
 class LiveTable:
     """``name`` is ``schema.table``; ``root`` is the table's folder on shared storage.
 
@@ -190,12 +202,17 @@ class LiveTable:
             self.evolve(schema)
             return
         if "." in self.name:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote('spark', self.name.split('.')[0])}")
+            for database in (self.name.split(".")[0], self._entry_schema()):
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote('spark', database)}")
         entry = self._new_entry(schema, {})
         self._move(schema, entry, self._write_manifest(Manifest(entry)))
 
+    def _entry_schema(self) -> str:
+        """Entries have a schema of their own, so that listings of the tables show views only."""
+        return entries_of(self.name.split(".")[0]) if "." in self.name else ""
+
     def _sql_entry(self, entry: str) -> str:
-        return ".".join(quote("spark", p) for p in [*self.name.split(".")[:-1], entry])
+        return ".".join(quote("spark", p) for p in (self._entry_schema(), entry) if p)
 
     def _new_entry(self, schema: T.StructType, live: dict[str, str]) -> str:
         """A catalog entry over the folders of all slices; no reader knows of it yet."""
@@ -366,8 +383,8 @@ class LiveTable:
 
     def _entries(self) -> list[str]:
         """All catalog entries of this table, those of failed publishes too."""
-        *schema, table = self.name.split(".")
-        place = f"IN {quote('spark', schema[0])} " if schema else ""
+        table, schema = self.name.split(".")[-1], self._entry_schema()
+        place = f"IN {quote('spark', schema)} " if schema else ""
         names = [r["tableName"] for r in self.spark.sql(f"SHOW TABLES {place}LIKE {text_literal(table + '__*')}").collect()]
         own = f"{table}__".lower()
         return [n for n in names if n.lower().startswith(own) and n.lower().removeprefix(own).count("_") == 1 and _written(n) is not None]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 from typing import Protocol
@@ -29,6 +31,7 @@ from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.registry import SourceSpec, open_source
 
 GROUPS_AT_ONCE = 4  # groups of slices merged side by side, each with a broadcast of its own
+_BROADCASTS = threading.BoundedSemaphore(GROUPS_AT_ONCE)  # of all tables that this driver syncs at once
 
 CHANGES = T.StructType(
     [
@@ -143,7 +146,8 @@ def merge_batch(
 
     def one(group: tuple[list | None, bool]) -> tuple[str, dict]:
         touched, small = group
-        return _write_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, small, cursor), touched, run_id, buried)
+        with _BROADCASTS if small else nullcontext():
+            return _write_group(spark, live, batch, MergeSpec(tuple(keys), delete_flag, small, cursor), touched, run_id, buried)
 
     outcomes = fan_out(spark, groups, one, GROUPS_AT_ONCE)
     failed = [o.error for o in outcomes if not o.ok]

@@ -9,6 +9,7 @@ from tablesync.functions.naming import qualified
 from tablesync.functions.typemap import ColumnMeta
 from tablesync.plans.files import list_names
 from tablesync.plans.frames import small_frame
+from tablesync.plans.livetable import live_names
 from tablesync.sources.registry import SourceSpec
 
 _COLUMN_FRAME = T.StructType(
@@ -95,14 +96,14 @@ class ParquetSource(_LakeSource):
 
 
 class CatalogSource(_LakeSource):
-    """All tables of a schema of the session's catalog."""
+    """All tables of a schema of the session's catalog, live tables among them, which are views."""
 
     kind = "catalog"
 
     def tables(self) -> list[str]:
         listed = self.spark.catalog.listTables(self.spec.schema)
-        keep_views = bool(self.spec.include_views)
-        return sorted(t.name for t in listed if not t.isTemporary and (keep_views or t.tableType != "VIEW"))
+        keep_views, live = bool(self.spec.include_views), live_names(self.spark, self.spec.schema)
+        return sorted(t.name for t in listed if not t.isTemporary and (keep_views or t.tableType != "VIEW" or t.name.lower() in live))
 
     def read(self, table: str, split_by: str | None = None, rows: int | None = None) -> DataFrame:
         return self.spark.table(qualified("spark", self.spec.schema, table))

@@ -217,3 +217,16 @@ def test_markers_of_deletes_are_forgotten(spark, tmp_path, schema_name):
         changes = read_changes(spark, f"{tmp_path}/in", frame.schema)
         apply_changes(spark, changes, live, ["id"], "at", f"{tmp_path}/cp", f"{tmp_path}/st", "gone", remember=30 * DAY).awaitTermination()
     assert content(deleted_keys(live).read(), "id") == [(2,)]
+
+
+def test_live_tables_are_a_source(spark, tmp_path, schema_name):
+    from tablesync.sources.registry import SourceSpec, open_source
+
+    live = LiveTable(spark, f"{schema_name}.Orders__old", f"{tmp_path}/t", HashSlices(("id",), 4))
+    live.ensure(spark.range(1).schema)
+    live.publish(live.write_version(spark.range(9), "a"))
+    spark.sql(f"CREATE VIEW {schema_name}.other AS SELECT 1 AS x")
+    source = open_source(spark, SourceSpec("s", "catalog", schema_name, "x"))
+    assert [t.lower() for t in source.tables()] == ["orders__old"] and source.count("Orders__old") == 9
+    live.drop()
+    assert source.tables() == []

@@ -14,7 +14,7 @@ from tablesync.plans import backfill as bf
 from tablesync.plans.files import delete_dir, is_dir, run_folder
 from tablesync.plans.frames import small_frame
 from tablesync.plans.full_load import load_source
-from tablesync.plans.livetable import DaySlices, HashSlices, LiveTable
+from tablesync.plans.livetable import DaySlices, HashSlices, LiveTable, entries_of
 from tablesync.plans.stores import ControlStore, FullLoadHistory
 from tablesync.plans.sync import SyncConfig, SyncTarget, sync_many
 from tablesync.sources.registry import SourceSpec
@@ -54,7 +54,8 @@ def full_load_all(spark: SparkSession, sf: str) -> DataFrame:
         "table_name", "status", "pg_count", "sf_count", "count_diff", "extracted_count", "staged_count"
     )
     kept = small_frame(spark, records.collect(), records.schema)
-    spark.sql(f"DROP DATABASE {_schema_name(root)} CASCADE")
+    for schema in (_schema_name(root), entries_of(_schema_name(root))):
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
     delete_dir(spark, root)
     return kept
 
