@@ -24,18 +24,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a batch that goes to a Python worker: JVM and worker hold some copies of it each.
+BATCH_BYTES = "16m"
+
+
 @contextmanager
-def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of an action that is finished are deleted, not kept until the driver collects its garbage."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """SQL settings (dots as double underscores) that hold inside."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of an action that is finished are deleted, not kept until the driver collects its garbage; Python workers get
+    small batches."""
+    with settings(spark, **{SHUFFLE_CLEANUP: "true", "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}):
+        yield
 
 
 class Scratch:

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import Scratch, batch_parts, maybe_among, unused, whole
+from tablesync.llm.common import Scratch, batch_parts, dropping_shuffles, maybe_among, unused, whole
 from tablesync.llm.components import components
 
 SIZE = 5
@@ -127,7 +127,7 @@ def _candidates(size: int, allowance: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, texts = Frequent(size), 0
         for batch in batches:
-            for part in batch_parts(batch, 8 << 20):
+            for part in batch_parts(batch, 4 << 20):
                 texts += part.num_rows
                 found.add(*np.unique(Shingles(part.column(0)).hash, return_counts=True))
         few = int(allowance * texts)
@@ -176,6 +176,11 @@ def frequent_weights(worded: DataFrame, texts: int, characters: int) -> Weights:
     none = np.zeros(0, np.uint64), np.zeros(0, np.int64), max(texts, 1)
     if not texts:
         return Weights(*none)
+    with dropping_shuffles(worded.sparkSession):
+        return _frequent_weights(worded, texts, characters, none)
+
+
+def _frequent_weights(worded: DataFrame, texts: int, characters: int, none: tuple) -> Weights:
     least = max(2, texts / COMMON)
     # tasks of thousands of texts can tell what is rare: all together they may keep a quarter of ``least`` to themselves
     gathered = worded.select("words").coalesce(max(1, math.ceil(texts / TASK_TEXTS)))
