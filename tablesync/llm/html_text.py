@@ -13,7 +13,8 @@ count once. Where a block stands is evidence beside that: in an article a whole
 articles quote each other, and a stretch within a block on even more. What is left of a page are its unique runs.
 
 Hosts are cut into shards of a bounded number of pages and bytes, each with a suffix array of its own: a hot host is many
-tasks, and a shard fits in memory. Blocks are shuffled once, into a table with a row for each shard, and all passes read that.
+tasks, and a shard fits in memory. Blocks are shuffled once, compressed, into a table with a row for each shard, and all passes read
+that.
 Pages are counted over the whole host, so results do not depend on the shards: a run on enough pages of the host stands on the mean
 number for a shard in one of them at least. So the arrays of the shards give candidates, as 64-bit hashes of host and run;
 counting them in all shards and cutting those that are on enough pages take a hash of each window of tokens. Candidates are
@@ -34,6 +35,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -58,6 +61,7 @@ class Settings:
 MANY = 50_000
 MANY_RUNS = 4_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 #: HTML elements by what they do to text.
 BLOCKS = set(
@@ -204,33 +208,57 @@ def _placed(out: list[tuple[str, tuple[_Element, ...]]]) -> list[tuple[str, str]
 def sorted_suffixes(tokens: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffixes of the pages in order, how many tokens each shares with the one before, and how many tokens it has.
 
-    Ranks by the first 1, 2, 4, ... tokens are doubled until no two suffixes are equal or the longest page is reached; a suffix ends with
-    its page, and the shorter of two that agree comes first.
+    Ranks by the first 1, 2, 4, ... tokens are doubled until no two suffixes are equal or the longest page is reached; only suffixes
+    that still have equals are sorted again. A suffix ends with its page, and the shorter of two that agree comes first.
     """
     n = len(tokens)
     end = np.searchsorted(page, page, side="right")
     longest = int((end - np.arange(n)).max())
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
+    order = np.argsort(tokens, kind="stable")
+    first = np.append(True, tokens[order][1:] != tokens[order][:-1])
+    rank = np.empty(n, np.int64)  # where the suffixes that are equal so far begin in the order
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     ranks, length = [rank], 1
-    while length < longest and int(rank.max()) + 1 < n:
-        after = np.zeros(n, np.int64)
-        at = np.flatnonzero(np.arange(n) + length < end)
-        after[at] = rank[at + length] + 1
-        rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64)
+    tied = np.flatnonzero(~(first & np.append(first[1:], True)))  # places in the order
+    while length < longest and len(tied):
+        some = order[tied]
+        after = np.zeros(len(some), np.int64)
+        inside = some + length < end[some]
+        after[inside] = rank[some[inside] + length] + 1
+        old = rank[some]
+        again = np.lexsort((after, old))
+        some, after, old = some[again], after[again], old[again]
+        order[tied] = some
+        fresh = np.append(True, (old[1:] != old[:-1]) | (after[1:] != after[:-1]))
+        rank = rank.copy()
+        rank[some] = tied[np.maximum.accumulate(np.where(fresh, np.arange(len(some)), 0))]
         ranks.append(rank)
+        tied = tied[~(fresh & np.append(fresh[1:], True))]
         length *= 2
-    order = np.argsort(rank, kind="stable")
-    i, j, shared = order[:-1].copy(), order[1:].copy(), np.zeros(n, np.int64)
+    shared = np.zeros(n, np.int64)
+    pairs = np.arange(1, n)
+    few = 2  # levels for neighbours that differ early: most
+    if len(ranks) > few:
+        i, j = order[:-1], order[1:]
+        long = (i + (1 << few) <= end[i]) & (j + (1 << few) <= end[j]) & (ranks[few][i] == ranks[few][j])
+        _share(pairs[long], order, end, ranks, shared)
+        _share(pairs[~long], order, end, ranks[:few], shared)
+    else:
+        _share(pairs, order, end, ranks, shared)
+    return order, shared, (end - np.arange(n))[order]
+
+
+def _share(pairs: np.ndarray, order: np.ndarray, end: np.ndarray, ranks: list[np.ndarray], shared: np.ndarray) -> None:
+    """Fill in how many tokens the suffixes at these places share with those before, which are less than the ranks tell apart."""
+    i, j = order[pairs - 1].copy(), order[pairs].copy()
     stop_i, stop_j = end[i], end[j]
     for k in range(len(ranks) - 1, -1, -1):
         step = 1 << k
-        whole_ = (i + step <= stop_i) & (j + step <= stop_j)
-        same = np.flatnonzero(whole_)
+        same = np.flatnonzero((i + step <= stop_i) & (j + step <= stop_j))
         same = same[ranks[k][i[same]] == ranks[k][j[same]]]
         i[same] += step
         j[same] += step
-        shared[same + 1] += step
-    return order, shared, (end - np.arange(n))[order]
+        shared[pairs[same]] += step
 
 
 def runs(tokens: np.ndarray, page: np.ndarray, run: int, alike: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -269,44 +297,65 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int, pages: int) -> np.n
     return covered_by(starts[on[group] >= pages], run, len(tokens))
 
 
-def content(page_blocks: list[tuple[str, str]]) -> int:
-    """Equal for pages of one content: 63 bits of their text outside parts. Copies differ in parts only, if at all."""
-    text = "\n".join(text for place, text in page_blocks if place != IN_PART)
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") >> 1
-
-
 #: How often a run stands on a host: enough to be cut beside articles, as a whole block of one, or within such a block.
 BESIDE_ARTICLES, WHOLE_BLOCK, WITHIN_BLOCK = 1, 2, 3
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+def _hash(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
+
+
+def word_hashes(words: pa.StringArray) -> np.ndarray:
+    """64-bit hashes of distinct words, from running sums over their bytes."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64) + np.uint64(1)
+    start, end = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+    up, down = (np.cumprod(np.full(len(data) + 1, x, np.uint64)) for x in (_MIX, _UNMIX))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(data * up[: len(data)])))
+    key = (sums[end] - sums[start]) * down[start]
+    return (key ^ (key >> np.uint64(29))) * _MIX + (end - start).astype(np.uint64)
+
+
+#: Places of blocks that are stored, by number.
+PLACES = (IN_ARTICLE, NEITHER)
+
+
+def packed(page: str) -> tuple[bytes, bytes, int]:
+    """Places and texts of a page's blocks outside parts, the texts joined by line breaks, which none holds; and 63 bits of the texts,
+    equal for copies of a page."""
+    found = [b for b in blocks(page) if b[0] != IN_PART]
+    text = "\n".join(t for _, t in found).encode("utf-8", "replace")
+    return bytes(PLACES.index(place) for place, _ in found), text, _hash(text) >> 1
 
 
 class Shard:
-    """Blocks outside parts of pages of a host, or of some of them, as one stream of tokens. ``counted`` says which pages count;
-    without it the copy of the least ``order`` does."""
-
-    def __init__(self, found: list[list[tuple[str, str]]], settings: Settings, order: list[int] | None = None, counted: list[bool] | None = None):
-        self.settings, self.found = settings, found
-        numbers: dict[str, int] = {}
-        tokens, page, self.start = [], [], {}
-        for k, page_blocks in enumerate(found):
-            for b, (_, text) in enumerate(page_blocks):
-                self.start[k, b] = len(tokens)
-                words = ["\n", *text.split(), "\n"]  # the edges of a block are tokens too
-                tokens += [numbers.setdefault(w, len(numbers)) for w in words]
-                page += [k] * len(words)
-        contents = np.unique(np.array([content(f) for f in found], np.int64), return_inverse=True)[1]
-        self.distinct = int(contents.max(initial=-1)) + 1
-        if counted is None:
-            order = np.arange(len(found)) if order is None else np.array(order, np.int64)
-            least = np.full(self.distinct, np.iinfo(np.int64).max)
-            np.minimum.at(least, contents, order)
-            counted = order == least[contents]
-        self.page = np.array(page, np.int64)
-        self.words, self.tokens = list(numbers), np.array(tokens, np.int64)
-        self.alike, self.counted = contents[self.page], np.array(counted, bool)[self.page]
+    """Blocks outside parts of pages (places, text, content) of a host, or of some of them, as one stream of tokens. Of copies of a page
+    the first one counts, unless a shard elsewhere holds the one that does: ``foreign``."""
+
+    def __init__(self, pages: list[tuple[bytes, bytes, int]], settings: Settings, foreign: np.ndarray | None = None):
+        self.settings = settings
+        self.texts_ = [t.decode() for _, text, _ in pages if text for t in text.split(b"\n")]
+        self.place = np.frombuffer(b"".join(p for p, _, _ in pages), np.uint8)
+        self.block_page = np.repeat(np.arange(len(pages)), [len(p) for p, _, _ in pages])
+        words = pc.split_pattern(pa.array(self.texts_, pa.large_string()), " ")
+        self.count = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+        coded = words.flatten().cast(pa.string()).dictionary_encode()
+        ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        # the edges of a block are tokens too
+        self.start = np.cumsum(self.count + 2) - self.count - 2
+        self.tokens = np.zeros(len(ids) + 2 * len(self.count), np.int64)
+        self.tokens[np.repeat(self.start + 1 - (np.cumsum(self.count) - self.count), self.count) + np.arange(len(ids))] = ids + 1
+        self.page = np.repeat(self.block_page, self.count + 2)
+        self.words = coded.dictionary
+        contents, first, number = np.unique(np.array([c for _, _, c in pages], np.int64), return_index=True, return_inverse=True)
+        counted = np.zeros(len(pages), bool)
+        counted[first] = True
+        if foreign is not None:
+            counted &= ~foreign
+        self.distinct, self.pages = len(contents), len(pages)
+        self.alike, self.counted = number[self.page], counted[self.page]
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return runs(self.tokens, self.page, self.settings.run, self.alike, self.counted)
@@ -317,8 +366,8 @@ class Shard:
         if n < run:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.flatnonzero(self.page[: n - run + 1] == self.page[run - 1 :])
-        word = np.fromiter(map(_hash, self.words), np.uint64, len(self.words))[self.tokens]
-        key = np.full(len(at), _hash(host), np.uint64)
+        word = np.concatenate((np.full(1, _UNMIX), word_hashes(self.words)))[self.tokens]
+        key = np.full(len(at), _hash(host.encode("utf-8", "replace")), np.uint64)
         for k in range(run):
             key = (key ^ word[at + k]) * _MIX
             key ^= key >> np.uint64(31)
@@ -327,21 +376,26 @@ class Shard:
     def texts(self, starts: np.ndarray, levels: np.ndarray) -> list[str]:
         """Main texts without the runs that start at these places and may be cut up to these levels."""
         run, n = self.settings.run, len(self.tokens)
-        beside, block, within = (covered_by(starts[levels >= level], run, n) for level in (BESIDE_ARTICLES, WHOLE_BLOCK, WITHIN_BLOCK))
-        out = []
-        for k, page_blocks in enumerate(self.found):
-            kept = []
-            for b, (place, text) in enumerate(page_blocks):
-                words, at = text.split(), self.start[k, b] + 1
-                if place == IN_ARTICLE and block[at : at + len(words)].all():
-                    continue
-                gone = (within if place == IN_ARTICLE else beside)[at : at + len(words)]
-                if gone.any():
-                    text = " ".join(w for w, cut in zip(words, gone.tolist()) if not cut)
-                if text:
-                    kept.append(text)
-            out.append("\n".join(kept))
-        return out
+        covers = {level: covered_by(starts[levels >= level], run, n) for level in (BESIDE_ARTICLES, WHOLE_BLOCK, WITHIN_BLOCK)}
+        words_in = {}
+        for level, cover in covers.items():
+            sums = np.concatenate((np.zeros(1, np.int64), np.cumsum(cover)))
+            words_in[level] = sums[self.start + 1 + self.count] - sums[self.start + 1]
+        article = self.place == PLACES.index(IN_ARTICLE)
+        whole_ = article & (words_in[WHOLE_BLOCK] == self.count)
+        some = np.where(article, words_in[WITHIN_BLOCK], words_in[BESIDE_ARTICLES]) > 0
+        kept: list[list[str]] = [[] for _ in range(self.pages)]
+        for b, (page, gone, cut) in enumerate(zip(self.block_page.tolist(), whole_.tolist(), some.tolist())):
+            if gone:
+                continue
+            text = self.texts_[b]
+            if cut:
+                at = self.start[b] + 1
+                cover = covers[WITHIN_BLOCK if article[b] else BESIDE_ARTICLES][at : at + self.count[b]]
+                text = " ".join(w for w, c in zip(text.split(" "), cover.tolist()) if not c)
+            if text:
+                kept[page].append(text)
+        return ["\n".join(k) for k in kept]
 
 
 def _least(distinct, settings: Settings) -> tuple[int, int, int]:
@@ -350,47 +404,38 @@ def _least(distinct, settings: Settings) -> tuple[int, int, int]:
     return tuple(max(least, math.ceil(share * distinct)) for least, share in ((s.pages, s.share), (s.article_pages, s.article_share), (s.article_pages, s.within_share)))
 
 
-def shown(page: str) -> list[tuple[str, str]]:
-    return [b for b in blocks(page) if b[0] != IN_PART]
-
-
-def _whole_host(found: list[list[tuple[str, str]]], settings: Settings, order: list[int] | None) -> list[str]:
-    shard = Shard(found, settings, order)
+def _whole_host(pages: list[tuple[bytes, bytes, int]], settings: Settings) -> list[str]:
+    shard = Shard(pages, settings)
     starts, group, on = shard.runs()
     return shard.texts(starts, np.searchsorted(_least(shard.distinct, settings), on, side="right")[group])
 
 
-def main_texts(pages: list[str], settings: Settings = Settings(), order: list[int] | None = None) -> list[str]:
+def main_texts(pages: list[str], settings: Settings = Settings()) -> list[str]:
     """Main text of each page of one host."""
-    return _whole_host([shown(p) for p in pages], settings, order)
-
-
-PLACES = (IN_ARTICLE, NEITHER)
-#: Kinds of rows of a shard, in this order: rows that own their content, pages.
-OWNER, PAGE = range(2)
+    return _whole_host([packed(p) for p in pages], settings)
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages as blocks outside parts: host, row, page_id, url, content, bytes, places, texts."""
-    names = ["host", "row", "page_id", "url", "content", "bytes", "places", "texts"]
+    """Pages as blocks outside parts: host, shard, shards, row, page_id, url, content, places, body (compressed)."""
+    names = ["host", "shard", "shards", "row", "page_id", "url", "content", "places", "body"]
+    packer = zstandard.ZstdCompressor(3)
     for batch in batches:
         for part in batch_parts(batch):
-            found = [shown(p) for p in part.column(4).to_pylist()]
+            found = [packed(p) for p in part.column(6).to_pylist()]
             columns = [
-                pa.array([content(f) for f in found], pa.int64()),
-                pa.array([sum(len(text.encode("utf-8", "replace")) + 1 for _, text in f) for f in found], pa.int64()),
-                pa.array([[PLACES.index(place) for place, _ in f] for f in found], pa.list_(pa.int8())),
-                pa.array([[text for _, text in f] for f in found], pa.list_(pa.string())),
+                pa.array([f[2] for f in found], pa.int64()),
+                pa.array([f[0] for f in found], pa.binary()),
+                pa.array([packer.compress(f[1]) if f[1] else b"" for f in found], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays([*part.columns[:4], *columns], names=names)
+            yield pa.RecordBatch.from_arrays([*part.columns[:6], *columns], names=names)
 
 
 def _gathered(page_type: pa.DataType):
-    """One row for each shard, from rows (host, shard, kind, shards, row, page_id, url, places, texts) sorted by shard and kind."""
+    """One row for each shard, from rows sorted by host, shard and row."""
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(page_type)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, shards, owners, pages = None, None, set(), []
+        at, shards, pages = None, None, []
 
         def row() -> pa.RecordBatch:
             columns = [pa.array([v], k) for v, k in zip((*at, shards, pages), kinds)]
@@ -399,41 +444,43 @@ def _gathered(page_type: pa.DataType):
         for batch in batches:
             for part in batch_parts(batch):
                 for r in part.to_pylist():
-                    if at != (r["host"], r["shard"]):
+                    key = r.pop("host"), r.pop("shard")
+                    if at != key:
                         if pages:
                             yield row()
-                        at, owners, pages = (r["host"], r["shard"]), set(), []
-                    if r["kind"] == OWNER:
-                        owners.add(r["row"])
-                        continue
-                    shards = r["shards"]
-                    pages.append({"row": r["row"], "page_id": r["page_id"], "url": r["url"], "owner": r["row"] in owners, "places": r["places"], "texts": r["texts"]})
+                        at, pages = key, []
+                    shards = r.pop("shards")
+                    pages.append(r)
         if pages:
             yield row()
 
     return run
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[list[tuple[str, str]]]]]:
-    """A row at a time, and the blocks of its pages."""
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict], list[tuple[bytes, bytes, int]]]]:
+    """A shard at a time: its row, its pages, and these as `Shard` takes them."""
+    unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
         for k in range(batch.num_rows):
             row = batch.slice(k, 1).to_pylist()[0]
-            yield row, [[(PLACES[p], text) for p, text in zip(page["places"], page["texts"])] for page in row["pages"]]
+            pages = row.pop("pages")
+            yield row, pages, [(p["places"], unpacker.decompress(p["body"]) if p["body"] else b"", p["content"]) for p in pages]
 
 
-def _counting(found: list[list[tuple[str, str]]], pages: list[dict], settings: Settings) -> Shard:
-    return Shard(found, settings, counted=[p["owner"] for p in pages])
+def _foreign(row: dict, pages: list[dict], wanted) -> np.ndarray:
+    """Pages whose copy in another shard counts."""
+    held = wanted.value if wanted is not None else np.sort(np.array(row["elsewhere"] or [], np.int64))
+    return np.isin(np.array([p["row"] for p in pages], np.int64), held)
 
 
-def _often(settings: Settings):
+def _often(settings: Settings, elsewhere):
     """Hashes of runs that stand on ``enough`` pages of their shard, from its suffix array."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, found in _each(batches):
+        for row, pages, found in _each(batches):
             if row["enough"] < 2:
                 continue
-            shard = _counting(found, row["pages"], settings)
+            shard = Shard(found, settings, _foreign(row, pages, elsewhere))
             starts, group, on = shard.runs()
             at, keys = shard.windows(row["host"])
             first = np.unique(group, return_index=True)[1]
@@ -443,12 +490,12 @@ def _often(settings: Settings):
     return run
 
 
-def _pages_of_runs(settings: Settings, wanted):
+def _pages_of_runs(settings: Settings, wanted, elsewhere):
     """On how many counted pages of a shard the wanted runs stand; all runs where a shard's mean is below two pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, found in _each(batches):
-            shard = _counting(found, row["pages"], settings)
+        for row, pages, found in _each(batches):
+            shard = Shard(found, settings, _foreign(row, pages, elsewhere))
             at, keys = shard.windows(row["host"])
             kept = shard.counted[at]
             if wanted is not None and row["enough"] >= 2:
@@ -464,17 +511,16 @@ def _extracted(settings: Settings, kinds: list[pa.DataType], cut=None):
     """Main texts of the pages of each shard; the runs of large hosts that are to be cut are broadcast or in the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, found in _each(batches):
-            pages = row["pages"]
+        for row, pages, found in _each(batches):
             if row["shards"] is None:
-                got = _whole_host(found, settings, [p["row"] for p in pages])
+                got = _whole_host(found, settings)
             else:
                 if cut is not None:
                     runs_, levels = cut.value
                 else:
                     cuts = sorted((c["run"], c["level"]) for c in row["cuts"] or ())
                     runs_, levels = (np.array([c[k] for c in cuts], np.int64) for k in (0, 1))
-                shard = Shard(found, settings, counted=[True] * len(pages))
+                shard = Shard(found, settings)
                 at, keys = shard.windows(row["host"])
                 level = np.zeros(len(keys), np.int64)
                 if len(runs_):
@@ -487,18 +533,27 @@ def _extracted(settings: Settings, kinds: list[pa.DataType], cut=None):
     return run
 
 
-def _large_hosts(shards: DataFrame, owners: DataFrame, settings: Settings, scratch: Scratch) -> tuple[DataFrame, object]:
+def _large_hosts(shards: DataFrame, settings: Settings, scratch: Scratch) -> tuple[DataFrame, object]:
     """The shards of large hosts, and what is to be cut of them: broadcast, or in a column ``cuts``."""
     spark, s = shards.sparkSession, settings
+    copies = shards.select("host", "shard", "shards", F.explode(F.arrays_zip("pages.content", "pages.row")).alias("p"))
+    local = copies.groupBy("host", "shard", "shards", "p.content").agg(F.min("p.row").alias("row"))
+    owners = scratch.write("owners", local.groupBy("host", "shards", "content").agg(F.min("row").alias("row"), F.collect_list(F.struct("shard", "row")).alias("places")))
     on = lambda pages, share: F.greatest(F.lit(pages), F.ceil(F.lit(share) * F.col("distinct"))).cast("long")
     least = {"least": on(s.pages, s.share), "least_block": on(s.article_pages, s.article_share), "least_within": on(s.article_pages, s.within_share)}
     limits = owners.groupBy("host", "shards").agg(F.count("*").alias("distinct")).withColumns(least)
     limits = scratch.write("limits", limits.withColumn("enough", F.ceil(F.col("least") / F.col("shards"))).drop("shards", "distinct"))
     known = F.broadcast(limits) if limits.count() <= MANY else limits
-    rows = shards.join(known.select("host", "enough"), "host").select("host", "shard", "shards", "enough", "pages")
-    often = scratch.write("often", rows.mapInArrow(_often(s), "run long").distinct())
+    others = owners.where(F.size("places") > 1).select("host", F.col("row").alias("owner"), F.explode("places").alias("p")).where("p.row <> owner")
+    others = scratch.write("others", others.select("host", "p.shard", "p.row"))
+    elsewhere, rows = None, shards.join(known.select("host", "enough"), "host")
+    if others.count() <= MANY_RUNS:
+        elsewhere = spark.sparkContext.broadcast(np.sort(others.select("row").distinct().toArrow().column(0).to_numpy()))
+    else:
+        rows = rows.join(others.groupBy("host", "shard").agg(F.collect_list("row").alias("elsewhere")), ["host", "shard"], "left")
+    often = scratch.write("often", rows.mapInArrow(_often(s, elsewhere), "run long").distinct())
     wanted = spark.sparkContext.broadcast(np.sort(often.toArrow().column(0).to_numpy())) if often.count() <= MANY_RUNS else None
-    counts = rows.mapInArrow(_pages_of_runs(s, wanted), "host string, run long, n long").groupBy("host", "run").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(_pages_of_runs(s, wanted, elsewhere), "host string, run long, n long").groupBy("host", "run").agg(F.sum("n").alias("n"))
     level = F.when(F.col("n") >= F.col("least_within"), WITHIN_BLOCK).when(F.col("n") >= F.col("least_block"), WHOLE_BLOCK).otherwise(BESIDE_ARTICLES)
     cut = scratch.write("cut", counts.join(known, "host").where("n >= least").select("host", "run", level.cast("long").alias("level")))
     if cut.count() <= MANY_RUNS:
@@ -513,32 +568,27 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", body
     """page_id, url, text, n_chars of every row; page_id and url keep their types."""
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select(host.alias("host"), F.col(page_id).alias("page_id"), F.col(url).alias("url"), whole(body).alias("html"))
-    rows = rows.select("host", F.xxhash64("page_id", "url", "html").alias("row"), "page_id", "url", "html")
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    id_, url_ = (f.type for f in to_arrow_schema(rows.select("page_id", "url").schema))
-    typed = f"page_id {kinds['page_id']}, url {kinds['url']}"
-    scratch = Scratch(pages.sparkSession, "hosts")
-    parsed = scratch.write("parsed", rows.mapInArrow(_parsed, f"host string, row long, {typed}, content long, bytes long, places array<tinyint>, texts array<string>"))
-    weight = F.least(F.col("bytes"), F.lit(settings.shard_bytes))  # a long page is one shard at most
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("n"), F.sum(weight).alias("bytes"))
+    weight = F.least(F.octet_length("html"), F.lit(settings.shard_bytes))  # a long page is one shard at most
+    sizes = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(weight).alias("bytes"))
     shards = F.greatest(F.ceil(F.col("n") / settings.shard_pages), F.ceil(F.col("bytes") / settings.shard_bytes))
+    scratch = Scratch(pages.sparkSession, "hosts")
     large = scratch.write("large", sizes.select("host", shards.alias("shards")).where("shards > 1"))
     n = large.count()
     large = F.broadcast(large) if n <= MANY else large
-    shard = F.pmod("row", F.coalesce("shards", F.lit(1))).alias("shard")
-    dealt = parsed.join(large, "host", "left").select("host", shard, F.lit(PAGE).alias("kind"), "shards", "row", "page_id", "url", "places", "texts")
-    if n:
-        owners = parsed.join(large, "host").groupBy("host", "shards", "content").agg(F.min("row").alias("row"))
-        owners = scratch.write("owners", owners.select("host", "shards", "row"))
-        dealt = dealt.unionByName(owners.select("host", shard, F.lit(OWNER).alias("kind"), "shards", "row"), allowMissingColumns=True)
-    page = pa.struct([("row", pa.int64()), ("page_id", id_), ("url", url_), ("owner", pa.bool_()), ("places", pa.list_(pa.int8())), ("texts", pa.list_(pa.string()))])
-    fields = f"row: bigint, page_id: {kinds['page_id']}, url: {kinds['url']}, owner: boolean, places: array<tinyint>, texts: array<string>"
-    sorted_ = dealt.repartition("host", "shard").sortWithinPartitions("host", "shard", "kind")
+    row = F.xxhash64("page_id", "url", "html").alias("row")
+    dealt = rows.select("host", row, "page_id", "url", "html").join(large, "host", "left")
+    dealt = dealt.select("host", F.pmod("row", F.coalesce("shards", F.lit(1))).alias("shard"), "shards", "row", "page_id", "url", "html")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    id_, url_ = (f.type for f in to_arrow_schema(rows.select("page_id", "url").schema))
+    typed = f"page_id {kinds['page_id']}, url {kinds['url']}"
+    blocks_ = dealt.mapInArrow(_parsed, f"host string, shard long, shards long, row long, {typed}, content long, places binary, body binary")
+    page = pa.struct([("row", pa.int64()), ("page_id", id_), ("url", url_), ("content", pa.int64()), ("places", pa.binary()), ("body", pa.binary())])
+    fields = f"row: bigint, page_id: {kinds['page_id']}, url: {kinds['url']}, content: bigint, places: binary, body: binary"
+    sorted_ = blocks_.repartition("host", "shard").sortWithinPartitions("host", "shard", "row")
     gathered = scratch.write("shards", sorted_.mapInArrow(_gathered(page), f"host string, shard long, shards long, pages array<struct<{fields}>>"))
-    scratch.drop("parsed")
-    result, cut = f"{typed}, text string", None
+    cut = None
     if n:
-        many, cut = _large_hosts(gathered.where("shards IS NOT NULL"), owners, settings, scratch)
+        many, cut = _large_hosts(gathered.where("shards IS NOT NULL"), settings, scratch)
         gathered = many.unionByName(gathered.where("shards IS NULL"), allowMissingColumns=True)
-    texts = gathered.mapInArrow(_extracted(settings, [id_, url_], cut), result)
+    texts = gathered.mapInArrow(_extracted(settings, [id_, url_], cut), f"{typed}, text string")
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
