@@ -56,6 +56,11 @@ class DaySlices:
     def column(self) -> Column:
         return F.coalesce(F.to_date(F.col(f"`{self.time_column}`")), F.lit(_NO_DAY).cast("date"))
 
+    @staticmethod
+    def day(at: datetime | None) -> date:
+        """The slice of a row with this time."""
+        return at.date() if at else date.fromisoformat(_NO_DAY)
+
     @staticmethod
     def days(start: datetime | str, end: datetime | str) -> list[date]:
         """Days a half-open interval touches."""
@@ -200,12 +205,15 @@ class LiveTable:
         """Create the table if it is absent, otherwise add the columns it lacks."""
         if self.exists():
             self.evolve(schema)
-            return
+        else:
+            self._create(schema, {})
+
+    def _create(self, schema: T.StructType, live: dict[str, str]) -> None:
         if "." in self.name:
             for database in (self.name.split(".")[0], self._entry_schema()):
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote('spark', database)}")
-        entry = self._new_entry(schema, {})
-        self._move(schema, entry, self._write_manifest(Manifest(entry)))
+        entry = self._new_entry(schema, live)
+        self._move(schema, entry, self._write_manifest(Manifest(entry, live)))
 
     def _entry_schema(self) -> str:
         """Entries have a schema of their own, so that listings of the tables show views only."""
@@ -327,14 +335,10 @@ class LiveTable:
         schema, before = schema or self.schema(), self.manifest()
         live = dict(before.live)
         for path, touched in versions:
-            if not self.slices:
-                live = {"": self._relative(path)}
-                continue
-            prefix = f"{SLICE}="
-            written = {n[len(prefix):] for n in files.list_names(self.spark, path) if n.startswith(prefix)}
-            for value in set(live) | written if touched is None else {str(t) for t in touched}:
+            written = self._written_slices(path)
+            for value in set(live) | set(written) if touched is None or not self.slices else {str(t) for t in touched}:
                 if value in written:
-                    live[value] = f"{self._relative(path)}/{prefix}{value}"
+                    live[value] = written[value]
                 else:
                     live.pop(value, None)
         entry, at = self._new_entry(schema, live), int(time.time() * 1000)
@@ -342,23 +346,33 @@ class LiveTable:
         manifest = self._write_manifest(Manifest(entry, live, replaced, [*before.entries, (before.entry, at)]))
         self._move(schema, entry, manifest)
 
+    def _written_slices(self, path: str) -> dict[str, str]:
+        """Folders of the slices of a written version."""
+        if not self.slices:
+            return {"": self._relative(path)}
+        names = [n for n in files.list_names(self.spark, path) if n.startswith(f"{SLICE}=")]
+        return {n.removeprefix(f"{SLICE}="): f"{self._relative(path)}/{n}" for n in names}
+
     def replace_definition(self, schema: T.StructType, path: str) -> None:
-        """Put new content with another schema in place, whatever has changed in it."""
-        self.publish_all([(path, None)], schema)
+        """Put new content with another schema in place, whatever has changed in it; a table that is absent is created with it."""
+        if self.exists():
+            self.publish_all([(path, None)], schema)
+        else:
+            self._create(schema, self._written_slices(path))
 
     # -- upkeep ------------------------------------------------------------------------------
 
     def expire(self, keep_seconds: float = 86_400) -> list[str]:
         """Delete what was replaced more than ``keep_seconds`` ago, which is how long a reader that planned on an older version may
         still run, and what attempts that failed as long ago have left. Returns the folders of replaced slices."""
-        cutoff, kept = (time.time() - keep_seconds) * 1000, self.manifest()
+        cutoff, current = (time.time() - keep_seconds) * 1000, self._properties()[MANIFEST]
+        kept = Manifest.of(files.read_text(self.spark, f"{self.root}/{current}"))
         gone = [p for p, at in kept.replaced if at < cutoff]
         old = [e for e, at in kept.entries if at < cutoff]
         for path in gone:
             files.delete_dir(self.spark, self._path(path))
         for entry in old:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._sql_entry(entry)}")  # external: files are not its own
-        current = self._properties()[MANIFEST]
         if gone or old:
             left = Manifest(kept.entry, kept.live, [x for x in kept.replaced if x[1] >= cutoff], [x for x in kept.entries if x[1] >= cutoff])
             current = self._write_manifest(left)

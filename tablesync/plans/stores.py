@@ -144,10 +144,11 @@ class _History(_Store):
 
     def append(self, rows: DataFrame) -> None:
         with self._lock:
-            added = small_frame(self.spark, conform(rows, self.columns).collect(), self.columns)  # a row per table of one run
-            days = [r[0] for r in added.select(self.table.slices.column()).distinct().collect()]
-            if not days:
+            of_run = conform(rows, self.columns).collect()  # a row per table of one run
+            if not of_run:
                 return
+            added = small_frame(self.spark, of_run, self.columns)
+            days = list({self.table.slices.day(r[self.time_column]) for r in of_run})
             before = self._state()
             path = self.table.write_version(self.table.read(days).unionByName(added), uuid.uuid4().hex)
             self.table.publish(path, days)
