@@ -71,7 +71,23 @@ class DaySlices:
         return [first.date() + timedelta(days=i) for i in range((last - first.date()).days + 1)]
 
 
-Slices = HashSlices | DaySlices
+@dataclass(frozen=True)
+class MonthSlices:
+    """One slice per month of a time column, named by its first day."""
+
+    time_column: str
+    type_name: str = "date"
+
+    def column(self) -> Column:
+        return F.coalesce(F.trunc(F.to_date(F.col(f"`{self.time_column}`")), "month"), F.lit(_NO_DAY).cast("date"))
+
+    @staticmethod
+    def day(at: datetime | None) -> date:
+        """The slice of a row with this time."""
+        return at.date().replace(day=1) if at else date.fromisoformat(_NO_DAY)
+
+
+Slices = HashSlices | DaySlices | MonthSlices
 
 
 def layout_text(slices: Slices | None) -> str:
@@ -80,14 +96,16 @@ def layout_text(slices: Slices | None) -> str:
         return json.dumps(None)
     if isinstance(slices, HashSlices):
         return json.dumps({"hash": list(slices.keys), "count": slices.count})
-    return json.dumps({"day": slices.time_column})
+    return json.dumps({"month" if isinstance(slices, MonthSlices) else "day": slices.time_column})
 
 
 def layout_of(text: str) -> Slices | None:
     kept = json.loads(text)
     if kept is None:
         return None
-    return DaySlices(kept["day"]) if "day" in kept else HashSlices(tuple(kept["hash"]), kept["count"])
+    if "hash" in kept:
+        return HashSlices(tuple(kept["hash"]), kept["count"])
+    return MonthSlices(kept["month"]) if "month" in kept else DaySlices(kept["day"])
 
 
 def sliced_schema(schema: T.StructType, slices: Slices | None) -> T.StructType:

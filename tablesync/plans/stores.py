@@ -26,11 +26,13 @@ from tablesync.operators.report import latest_per
 from tablesync.operators.reconcile import CDC_HISTORY, FULL_LOAD_HISTORY
 from tablesync.plans.frames import small_frame
 from tablesync.functions.typemap import conform
-from tablesync.plans.livetable import DaySlices, LiveTable
+from tablesync.plans.livetable import DaySlices, LiveTable, MonthSlices
 
 TABLE_NAMES = T.StructType([SOURCE_NAME, T.StructField("table_name", T.StringType())])
 RESULT_SCHEMA = T.StructType([*TABLE_NAMES.fields, T.StructField("new_watermark", T.TimestampNTZType())])
 
+Times = DaySlices | MonthSlices
+
 #: A table: the name of its source ('' for a single one) and its exact name; a name alone is one of no source.
 Identity = tuple[str, str] | str
 
@@ -43,7 +45,7 @@ class _Store:
     """One row per table and run at most, so a single output file is right. Changes made by one
     process are serialised; only one run of a sync is allowed at a time."""
 
-    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, slices: DaySlices | None = None):
+    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, slices: Times | None = None):
         self.spark = spark
         self.table = LiveTable(spark, f"{schema_name}.{table}", f"{root.rstrip('/')}/{table}", slices)
         self.columns = columns
@@ -130,16 +132,16 @@ def _results(spark: SparkSession, results: Sequence[tuple[Identity, datetime]])
 
 
 class _History(_Store):
-    """Rows of all runs, sliced by day. A run writes the days of its own rows anew, so however many runs a day has, it is
+    """Rows of all runs, sliced by day or month. A run writes the slices of its own rows anew, so however many runs a day has, it is
     a file or a few, and closed days are never touched.
 
     Beside it stands the latest run of each table and status, brought up to date with every run, so that reports need not read
     the history. It names the state of the history it belongs to; one that is behind is made anew from the history.
     """
 
-    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, time_column: str, run_column: str):
-        super().__init__(spark, schema_name, root, table, columns, DaySlices(time_column))
-        self.time_column, self.run_column = time_column, run_column
+    def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, slices: Times, run_column: str):
+        super().__init__(spark, schema_name, root, table, columns, slices)
+        self.time_column, self.run_column = slices.time_column, run_column
         self._latest = LiveTable(spark, f"{schema_name}.{table}_latest", f"{root.rstrip('/')}/{table}_latest")
 
     def append(self, rows: DataFrame) -> None:
@@ -171,7 +173,7 @@ class _History(_Store):
         return self._latest.read()
 
     def days(self) -> list[date]:
-        """Days that have rows, newest first."""
+        """Days, or first days of months, that have rows, newest first."""
         return sorted(map(date.fromisoformat, self.table.manifest().live), reverse=True)
 
     def _state(self) -> str:
@@ -188,10 +190,12 @@ class _History(_Store):
 
 
 class FullLoadHistory(_History):
+    """Loads are some a day, so their slices are months."""
+
     def __init__(self, spark: SparkSession, schema_name: str, root: str):
-        super().__init__(spark, schema_name, root, "migration_monitoring", FULL_LOAD_HISTORY, "start_time", "run_id")
+        super().__init__(spark, schema_name, root, "migration_monitoring", FULL_LOAD_HISTORY, MonthSlices("start_time"), "run_id")
 
 
 class CdcHistory(_History):
     def __init__(self, spark: SparkSession, schema_name: str, root: str):
-        super().__init__(spark, schema_name, root, "cdc_monitoring", CDC_HISTORY, "checked_at", "dag_run_id")
+        super().__init__(spark, schema_name, root, "cdc_monitoring", CDC_HISTORY, DaySlices("checked_at"), "dag_run_id")

@@ -230,3 +230,16 @@ def test_live_tables_are_a_source(spark, tmp_path, schema_name):
     assert [t.lower() for t in source.tables()] == ["orders__old"] and source.count("Orders__old") == 9
     live.drop()
     assert source.tables() == []
+
+
+def test_months_are_slices(spark, tmp_path, schema_name):
+    layout = livetable.MonthSlices("at")
+    assert livetable.layout_of(livetable.layout_text(layout)) == layout
+    assert livetable.layout_of(livetable.layout_text(DaySlices("at"))) == DaySlices("at")
+    live = LiveTable(spark, f"{schema_name}.m", f"{tmp_path}/m", layout)
+    rows = spark.createDataFrame([(k, T0 + k * 10 * DAY) for k in range(8)] + [(9, None)], "id long, at timestamp_ntz")
+    live.ensure(rows.schema)
+    live.publish(live.write_version(rows, "a"))
+    assert sorted(live.manifest().live) == ["0001-01-01", "2024-01-01", "2024-02-01", "2024-03-01"]
+    assert sorted(live.manifest().live) == sorted({str(layout.day(r.at)) for r in rows.collect()})
+    assert live.read([layout.day(T0)]).count() == 4
