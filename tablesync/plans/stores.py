@@ -136,7 +136,8 @@ class _History(_Store):
     a file or a few, and closed days are never touched.
 
     Beside it stands the latest run of each table and status, brought up to date with every run, so that reports need not read
-    the history. It names the state of the history it belongs to; one that is behind is made anew from the history.
+    the history. It names the state of the history it belongs to; one that is behind is made anew from the history. It is written by
+    the tasks that pick the latest runs, which adaptive execution joins into one where tables are few.
     """
 
     def __init__(self, spark: SparkSession, schema_name: str, root: str, table: str, columns: T.StructType, slices: Times, run_column: str):
@@ -185,7 +186,7 @@ class _History(_Store):
     def _bring_up(self, rows: DataFrame) -> None:
         self._latest.ensure(self.columns)
         newest = latest_per(rows, ("table_name", "status"), self.time_column, self.run_column)
-        self._latest.publish(self._latest.write_version(newest.coalesce(1), self._state()))
+        self._latest.publish(self._latest.write_version(newest, self._state()))
         self._latest.expire()
 
 
