@@ -30,7 +30,7 @@ from tablesync.plans.stores import CdcHistory, ControlStore, WatermarkStore
 from tablesync.sources.jdbc import JdbcSource
 from tablesync.sources.registry import SourceSpec, open_source
 
-GROUPS_AT_ONCE = 4  # groups of slices merged side by side, each with a broadcast of its own
+GROUPS_AT_ONCE = 4  # groups of slices merged side by side
 _BROADCASTS = threading.BoundedSemaphore(GROUPS_AT_ONCE)  # of all tables that this driver syncs at once
 
 CHANGES = T.StructType(
@@ -132,7 +132,8 @@ def merge_batch(
     ``buried``. ``unique`` says that the batch is known to have one row a key.
 
     Of a sliced table only the touched slices are read and written, in groups whose staged keys
-    fit the broadcast bound: the target is then never shuffled, however big the batch is. The
+    fit the broadcast bound. The keys of one group are broadcast, and its target is then never shuffled; the other groups of a
+    big batch are shuffled, so that no more than the bound goes through the driver. The
     staged side was written to files first, so each use of it is a plain scan. All groups go live in one move,
     after the last of them is written; if one fails, nothing does.
     """
@@ -177,17 +178,17 @@ def _write_group(
 
 
 def slice_groups(sizes: dict) -> list[tuple[list, bool]]:
-    """Pack touched slices, by their measured key sizes, into groups that may be broadcast. A slice
-    too big by itself forms a group whose join is left to Spark."""
+    """Pack touched slices, by their measured key sizes, into groups within the broadcast bound. The first may be broadcast; the
+    joins of the others, and of a slice too big by itself, are left to Spark: all keys of a batch would pass the driver otherwise."""
     groups: list[tuple[list, bool]] = []
     current, rows, size = [], 0, 0
     for name, (more_rows, more_size) in sorted(sizes.items(), key=lambda item: item[1]):
         if current and not broadcast_safe(rows + more_rows, size + more_size):
-            groups.append((current, broadcast_safe(rows, size)))
+            groups.append((current, not groups and broadcast_safe(rows, size)))
             current, rows, size = [], 0, 0
         current, rows, size = [*current, name], rows + more_rows, size + more_size
     if current:
-        groups.append((current, broadcast_safe(rows, size)))
+        groups.append((current, not groups and broadcast_safe(rows, size)))
     return groups
 
 
