@@ -10,6 +10,9 @@ A repeated passage is therefore not always removed whole: its first lines up to
 their chunk with what is around it, and chunks of one short line, about one in four, always stay. The SQL counterpart has
 the same chunks.
 
+All texts are cut once, and the hashes of their chunks written to scratch. Texts that may hold a repeated hash, told by a broadcast
+of bounded size, are cut again to compare its chunks, and those that lose chunks a last time.
+
 What is shuffled: hashes of chunks, to count them; the texts of those whose hash repeats, to compare them, which partial
 aggregation reduces to one for each task; their places without texts; and the documents once, to take their removed
 chunks out. The repeated hashes are broadcast if there are at most ``MANY``.
@@ -25,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import Scratch
+from tablesync.llm.common import Scratch, maybe_among
 
 #: One rolling hash in so many is a boundary.
 EVERY = 4
@@ -68,29 +71,41 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     whole_text = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     kept = kept.withColumn("version", whole_text)
-    keyed = chunked(kept, every=every, long_line=long_line)
+    scratch = Scratch(docs.sparkSession, "line-dedup")
+
+    def counts(c: Column) -> Column:
+        return ((c["lines"] > 1) | c["long"]) & (F.translate(c["text"], " \n\t\r", "") != "")
+
+    # all texts are cut once, of which hashes stay; what may repeat is cut again to be compared
+    hashes = F.transform("__chunks", lambda c: F.when(counts(c), F.xxhash64(c["text"])))
+    cut = scratch.write("cut", chunked(kept, every=every, long_line=long_line).select("doc_id", "version", hashes.alias("hashes")))
+    hashed = cut.select("version", F.explode("hashes").alias("hash")).where("hash IS NOT NULL")
+    again = scratch.write("again", hashed.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
+    again = F.broadcast(again) if again.count() <= MANY else again
+    concerned = scratch.write("concerned", hashed.join(again, "hash", "left_semi").select("version").distinct())
+    keyed = chunked(maybe_among(kept, concerned, "version"), every=every, long_line=long_line)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version", "at")
     parts = keyed.select("doc_id", "version", F.posexplode_outer("__chunks").alias("at", "chunk"))
     # outer, as Spark would otherwise filter by the size of the array before it has computed it
-    parts = parts.where((F.col("chunk.lines") > 1) | F.col("chunk.long")).where(F.translate("chunk.text", " \n\t\r", "") != "").select(
-        F.xxhash64("chunk.text").alias("hash"), place.alias("place"), F.col("chunk.text").alias("body")
-    )
-    counted = parts.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    again = Scratch(docs.sparkSession, "line-dedup").write("again", counted)
-    parts = parts.join(F.broadcast(again) if again.count() <= MANY else again, "hash", "left_semi")
-    parts = parts.withColumn("key", F.md5(F.col("body").cast("binary")))
+    parts = parts.where(counts(F.col("chunk"))).select(F.xxhash64("chunk.text").alias("hash"), place.alias("place"), F.col("chunk.text").alias("body"))
+    parts = parts.join(again, "hash", "left_semi").select(F.md5(F.col("body").cast("binary")).alias("key"), "place", "body")
+    parts = scratch.write("parts", parts)
     groups = parts.groupBy("key").agg(F.min("place").alias("owner"), F.max("place").alias("last"), F.min("body").alias("low"), F.max("body").alias("high"))
     repeated = groups.where("owner <> last AND low = high").select("key", "owner")
-    lost = parts.select("key", "place").join(repeated, "key").where("place <> owner")
-    by_doc = lost.groupBy("place.doc_id", "place.version").agg(F.collect_set("place.at").alias("__lost"))
-    found = kept.join(by_doc.withColumnsRenamed({"doc_id": "__doc", "version": "__version"}), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("version") == F.col("__version")), "left")
-    found = chunked(found, every=every, long_line=long_line)  # after the join, which then moves texts only
+    lost = scratch.write("lost", parts.select("key", "place").join(repeated, "key").where("place <> owner").select("place.doc_id", "place.version", "place.at"))
+    scratch.drop("again", "concerned", "parts")
+    told = cut.select("doc_id", "version", F.size("hashes").alias("n"), F.lit(None).cast("int").alias("at"))
+    told = told.unionByName(lost.select("doc_id", "version", F.lit(None).cast("int").alias("n"), "at"))
+    told = told.groupBy("doc_id", "version").agg(F.max("n").alias("__n"), F.collect_set("at").alias("__lost"))
+    found = kept.join(told.withColumnsRenamed({"doc_id": "__doc", "version": "__version"}), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("version") == F.col("__version")), "left")
+    # after the join, which then moves texts only; those that lose nothing are not cut again
+    found = chunked(found.withColumn("__cut", F.when(F.size("__lost") > 0, F.col("text"))), "__cut", every, long_line)
     stays = F.filter("__chunks", lambda c, k: ~F.array_contains("__lost", k))
-    cleaned = F.when(F.col("__lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda c: c["text"]), "\n"))
+    cleaned = F.when(F.col("__cut").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda c: c["text"]), "\n"))
     return found.withColumn("__clean", cleaned).select(
         "doc_id",
         F.col("__clean").alias("text"),
-        F.coalesce(F.size("__chunks"), F.lit(0)).cast("long").alias("n_chunks"),
+        F.coalesce("__n", F.lit(0)).cast("long").alias("n_chunks"),
         F.coalesce(F.size("__lost"), F.lit(0)).cast("long").alias("n_removed"),
         (F.char_length(F.coalesce("text", F.lit(""))) - F.char_length(F.coalesce("__clean", F.lit("")))).cast("long").alias("removed_chars"),
     )

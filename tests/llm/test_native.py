@@ -114,3 +114,21 @@ def test_no_python_in_the_plans(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
     spark.sql("DROP TABLE native_docs")
+
+
+def test_texts_without_repeats_are_cut_once(spark, monkeypatch):
+    from tablesync.llm import line_dedup
+
+    shared = "\n".join(f"shared line {k} " + "of many words " * 20 for k in range(3))
+    rows = [(n, f"only {n}\nsecond {n}\nthird {n}") for n in range(60)] + [(100, f"a\n{shared}"), (101, f"b\n{shared}"), (102, None)]
+    docs, cut, plain = spark.createDataFrame(rows, "doc_id long, text string"), [], line_dedup.chunked
+
+    def seen(docs, text="text", *args, **kwargs):
+        cut.append(docs.where(f"{text} IS NOT NULL").count())
+        return plain(docs, text, *args, **kwargs)
+
+    monkeypatch.setattr(line_dedup, "chunked", seen)
+    got = {r.doc_id: r for r in line_dedup.without_repeats(docs).collect()}
+    assert cut[0] == 62 and sum(cut[1:]) < 10
+    assert got[101].n_removed == 3 and got[101].text == "b" and got[100].n_removed == 0 and got[100].text == f"a\n{shared}"
+    assert all(got[n].n_chunks >= 1 and got[n].text == rows[n][1] for n in range(60)) and (got[102].text, got[102].n_chunks) == (None, 0)
