@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import Scratch, dropping_shuffles, whole
+from tablesync.llm.common import Scratch, batch_parts, dropping_shuffles, whole
 from tablesync.llm.tokens import encoder
 
 BLOCK_IDS = 1 << 16
@@ -41,15 +41,17 @@ def pack_ids(values: np.ndarray) -> tuple[bytes, bytes]:
     lengths = 1 + (values >= 1 << 8).astype(np.uint8) + (values >= 1 << 16) + (values >= 1 << 24)
     codes = np.zeros(-len(values) % 4 + len(values), np.uint8)
     codes[: len(values)] = lengths - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    kept = np.arange(4, dtype=np.uint8) < lengths[:, None]
-    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[kept].tobytes()
+    codes = codes.reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
+    width = int(lengths.max(initial=1))  # bytes beyond it are not looked at
+    kept = np.arange(width, dtype=np.uint8) < lengths[:, None]
+    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[:, :width][kept].tobytes()
 
 
 def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    wide = np.zeros((n, 4), np.uint8)
-    wide[np.arange(4, dtype=np.uint8) < lengths[:, None]] = np.frombuffer(data, np.uint8)
+    wide, width = np.zeros((n, 4), np.uint8), int(lengths.max(initial=1))
+    wide[:, :width][np.arange(width, dtype=np.uint8) < lengths[:, None]] = np.frombuffer(data, np.uint8)
     return wide.view("<u4").reshape(-1)
 
 
@@ -82,12 +84,25 @@ def _encoded(path: str, end: int, small: bool):
     return run
 
 
+def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all documents of a column one after another, and where each document begins, with the end of the last."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(1, np.int64)
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, wide)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    held = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    ids = held[edges[0] : edges[-1]].view(kind)
+    return ids, (edges - edges[0]) // ids.itemsize
+
+
 def _counted(vocabulary: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=vocabulary)
+            ids, _ = _flat(batch.column(0), kind)
+            for at in range(0, len(ids), 1 << 20):
+                counts += np.bincount(ids[at : at + (1 << 20)], minlength=vocabulary)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["id", "n"])
 
@@ -99,14 +114,15 @@ def _blocks(ranks, kind: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank_of, held, size, last = ranks.value, [], 0, None
-        for batch in batches:
-            for part, row, doc_id, ids in zip(*(batch.column(k).to_pylist() for k in range(4))):
+        for some in (x for batch in batches for x in batch_parts(batch, 4 << 20)):
+            ids, edges = _flat(some.column(3), kind)
+            values = rank_of[ids]
+            for part, row, doc_id, a, b in zip(*(some.column(k).to_pylist() for k in range(3)), edges[:-1].tolist(), edges[1:].tolist()):
                 if held and (size >= BLOCK_IDS or last != (part, row - 1)):
                     yield block(held)
                     held, size = [], 0
-                values = rank_of[np.frombuffer(ids, kind)]
-                held.append((part, row, doc_id, values))
-                size, last = size + len(values), (part, row)
+                held.append((part, row, doc_id, values[a:b]))
+                size, last = size + b - a, (part, row)
         if held:
             yield block(held)
 
@@ -165,12 +181,15 @@ def _decoded(id_of):
     return run
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """part, row, doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every document in the files."""
+def read_ids(spark: SparkSession, path: str, step=None, schema: str = _IDS) -> DataFrame:
+    """part, row, doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every document in the files, or what ``step``, a function
+    of such batches, makes of them where they are decoded."""
     ranks = spark.read.parquet(f"{path}/ranks").orderBy("rank").toArrow()
     id_of = spark.sparkContext.broadcast(ranks.column("id").to_numpy().astype(np.uint32))
     blocks = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
-    return blocks.select("part", "first_row", "doc_ids", "lengths", "control", "data").mapInArrow(_decoded(id_of), _IDS)
+    decoded = _decoded(id_of)
+    run = decoded if step is None else lambda batches: step(decoded(batches))
+    return blocks.select("part", "first_row", "doc_ids", "lengths", "control", "data").mapInArrow(run, schema)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +200,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def id_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
-    rows = read_ids(spark, path).mapInArrow(_summed, "part int, row long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = read_ids(spark, path, _summed, "part int, row long, doc_id long, n_tokens long, ids_crc32 long")
     parts = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("row")) - F.col("n_tokens")

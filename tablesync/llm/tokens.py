@@ -27,8 +27,8 @@ _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes of text and pieces that are handled at a time, pieces that are kept, and their ids: they bound a worker's memory.
 _CHUNK = 1 << 19
 _BATCH = 512
-_KEPT = 500_000
-_KEPT_IDS = 4_000_000
+_KEPT = 2_000_000
+_KEPT_IDS = 8_000_000
 
 
 def _classes() -> np.ndarray:

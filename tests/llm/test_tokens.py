@@ -72,3 +72,33 @@ def test_files_give_back_every_id(spark, tmp_path, path):
 def test_an_empty_table_gives_no_rows(spark, tmp_path):
     write_ids(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "e"), PATH, 2)
     assert id_digests(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_packed_ids_of_all_widths():
+    from tablesync.llm.binary_ids import LENGTHS
+
+    for values in ([], [0], [255, 256, 7], [65535, 65536, 1, 2, 1 << 24, (1 << 32) - 1], list(range(250, 260)) * 9):
+        control, data = pack_ids(np.array(values, np.uint32))
+        assert unpack_ids(control, data, len(values)).tolist() == values
+        assert len(data) == LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[: len(values)].sum()
+
+
+def test_ids_of_a_slice_are_flat():
+    import pyarrow as pa
+
+    from tablesync.llm.binary_ids import _flat
+
+    rows = [np.arange(k, dtype="<u2").tobytes() for k in range(6)]
+    ids, edges = _flat(pa.array(rows, pa.binary()).slice(2, 3), "<u2")
+    assert ids.tolist() == [0, 1, 0, 1, 2, 0, 1, 2, 3] and edges.tolist() == [0, 2, 5, 9]
+    assert _flat(pa.array([], pa.binary()), "<u4")[0].tolist() == []
+
+
+def test_digests_are_made_where_blocks_are_decoded(spark, tmp_path):
+    from tablesync.llm.queries import vocabulary
+
+    docs = spark.createDataFrame([(n, "some words " * n) for n in range(9)], "doc_id long, text string")
+    write_ids(docs, f"{tmp_path}/ids", vocabulary(), 2)
+    digests = id_digests(spark, f"{tmp_path}/ids")
+    assert digests._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert digests.count() == 9
