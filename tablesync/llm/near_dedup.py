@@ -66,7 +66,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 def _hashed(text: str) -> Column:
     """Hashes of the words of a text."""
     words = F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}\p{M}]+")
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
+    return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
 
 
 class Shingles:
@@ -89,7 +89,10 @@ class Shingles:
             word = padded[np.minimum(at + k, len(padded) - 1)]
             value = (value ^ np.where(short & (k >= left), np.uint64(k), word)) * _MIX
             value ^= value >> np.uint64(31)
-        order = np.lexsort((value, owner))
+        order = np.argsort(value)
+        of = owner[order]
+        # texts of a batch are few, and numbers of 16 bits are sorted without comparing them
+        order = order[np.argsort(of.astype(np.uint16) if len(count) <= 1 << 16 else of, kind="stable")]
         owner, value = owner[order], value[order]
         first = np.ones(len(owner), bool)
         first[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
@@ -217,14 +220,18 @@ def samples(s: Shingles, weight: np.ndarray, randoms) -> np.ndarray:
     size = np.diff(np.append(s.first, len(s.hash)))
     for k in range(BANDS * ROWS):
         mixed = (s.hash ^ np.uint64(k * 0x5851F42D4C957F2D & (1 << 64) - 1)) * _MIX
-        slot = (mixed >> np.uint64(64 - 14)).astype(np.int64)
-        rk = r[k, slot]
-        t = np.floor(ln_w / rk + beta[k, slot])
-        ln_a = ln_c[k, slot] - rk * (t - beta[k, slot]) - rk
+        slot = (mixed >> np.uint64(64 - 14)).view(np.int64)
+        rk, bk, ln_a = r[k].take(slot), beta[k].take(slot), ln_c[k].take(slot)
+        t = ln_w / rk
+        t += bk
+        np.floor(t, out=t)
+        ln_a -= rk * (t - bk)
+        ln_a -= rk
         # ties, as of shingles that share a slot, go to the smallest hash: the order within a text is by hash
         low = np.repeat(np.minimum.reduceat(ln_a, s.first), size)
         best = np.flatnonzero(ln_a == low)
-        best = best[np.unique(s.owner[best], return_index=True)[1]]
+        of = s.owner[best]
+        best = best[np.flatnonzero(np.diff(of, prepend=-1))]
         chosen = (s.hash[best] ^ (t[best].astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * _MIX
         out[:, k] = (chosen >> np.uint64(32)).astype(np.uint32)
     return out

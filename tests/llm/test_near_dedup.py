@@ -190,3 +190,31 @@ def test_scratch_is_dropped(spark):
         roots = [s.root for s in Scratch.made[at:]]
         assert any(exists(spark, r) for r in roots)
     assert roots and not any(exists(spark, r) for r in roots)
+
+
+def test_shingles_and_samples_are_those_of_plain_steps():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 30, n) if n % 2 else rng.integers(-(1 << 62), 1 << 62, n) for n in (0, 1, 4, 5, 6, 90, 300, 301)]
+    s = near_dedup.Shingles(pa.array([t.tolist() for t in texts], pa.list_(pa.int64())))
+    pairs = list(zip(s.owner.tolist(), s.hash.tolist()))
+    assert pairs == sorted(set(pairs)) and s.first.tolist() == [next(k for k, p in enumerate(pairs) if p[0] == n) for n in range(len(texts))]
+    r, ln_c, beta = randoms = near_dedup._randoms()
+    got, ln_w = near_dedup.samples(s, s.tf, randoms), np.log(s.tf).astype(np.float32)
+    for k in (0, 17, 63):
+        slot = ((s.hash ^ np.uint64(k * 0x5851F42D4C957F2D & (1 << 64) - 1)) * near_dedup._MIX >> np.uint64(50)).astype(np.int64)
+        t = np.floor(ln_w / r[k, slot] + beta[k, slot])
+        ln_a = ln_c[k, slot] - r[k, slot] * (t - beta[k, slot]) - r[k, slot]
+        for n, a in enumerate(s.first):
+            best = a + int(np.argmin(ln_a[a : np.append(s.first, len(pairs))[n + 1]]))
+            chosen = (s.hash[best : best + 1] ^ (t[best : best + 1].astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * near_dedup._MIX
+            assert got[n, k] == chosen[0] >> np.uint64(32)
+
+
+def test_words_are_split_without_interpreted_filters(spark):
+    docs = spark.createDataFrame([("  One, two;THREE ",), ("",), ("...",), ("x",)], "text string")
+    hashed = docs.select(near_dedup._hashed("text").alias("words"))
+    assert "filter(" not in hashed._jdf.queryExecution().optimizedPlan().toString().lower()
+    of = lambda *words: [spark.range(1).selectExpr(f"xxhash64('{w}') AS h").first().h for w in words]
+    assert [r.words for r in hashed.collect()] == [of("one", "two", "three"), [], [], of("x")]
